@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from mirrorspan.functions.types import cast_to_schema
+from mirrorspan.functions.types import cast_to_schema, map_type_column
 
 # Conflict policies.
 USE_EXISTING = "use_existing"
@@ -176,3 +176,19 @@ def precision_loss_counts(df: DataFrame, schema: T.StructType) -> DataFrame:
             )
         )
     return df.agg(*counts).select(F.inline(F.array(*rows)))
+
+
+def schema_comparison(declared: DataFrame, catalog: DataFrame) -> DataFrame:
+    """Source type, mapped type and nullability side by side.
+
+    ``declared`` has column_name and source_type.
+    """
+    return declared.join(
+        catalog.select("column_name", "nullable", "non_null_rows"), "column_name"
+    ).select(
+        "column_name",
+        "source_type",
+        map_type_column(F.col("source_type")).alias("target_type"),
+        "nullable",
+        "non_null_rows",
+    )

@@ -67,14 +67,17 @@ def join_recommendations(tests: DataFrame) -> DataFrame:
 
 
 def fk_statistics(fks: DataFrame) -> DataFrame:
-    """Totals over a foreign-key catalog (one row per key column)."""
+    """Totals over a foreign-key catalog (one row per key column); with measured
+    child_rows and orphan_rows their sums as well."""
     heads = fks.filter("key_position = 1")
+    measured = [F.sum(c).alias(c) for c in ("child_rows", "orphan_rows") if c in fks.columns]
     return heads.agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(F.col("kind") == "single_column").alias("single_column"),
         F.count_if(F.col("kind") == "composite").alias("composite"),
         F.count_distinct("referenced_table").alias("tables_with_incoming"),
         F.count_distinct("table_name").alias("tables_with_outgoing"),
+        *measured,
     )
 
 
