@@ -69,31 +69,27 @@ def null_token_counts(df: DataFrame, columns: Sequence[str] | None = None) -> Da
 
 def seconds_to_time(seconds: Column) -> Column:
     """Whole seconds as the time of day ``HH:mm:ss``; full days are dropped."""
-    left = F.pmod(seconds, F.lit(DAY_SECONDS)).cast("bigint")
+    left = F.pmod(seconds.cast("bigint"), F.lit(DAY_SECONDS))
     parts = [F.floor(left / 3600), F.floor(left / 60) % 60, left % 60]
     return F.concat_ws(":", *[F.lpad(p.cast("string"), 2, "0") for p in parts])
 
 
-def interval_seconds(interval: Column) -> Column:
-    """Length of a day-time interval in seconds, with its fraction."""
-    return (
-        F.extract(F.lit("DAY"), interval).cast("decimal(18,6)") * DAY_SECONDS
-        + F.extract(F.lit("HOUR"), interval) * 3600
-        + F.extract(F.lit("MINUTE"), interval) * 60
-        + F.extract(F.lit("SECOND"), interval)
-    )
+def interval_micros(interval: Column) -> Column:
+    """Length of a day-time interval in microseconds."""
+    seconds = interval.cast("interval second").cast("decimal(18,6)")
+    return (seconds * 1_000_000).cast("bigint")
 
 
 def duration_to_time(interval: Column) -> Column:
     """Time-of-day text of a duration; the fraction appears only when present."""
-    seconds = interval_seconds(interval)
-    micros = F.pmod(seconds * 1_000_000, F.lit(1_000_000)).cast("bigint")
+    length = interval_micros(interval)
+    micros = F.pmod(length, F.lit(1_000_000))
     fraction = F.concat(F.lit("."), F.lpad(micros.cast("string"), 6, "0"))
-    text = F.concat(seconds_to_time(F.floor(seconds)), F.when(micros == 0, "").otherwise(fraction))
-    return F.when(interval.isNotNull(), text)
+    text = seconds_to_time(F.floor(length / 1_000_000))
+    return F.when(micros == 0, text).otherwise(F.concat(text, fraction))
 
 
 def out_of_day(interval: Column) -> Column:
     """True where dropping whole days changed the value."""
-    seconds = interval_seconds(interval)
-    return (seconds < 0) | (seconds >= DAY_SECONDS)
+    length = interval_micros(interval)
+    return (length < 0) | (length >= DAY_SECONDS * 1_000_000)

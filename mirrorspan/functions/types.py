@@ -36,15 +36,17 @@ SPARK_TYPES = {
     "boolean": "boolean",
 }
 
-# Histogram class of a mapped type.
+# Class of a column in the type histogram.
 HISTOGRAM_CLASSES = {
-    "string": "strings",
-    "bigint": "integers",
-    "double": "floats",
+    "integer": "integers",
+    "float": "floats",
     "decimal": "floats",
+    "string": "strings",
     "date": "dates",
+    "time": "dates",
+    "datetime": "dates",
     "timestamp": "dates",
-    "timestamp_ntz": "dates",
+    "binary": "others",
     "boolean": "booleans",
 }
 
@@ -98,11 +100,18 @@ def map_type_column(source_type: Column) -> Column:
     )
 
 
-def histogram_class(spark_type: Column) -> Column:
-    """strings / integers / floats / dates / booleans / others."""
-    word = F.substring_index(spark_type, "(", 1)
-    known = F.create_map(*[F.lit(x) for pair in HISTOGRAM_CLASSES.items() for x in pair])
-    return F.coalesce(F.try_element_at(known, word), F.lit("others"))
+def histogram_class(type_text: Column) -> Column:
+    """strings / integers / floats / dates / booleans / others, for a source
+    type or a Spark type. Unknown source types are stored as text."""
+    words = {
+        base: HISTOGRAM_CLASSES[cls] for cls, names in TYPE_CLASSES.items() for base in names.split()
+    } | {"timestamp_ntz": "dates"}
+    known = F.create_map(*[F.lit(x) for pair in words.items() for x in pair])
+    return (
+        F.when(F.lower(type_text).contains("tinyint(1)"), "booleans")
+        .when(type_text.contains("<"), "others")
+        .otherwise(F.coalesce(F.try_element_at(known, base_type_column(type_text)), F.lit("strings")))
+    )
 
 
 def target_schema(columns: Sequence[tuple[str, str]]) -> T.StructType:
@@ -139,6 +148,24 @@ def cast_to_schema(df: DataFrame, schema: T.StructType, strict: bool = True) ->
     return df.select(*out)
 
 
+# Largest value of the integer types.
+_INT_MAX = {T.ByteType: 2**7 - 1, T.ShortType: 2**15 - 1, T.IntegerType: 2**31 - 1, T.LongType: 2**63 - 1}
+
+
+def cast_fails(value: Column, old: T.DataType, new: T.DataType) -> Column:
+    """True where a present value cannot be cast from ``old`` to ``new``.
+
+    Between integer types this is a range test: a failing ``try_cast`` costs
+    an exception per row.
+    """
+    if type(old) in _INT_MAX and type(new) in _INT_MAX:
+        high = _INT_MAX[type(new)]
+        if _INT_MAX[type(old)] <= high:
+            return F.lit(False)
+        return value.isNotNull() & ~value.between(F.lit(-high - 1), F.lit(high))
+    return value.isNotNull() & value.try_cast(new).isNull()
+
+
 def cast_rejects(df: DataFrame, schema: T.StructType) -> DataFrame:
     """One row per column: values present in ``df`` that the schema cannot hold."""
     have = {c.lower(): c for c in df.columns}
@@ -146,8 +173,8 @@ def cast_rejects(df: DataFrame, schema: T.StructType) -> DataFrame:
     counts = []
     for i, field in enumerate(fields):
         value = F.col(f"`{have[field.name.lower()]}`")
-        bad = value.isNotNull() & value.try_cast(field.dataType).isNull()
-        counts.append(F.count_if(bad).alias(f"r{i}"))
+        old = df.schema[have[field.name.lower()]].dataType
+        counts.append(F.count_if(cast_fails(value, old, field.dataType)).alias(f"r{i}"))
     rows = [
         F.struct(
             F.lit(f.name).alias("column_name"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from mirrorspan.functions.types import cast_to_schema, map_type_column
+from mirrorspan.functions.types import cast_fails, cast_to_schema, map_type_column
 
 # Conflict policies.
 USE_EXISTING = "use_existing"
@@ -13,6 +13,7 @@ FAIL = "fail"
 
 # Safe meeting points of two types, narrow to wide.
 _NUMERIC_ORDER = [T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType]
+_INTEGERS = _NUMERIC_ORDER[:4]
 
 
 class SchemaConflict(ValueError):
@@ -165,8 +166,11 @@ def precision_loss_counts(df: DataFrame, schema: T.StructType) -> DataFrame:
     for i, f in enumerate(fields):
         old = have[f.name.lower()]
         value = F.col(f"`{old.name}`")
-        back = value.try_cast(f.dataType).try_cast(old.dataType)
-        counts.append(F.count_if(~value.eqNullSafe(back)).alias(f"n{i}"))
+        if type(old.dataType) in _INTEGERS and type(f.dataType) in _INTEGERS:
+            changed = cast_fails(value, old.dataType, f.dataType)
+        else:
+            changed = ~value.eqNullSafe(value.try_cast(f.dataType).try_cast(old.dataType))
+        counts.append(F.count_if(changed).alias(f"n{i}"))
         rows.append(
             F.struct(
                 F.lit(f.name).alias("column_name"),

@@ -35,20 +35,20 @@ def page_counts(counts: DataFrame) -> DataFrame:
 
 def logical_bytes(df: DataFrame) -> Column:
     """Size of a row's values: text and binary by length, fixed types by width."""
-    total = F.lit(0).cast("bigint")
     # Bytes of fixed-width types; others count as 8.
     widths = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4,
               T.FloatType: 4, T.DateType: 4}
+    parts = ["0L"]
     for f in df.schema.fields:
-        value = F.col(f"`{f.name}`")
+        value = "`" + f.name.replace("`", "``") + "`"
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            size = F.octet_length(value)
+            size = f"octet_length({value})"
         elif isinstance(f.dataType, T.ArrayType):
-            size = F.size(value) * widths.get(type(f.dataType.elementType), 8)
+            size = f"size({value}) * {widths.get(type(f.dataType.elementType), 8)}"
         else:
-            size = F.lit(widths.get(type(f.dataType), 8))
-        total = total + F.when(value.isNotNull(), size).otherwise(0).cast("bigint")
-    return total
+            size = str(widths.get(type(f.dataType), 8))
+        parts.append(f"CAST(if({value} IS NULL, 0, {size}) AS bigint)")
+    return F.expr(" + ".join(parts))
 
 
 def largest_tables(tables: Mapping[str, DataFrame], n: int = 20) -> DataFrame:

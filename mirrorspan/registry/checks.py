@@ -66,7 +66,7 @@ def _join_test_sql(r: Relationship) -> str:
     if r.name == "fk_absent_column":
         return (
             f"SELECT {head}, 0 AS total_joined_rows, 0 AS unique_t1_keys, 0 AS unique_t2_keys, "
-            "false AS join_works, 'AnalysisException' AS error"
+            "false AS join_works, 'no column o_batch, l_batch' AS error"
         )
     on = " AND ".join(f"a.{p} = b.{c}" for p, c in zip(r.ref_columns, r.columns))
     key1 = ", ".join(f"a.{c}" for c in r.ref_columns)

@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from mirrorspan.model import Relationship, RunContext
 from mirrorspan.registry.derived import AS_OF_MIDNIGHT, DERIVED
@@ -38,6 +39,9 @@ RELATIONSHIPS = (
 )
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 class Inputs:
     """The driver's tables and the inputs derived from them."""
 
@@ -47,7 +51,10 @@ class Inputs:
 
     def __call__(self, name: str) -> DataFrame:
         if name not in DERIVED:
-            return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            path = f"{self.folder}/{name}.parquet"
+            if path not in _SCHEMAS:  # inferring it again would be a job per read
+                _SCHEMAS[path] = self.spark.read.parquet(path).schema
+            return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
         sql = DERIVED[name].replace("{as_of_midnight}", AS_OF_MIDNIGHT["spark"])
         used = {t: self(t) for t in (*TABLES, *DERIVED) if "{" + t + "}" in sql}
         return self.spark.sql(sql, **used)

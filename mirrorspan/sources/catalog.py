@@ -59,26 +59,30 @@ def declared_columns(spark: SparkSession, tables: Mapping[str, DataFrame]) -> Da
 
 def measured_columns(df: DataFrame, table: str) -> DataFrame:
     """The column catalog of one table with measured nullability and length."""
-    counts, out = [F.count(F.lit(1)).alias("rows")], []
+    names, kinds = zip(*(c.split() for c in COLUMNS_SCHEMA.split(", ")))
+    counts, out = ["count(1) AS rows"], []
     for i, (row, f) in enumerate(zip(_declared_rows(table, df.schema), df.schema.fields)):
-        value = F.col(f"`{f.name}`")
-        counts.append(F.count(value).alias(f"n{i}"))
-        length = F.lit(None).cast("int")
+        value = "`" + f.name.replace("`", "``") + "`"
+        counts.append(f"count({value}) AS n{i}")
+        length = "CAST(NULL AS int)"
         if isinstance(f.dataType, T.StringType):
-            counts.append(F.max(F.length(value)).alias(f"l{i}"))
-            length = F.col(f"l{i}")
-        names = [c.split()[0] for c in COLUMNS_SCHEMA.split(", ")]
-        kinds = [c.split()[1] for c in COLUMNS_SCHEMA.split(", ")]
+            counts.append(f"max(length({value})) AS l{i}")
+            length = f"l{i}"
+        declared = ", ".join(f"CAST({_literal(v)} AS {k}) AS {n}" for v, n, k in zip(row, names, kinds))
         out.append(
-            F.struct(
-                *[F.lit(v).cast(k).alias(n) for v, n, k in zip(row, names, kinds)],
-                (F.col(f"n{i}") < F.col("rows")).alias("nullable"),
-                length.alias("max_length"),
-                F.col("rows").alias("table_rows"),
-                F.col(f"n{i}").alias("non_null_rows"),
-            )
+            f"struct({declared}, n{i} < rows AS nullable, {length} AS max_length, "
+            f"rows AS table_rows, n{i} AS non_null_rows)"
         )
-    return df.agg(*counts).select(F.inline(F.array(*out)))
+    # SQL text instead of column calls: wide tables would need thousands of them.
+    return df.selectExpr(*counts).selectExpr(f"inline(array({', '.join(out)}))")
+
+
+def _literal(value) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(value)
 
 
 def column_catalog(tables: Mapping[str, DataFrame]) -> DataFrame:
