@@ -79,8 +79,9 @@ class Strategy:
 
     A table with ``parent`` takes its window from the parent's watermark
     columns through ``join_columns`` (child column names; the parent uses
-    ``parent_columns`` or the same names). ``via`` lists intermediate tables
-    of a multi-hop relation as (table, child columns, parent columns).
+    ``parent_columns`` or the same names). ``cluster_by`` sorts the files, so
+    that row-group statistics can skip by those columns; children are sorted
+    by their join columns unless told otherwise.
 
     ``custom_query`` (SQL text with ``:cutoff``, or a callable of reader and
     context) and ``delete_condition`` (SQL predicate with ``:cutoff``, or a
@@ -100,6 +101,11 @@ class Strategy:
     custom_query: str | Callable[[SourceReader, RunContext], DataFrame] | None = None
     delete_condition: str | Callable[[RunContext], Column] | None = None
     unique_key: tuple[str, ...] = ()
+    cluster_by: tuple[str, ...] = ()
+
+    @property
+    def clustering(self) -> tuple[str, ...]:
+        return self.cluster_by or (self.join_columns if self.incremental else ())
 
     @property
     def incremental(self) -> bool:

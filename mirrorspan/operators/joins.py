@@ -25,12 +25,15 @@ _ROW_OVERHEAD_BYTES = 32
 
 @dataclass(frozen=True)
 class KeySet:
-    """Key columns of some rows and, once measured, an upper bound of their size."""
+    """Key columns of some rows and, once measured, an upper bound of their size
+    and the range of the first key column."""
 
     df: DataFrame
     columns: tuple[str, ...]
     rows: int | None = None
     bytes: int | None = None
+    low: object = None
+    high: object = None
 
     @property
     def small(self) -> bool:
@@ -44,10 +47,26 @@ class KeySet:
     def measured(self) -> KeySet:
         if self.bytes is not None:
             return self
+        first = F.col(f"`{self.columns[0]}`")
         row = self.df.agg(
-            F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(self.df)).alias("bytes")
+            F.count(F.lit(1)).alias("rows"),
+            F.sum(_row_bytes(self.df)).alias("bytes"),
+            F.min(first).alias("low"),
+            F.max(first).alias("high"),
         ).first()
-        return replace(self, rows=row["rows"], bytes=int(row["bytes"] or 0))
+        return replace(
+            self, rows=row["rows"], bytes=int(row["bytes"] or 0), low=row["low"], high=row["high"]
+        )
+
+    def within_range(self, df: DataFrame, column: str) -> DataFrame:
+        """Rows of ``df`` whose key can be in the set at all.
+
+        Keys of recent rows usually lie close together; as a plain comparison
+        this skips files and row groups (or source pages) before the join.
+        """
+        if self.low is None:
+            return df
+        return df.filter(F.col(f"`{column}`").between(F.lit(self.low), F.lit(self.high)))
 
 
 def without_nulls(df: DataFrame) -> DataFrame:
@@ -76,7 +95,7 @@ def key_set(df: DataFrame, columns: Sequence[str], unique: bool = True) -> KeySe
 def rows_with_keys(df: DataFrame, keys: KeySet, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows of ``df`` whose key is in the set (all their columns, each row once)."""
     names = list(columns or keys.columns)
-    return df.join(keys.frame(names), names, "left_semi")
+    return keys.within_range(df, names[0]).join(keys.frame(names), names, "left_semi")
 
 
 def rows_without_keys(df: DataFrame, keys: KeySet, columns: Sequence[str] | None = None) -> DataFrame:

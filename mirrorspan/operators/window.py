@@ -85,4 +85,4 @@ def window_replace_child(
 def keys_before_and_after(before: KeySet, after: KeySet) -> KeySet:
     """Both key sets; repeated keys do no harm in a semi- or anti-join."""
     both = before.df.toDF(*after.columns).unionByName(after.df)
-    return KeySet(both, after.columns, before.rows + after.rows, before.bytes + after.bytes)
+    return KeySet(both, after.columns).measured()

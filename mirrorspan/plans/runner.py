@@ -15,6 +15,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -26,7 +27,14 @@ from mirrorspan.operators.evolve import USE_EXISTING, all_nullable, reconcile
 from mirrorspan.operators.joins import KeySet, key_set, rows_with_keys, rows_without_keys
 from mirrorspan.operators.quality import LEDGER_SCHEMA
 from mirrorspan.operators.window import survivors, window_keys, window_rows
-from mirrorspan.plans.sync_plan import default_strategy, dependency_levels
+from mirrorspan.plans.sync_plan import (
+    default_strategy,
+    dependency_levels,
+    in_run_order,
+    strategies_frame,
+    sync_plan,
+)
+from mirrorspan.sources.catalog import table_list
 from mirrorspan.sources.scan import scan_query
 from mirrorspan.sources.store import NULL_PARTITION, TableStore
 
@@ -85,6 +93,12 @@ class Replicator:
         missing = [t for t in self.source_tables if self.target(t) not in present]
         return self.run(RunContext(ctx.as_of, ctx.lookback_days, True), missing)
 
+    def plan(self, ctx: RunContext) -> DataFrame:
+        """What :meth:`run` would do, without doing it."""
+        tables = table_list({t: self.read(t) for t in self.source_tables}, self.database)
+        strategies = strategies_frame(self.spark, list(self.strategies.values()))
+        return in_run_order(sync_plan(tables, strategies, ctx.force_full_refresh))
+
     def reprocess(self, ctx: RunContext, tables: Sequence[str], min_rows: int) -> DataFrame:
         """Load the given tables in full and flag those at or below ``min_rows``."""
         ledger = self.run(RunContext(ctx.as_of, ctx.lookback_days, True), tables)
@@ -121,13 +135,14 @@ class Replicator:
         s = self.strategies.get(table, default_strategy(table))
         if mode == "overwrite":
             return self._full_refresh(s)
-        return self.store.append(self.target(table), *self._for_append(s, self._source(table)))
+        return self._append(s, self._source(table))
 
     def run_table(self, table: str, ctx: RunContext) -> int:
         """Refresh one table by its strategy; returns the rows loaded."""
         s = self.strategies.get(table, default_strategy(table))
         if ctx.force_full_refresh or not s.incremental:
             return self._full_refresh(s)
+        ctx = self._window_of(s, ctx)
         if s.custom_query is not None:
             return self._custom(s, ctx)
         if not s.watermark_columns:
@@ -136,22 +151,32 @@ class Replicator:
             return self._full_refresh(s)
         return self._child(s, ctx) if s.parent else self._own_window(s, ctx)
 
+    def _window_of(self, s: Strategy, ctx: RunContext) -> RunContext:
+        """The run's window, or the table's (or its parent's) own if that is wider."""
+        parent = self.strategies.get(s.parent) if s.parent else None
+        days = [x.lookback_days for x in (s, parent) if x is not None and x.lookback_days is not None]
+        return replace(ctx, lookback_days=max([ctx.lookback_days, *days]))
+
     def _full_refresh(self, s: Strategy) -> int:
         incoming = self._source(s.table)
         df, partition = self._for_append(s, incoming, fresh=True)
-        return self.store.overwrite(self.target(s.table), df, partition)
+        return self.store.overwrite(self.target(s.table), df, partition, s.clustering)
+
+    def _append(self, s: Strategy, incoming: DataFrame) -> int:
+        df, partition = self._for_append(s, incoming)
+        return self.store.append(self.target(s.table), df, partition, cluster_by=s.clustering)
 
     def _own_window(self, s: Strategy, ctx: RunContext) -> int:
         name = self.target(s.table)
         incoming = window_rows(self._source(s.table), s.watermark_columns, ctx)
         if not self.store.exists(name):
-            return self.store.append(name, *self._for_append(s, incoming))
+            return self._append(s, incoming)
         partitioned = bool(self.store.snapshot(name).partition_by)
         loaded = self._agreed(name, self._with_part(s, incoming) if partitioned else incoming)
         moved = key_set(incoming, s.unique_key) if s.unique_key else None
         if not partitioned:
             kept = self._kept(s, cast_to_schema(self.store.read(name), loaded.schema), ctx, moved)
-            return self.store.replace(name, [kept, loaded])[-1]
+            return self.store.replace(name, [kept, loaded], cluster_by=s.clustering)[-1]
         first = self._first_part(s, ctx)
         stored = self.store.snapshot(name).partitions
         replaced = {p for p in stored if p != NULL_PARTITION and p >= first}
@@ -160,39 +185,41 @@ class Replicator:
         if moved is not None:
             mixed |= self._parts_with_keys(name, moved, s.unique_key)
         kept = [self._kept(s, self._stored_parts(name, loaded, mixed), ctx, moved)] if mixed else []
-        return self._swap(name, [*kept, loaded], replaced | mixed)
+        return self._swap(s, [*kept, loaded], replaced | mixed)
 
     def _kept(self, s: Strategy, df: DataFrame, ctx: RunContext, moved: KeySet | None) -> DataFrame:
         kept = survivors(df, s.watermark_columns, ctx)
         return kept if moved is None else rows_without_keys(kept, moved, s.unique_key)
 
     def _child(self, s: Strategy, ctx: RunContext) -> int:
-        name, parent = self.target(s.table), self.strategies[s.parent]
+        name, parent = self.target(s.table), self.strategies.get(s.parent, default_strategy(s.parent))
         days = window_rows(self.read(s.parent), s.watermark_columns, ctx).select(
             *s.parent_keys, self._part(s, window_day(s.watermark_columns)).alias(PARTITION)
         )
-        keys = key_set(days, [*s.parent_keys, PARTITION]).frame([*s.join_columns, PARTITION])
-        child = self._source(s.table)
-        incoming = child.join(keys, list(s.join_columns)).select(*child.columns, PARTITION)
+        days = key_set(days, [*s.parent_keys, PARTITION])
+        child = days.within_range(self._source(s.table), s.join_columns[0])
+        incoming = child.join(days.frame([*s.join_columns, PARTITION]), list(s.join_columns))
+        incoming = incoming.select(*child.columns, PARTITION)
         exists = self.store.exists(name)
         partitioned = bool(self.store.snapshot(name).partition_by) if exists else bool(s.partition_unit)
         if not partitioned:
             incoming = incoming.drop(PARTITION)
         if not exists:
-            return self.store.append(name, incoming, PARTITION if partitioned else None)
+            partition = PARTITION if partitioned else None
+            return self.store.append(name, incoming, partition, cluster_by=s.clustering)
         loaded = self._agreed(name, incoming)
         deleted = self._deleted_keys(s, parent, ctx)
         if not partitioned:
             kept = cast_to_schema(self.store.read(name), loaded.schema)
             if deleted is not None:
                 kept = rows_without_keys(kept, deleted, s.join_columns)
-            return self.store.replace(name, [kept, loaded])[-1]
+            return self.store.replace(name, [kept, loaded], cluster_by=s.clustering)[-1]
         touched = self._parts_with_keys(name, deleted, s.join_columns) if deleted is not None else set()
         kept = []
         if touched:
             stored = self._stored_parts(name, loaded, touched)
             kept = [rows_without_keys(stored, deleted, s.join_columns)]
-        return self._swap(name, [*kept, loaded], touched)
+        return self._swap(s, [*kept, loaded], touched)
 
     def _deleted_keys(self, s: Strategy, parent: Strategy, ctx: RunContext) -> KeySet | None:
         """In-window keys of the refreshed parent copy; None when it has no copy."""
@@ -287,7 +314,8 @@ class Replicator:
 
     def _parts_with_keys(self, name: str, keys: KeySet, columns: Sequence[str]) -> set[str]:
         """Partitions that hold any of the keys: a scan of the key columns only.
-        What comes back is a list of folder names, never rows."""
+        The key range skips what cannot match; what comes back is a list of
+        folder names, never rows."""
         stored = self.store.read(name, keep_partition=True).select(*columns, PARTITION)
         rows = rows_with_keys(stored, keys, columns).select(PARTITION).distinct().collect()
         return {r[0] if r[0] is not None else NULL_PARTITION for r in rows}
@@ -296,5 +324,6 @@ class Replicator:
         stored = self.store.read(name, lambda p: p in parts, keep_partition=True)
         return cast_to_schema(stored, like.schema)
 
-    def _swap(self, name: str, frames: list[DataFrame], parts: set[str]) -> int:
-        return self.store.replace(name, frames, lambda p: p in parts)[-1]
+    def _swap(self, s: Strategy, frames: list[DataFrame], parts: set[str]) -> int:
+        name = self.target(s.table)
+        return self.store.replace(name, frames, lambda p: p in parts, cluster_by=s.clustering)[-1]

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from mirrorspan.functions.names import target_name
-from mirrorspan.model import DATE_INCREMENTAL, FULL_REFRESH, Relationship, Strategy
+from mirrorspan.model import FULL_REFRESH, Relationship, Strategy
 from mirrorspan.operators.joins import names_missing
 from mirrorspan.sources.scan import chunk_rows_column
 
@@ -142,15 +142,3 @@ def _rank(strategy: Strategy | None) -> int:
 
 def default_strategy(table: str) -> Strategy:
     return Strategy(table, FULL_REFRESH)
-
-
-__all__ = [
-    "DATE_INCREMENTAL",
-    "config_lint",
-    "default_strategy",
-    "dependency_levels",
-    "in_run_order",
-    "missing_tables",
-    "strategies_frame",
-    "sync_plan",
-]

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from mirrorspan.model import RunContext
+from mirrorspan.model import RunContext, SourceReader
 
 
 def scan_table(spark: SparkSession, path: str) -> DataFrame:
@@ -86,6 +86,39 @@ def scan_jdbc(
     return spark.read.format("jdbc").options(**options).options(**(properties or {})).load()
 
 
+def parquet_reader(spark: SparkSession, folder: str) -> SourceReader:
+    """Tables of a folder with one parquet file or folder per table."""
+    return lambda table: spark.read.parquet(f"{folder.rstrip('/')}/{table}.parquet")
+
+
+def jdbc_reader(
+    spark: SparkSession,
+    url: str,
+    keys: Mapping[str, str],
+    chunk_rows: Mapping[str, int] | None = None,
+    properties: Mapping[str, str] | None = None,
+) -> SourceReader:
+    """Tables of a JDBC database, each read in key ranges of its integer key.
+
+    ``keys`` names the key per table; a table without one is read as a single
+    page. The range comes from one aggregate query that the source answers.
+    """
+
+    def read(table: str) -> DataFrame:
+        key = keys.get(table)
+        if key is None:
+            return scan_jdbc(spark, jdbc_options(url, table), properties=properties)
+        bounds = f"(SELECT min({key}) AS lo, max({key}) AS hi, count(*) AS n FROM {table}) b"
+        row = scan_jdbc(spark, jdbc_options(url, bounds), properties=properties).first()
+        if not row["n"]:
+            return scan_jdbc(spark, jdbc_options(url, table), properties=properties)
+        pages = (chunk_rows or {}).get(table) or chunk_rows_for(row["n"])
+        options = jdbc_options(url, table, key, (int(row["lo"]), int(row["hi"])), pages, row["n"])
+        return scan_jdbc(spark, options, properties=properties)
+
+    return read
+
+
 def page_count(rows: int, page_rows: int) -> int:
     return -(-rows // page_rows)
 

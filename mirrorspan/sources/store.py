@@ -125,14 +125,15 @@ class TableStore:
         df: DataFrame,
         partition_by: str | None = None,
         batch: tuple[str, int] | None = None,
+        cluster_by: Sequence[str] = (),
     ) -> int:
         """Add rows, creating the table when absent. Types must already agree
         with the table (see ``operators.evolve``). ``batch`` names the
         (stream, micro-batch) the rows come from."""
         if not self.exists(table):
-            return self.overwrite(table, df, partition_by, batch=batch)
+            return self.overwrite(table, df, partition_by, cluster_by, batch=batch)
         snap = self.snapshot(table)
-        dirs, rows = self._stage(table, df, snap.partition_by)
+        dirs, rows = self._stage(table, df, snap.partition_by, cluster_by)
         schema = self._payload(df, snap.partition_by)
         self._commit(table, schema, snap.partition_by, [*snap.dirs, *dirs], batch)
         return rows
@@ -143,6 +144,7 @@ class TableStore:
         frames: Sequence[DataFrame],
         replaced: Callable[[str], bool] | None = None,
         batch: tuple[str, int] | None = None,
+        cluster_by: Sequence[str] = (),
     ) -> list[int]:
         """Put the rows of ``frames`` in place of the chosen partitions.
 
@@ -154,7 +156,7 @@ class TableStore:
         dirs = [] if replaced is None else [(v, d) for v, d in snap.dirs if not replaced(v)]
         counts = []
         for df in frames:
-            staged, rows = self._stage(table, df, snap.partition_by)
+            staged, rows = self._stage(table, df, snap.partition_by, cluster_by)
             dirs += staged
             counts.append(rows)
         self._commit(table, self._payload(frames[-1], snap.partition_by), snap.partition_by, dirs, batch)
