@@ -1,8 +1,7 @@
 """Seconds per query at $BENCH_SF_DIR on local[$BENCH_CPUS]; prints one JSON line.
 
 Every query is run twice into the no-op sink and the faster run counts.
-``rows_per_sec`` relates the rows a load reads to its time. ``bytes_read`` is
-what the scans of the lookback queries read, as Spark's metrics report it.
+``rows_per_sec`` relates the rows a load reads to its time.
 """
 
 from __future__ import annotations
@@ -42,25 +41,6 @@ LOADS = {
 }
 
 
-def bytes_read(spark, folder: str, name: str) -> int:
-    """Bytes the scans of a query read, from the executed plan's metrics."""
-    df = QUERIES[name](spark, folder)
-    df.collect()
-    plan = df._jdf.queryExecution().executedPlan()
-    total, todo = 0, [plan]
-    while todo:
-        node = todo.pop()
-        if node.nodeName().startswith("AdaptiveSparkPlan"):
-            todo.append(node.executedPlan())
-            continue
-        if node.nodeName().startswith("Scan"):
-            metric = node.metrics().get("filesSize")
-            total += metric.get().value() if metric.isDefined() else 0
-        children = node.children()
-        todo += [children.apply(i) for i in range(children.size())]
-    return total
-
-
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")

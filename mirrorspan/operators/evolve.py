@@ -91,20 +91,22 @@ def evolve_union(existing: DataFrame, new: DataFrame, strict: bool = True,
 
 def reconcile_catalogs(existing: DataFrame, new: DataFrame, policy: str = USE_EXISTING) -> DataFrame:
     """One row per column of either side with the resulting type and mode."""
-    e = existing.select(
-        F.col("column_name"),
+    return _reconciled(existing, new, policy).drop("source_nullable")
+
+
+def _reconciled(existing: DataFrame, new: DataFrame, policy: str) -> DataFrame:
+    old = existing.select(
+        "column_name",
         F.col("full_type").alias("existing_type"),
         F.col("nullable").alias("existing_nullable"),
     )
-    n = new.select(
-        F.col("column_name"),
+    source = new.select(
+        "column_name",
         F.col("full_type").alias("new_type"),
-        F.col("nullable").alias("new_nullable"),
+        F.col("nullable").alias("source_nullable"),
     )
-    both = e.join(n, "column_name", "full_outer")
-    in_both = F.col("existing_type").isNotNull() & F.col("new_type").isNotNull()
+    conflict = F.col("existing_type") != F.col("new_type")  # NULL unless in both
     kept = F.coalesce("existing_type", "new_type")
-    conflict = in_both & (F.col("existing_type") != F.col("new_type"))
     result = kept
     if policy == MOST_PERMISSIVE:
         result = F.when(conflict, wider_type(F.col("existing_type"), F.col("new_type"))).otherwise(kept)
@@ -116,13 +118,14 @@ def reconcile_catalogs(existing: DataFrame, new: DataFrame, policy: str = USE_EX
         .when(conflict, "conflict")
         .otherwise("same")
     )
-    return both.select(
+    return old.join(source, "column_name", "full_outer").select(
         "column_name",
         "existing_type",
         "new_type",
         result.alias("result_type"),
         F.coalesce("existing_nullable", F.lit(True)).alias("result_nullable"),
         status.alias("status"),
+        "source_nullable",
     )
 
 
@@ -139,10 +142,8 @@ def added_columns(existing: DataFrame, new: DataFrame) -> DataFrame:
 
 def mode_changes(existing: DataFrame, new: DataFrame) -> DataFrame:
     """Columns whose mode in the source differs from the reconciled one."""
-    source = new.select("column_name", F.col("nullable").alias("source_nullable"))
     return (
-        reconcile_catalogs(existing, new)
-        .join(source, "column_name")
+        _reconciled(existing, new, USE_EXISTING)
         .filter(F.col("source_nullable") != F.col("result_nullable"))
         .select("column_name", "source_nullable", "result_nullable")
     )

@@ -51,13 +51,29 @@ def logical_bytes(df: DataFrame) -> Column:
     return F.expr(" + ".join(parts))
 
 
-def largest_tables(tables: Mapping[str, DataFrame], n: int = 20) -> DataFrame:
+def table_size(df: DataFrame, measure: str = "files") -> DataFrame:
+    """Rows and bytes of a table as one row.
+
+    ``files`` adds up the sizes of the files behind ``df`` without reading a
+    column; ``values`` measures the values themselves, for any source.
+    """
+    if measure == "values":
+        total = F.coalesce(F.sum(logical_bytes(df)), F.lit(0)).alias("bytes")
+        return df.agg(F.count(F.lit(1)).alias("rows"), total)
+    files = df.select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size")
+    )
+    per_file = files.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("size"))
+    none = F.lit(0)
+    return per_file.agg(
+        F.coalesce(F.sum("n"), none).alias("rows"), F.coalesce(F.sum("size"), none).alias("bytes")
+    )
+
+
+def largest_tables(tables: Mapping[str, DataFrame], n: int = 20, measure: str = "files") -> DataFrame:
     """Tables by row count, largest first (a top-n report)."""
     sizes = union_all(
-        df.agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.coalesce(F.sum(logical_bytes(df)), F.lit(0)).alias("bytes"),
-        ).select(F.lit(name).alias("table_name"), "rows", "bytes")
+        table_size(df, measure).select(F.lit(name).alias("table_name"), "rows", "bytes")
         for name, df in tables.items()
     )
     return sizes.orderBy(F.col("rows").desc(), F.col("table_name")).limit(n)

@@ -63,6 +63,7 @@ class Replicator:
         clean: bool = True,
         type_policy: str = USE_EXISTING,
         parallel_tables: int = 1,
+        batch: tuple[str, int] | None = None,
     ):
         self.spark = spark
         self.database = database
@@ -75,6 +76,7 @@ class Replicator:
         self.clean = clean
         self.type_policy = type_policy
         self.parallel_tables = parallel_tables
+        self.batch = batch  # (stream, micro-batch) that the source rows come from
 
     # -- whole runs -------------------------------------------------------
 
@@ -137,6 +139,14 @@ class Replicator:
             return self._full_refresh(s)
         return self._append(s, self._source(table))
 
+    def append_window(self, table: str, ctx: RunContext) -> int:
+        """Add the window's rows without deleting any: later parts of a window
+        whose first part :meth:`run_table` has put in place."""
+        s = self.strategies[table]
+        if s.parent or not s.watermark_columns:
+            raise ValueError(f"{table} has no window of its own")
+        return self._append(s, window_rows(self._source(table), s.watermark_columns, ctx))
+
     def run_table(self, table: str, ctx: RunContext) -> int:
         """Refresh one table by its strategy; returns the rows loaded."""
         s = self.strategies.get(table, default_strategy(table))
@@ -160,11 +170,25 @@ class Replicator:
     def _full_refresh(self, s: Strategy) -> int:
         incoming = self._source(s.table)
         df, partition = self._for_append(s, incoming, fresh=True)
-        return self.store.overwrite(self.target(s.table), df, partition, s.clustering)
+        return self.store.overwrite(
+            self.target(s.table), df, partition, s.clustering, batch=self.batch
+        )
 
     def _append(self, s: Strategy, incoming: DataFrame) -> int:
         df, partition = self._for_append(s, incoming)
-        return self.store.append(self.target(s.table), df, partition, cluster_by=s.clustering)
+        return self._store_append(s, df, partition)
+
+    def _store_append(self, s: Strategy, df: DataFrame, partition: str | None) -> int:
+        return self.store.append(
+            self.target(s.table), df, partition, batch=self.batch, cluster_by=s.clustering
+        )
+
+    def _store_replace(self, s: Strategy, frames: list[DataFrame], parts: set[str] | None = None) -> int:
+        """Rows of the last frame, after all of them became one version."""
+        chosen = None if parts is None else parts.__contains__
+        return self.store.replace(
+            self.target(s.table), frames, chosen, batch=self.batch, cluster_by=s.clustering
+        )[-1]
 
     def _own_window(self, s: Strategy, ctx: RunContext) -> int:
         name = self.target(s.table)
@@ -176,7 +200,7 @@ class Replicator:
         moved = key_set(incoming, s.unique_key) if s.unique_key else None
         if not partitioned:
             kept = self._kept(s, cast_to_schema(self.store.read(name), loaded.schema), ctx, moved)
-            return self.store.replace(name, [kept, loaded], cluster_by=s.clustering)[-1]
+            return self._store_replace(s, [kept, loaded])
         first = self._first_part(s, ctx)
         stored = self.store.snapshot(name).partitions
         replaced = {p for p in stored if p != NULL_PARTITION and p >= first}
@@ -185,7 +209,7 @@ class Replicator:
         if moved is not None:
             mixed |= self._parts_with_keys(name, moved, s.unique_key)
         kept = [self._kept(s, self._stored_parts(name, loaded, mixed), ctx, moved)] if mixed else []
-        return self._swap(s, [*kept, loaded], replaced | mixed)
+        return self._store_replace(s, [*kept, loaded], replaced | mixed)
 
     def _kept(self, s: Strategy, df: DataFrame, ctx: RunContext, moved: KeySet | None) -> DataFrame:
         kept = survivors(df, s.watermark_columns, ctx)
@@ -205,21 +229,20 @@ class Replicator:
         if not partitioned:
             incoming = incoming.drop(PARTITION)
         if not exists:
-            partition = PARTITION if partitioned else None
-            return self.store.append(name, incoming, partition, cluster_by=s.clustering)
+            return self._store_append(s, incoming, PARTITION if partitioned else None)
         loaded = self._agreed(name, incoming)
         deleted = self._deleted_keys(s, parent, ctx)
         if not partitioned:
             kept = cast_to_schema(self.store.read(name), loaded.schema)
             if deleted is not None:
                 kept = rows_without_keys(kept, deleted, s.join_columns)
-            return self.store.replace(name, [kept, loaded], cluster_by=s.clustering)[-1]
+            return self._store_replace(s, [kept, loaded])
         touched = self._parts_with_keys(name, deleted, s.join_columns) if deleted is not None else set()
         kept = []
         if touched:
             stored = self._stored_parts(name, loaded, touched)
             kept = [rows_without_keys(stored, deleted, s.join_columns)]
-        return self._swap(s, [*kept, loaded], touched)
+        return self._store_replace(s, [*kept, loaded], touched)
 
     def _deleted_keys(self, s: Strategy, parent: Strategy, ctx: RunContext) -> KeySet | None:
         """In-window keys of the refreshed parent copy; None when it has no copy."""
@@ -245,14 +268,14 @@ class Replicator:
             incoming = scan_query(self.spark, s.custom_query, used, ctx)
         incoming = self._prepared(s.table, incoming)
         if not self.store.exists(name):
-            return self.store.append(name, incoming)
+            return self._store_append(s, incoming, None)
         loaded = self._agreed(name, incoming)
         kept = cast_to_schema(self.store.read(name), loaded.schema)
         if s.delete_condition is not None:
             kept = self._delete_where(kept, s.delete_condition, ctx)
         elif s.watermark_columns:
             kept = survivors(kept, s.watermark_columns, ctx)
-        return self.store.replace(name, [kept, loaded])[-1]
+        return self._store_replace(s, [kept, loaded])
 
     def _delete_where(self, df: DataFrame, condition, ctx: RunContext) -> DataFrame:
         """Rows for which the condition is not true (NULL does not delete)."""
@@ -323,7 +346,3 @@ class Replicator:
     def _stored_parts(self, name: str, like: DataFrame, parts: set[str]) -> DataFrame:
         stored = self.store.read(name, lambda p: p in parts, keep_partition=True)
         return cast_to_schema(stored, like.schema)
-
-    def _swap(self, s: Strategy, frames: list[DataFrame], parts: set[str]) -> int:
-        name = self.target(s.table)
-        return self.store.replace(name, frames, lambda p: p in parts, cluster_by=s.clustering)[-1]

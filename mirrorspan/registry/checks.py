@@ -409,7 +409,7 @@ def _bytes_sql(table: str) -> str:
     f"SELECT * FROM ({' UNION ALL '.join(_bytes_sql(n) for n in TABLES)}) ORDER BY rows DESC, table_name LIMIT 20",
 )
 def _(t):
-    return quality.largest_tables(t.all(), 20)
+    return quality.largest_tables(t.all(), 20, measure="values")
 
 
 @query(
@@ -614,7 +614,7 @@ def _orders_stream(t):
 @query("stream_append_final", "SELECT * FROM orders")
 def _(t):
     store = new_store(t, "stream")
-    write = inc.append_batches(store, "shop_orders", "orders-files")
+    write = inc.append_batches(store, "shop", "orders", "orders-files")
     inc.run_to_end(inc.start(_orders_stream(t), write, scratch_dir(t.spark, "checkpoint")))
     return store.read("shop_orders")
 
@@ -628,6 +628,7 @@ def _(t):
 def _(t):
     store = new_store(t, "stream")
     store.append("shop_orders", t("tgt_orders"))
-    write = inc.replace_window_batches(store, "shop_orders", "orders-window", ["o_orderdate"], N30)
+    strategy = Strategy("orders", DATE_INCREMENTAL, ("o_orderdate",))
+    write = inc.replace_window_batches(store, "shop", strategy, N30, "orders-window")
     inc.run_to_end(inc.start(_orders_stream(t), write, scratch_dir(t.spark, "checkpoint")))
     return store.read("shop_orders")

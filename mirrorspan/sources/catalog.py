@@ -57,15 +57,18 @@ def declared_columns(spark: SparkSession, tables: Mapping[str, DataFrame]) -> Da
     return spark.createDataFrame(rows, COLUMNS_SCHEMA)
 
 
-def measured_columns(df: DataFrame, table: str) -> DataFrame:
-    """The column catalog of one table with measured nullability and length."""
+def measured_columns(df: DataFrame, table: str, lengths: bool = True) -> DataFrame:
+    """The column catalog of one table with measured nullability and length.
+
+    Without ``lengths`` the texts themselves need not be looked at.
+    """
     names, kinds = zip(*(c.split() for c in COLUMNS_SCHEMA.split(", ")))
     counts, out = ["count(1) AS rows"], []
     for i, (row, f) in enumerate(zip(_declared_rows(table, df.schema), df.schema.fields)):
         value = "`" + f.name.replace("`", "``") + "`"
         counts.append(f"count({value}) AS n{i}")
         length = "CAST(NULL AS int)"
-        if isinstance(f.dataType, T.StringType):
+        if lengths and isinstance(f.dataType, T.StringType):
             counts.append(f"max(length({value})) AS l{i}")
             length = f"l{i}"
         declared = ", ".join(f"CAST({_literal(v)} AS {k}) AS {n}" for v, n, k in zip(row, names, kinds))
@@ -85,8 +88,8 @@ def _literal(value) -> str:
     return str(value)
 
 
-def column_catalog(tables: Mapping[str, DataFrame]) -> DataFrame:
-    return union_all(measured_columns(df, name) for name, df in tables.items())
+def column_catalog(tables: Mapping[str, DataFrame], lengths: bool = True) -> DataFrame:
+    return union_all(measured_columns(df, name, lengths) for name, df in tables.items())
 
 
 def table_list(tables: Mapping[str, DataFrame], database: str) -> DataFrame:

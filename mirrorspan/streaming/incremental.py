@@ -7,16 +7,13 @@ recognised by its id, so restarts neither lose nor repeat rows.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from mirrorspan.functions.clean import clean_text_columns
-from mirrorspan.functions.types import cast_to_schema
-from mirrorspan.model import RunContext
-from mirrorspan.operators.evolve import all_nullable, reconcile
-from mirrorspan.operators.window import survivors, window_rows
+from mirrorspan.model import RunContext, Strategy
+from mirrorspan.plans.runner import Replicator
 from mirrorspan.sources.store import TableStore
 
 
@@ -50,49 +47,47 @@ def start(
 
 
 def append_batches(
-    store: TableStore, table: str, stream: str, clean: bool = True
+    store: TableStore, database: str, table: str, stream: str
 ) -> Callable[[DataFrame, int], None]:
-    """Append each batch once. ``stream`` names the stream that owns the
-    checkpoint, so that another stream may count its batches from zero."""
+    """Append each batch once to the copy of ``database.table``.
+
+    ``stream`` names the stream that owns the checkpoint, so that another
+    stream may count its batches from zero.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if store.applied_batch(table, stream) < batch_id:
-            rows = _agreed(store, table, clean_text_columns(batch) if clean else batch)
-            store.append(table, rows, batch=(stream, batch_id))
+        run = _batch_run(store, database, Strategy(table), stream, batch, batch_id)
+        if run is not None:
+            run.load(table, "append")
 
     return write
 
 
 def replace_window_batches(
-    store: TableStore,
-    table: str,
-    stream: str,
-    watermarks: Sequence[str],
-    ctx: RunContext,
-    clean: bool = True,
+    store: TableStore, database: str, strategy: Strategy, ctx: RunContext, stream: str
 ) -> Callable[[DataFrame, int], None]:
     """Delete the window of the copy once, with the first batch of ``stream``,
     and insert the window's rows of every batch."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        done = store.applied_batch(table, stream)
-        if done >= batch_id:
+        run = _batch_run(store, database, strategy, stream, batch, batch_id)
+        if run is None:
             return
-        rows = window_rows(clean_text_columns(batch) if clean else batch, watermarks, ctx)
-        rows = _agreed(store, table, rows)
-        if done >= 0 or not store.exists(table):
-            store.append(table, rows, batch=(stream, batch_id))
+        if store.applied_batch(run.target(strategy.table), stream) < 0:
+            run.run_table(strategy.table, ctx)
         else:
-            kept = survivors(cast_to_schema(store.read(table), rows.schema), watermarks, ctx)
-            store.replace(table, [kept, rows], batch=(stream, batch_id))
+            run.append_window(strategy.table, ctx)
 
     return write
 
 
-def _agreed(store: TableStore, table: str, rows: DataFrame) -> DataFrame:
-    if not store.exists(table):
-        return rows
-    return cast_to_schema(rows, reconcile(store.snapshot(table).schema, all_nullable(rows.schema)))
+def _batch_run(store, database, strategy, stream, batch, batch_id) -> Replicator | None:
+    """A replicator whose source is the batch; None if the batch was stored before."""
+    run = Replicator(
+        batch.sparkSession, database, lambda _: batch, [strategy.table], store, [strategy],
+        batch=(stream, batch_id),
+    )
+    return run if store.applied_batch(run.target(strategy.table), stream) < batch_id else None
 
 
 def run_to_end(query: StreamingQuery) -> None:

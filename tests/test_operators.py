@@ -229,3 +229,15 @@ def test_order_tracking(spark):
     lines = spark.createDataFrame([(0, "O", "a"), (1, "F", "a"), (2, "O", "a"), (2, "F", "b")], "hid long, st string, d string")
     got = {r.id: (r.tracking_status, r.lines) for r in views.order_tracking(heads, lines, keys).collect()}
     assert got == {0: ("open", 1), 1: ("closed", 1), 2: ("partial", 2), 3: ("empty", 0)}
+
+
+def test_table_sizes(spark, folder, tmp_path):
+    path = f"{folder}/nation.parquet"
+    import os
+
+    nation = spark.read.parquet(path)
+    assert tuple(quality.table_size(nation).first()) == (25, os.path.getsize(path))
+    names = sum(len(r.n_name) for r in nation.collect())
+    assert tuple(quality.table_size(nation, "values").first()) == (25, 25 * 8 + names)
+    top = quality.largest_tables({"n": nation, "m": nation.filter("n_nationkey < 3")}, 1)
+    assert [r.table_name for r in top.collect()] == ["n"]

@@ -6,8 +6,9 @@ import pytest
 from conftest import bag
 from pyspark.sql import functions as F
 
-from mirrorspan.model import RunContext
+from mirrorspan.model import DATE_INCREMENTAL, RunContext, Strategy
 from mirrorspan.operators.window import window_replace
+from mirrorspan.plans.runner import Replicator
 from mirrorspan.streaming import incremental as inc
 
 CTX = RunContext(dt.date(2001, 8, 1), 400)
@@ -31,37 +32,39 @@ def run(spark, orders, path, write, checkpoint):
 
 def test_append_with_restart(spark, store, files, tmp_path):
     orders, path, add = files
-    write = inc.append_batches(store, "t", "s")
+    write = inc.append_batches(store, "db", "t", "s")
     for part in (0, 1):
         add(part)
         run(spark, orders, path, write, str(tmp_path / "cp"))
-    assert bag(store.read("t")) == bag(orders)
-    assert store.snapshot("t").version >= 4
+    assert bag(store.read("db_t")) == bag(orders)
+    assert store.snapshot("db_t").version >= 4
 
 
 def test_replayed_batch_is_not_added_again(spark, store, files):
     orders, _, _ = files
-    write = inc.append_batches(store, "t", "s")
+    write = inc.append_batches(store, "db", "t", "s")
     write(orders, 0)
     write(orders, 0)
-    assert store.read("t").count() == orders.count()
-    inc.append_batches(store, "t", "another")(orders, 0)
-    assert store.read("t").count() == 2 * orders.count()
+    assert store.read("db_t").count() == orders.count()
+    inc.append_batches(store, "db", "t", "another")(orders, 0)
+    assert store.read("db_t").count() == 2 * orders.count()
 
 
-def test_window_replace(spark, store, files, tmp_path):
+@pytest.mark.parametrize("unit", [None, "year"])
+def test_window_replace(spark, store, files, tmp_path, unit):
     orders, path, add = files
     stale = orders.filter("o_orderkey % 7 <> 0").withColumn("o_totalprice", F.col("o_totalprice") - 1)
-    store.append("t", stale)
-    write = inc.replace_window_batches(store, "t", "run-1", ["o_orderdate"], CTX)
+    strategy = Strategy("t", DATE_INCREMENTAL, ("o_orderdate",), partition_unit=unit)
+    Replicator(spark, "db", lambda _: stale, ["t"], store, [strategy]).run_missing(CTX)
+    write = inc.replace_window_batches(store, "db", strategy, CTX, "run-1")
     for part in (0, 1):
         add(part)
         run(spark, orders, path, write, str(tmp_path / "cp"))
     want = bag(window_replace(stale, orders, ["o_orderdate"], CTX))
-    assert bag(store.read("t")) == want
-    again = inc.replace_window_batches(store, "t", "run-2", ["o_orderdate"], CTX)
+    assert bag(store.read("db_t")) == want
+    again = inc.replace_window_batches(store, "db", strategy, CTX, "run-2")
     run(spark, orders, path, again, str(tmp_path / "cp2"))
-    assert bag(store.read("t")) == want
+    assert bag(store.read("db_t")) == want
 
 
 def test_a_failing_batch_fails_the_stream(spark, store, files, tmp_path):
@@ -73,4 +76,4 @@ def test_a_failing_batch_fails_the_stream(spark, store, files, tmp_path):
 
     with pytest.raises(Exception, match="no space"):
         run(spark, orders, path, broken, str(tmp_path / "cp"))
-    assert not store.exists("t")
+    assert not store.exists("db_t")
