@@ -81,7 +81,8 @@ class Strategy:
     columns through ``join_columns`` (child column names; the parent uses
     ``parent_columns`` or the same names). ``cluster_by`` sorts the files, so
     that row-group statistics can skip by those columns; children are sorted
-    by their join columns unless told otherwise.
+    by their join columns unless told otherwise. ``type_policy`` overrides the
+    run's rule for columns whose type changed at the source.
 
     ``custom_query`` (SQL text with ``:cutoff``, or a callable of reader and
     context) and ``delete_condition`` (SQL predicate with ``:cutoff``, or a
@@ -102,6 +103,7 @@ class Strategy:
     delete_condition: str | Callable[[RunContext], Column] | None = None
     unique_key: tuple[str, ...] = ()
     cluster_by: tuple[str, ...] = ()
+    type_policy: str | None = None
 
     @property
     def clustering(self) -> tuple[str, ...]:

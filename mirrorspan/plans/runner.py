@@ -34,7 +34,7 @@ from mirrorspan.plans.sync_plan import (
     strategies_frame,
     sync_plan,
 )
-from mirrorspan.sources.catalog import table_list
+from mirrorspan.sources.catalog import table_list, union_all
 from mirrorspan.sources.scan import scan_query
 from mirrorspan.sources.store import NULL_PARTITION, TableStore
 
@@ -176,6 +176,9 @@ class Replicator:
 
     def _append(self, s: Strategy, incoming: DataFrame) -> int:
         df, partition = self._for_append(s, incoming)
+        name = self.target(s.table)
+        if self.store.exists(name) and self._retyped(name, df):
+            return self._store_replace(s, [self._stored(name, df), df])
         return self._store_append(s, df, partition)
 
     def _store_append(self, s: Strategy, df: DataFrame, partition: str | None) -> int:
@@ -196,10 +199,10 @@ class Replicator:
         if not self.store.exists(name):
             return self._append(s, incoming)
         partitioned = bool(self.store.snapshot(name).partition_by)
-        loaded = self._agreed(name, self._with_part(s, incoming) if partitioned else incoming)
+        loaded = self._agreed(s, self._with_part(s, incoming) if partitioned else incoming)
         moved = key_set(incoming, s.unique_key) if s.unique_key else None
-        if not partitioned:
-            kept = self._kept(s, cast_to_schema(self.store.read(name), loaded.schema), ctx, moved)
+        if not partitioned or self._retyped(name, loaded):
+            kept = self._kept(s, self._stored(name, loaded), ctx, moved)
             return self._store_replace(s, [kept, loaded])
         first = self._first_part(s, ctx)
         stored = self.store.snapshot(name).partitions
@@ -208,7 +211,7 @@ class Replicator:
         mixed = {first} & replaced if s.partition_unit != "day" else set()
         if moved is not None:
             mixed |= self._parts_with_keys(name, moved, s.unique_key)
-        kept = [self._kept(s, self._stored_parts(name, loaded, mixed), ctx, moved)] if mixed else []
+        kept = [self._kept(s, self._stored(name, loaded, mixed), ctx, moved)] if mixed else []
         return self._store_replace(s, [*kept, loaded], replaced | mixed)
 
     def _kept(self, s: Strategy, df: DataFrame, ctx: RunContext, moved: KeySet | None) -> DataFrame:
@@ -230,17 +233,17 @@ class Replicator:
             incoming = incoming.drop(PARTITION)
         if not exists:
             return self._store_append(s, incoming, PARTITION if partitioned else None)
-        loaded = self._agreed(name, incoming)
+        loaded = self._agreed(s, incoming)
         deleted = self._deleted_keys(s, parent, ctx)
-        if not partitioned:
-            kept = cast_to_schema(self.store.read(name), loaded.schema)
+        if not partitioned or self._retyped(name, loaded):
+            kept = self._stored(name, loaded)
             if deleted is not None:
                 kept = rows_without_keys(kept, deleted, s.join_columns)
             return self._store_replace(s, [kept, loaded])
         touched = self._parts_with_keys(name, deleted, s.join_columns) if deleted is not None else set()
         kept = []
         if touched:
-            stored = self._stored_parts(name, loaded, touched)
+            stored = self._stored(name, loaded, touched)
             kept = [rows_without_keys(stored, deleted, s.join_columns)]
         return self._store_replace(s, [*kept, loaded], touched)
 
@@ -269,8 +272,8 @@ class Replicator:
         incoming = self._prepared(s.table, incoming)
         if not self.store.exists(name):
             return self._store_append(s, incoming, None)
-        loaded = self._agreed(name, incoming)
-        kept = cast_to_schema(self.store.read(name), loaded.schema)
+        loaded = self._agreed(s, incoming)
+        kept = self._stored(name, loaded)
         if s.delete_condition is not None:
             kept = self._delete_where(kept, s.delete_condition, ctx)
         elif s.watermark_columns:
@@ -310,7 +313,7 @@ class Replicator:
             )
         if partitioned:
             df = self._with_part(s, df)
-        return self._agreed(name, df) if known else df, PARTITION if partitioned else None
+        return self._agreed(s, df) if known else df, PARTITION if partitioned else None
 
     def _with_part(self, s: Strategy, df: DataFrame) -> DataFrame:
         day = self._part(s, window_day(s.watermark_columns))
@@ -321,10 +324,11 @@ class Replicator:
         )
         return df.join(days, list(s.join_columns), "left").select(*df.columns, PARTITION)
 
-    def _agreed(self, name: str, df: DataFrame) -> DataFrame:
+    def _agreed(self, s: Strategy, df: DataFrame) -> DataFrame:
         """``df`` under the schema its table will have after this load."""
         new = all_nullable(df.drop(PARTITION).schema)
-        schema = reconcile(self.store.snapshot(name).schema, new, self.type_policy)
+        existing = self.store.snapshot(self.target(s.table)).schema
+        schema = reconcile(existing, new, s.type_policy or self.type_policy)
         if PARTITION in df.columns:
             schema = T.StructType([*schema.fields, T.StructField(PARTITION, T.StringType())])
         return cast_to_schema(df, schema)
@@ -343,6 +347,19 @@ class Replicator:
         rows = rows_with_keys(stored, keys, columns).select(PARTITION).distinct().collect()
         return {r[0] if r[0] is not None else NULL_PARTITION for r in rows}
 
-    def _stored_parts(self, name: str, like: DataFrame, parts: set[str]) -> DataFrame:
-        stored = self.store.read(name, lambda p: p in parts, keep_partition=True)
+    def _stored(self, name: str, like: DataFrame, parts: set[str] | None = None) -> DataFrame:
+        """Rows of the copy (or some partitions of it) in the shape of ``like``."""
+        only = None if parts is None else parts.__contains__
+        stored = self.store.read(name, only, keep_partition=PARTITION in like.columns)
         return cast_to_schema(stored, like.schema)
+
+    def _retyped(self, name: str, loaded: DataFrame) -> bool:
+        """True when a stored column gets another type: its files must then be
+        written anew, partitions cannot be carried over."""
+        old = self.store.snapshot(name).schema
+        return any(loaded.schema[f.name].dataType != f.dataType for f in old.fields)
+
+
+def run_databases(replicators: Sequence[Replicator], ctx: RunContext) -> DataFrame:
+    """Refresh several databases one after the other under one ledger."""
+    return union_all(r.run(ctx) for r in replicators)

@@ -178,6 +178,14 @@ class TableStore:
         snap = self.snapshot(table)
         self._commit(table, snap.schema, snap.partition_by, [])
 
+    def drop_partitions(self, table: str, dropped: Callable[[str], bool]) -> int:
+        """Forget partitions (retention) without reading or writing data."""
+        snap = self.snapshot(table)
+        kept = [(v, d) for v, d in snap.dirs if v is None or not dropped(v)]
+        if len(kept) < len(snap.dirs):
+            self._commit(table, snap.schema, snap.partition_by, kept)
+        return len(snap.dirs) - len(kept)
+
     def drop_old_versions(self, table: str, keep: int = 2) -> int:
         """Delete folders that none of the last ``keep`` versions uses."""
         versions = self._versions(table)

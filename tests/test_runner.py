@@ -174,3 +174,46 @@ def test_schema_grows_and_keeps_its_types(spark, store):
     narrow = new.drop("extra")
     assert Replicator(spark, "db", lambda t: narrow, ["t"], store, s).run(ctx).first().status == "SUCCESS"
     assert bag(store.read("db_t")) == [(1, 11, day, None)]
+
+
+@pytest.mark.parametrize("unit", [None, "month"])
+def test_a_widened_type_rewrites_the_table(spark, store, unit):
+    old = spark.createDataFrame([(1, 10, dt.date(2024, 1, 1)), (2, 20, dt.date(2024, 5, 9))], "id long, n int, day date")
+    new = spark.createDataFrame([(2, "xx", dt.date(2024, 5, 9))], "id long, n string, day date")
+    s = Strategy("t", DATE_INCREMENTAL, ("day",), partition_unit=unit, type_policy="use_most_permissive")
+    ctx = RunContext(dt.date(2024, 5, 10), 3)
+    Replicator(spark, "db", lambda t: old, ["t"], store, [s]).run_missing(ctx)
+    run = Replicator(spark, "db", lambda t: new, ["t"], store, [s])
+    assert run.run(ctx).first().status == "SUCCESS"
+    assert bag(store.read("db_t")) == [(1, "10", dt.date(2024, 1, 1)), (2, "xx", dt.date(2024, 5, 9))]
+    strict = Strategy("t", DATE_INCREMENTAL, ("day",), type_policy="fail")
+    back = Replicator(spark, "db", lambda t: old, ["t"], store, [strict])
+    assert back.run(ctx).first().status == "FAILED"
+    assert store.read("db_t").count() == 2
+
+
+def test_plan_two_databases_and_ledgers(spark, store, source):
+    from mirrorspan.plans.ledger import last_two_runs, latest_anomalies, record_run
+    from mirrorspan.plans.runner import run_databases
+
+    one = Replicator(spark, "one", source, ["region"], store)
+    two = Replicator(spark, "two", source, ["nation"], store)
+    assert [r.action for r in one.plan(CTX).collect()] == ["overwrite"] and not store.tables()
+    first = run_databases([one, two], CTX)
+    record_run(store, first, dt.datetime(2024, 1, 1))
+    two.read = lambda t: source(t).filter("n_nationkey < 3")
+    record_run(store, run_databases([one, two], CTX), dt.datetime(2024, 1, 2))
+    previous, current = last_two_runs(store)
+    assert {r.table_name: r.rows for r in previous.collect()} == {"one_region": 5, "two_nation": 25}
+    assert {r.table_name: r.rows for r in current.collect()} == {"one_region": 5, "two_nation": 3}
+    assert [r.table_name for r in latest_anomalies(store).collect()] == ["two_nation"]
+
+
+def test_a_wider_window_of_the_table_counts(spark, store):
+    old = spark.createDataFrame([(1, dt.date(2024, 5, 1))], "id long, day date")
+    new = spark.createDataFrame([(2, dt.date(2024, 5, 2))], "id long, day date")
+    s = [Strategy("t", DATE_INCREMENTAL, ("day",), lookback_days=10)]
+    ctx = RunContext(dt.date(2024, 5, 10), 3)
+    Replicator(spark, "db", lambda t: old, ["t"], store, s).run_missing(ctx)
+    Replicator(spark, "db", lambda t: new, ["t"], store, s).run(ctx)
+    assert [r.id for r in store.read("db_t").collect()] == [2]

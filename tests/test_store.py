@@ -98,3 +98,11 @@ def test_two_writers_do_not_overwrite_each_other(store, rows, monkeypatch):
     monkeypatch.setattr(store_module.TableStore, "_versions", lambda self, t: [])
     with pytest.raises(RuntimeError, match="someone else"):
         store._commit("t", rows.drop("part").schema, None, [])
+
+
+def test_retention_drops_partitions_only(store, rows):
+    store.overwrite("t", rows, "part")
+    assert store.drop_partitions("t", lambda p: p < "2024-02") == 1
+    assert {r.id for r in store.read("t").collect()} == {3, 4}
+    assert store.drop_partitions("t", lambda p: p < "2024-02") == 0
+    assert store.snapshot("t").version == 2
