@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 def create_view(spark: SparkSession, name: str, sql: str) -> DataFrame:
@@ -17,6 +17,15 @@ def create_view(spark: SparkSession, name: str, sql: str) -> DataFrame:
     return spark.table(name)
 
 
+def cents(amount: Column) -> Column:
+    """A money value as a whole number of cents.
+
+    Sums of these are exact in any order, and unlike wide decimals they stay
+    in fixed-width aggregation buffers.
+    """
+    return F.round(amount * 100).cast("bigint")
+
+
 def invoices_consolidated(
     headers: DataFrame, lines: DataFrame, branches: DataFrame, products: DataFrame, keys: Mapping[str, str]
 ) -> DataFrame:
@@ -36,7 +45,7 @@ def daily_sales(
     Lines are summed per (header, branch) before they meet the headers, and
     the branch name is added after the last grouping.
     """
-    amount = F.sum(F.col(keys["line_amount"]).cast("decimal(18,2)")).alias("amount")
+    amount = F.sum(cents(F.col(keys["line_amount"]))).alias("cents")
     per_invoice = lines.groupBy(
         F.col(keys["line_header"]).alias("header_key"), F.col(keys["line_branch"]).alias("branch_key")
     ).agg(F.count(F.lit(1)).alias("n"), amount)
@@ -49,7 +58,7 @@ def daily_sales(
         .agg(
             F.sum("n").alias("lines"),
             F.count(F.lit(1)).alias("invoices"),
-            F.sum("amount").cast("double").alias("amount"),
+            (F.sum("cents") / 100).alias("amount"),
         )
         .join(
             branches.select(
@@ -63,13 +72,15 @@ def daily_sales(
 def stock_union(first: DataFrame, second: DataFrame) -> DataFrame:
     """Quantity per branch and product over both databases.
 
-    Inputs have branch_key, product_key, quantity.
+    Inputs have branch_key, product_key and quantity (two decimals at most).
     """
     return (
         first.unionByName(second)
         .groupBy("branch_key", "product_key")
-        .agg(F.sum(F.col("quantity").cast("decimal(18,2)")).cast("double").alias("quantity"),
-             F.count(F.lit(1)).alias("entries"))
+        .agg(
+            (F.sum(cents(F.col("quantity"))) / 100).alias("quantity"),
+            F.count(F.lit(1)).alias("entries"),
+        )
     )
 
 

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from mirrorspan.model import DATE_INCREMENTAL, FULL_REFRESH, Relationship, Strategy
+from mirrorspan.session import local_frame
 
 CLUSTER_SCHEMA = "cluster string, parent_table string, child_table string, join_column string, relationship string"
 
@@ -73,4 +74,4 @@ def clusters_frame(spark: SparkSession, clusters: Mapping[str, Mapping]) -> Data
         for name, c in clusters.items()
         for child in c.get("child_tables", ())
     ]
-    return spark.createDataFrame(rows, CLUSTER_SCHEMA)
+    return local_frame(spark, rows, CLUSTER_SCHEMA)

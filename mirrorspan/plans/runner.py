@@ -34,6 +34,7 @@ from mirrorspan.plans.sync_plan import (
     strategies_frame,
     sync_plan,
 )
+from mirrorspan.session import local_frame
 from mirrorspan.sources.catalog import table_list, union_all
 from mirrorspan.sources.scan import scan_query
 from mirrorspan.sources.store import NULL_PARTITION, TableStore
@@ -87,7 +88,7 @@ class Replicator:
         rows = []
         for level in dependency_levels(wanted, self.strategies, self.relationships):
             rows += self._run_level(level, ctx, run_id)
-        return self.spark.createDataFrame(rows, LEDGER_SCHEMA)
+        return local_frame(self.spark, rows, LEDGER_SCHEMA)
 
     def run_missing(self, ctx: RunContext) -> DataFrame:
         """Load the tables that have no copy yet."""

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from mirrorspan.functions.names import target_name
 from mirrorspan.model import FULL_REFRESH, Relationship, Strategy
 from mirrorspan.operators.joins import names_missing
+from mirrorspan.session import local_frame
 from mirrorspan.sources.scan import chunk_rows_column
 
 # Run order of the priority classes.
@@ -25,7 +26,7 @@ def strategies_frame(spark: SparkSession, strategies: Sequence[Strategy]) -> Dat
         (s.table, s.kind, list(s.watermark_columns), s.chunk_rows, s.parent, s.priority)
         for s in strategies
     ]
-    return spark.createDataFrame(rows, STRATEGY_SCHEMA)
+    return local_frame(spark, rows, STRATEGY_SCHEMA)
 
 
 def sync_plan(tables: DataFrame, strategies: DataFrame, force_full_refresh: bool = False) -> DataFrame:

@@ -18,7 +18,7 @@ from mirrorspan.registry.scans import (
     catalog_sql,
     columns_of,
 )
-from mirrorspan.session import scratch_dir
+from mirrorspan.session import local_frame, scratch_dir
 from mirrorspan.sources import catalog as cat
 from mirrorspan.streaming import incremental as inc
 
@@ -302,7 +302,7 @@ _COPIED = ("orders", "lineitem", "customer", "part", "supplier", "nation", "regi
         FROM n WHERE table_name NOT IN {_COPIED}""",
 )
 def _(t):
-    copies = t.spark.createDataFrame([(f"shop_{n}",) for n in _COPIED], "table_name string")
+    copies = local_frame(t.spark, [(f"shop_{n}",) for n in _COPIED], "table_name string")
     return sp.missing_tables(cat.table_list(t.all(), "shop"), copies)
 
 

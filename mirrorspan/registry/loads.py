@@ -15,7 +15,7 @@ from mirrorspan.operators.window import (
 from mirrorspan.plans.runner import Replicator
 from mirrorspan.registry.core import EVENTS_AS_OF, N30, query
 from mirrorspan.registry.derived import SOURCE_TYPES
-from mirrorspan.session import scratch_dir
+from mirrorspan.session import local_frame, scratch_dir
 from mirrorspan.sources.catalog import measured_columns
 from mirrorspan.sources.store import TableStore
 
@@ -366,7 +366,7 @@ _ORDER_SOURCE_TYPES = [
 )
 def _(t):
     measured = measured_columns(t("src_orders_null"), "orders")
-    declared = t.spark.createDataFrame(_ORDER_SOURCE_TYPES, "column_name string, source_type string")
+    declared = local_frame(t.spark, _ORDER_SOURCE_TYPES, "column_name string, source_type string")
     return evolve.schema_comparison(declared, measured)
 
 

@@ -6,7 +6,10 @@ import functools
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 # Settings every job here relies on; a cluster's own values win.
 DEFAULTS = {
@@ -52,3 +55,14 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise RuntimeError("spark.checkpoint.dir must name a shared folder")
         base = _local_scratch()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def local_frame(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+    """A small driver-side list (settings, names, ledger rows) as a DataFrame.
+
+    Built from Arrow it is a local relation: the optimizer knows its size and
+    broadcasts it, which it would not do for an RDD of Python rows.
+    """
+    schema = StructType.fromDDL(ddl)
+    records = [dict(zip(schema.names, row)) for row in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(records, to_arrow_schema(schema)), schema)

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from mirrorspan.functions.types import histogram_class
 from mirrorspan.model import Relationship
+from mirrorspan.session import local_frame
 
 COLUMNS_SCHEMA = (
     "table_name string, column_name string, ordinal_position int, data_type string, "
@@ -54,7 +55,7 @@ def _declared_rows(table: str, schema: T.StructType) -> list[tuple]:
 def declared_columns(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per column of the given tables, from their schemas alone."""
     rows = [r for name, df in tables.items() for r in _declared_rows(name, df.schema)]
-    return spark.createDataFrame(rows, COLUMNS_SCHEMA)
+    return local_frame(spark, rows, COLUMNS_SCHEMA)
 
 
 def measured_columns(df: DataFrame, table: str, lengths: bool = True) -> DataFrame:
@@ -107,7 +108,7 @@ def list_catalog_tables(spark: SparkSession, database: str) -> DataFrame:
     names = []
     if spark.catalog.databaseExists(database):
         names = [(database, t.name) for t in spark.catalog.listTables(database)]
-    return spark.createDataFrame(names, "database_name string, table_name string")
+    return local_frame(spark, names, "database_name string, table_name string")
 
 
 def table_info(df: DataFrame, table: str) -> DataFrame:
@@ -128,7 +129,8 @@ def fk_catalog(spark: SparkSession, relationships: Sequence[Relationship]) -> Da
         for r in relationships
         for i, (c, rc) in enumerate(zip(r.columns, r.ref_columns), start=1)
     ]
-    return spark.createDataFrame(
+    return local_frame(
+        spark,
         rows,
         "constraint_name string, kind string, table_name string, column_name string, "
         "key_position int, referenced_table string, referenced_column string",
