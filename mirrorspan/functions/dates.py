@@ -7,6 +7,7 @@ the same rows for dates and timestamps alike.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
@@ -15,6 +16,11 @@ from pyspark.sql import Column, functions as F
 from mirrorspan.model import RunContext
 
 
+def ntz(value: dt.datetime) -> Column:
+    """A zone-less literal (``F.lit`` would make an instant of it)."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def in_window(columns: Sequence[str | Column], ctx: RunContext) -> Column:
     """True where any column lies on or after the cutoff; NULL never counts."""
     cutoff = F.lit(ctx.cutoff)

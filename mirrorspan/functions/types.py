@@ -141,13 +141,21 @@ def cast_to_schema(df: DataFrame, schema: T.StructType, strict: bool = True) ->
         elif df.schema[name].dataType == field.dataType:
             value = F.col(f"`{name}`")
         elif strict:
-            value = F.col(f"`{name}`").cast(field.dataType)
+            value = _strict_cast(df, F.col(f"`{name}`"), field)
         else:
             value = F.col(f"`{name}`").try_cast(field.dataType)
         out.append(value.alias(field.name, metadata=field.metadata))
     return df.select(*out)
 
 
+def _strict_cast(df: DataFrame, value: Column, field: T.StructField) -> Column:
+    if df.sparkSession.conf.get("spark.sql.ansi.enabled") == "true":
+        return value.cast(field.dataType)  # fails by itself
+    cast = value.try_cast(field.dataType)
+    message = F.concat(F.lit(f"CAST_INVALID_INPUT {field.name}: "), value.cast("string"))
+    return F.when(value.isNull() | cast.isNotNull(), cast).otherwise(F.raise_error(message))
+
+
 # Largest value of the integer types.
 _INT_MAX = {T.ByteType: 2**7 - 1, T.ShortType: 2**15 - 1, T.IntegerType: 2**31 - 1, T.LongType: 2**63 - 1}
 

@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from mirrorspan.functions.clean import interval_micros
+from mirrorspan.functions.dates import ntz
 from mirrorspan.sources.catalog import union_all
 from mirrorspan.sources.scan import chunk_rows_column
 
@@ -181,16 +183,19 @@ def sync_drift(source: DataFrame, target: DataFrame, key: Sequence[str]) -> Data
 
 def freshness(tables: Mapping[str, tuple[DataFrame, str]], as_of_ts, max_hours: int = 13) -> DataFrame:
     """Age of the newest row of each (table, timestamp column)."""
-    as_of = F.lit(as_of_ts).cast("timestamp_ntz")
+    as_of = ntz(as_of_ts)
     newest = union_all(
         df.agg(F.max(F.col(c)).cast("timestamp_ntz").alias("newest")).select(
             F.lit(name).alias("table_name"), "newest"
         )
         for name, (df, c) in tables.items()
     )
-    seconds = F.unix_timestamp(as_of.cast("timestamp")) - F.unix_timestamp(F.col("newest").cast("timestamp"))
-    age = F.floor(seconds / 3600).cast("bigint")
-    return newest.withColumn("age_hours", age).withColumn("stale", seconds > max_hours * 3600)
+    # A difference of zone-less timestamps does not depend on the session's zone.
+    age = interval_micros(as_of - F.col("newest"))
+    hour = 3_600_000_000
+    return newest.withColumn("age_hours", F.floor(age / hour).cast("bigint")).withColumn(
+        "stale", age > max_hours * hour
+    )
 
 
 def watermark_ledger(
@@ -203,7 +208,7 @@ def watermark_ledger(
             F.lit(name).alias("table_name"),
             F.lit(c).alias("watermark_column"),
             "last_value",
-            F.lit(updated_at).cast("timestamp_ntz").alias("updated_at"),
+            ntz(updated_at).alias("updated_at"),
             F.when(F.col("last_value").isNull(), "EMPTY").otherwise("SUCCESS").alias("status"),
         )
         for (db, name), (df, c) in tables.items()

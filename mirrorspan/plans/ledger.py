@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
 
+from mirrorspan.functions.dates import ntz
 from mirrorspan.operators.quality import row_count_anomaly
 from mirrorspan.sources.store import TableStore
 
@@ -15,7 +16,7 @@ WATERMARKS = "watermark_ledger"
 
 def record_run(store: TableStore, ledger: DataFrame, finished_at: dt.datetime) -> int:
     """Append the rows of a run with its time."""
-    return store.append(RUNS, ledger.withColumn("finished_at", F.lit(finished_at).cast("timestamp_ntz")))
+    return store.append(RUNS, ledger.withColumn("finished_at", ntz(finished_at)))
 
 
 def record_watermarks(store: TableStore, watermarks: DataFrame) -> int:

@@ -480,8 +480,9 @@ _TS = "TIMESTAMP '2024-01-31 00:00:00'"
     f"""WITH m AS (SELECT 'events' AS table_name, max(ts) AS newest FROM events
                    UNION ALL SELECT 'orders', max(o_orderdate) FROM orders
                    UNION ALL SELECT 'lineitem', max(l_shipdate) FROM lineitem)
-        SELECT table_name, newest, CAST(floor((epoch({_TS}) - floor(epoch(newest))) / 3600) AS BIGINT) AS age_hours,
-               epoch({_TS}) - floor(epoch(newest)) > 13 * 3600 AS stale FROM m""",
+        SELECT table_name, newest,
+               CAST(floor((epoch_us({_TS}) - epoch_us(newest)) / 3600000000) AS BIGINT) AS age_hours,
+               epoch_us({_TS}) - epoch_us(newest) > 13 * 3600000000 AS stale FROM m""",
 )
 def _(t):
     tables = {"events": (t("events"), "ts"), "orders": (t("orders"), "o_orderdate"),

@@ -33,7 +33,16 @@ def test_target_schema_is_nullable_and_remembers_its_source(spark):
     assert all(f.nullable for f in schema) and schema["a"].metadata == {"comment": "source: int(11)"}
 
 
-def test_strict_cast_fails_and_lenient_cast_counts(spark):
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_strict_cast_fails_and_lenient_cast_counts(spark, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        check_casts(spark)
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def check_casts(spark):
     df = spark.createDataFrame([("1", "9.5"), ("x", None)], "A string, b string")
     schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("B", T.DoubleType()),
                            T.StructField("c", T.DateType())])
