@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from mirrorspan.functions.types import cast_fails, cast_to_schema, map_type_column
 
@@ -140,6 +140,19 @@ def added_columns(existing: DataFrame, new: DataFrame) -> DataFrame:
     return new.join(existing.select("column_name"), "column_name", "left_anti")
 
 
+def add_columns_to_table(spark: SparkSession, table: str, new: T.StructType) -> bool:
+    """Add the columns a catalog table lacks; True if there were any.
+
+    Rows already there read NULL. Types of existing columns are left alone.
+    """
+    have = {c.lower() for c in spark.table(table).columns}
+    missing = [f for f in new.fields if f.name.lower() not in have]
+    if missing:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in missing)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
+    return bool(missing)
+
+
 def mode_changes(existing: DataFrame, new: DataFrame) -> DataFrame:
     """Columns whose mode in the source differs from the reconciled one."""
     return (

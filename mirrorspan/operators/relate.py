@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
 from mirrorspan.model import Relationship, SourceReader
 from mirrorspan.operators.joins import fk_orphans, labelled_join_test
-from mirrorspan.sources.catalog import name_like, union_all
+from mirrorspan.sources.catalog import column_catalog, columns_like, name_like, union_all
 
 # Name patterns of likely keys.
 SHARED_NAME_PATTERNS = ("%ID%", "%id%", "%numero%", "%comprobante%")
@@ -37,6 +37,12 @@ def common_columns(catalog: DataFrame, patterns: Sequence[str] = SHARED_NAME_PAT
     )
 
 
+def shared_columns(tables: Mapping[str, DataFrame], patterns: Sequence[str] = SHARED_NAME_PATTERNS) -> DataFrame:
+    """:func:`common_columns` of the tables, reading only columns named like keys."""
+    named = {name: columns_like(df, patterns) for name, df in tables.items()}
+    return common_columns(column_catalog(tables, columns=named), patterns)
+
+
 def join_tests(read: SourceReader, relationships: Sequence[Relationship]) -> DataFrame:
     return union_all(labelled_join_test(read, r) for r in relationships)
 

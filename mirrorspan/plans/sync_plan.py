@@ -75,6 +75,15 @@ def missing_tables(source: DataFrame, target: DataFrame) -> DataFrame:
     return names_missing(named, target.select(F.col("table_name").alias("target_table")), "target_table")
 
 
+def watermark_columns(strategies: Sequence[Strategy]) -> dict[str, set[str]]:
+    """Columns that :func:`config_lint` needs to know, by the table that owns them."""
+    out: dict[str, set[str]] = {}
+    for s in strategies:
+        if s.incremental and s.watermark_columns:
+            out.setdefault(s.parent or s.table, set()).update(s.watermark_columns)
+    return out
+
+
 def config_lint(strategies: DataFrame, catalog: DataFrame) -> DataFrame:
     """Settings that cannot work as written.
 

@@ -40,7 +40,7 @@ _CUT = "DATE '2001-07-02'"
     needs=BUSINESS,
 )
 def _(t):
-    return relate.common_columns(cat.column_catalog({n: t(n) for n in BUSINESS}))
+    return relate.shared_columns({n: t(n) for n in BUSINESS})
 
 
 @query(
@@ -198,8 +198,10 @@ def _(t):
 )
 def _(t):
     index = relate.referenced_by(cat.fk_catalog(t.spark, RELATIONSHIPS))
-    parents = sorted({r.ref_table for r in RELATIONSHIPS})
-    values = cat.column_catalog({n: t(n) for n in parents}).select(
+    keys: dict[str, set[str]] = {}
+    for r in RELATIONSHIPS:
+        keys.setdefault(r.ref_table, set()).update(r.ref_columns)
+    values = cat.column_catalog({n: t(n) for n in keys}, columns=keys).select(
         F.concat("table_name", F.lit("."), "column_name").alias("referenced"),
         F.col("non_null_rows").alias("referenced_values"),
     )
@@ -237,7 +239,9 @@ _BUSINESS_FKS = (
     needs=BUSINESS,
 )
 def _(t):
-    catalog = cat.column_catalog({n: t(n) for n in BUSINESS})
+    tables = {n: t(n) for n in BUSINESS}
+    named = {n: cat.columns_like(df, relate.SHARED_NAME_PATTERNS) for n, df in tables.items()}
+    catalog = cat.column_catalog(tables, columns=named)
     fks = cat.fk_catalog(t.spark, _BUSINESS_FKS)
     return relate.relationship_report(t, fks, catalog, business_keys(t), _BUSINESS_FKS)
 
@@ -316,7 +320,9 @@ def _(t):
        UNION ALL SELECT 'lineitem', 'orders', 'o_orderdate', 'empty_column' FROM orders HAVING count(o_orderdate) = 0""",
 )
 def _(t):
-    return sp.config_lint(sp.strategies_frame(t.spark, _STRATEGIES), cat.column_catalog(t.all()))
+    watermarks = sp.watermark_columns(_STRATEGIES)
+    catalog = cat.column_catalog({n: t(n) for n in watermarks}, columns=watermarks)
+    return sp.config_lint(sp.strategies_frame(t.spark, _STRATEGIES), catalog)
 
 
 # -- counts and ledgers ------------------------------------------------------------
@@ -427,7 +433,8 @@ def _(t):
     ),
 )
 def _(t):
-    return cat.type_histogram(cat.column_catalog(t.all()))
+    tables = t.all()
+    return cat.type_histogram(cat.declared_columns(t.spark, tables), quality.row_counts(tables))
 
 
 # -- source against copy -------------------------------------------------------------

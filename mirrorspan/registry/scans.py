@@ -118,7 +118,7 @@ def _(t):
 
 @query("column_catalog", catalog_sql({n: columns_of(n) for n in TABLES}))
 def _(t):
-    return cat.column_catalog(t.all()).select(
+    return cat.column_catalog(t.all(), lengths=True).select(
         "table_name", "column_name", "ordinal_position", "full_type", "nullable",
         F.coalesce("max_length", F.lit(-1)).alias("max_length"), "table_rows", "non_null_rows",
     )
@@ -140,7 +140,8 @@ _FK_TABLES = ("customer", "supplier", "nation", "orders", "lineitem", "returns")
 )
 def _(t):
     fks = cat.fk_catalog(t.spark, RELATIONSHIPS)
-    values = cat.column_catalog({n: t(n) for n in _FK_TABLES})
+    keys = {n: {c for r in RELATIONSHIPS if r.table == n for c in r.columns} for n in _FK_TABLES}
+    values = cat.column_catalog({n: t(n) for n in _FK_TABLES}, columns=keys)
     return fks.join(
         values.select("table_name", "column_name", "non_null_rows"), ["table_name", "column_name"]
     )
@@ -159,10 +160,12 @@ BUSINESS_KEYS = {"sales_header": ["IDOrder"], "client": ["IDClient"], "product":
 
 
 def business_keys(t):
-    catalog = cat.column_catalog({n: t(n) for n in BUSINESS})
-    return cat.key_columns(
-        catalog, ["sales_header", "sales_line", "product"], BUSINESS_KEYS, KEY_NAME_PATTERNS
-    )
+    tables = {n: t(n) for n in ("sales_header", "sales_line", "product")}
+    keys = {
+        n: cat.columns_like(df, KEY_NAME_PATTERNS) + BUSINESS_KEYS.get(n, []) for n, df in tables.items()
+    }
+    catalog = cat.column_catalog(tables, columns=keys)
+    return cat.key_columns(catalog, list(tables), BUSINESS_KEYS, KEY_NAME_PATTERNS)
 
 
 @query(

@@ -8,6 +8,7 @@ long its texts get.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
@@ -58,14 +59,20 @@ def declared_columns(spark: SparkSession, tables: Mapping[str, DataFrame]) -> Da
     return local_frame(spark, rows, COLUMNS_SCHEMA)
 
 
-def measured_columns(df: DataFrame, table: str, lengths: bool = True) -> DataFrame:
+def measured_columns(
+    df: DataFrame, table: str, lengths: bool = False, columns: Iterable[str] | None = None
+) -> DataFrame:
     """The column catalog of one table with measured nullability and length.
 
-    Without ``lengths`` the texts themselves need not be looked at.
+    Only the given ``columns`` are read (all by default; names the table lacks
+    are skipped), and their texts only for ``lengths``.
     """
+    wanted = None if columns is None else {c.lower() for c in columns}
     names, kinds = zip(*(c.split() for c in COLUMNS_SCHEMA.split(", ")))
     counts, out = ["count(1) AS rows"], []
     for i, (row, f) in enumerate(zip(_declared_rows(table, df.schema), df.schema.fields)):
+        if wanted is not None and f.name.lower() not in wanted:
+            continue
         value = "`" + f.name.replace("`", "``") + "`"
         counts.append(f"count({value}) AS n{i}")
         length = "CAST(NULL AS int)"
@@ -77,6 +84,8 @@ def measured_columns(df: DataFrame, table: str, lengths: bool = True) -> DataFra
             f"struct({declared}, n{i} < rows AS nullable, {length} AS max_length, "
             f"rows AS table_rows, n{i} AS non_null_rows)"
         )
+    if not out:
+        return measured_columns(df.limit(0), table).limit(0)
     # SQL text instead of column calls: wide tables would need thousands of them.
     return df.selectExpr(*counts).selectExpr(f"inline(array({', '.join(out)}))")
 
@@ -89,8 +98,21 @@ def _literal(value) -> str:
     return str(value)
 
 
-def column_catalog(tables: Mapping[str, DataFrame], lengths: bool = True) -> DataFrame:
-    return union_all(measured_columns(df, name, lengths) for name, df in tables.items())
+def column_catalog(
+    tables: Mapping[str, DataFrame],
+    lengths: bool = False,
+    columns: Mapping[str, Iterable[str]] | None = None,
+) -> DataFrame:
+    """Measured catalogs of several tables; ``columns`` limits what is read of each."""
+    if columns is None:
+        return union_all(measured_columns(df, name, lengths) for name, df in tables.items())
+    return union_all(measured_columns(tables[name], name, lengths, cols) for name, cols in columns.items())
+
+
+def columns_like(df: DataFrame, patterns: Sequence[str]) -> list[str]:
+    """Names in the schema of ``df`` that match a LIKE pattern of ``%`` wildcards."""
+    regexes = [re.compile(".*".join(map(re.escape, p.split("%"))), re.DOTALL) for p in patterns]
+    return [c for c in df.columns if any(r.fullmatch(c) for r in regexes)]
 
 
 def table_list(tables: Mapping[str, DataFrame], database: str) -> DataFrame:
@@ -165,15 +187,24 @@ def required_columns(catalog: DataFrame) -> DataFrame:
     return catalog.filter(~F.col("nullable"))
 
 
-def type_histogram(catalog: DataFrame) -> DataFrame:
-    """Columns per type class for each table, with its row count."""
+def type_histogram(catalog: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    """Columns per type class for each table; with ``counts`` also its rows."""
     cls = histogram_class(F.col("full_type"))
-    counts = [
+    classes = [
         F.count_if(F.col("cls") == c).alias(c)
         for c in ("strings", "integers", "floats", "dates", "booleans", "others")
     ]
-    return (
+    histogram = (
         catalog.withColumn("cls", cls)
         .groupBy("table_name")
-        .agg(F.count(F.lit(1)).alias("columns"), *counts, F.max("table_rows").alias("rows"))
+        .agg(F.count(F.lit(1)).alias("columns"), *classes)
     )
+    return histogram if counts is None else histogram.join(counts.select("table_name", "rows"), "table_name")
+
+
+def list_folder_tables(spark: SparkSession, folder: str, suffix: str = ".parquet") -> list[str]:
+    """Names of the tables of a folder that holds one file or folder per table."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(path)]
+    return sorted(n.removesuffix(suffix) for n in names if n.endswith(suffix))

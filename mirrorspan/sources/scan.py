@@ -91,6 +91,11 @@ def parquet_reader(spark: SparkSession, folder: str) -> SourceReader:
     return lambda table: spark.read.parquet(f"{folder.rstrip('/')}/{table}.parquet")
 
 
+def catalog_reader(spark: SparkSession, database: str) -> SourceReader:
+    """Tables of a catalog database."""
+    return lambda table: spark.table(f"`{database}`.`{table}`")
+
+
 def jdbc_reader(
     spark: SparkSession,
     url: str,
@@ -187,6 +192,13 @@ def read_external(
     return reader.option("inferSchema", "true").load(path)
 
 
+def create_external_table(
+    spark: SparkSession, name: str, path: str, fmt: str = "csv", schema: T.StructType | None = None, **options
+) -> DataFrame:
+    """A catalog table over files that stay where they are."""
+    return spark.catalog.createTable(name, path=path, source=fmt, schema=schema, **options)
+
+
 def register_external(
     spark: SparkSession, paths: Mapping[str, str], fmt: str = "csv", **options
 ) -> list[str]:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F, types as T
 
 from mirrorspan.functions import clean, names, types as ft
 from mirrorspan.model import RunContext
-from mirrorspan.operators import layout, views
+from mirrorspan.operators import evolve, layout, views
 from mirrorspan.registry.derived import SOURCE_TYPES
 from mirrorspan.sources import catalog as cat, scan
 
@@ -203,9 +203,39 @@ def test_declared_catalog(spark):
     rows = cat.declared_columns(spark, {"t": df}).orderBy("ordinal_position").collect()
     assert [(r[1], r[4], r[7], r[8]) for r in rows] == [
         ("id", "int", 10, 0), ("amount", "decimal(15,4)", 15, 4), ("it's", "string", None, None)]
-    measured = {r.column_name: r for r in cat.measured_columns(df, "t").collect()}
+    measured = {r.column_name: r for r in cat.measured_columns(df, "t", lengths=True).collect()}
     assert measured["it's"].comment == "a 'quoted' \\ text" and measured["it's"].max_length == 2
     assert measured["amount"].nullable and not measured["id"].nullable
+    some = cat.measured_columns(df, "t", columns=["AMOUNT", "nope"]).collect()
+    assert [(r.column_name, r.ordinal_position, r.max_length) for r in some] == [("amount", 2, None)]
+    assert cat.measured_columns(df, "t", columns=[]).count() == 0
+
+
+def test_measuring_some_columns_reads_only_those(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    plan = cat.measured_columns(docs, "d", columns=["lang"])._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<lang:string>" in plan
+
+
+def test_columns_like(spark):
+    df = spark.createDataFrame([(1, 1, 1, 1)], "IDx long, x_id long, numero_a long, Id long")
+    assert cat.columns_like(df, ("%ID%", "%id%", "%numero%")) == ["IDx", "x_id", "numero_a"]
+
+
+def test_readers_and_external_tables(spark, folder, tmp_path):
+    assert "orders" in cat.list_folder_tables(spark, folder) and len(cat.list_folder_tables(spark, folder)) == 14
+    assert scan.parquet_reader(spark, folder)("region").count() == 5
+    region = spark.read.parquet(f"{folder}/region.parquet")
+    region.write.parquet(str(tmp_path / "r"))
+    scan.create_external_table(spark, "ext_region", str(tmp_path / "r"), "parquet", region.schema)
+    try:
+        assert bag(scan.catalog_reader(spark, "default")("ext_region")) == bag(region)
+        wider = T.StructType([*region.schema.fields, T.StructField("note", T.StringType())])
+        assert evolve.add_columns_to_table(spark, "ext_region", wider) is True
+        assert evolve.add_columns_to_table(spark, "ext_region", wider) is False
+        assert {r.note for r in spark.table("ext_region").collect()} == {None}
+    finally:
+        spark.sql("DROP TABLE ext_region")
 
 
 def test_layout_prunes_by_day(spark, folder, tmp_path):
