@@ -590,11 +590,11 @@ def _(t):
 @query(
     "view_product_master",
     """SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice, NULL AS b_source FROM part
-       UNION ALL SELECT p_partkey, p_name, p_brand, p_type, NULL, p_retailprice, b_source FROM part_b""",
+       UNION ALL SELECT p_partkey, p_name, p_brand, p_type, -1, p_retailprice, b_source FROM part_b""",
     needs=("part_b",),
 )
 def _(t):
-    return views.product_master(t("part"), t("part_b"))
+    return views.product_master(t("part"), t("part_b")).fillna(-1, ["p_size"])
 
 
 @query(

@@ -111,14 +111,14 @@ def _(t):
     "append_load",
     """SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice, NULL AS b_source FROM part
        UNION ALL
-       SELECT p_partkey, p_name, p_brand, p_type, NULL, p_retailprice, b_source FROM part_b""",
+       SELECT p_partkey, p_name, p_brand, p_type, -1, p_retailprice, b_source FROM part_b""",
     needs=("part_b",),
 )
 def _(t):
     store = new_store(t, "append")
     store.append("shop_part", t("part"))
     Replicator(t.spark, "shop", {"part": t("part_b")}.__getitem__, ["part"], store).load("part", "append")
-    return store.read("shop_part")
+    return store.read("shop_part").fillna(-1, ["p_size"])
 
 
 @query("truncate_keep_schema", "SELECT count(*) AS rows_before, 0 AS rows_after, 6 AS columns FROM orders")
