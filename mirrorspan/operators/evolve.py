@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from mirrorspan.functions.types import cast_fails, cast_to_schema, map_type_column
+from mirrorspan.functions.types import all_nullable, cast_fails, cast_to_schema, map_type_column
 
 # Conflict policies.
 USE_EXISTING = "use_existing"
@@ -20,10 +20,6 @@ class SchemaConflict(ValueError):
     pass
 
 
-def all_nullable(schema: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in schema.fields])
-
-
 def reconcile(existing: T.StructType | None, new: T.StructType, policy: str = USE_EXISTING) -> T.StructType:
     """Schema to write when rows of ``new`` meet a table of ``existing``.
 

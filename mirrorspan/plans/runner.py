@@ -12,6 +12,7 @@ rest of the table is neither read nor written.
 
 from __future__ import annotations
 
+import logging
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -21,12 +22,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from mirrorspan.functions.clean import clean_text_columns
 from mirrorspan.functions.dates import window_day
-from mirrorspan.functions.types import cast_to_schema, target_schema
+from mirrorspan.functions.types import all_nullable, cast_to_schema, target_schema
 from mirrorspan.model import Relationship, RunContext, SourceReader, Strategy, TableRef
-from mirrorspan.operators.evolve import USE_EXISTING, all_nullable, reconcile
+from mirrorspan.operators.evolve import USE_EXISTING, reconcile
 from mirrorspan.operators.joins import KeySet, key_set, rows_with_keys, rows_without_keys
 from mirrorspan.operators.quality import LEDGER_SCHEMA
-from mirrorspan.operators.window import survivors, window_keys, window_rows
+from mirrorspan.operators.window import keys_before_and_after, survivors, window_keys, window_rows
 from mirrorspan.plans.sync_plan import (
     default_strategy,
     dependency_levels,
@@ -39,6 +40,8 @@ from mirrorspan.sources.catalog import table_list, union_all
 from mirrorspan.sources.scan import scan_query
 from mirrorspan.sources.store import NULL_PARTITION, TableStore
 
+log = logging.getLogger(__name__)
+
 PARTITION = "window_part"
 # Partition unit -> Spark and Python format of its value.
 PARTITION_FORMATS = {
@@ -64,6 +67,7 @@ class Replicator:
         clean: bool = True,
         type_policy: str = USE_EXISTING,
         parallel_tables: int = 1,
+        delete_orphans: bool = False,
         batch: tuple[str, int] | None = None,
     ):
         self.spark = spark
@@ -77,6 +81,8 @@ class Replicator:
         self.clean = clean
         self.type_policy = type_policy
         self.parallel_tables = parallel_tables
+        self.delete_orphans = delete_orphans  # children of parents the run removed go too
+        self.versions: dict[str, int] = {}  # of the copies before the run
         self.batch = batch  # (stream, micro-batch) that the source rows come from
 
     # -- whole runs -------------------------------------------------------
@@ -85,6 +91,8 @@ class Replicator:
         """Refresh all (or the given) tables, parents first; returns the ledger."""
         wanted = list(tables) if tables is not None else self.source_tables
         run_id = uuid.uuid4().hex
+        copies = [self.target(t) for t in wanted]
+        self.versions = {c: self.store.snapshot(c).version for c in copies if self.store.exists(c)}
         rows = []
         for level in dependency_levels(wanted, self.strategies, self.relationships):
             rows += self._run_level(level, ctx, run_id)
@@ -113,7 +121,7 @@ class Replicator:
             try:
                 return run_id, self.target(table), self.run_table(table, ctx), "SUCCESS"
             except Exception as exc:  # recorded; the other tables go on
-                print(f"{self.target(table)} failed: {type(exc).__name__}: {exc}")
+                log.warning("%s failed: %s: %s", self.target(table), type(exc).__name__, exc)
                 return run_id, self.target(table), 0, "FAILED"
 
         if self.parallel_tables <= 1 or len(level) == 1:
@@ -261,7 +269,11 @@ class Replicator:
             def only(part: str) -> bool:
                 return part != NULL_PARTITION and part >= first
 
-        return window_keys(self.store.read(name, only), s.parent_keys, s.watermark_columns, ctx)
+        after = window_keys(self.store.read(name, only), s.parent_keys, s.watermark_columns, ctx)
+        if not self.delete_orphans or name not in self.versions:
+            return after
+        old = self.store.read(name, only, version=self.versions[name])
+        return keys_before_and_after(window_keys(old, s.parent_keys, s.watermark_columns, ctx), after)
 
     def _custom(self, s: Strategy, ctx: RunContext) -> int:
         name = self.target(s.table)

@@ -20,6 +20,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
+from mirrorspan.functions.types import all_nullable
+
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -57,11 +59,13 @@ class TableStore:
     def exists(self, table: str) -> bool:
         return bool(self._versions(table))
 
-    def snapshot(self, table: str) -> Snapshot:
+    def snapshot(self, table: str, version: int | None = None) -> Snapshot:
+        """The current version, or an older one that is still there."""
         versions = self._versions(table)
-        if not versions:
-            raise FileNotFoundError(f"no table {table!r} under {self.root}")
-        raw = json.loads(self._read_text(f"{self.root}/{table}/_versions/{versions[-1]:010d}.json"))
+        if not versions or (version is not None and version not in versions):
+            raise FileNotFoundError(f"no table {table!r} (version {version}) under {self.root}")
+        chosen = versions[-1] if version is None else version
+        raw = json.loads(self._read_text(f"{self.root}/{table}/_versions/{chosen:010d}.json"))
         return Snapshot(
             raw["version"],
             T.StructType.fromJson(raw["schema"]),
@@ -79,9 +83,10 @@ class TableStore:
         table: str,
         only: Callable[[str], bool] | None = None,
         keep_partition: bool = False,
+        version: int | None = None,
     ) -> DataFrame:
-        """The current version; ``only`` picks partitions before any listing."""
-        snap = self.snapshot(table)
+        """A version's rows; ``only`` picks partitions before any listing."""
+        snap = self.snapshot(table, version)
         dirs = [d for v, d in snap.dirs if only is None or v is None or only(v)]
         schema = snap.schema
         full = schema
@@ -249,7 +254,7 @@ class TableStore:
         body = json.dumps(
             {
                 "version": version,
-                "schema": _all_nullable(schema).jsonValue(),
+                "schema": all_nullable(schema).jsonValue(),
                 "partition_by": partition_by,
                 "dirs": [list(d) for d in dirs],
                 "batches": batches,
@@ -286,7 +291,3 @@ class TableStore:
             return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
-
-
-def _all_nullable(schema: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in schema.fields])

@@ -217,3 +217,18 @@ def test_a_wider_window_of_the_table_counts(spark, store):
     Replicator(spark, "db", lambda t: old, ["t"], store, s).run_missing(ctx)
     Replicator(spark, "db", lambda t: new, ["t"], store, s).run(ctx)
     assert [r.id for r in store.read("db_t").collect()] == [2]
+
+
+@pytest.mark.parametrize("orphans", [False, True])
+def test_children_of_removed_parents(spark, store, orphans):
+    day = dt.date(2024, 5, 9)
+    heads = lambda ids: spark.createDataFrame([(i, day) for i in ids], "id long, day date")
+    lines = lambda ids: spark.createDataFrame([(i, 1) for i in ids], "id long, n long")
+    s = [Strategy("head", DATE_INCREMENTAL, ("day",)),
+         Strategy("line", DATE_INCREMENTAL, ("day",), parent="head", join_columns=("id",))]
+    ctx = RunContext(dt.date(2024, 5, 10), 3)
+    old = {"head": heads([1, 2]), "line": lines([1, 2])}
+    new = {"head": heads([1]), "line": lines([1])}
+    Replicator(spark, "db", old.__getitem__, ["head", "line"], store, s).run_missing(ctx)
+    Replicator(spark, "db", new.__getitem__, ["head", "line"], store, s, delete_orphans=orphans).run(ctx)
+    assert {r.id for r in store.read("db_line").collect()} == ({1} if orphans else {1, 2})

@@ -106,3 +106,11 @@ def test_retention_drops_partitions_only(store, rows):
     assert {r.id for r in store.read("t").collect()} == {3, 4}
     assert store.drop_partitions("t", lambda p: p < "2024-02") == 0
     assert store.snapshot("t").version == 2
+
+
+def test_older_versions_stay_readable(store, rows):
+    store.overwrite("t", rows, "part")
+    store.overwrite("t", rows.filter("id = 1"), "part")
+    assert store.read("t", version=1).count() == 4 and store.read("t").count() == 1
+    with pytest.raises(FileNotFoundError):
+        store.read("t", version=9)
