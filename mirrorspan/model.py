@@ -82,7 +82,8 @@ class Strategy:
     ``parent_columns`` or the same names). ``cluster_by`` sorts the files, so
     that row-group statistics can skip by those columns; children are sorted
     by their join columns unless told otherwise. ``type_policy`` overrides the
-    run's rule for columns whose type changed at the source.
+    run's rule for columns whose type changed at the source. A NULL in a
+    ``required`` column fails the load (files would not enforce it).
 
     ``custom_query`` (SQL text with ``:cutoff``, or a callable of reader and
     context) and ``delete_condition`` (SQL predicate with ``:cutoff``, or a
@@ -104,6 +105,7 @@ class Strategy:
     unique_key: tuple[str, ...] = ()
     cluster_by: tuple[str, ...] = ()
     type_policy: str | None = None
+    required: tuple[str, ...] = ()
 
     @property
     def clustering(self) -> tuple[str, ...]:

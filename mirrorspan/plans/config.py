@@ -16,13 +16,15 @@ def strategies_from_settings(
     tables: Mapping[str, Mapping],
     clusters: Mapping[str, Mapping] | None = None,
     priorities: Mapping[str, Sequence[str]] | None = None,
+    critical_fields: Mapping[str, Sequence[str]] | None = None,
 ) -> list[Strategy]:
     """One strategy per configured table.
 
     ``tables``: name -> strategy, watermark_column(s), chunk_size, lookback_days.
     ``clusters``: name -> parent_table, join_column, child_tables [{table}];
     an incremental child takes its window from the cluster's parent.
-    ``priorities``: class -> table names.
+    ``priorities``: class -> table names. ``critical_fields``: table -> columns
+    that must always have a value.
     """
     parent_of = {
         child["table"]: (c["parent_table"], c["join_column"])
@@ -47,6 +49,7 @@ def strategies_from_settings(
                 join_columns=(column,) if column else (),
                 lookback_days=raw.get("lookback_days"),
                 priority=rank.get(name, "low"),
+                required=tuple((critical_fields or {}).get(name, ())),
             )
         )
     return out

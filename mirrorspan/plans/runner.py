@@ -312,6 +312,9 @@ class Replicator:
             df = clean_text_columns(df)
         if table in self.source_types:
             df = cast_to_schema(df, target_schema(self.source_types[table]))
+        for c in self.strategies.get(table, default_strategy(table)).required:
+            missing = F.raise_error(F.lit(f"{table}.{c} has no value")).cast(df.schema[c].dataType)
+            df = df.withColumn(c, F.coalesce(F.col(c), missing))
         return df
 
     def _for_append(self, s: Strategy, df: DataFrame, fresh: bool = False) -> tuple[DataFrame, str | None]:

@@ -157,7 +157,8 @@ SETTINGS = {
 
 
 def test_settings_become_strategies(spark):
-    got = {s.table: s for s in config.strategies_from_settings(**SETTINGS, priorities={"critical": ["line"]})}
+    got = {s.table: s for s in config.strategies_from_settings(**SETTINGS, priorities={"critical": ["line"]}, critical_fields={"head": ["id"]})}
+    assert got["head"].required == ("id",) and got["line"].required == ()
     assert (got["line"].parent, got["line"].join_columns, got["line"].priority) == ("head", ("id",), "critical")
     assert got["pay"].parent is None and not got["stock"].incremental and got["head"].lookback_days == 5
     assert bag(config.clusters_frame(spark, SETTINGS["clusters"])) == [

@@ -232,3 +232,12 @@ def test_children_of_removed_parents(spark, store, orphans):
     Replicator(spark, "db", old.__getitem__, ["head", "line"], store, s).run_missing(ctx)
     Replicator(spark, "db", new.__getitem__, ["head", "line"], store, s, delete_orphans=orphans).run(ctx)
     assert {r.id for r in store.read("db_line").collect()} == ({1} if orphans else {1, 2})
+
+
+def test_required_columns_fail_the_load(spark, store):
+    full = spark.createDataFrame([(1, "x"), (2, "y")], "id long, v string")
+    holes = spark.createDataFrame([(1, "x"), (None, "y")], "id long, v string")
+    s = [Strategy("t", required=("id",))]
+    assert Replicator(spark, "db", lambda t: full, ["t"], store, s).run(CTX).first().status == "SUCCESS"
+    assert Replicator(spark, "db", lambda t: holes, ["t"], store, s).run(CTX).first().status == "FAILED"
+    assert bag(store.read("db_t")) == [(1, "x"), (2, "y")]
