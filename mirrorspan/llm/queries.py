@@ -11,9 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mirrorspan.llm import mixing
+from mirrorspan.llm import bitpack, mixing
 from mirrorspan.llm.common import table
 from mirrorspan.llm.oracles import ORACLES
+from mirrorspan.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -25,6 +26,24 @@ def _query(fn):
     return fn
 
 
+TOKENIZER = "word_bpe_49k.json"
+VOCABULARY = 49_408
+END_ID = 1
+
+
+@_query
+def op3_token_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's ids as read back from the bit-packed shards."""
+    import public_tokenizers
+
+    out = scratch_dir(spark, "token-ids")
+    shards = bitpack.write_shards(
+        table(spark, folder, "documents"), out, str(public_tokenizers.path(TOKENIZER)),
+        END_ID, VOCABULARY,
+    )
+    return bitpack.read_shards(shards, out)
+
+
 @_query
 def op9_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     """Words the mix takes of every document."""
