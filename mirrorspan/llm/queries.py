@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mirrorspan.llm import bitpack, mixing
+from mirrorspan.llm import bitpack, mixing, packing
 from mirrorspan.llm.common import table
 from mirrorspan.llm.oracles import ORACLES
 from mirrorspan.session import scratch_dir
@@ -50,3 +50,9 @@ def op9_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"), keep=("doc_id",)).select(
         F.col("doc.doc_id").alias("doc_id"), "size", "source_size", "target", "taken"
     )
+
+
+@_query
+def op10_best_fit(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents packed into sequences of 512 to 4,096 words."""
+    return packing.pack(table(spark, folder, "documents"))
