@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mirrorspan.llm import bitpack, mixing, packing
+from mirrorspan.llm import bitpack, crf, mixing, packing
 from mirrorspan.llm.common import table
 from mirrorspan.llm.oracles import ORACLES
 from mirrorspan.session import scratch_dir
@@ -56,3 +56,11 @@ def op9_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
 def op10_best_fit(spark: SparkSession, folder: str) -> DataFrame:
     """All documents packed into sequences of 512 to 4,096 words."""
     return packing.pack(table(spark, folder, "documents"))
+
+
+@_query
+def op7_toxic_spans(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document, with the number of its toxic spans."""
+    docs = table(spark, folder, "documents")
+    model = crf.train(*crf.training_sample(docs, table(spark, folder, "labels")))
+    return crf.score(docs, model).withColumn("n_spans", F.size("spans"))
