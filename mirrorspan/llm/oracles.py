@@ -1,5 +1,7 @@
 """DuckDB SQL that gives the rows of the queries that SQL can express."""
 
+from mirrorspan.llm.licenses import TEMPLATES
+
 ORACLES: dict[str, str] = {}
 
 ORACLES["op9_mix_sources"] = r"""
@@ -58,3 +60,62 @@ SELECT doc_id, size, source_size, target,
             ELSE 0 END AS taken
 FROM fitted
 """
+
+
+def _license_sql() -> str:
+    def text(word: str) -> str:
+        return "'" + word.replace("'", "''") + "'"
+
+    rows = ",\n    ".join(
+        f"({k}, {text(t.label)}, {t.base}, [{', '.join(map(text, t.words))}], {t.key_positions()})"
+        for k, t in enumerate(TEMPLATES)
+    )
+    return rf"""
+WITH templates(template, label, base, twords, keys) AS (VALUES
+    {rows}
+), docs AS (
+  SELECT doc_id, row_number() OVER () AS r,
+         regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), cells AS (
+  SELECT template, base, unnest(twords) AS word, unnest(range(len(twords))) AS at FROM templates
+), placed AS (
+  SELECT r, unnest(words) AS word, unnest(range(len(words))) AS at FROM docs
+), hits AS (
+  SELECT * FROM placed WHERE word IN (SELECT word FROM cells)
+), frequencies AS (
+  SELECT word, count(DISTINCT r) AS n FROM hits GROUP BY word
+), ranked AS (
+  SELECT template, base, word,
+         row_number() OVER (PARTITION BY template ORDER BY n, word) AS rank
+  FROM (SELECT DISTINCT template, base, word FROM cells) JOIN frequencies USING (word)
+), postings AS (
+  SELECT cells.* FROM cells JOIN ranked USING (template, word)
+  WHERE rank <= CASE WHEN ranked.base THEN 1 ELSE 2 END
+), proposed AS (
+  SELECT DISTINCT r, template, hits.at - postings.at AS start
+  FROM hits JOIN postings USING (word) WHERE hits.at >= postings.at
+), compared AS (
+  SELECT p.r, t.label, t.base, p.start, len(t.twords) AS n,
+         [CASE WHEN words[p.start + k + 1] = twords[k + 1] THEN 1 ELSE 0 END
+          FOR k IN range(len(twords))] AS same, t.keys
+  FROM proposed p JOIN templates t USING (template) JOIN docs d USING (r)
+), found AS (
+  SELECT r, label, base, start, list_sum(same) / n AS match FROM compared
+  WHERE list_sum(same) / n >= 0.6 AND list_sum([same[k + 1] FOR k IN keys]) = len(keys)
+)
+SELECT doc_id, CAST(len(any_value(words)) AS BIGINT) AS n_words,
+       count(*) FILTER (WHERE base) AS n_base,
+       min(start) FILTER (WHERE base) AS first_word,
+       max(start) FILTER (WHERE base) AS last_word,
+       coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base), '') AS base_labels,
+       coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS labels,
+       coalesce(max(match), 0.0) AS score
+FROM docs LEFT JOIN found USING (r)
+GROUP BY r, doc_id
+"""
+
+
+ORACLES["op5_license_scan"] = _license_sql()

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mirrorspan.llm import bitpack, crf, mixing, packing
+from mirrorspan.llm import bitpack, crf, licenses, mixing, packing
 from mirrorspan.llm.common import table
 from mirrorspan.llm.oracles import ORACLES
 from mirrorspan.session import scratch_dir
@@ -64,3 +64,9 @@ def op7_toxic_spans(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = crf.train(*crf.training_sample(docs, table(spark, folder, "labels")))
     return crf.score(docs, model).withColumn("n_spans", F.size("spans"))
+
+
+@_query
+def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence phrases and notices of every document."""
+    return licenses.summary(licenses.scan(table(spark, folder, "documents")))
