@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mirrorspan.llm import bitpack, crf, licenses, mixing, packing
+from mirrorspan.llm import bitpack, crf, fm, licenses, mixing, packing
 from mirrorspan.llm.common import table
 from mirrorspan.llm.oracles import ORACLES
 from mirrorspan.session import scratch_dir
@@ -70,3 +70,10 @@ def op7_toxic_spans(spark: SparkSession, folder: str) -> DataFrame:
 def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Licence phrases and notices of every document."""
     return licenses.summary(licenses.scan(table(spark, folder, "documents")))
+
+
+@_query
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document."""
+    docs = table(spark, folder, "documents")
+    return fm.score(docs, fm.train(*fm.training_sample(docs, table(spark, folder, "labels"))))
