@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mirrorspan.llm import bitpack, crf, fm, licenses, mixing, packing
+from mirrorspan.llm import bitpack, crf, feistel, fm, licenses, mixing, packing
 from mirrorspan.llm.common import table
 from mirrorspan.llm.oracles import ORACLES
 from mirrorspan.session import scratch_dir
@@ -26,6 +26,9 @@ def _query(fn):
     return fn
 
 
+# Stands in for the secret that a deployment passes.
+PSEUDONYM_KEY = b"mirrorspan pseudonyms"
+
 TOKENIZER = "word_bpe_49k.json"
 VOCABULARY = 49_408
 END_ID = 1
@@ -77,3 +80,12 @@ def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Quality of every document."""
     docs = table(spark, folder, "documents")
     return fm.score(docs, fm.train(*fm.training_sample(docs, table(spark, folder, "labels"))))
+
+
+@_query
+def op6_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its personal values replaced by linked pseudonyms."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return feistel.pseudonymised(docs, PSEUDONYM_KEY).select(
+        F.col("doc.doc_id").alias("doc_id"), "text", "n_numbers", "n_dates", "n_others"
+    )
