@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mirrorspan.llm import bitpack, crf, feistel, fm, licenses, mixing, packing
+from mirrorspan.llm import bitpack, crf, feistel, fm, licenses, mixing, packing, spotsigs
 from mirrorspan.llm.common import table
 from mirrorspan.llm.oracles import ORACLES
 from mirrorspan.session import scratch_dir
@@ -89,3 +89,9 @@ def op6_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
     return feistel.pseudonymised(docs, PSEUDONYM_KEY).select(
         F.col("doc.doc_id").alias("doc_id"), "text", "n_numbers", "n_dates", "n_others"
     )
+
+
+@_query
+def op1_spot_signatures(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every text and its edited text."""
+    return spotsigs.edited(table(spark, folder, "documents"))
