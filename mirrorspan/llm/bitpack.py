@@ -24,6 +24,7 @@ pyarrow's file systems reach: a path, or a file, s3, gs or hdfs address.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import os
 import struct
@@ -85,7 +86,7 @@ class ChunkEncoder:
     sides, as those that split words before merging.
     """
 
-    MOST = 300_000  # chunks remembered; beyond it all are forgotten
+    MOST = 500_000  # chunks remembered; beyond it all are forgotten
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -125,6 +126,12 @@ class ChunkEncoder:
         return np.split(ids, end[chunks[:-1] - 1])
 
 
+@functools.lru_cache(maxsize=2)
+def chunk_encoder(path: str) -> ChunkEncoder:
+    """One encoder a Python worker, kept from task to task with what it has met."""
+    return ChunkEncoder(path)
+
+
 class ShardWriter:
     """Writes one shard; ``add`` takes documents in order."""
 
@@ -254,7 +261,7 @@ def write_shards(
     )
 
     def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, writer = ChunkEncoder(tokenizer), None
+        encoder, writer = chunk_encoder(tokenizer), None
         for frame in frames:
             if not len(frame):
                 continue
