@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mirrorspan.llm import bitpack, crf, feistel, fm, licenses, mixing, packing, spotsigs
+from mirrorspan.llm import bitpack, crf, feistel, fm, licenses, minhash, mixing, packing, spotsigs
 from mirrorspan.llm.common import table
 from mirrorspan.llm.oracles import ORACLES
 from mirrorspan.session import scratch_dir
@@ -95,3 +95,9 @@ def op6_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
 def op1_spot_signatures(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of every text and its edited text."""
     return spotsigs.edited(table(spark, folder, "documents"))
+
+
+@_query
+def op8_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """The near-duplicate class of every document."""
+    return minhash.near_duplicates(table(spark, folder, "documents"))
