@@ -119,3 +119,22 @@ GROUP BY r, doc_id
 
 
 ORACLES["op5_license_scan"] = _license_sql()
+
+
+ORACLES["op4_dual_tree"] = """
+WITH whole AS (
+  SELECT vec_id, row_number() OVER () AS r,
+         [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, q.r AS query_row, c.vec_id, c.r,
+         CAST(list_sum([q.v[i] * c.v[i] FOR i IN range(1, len(q.v) + 1)]) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.r <> c.r AND len(q.v) = len(c.v)
+  WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_row ORDER BY score DESC, vec_id, r) AS INT) AS rank
+  FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""

@@ -11,7 +11,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mirrorspan.llm import bitpack, crf, feistel, fm, licenses, minhash, mixing, packing, spotsigs
+from mirrorspan.llm import (
+    bitpack,
+    crf,
+    dualtree,
+    feistel,
+    fm,
+    licenses,
+    minhash,
+    mixing,
+    packing,
+    spotsigs,
+)
 from mirrorspan.llm.common import table
 from mirrorspan.llm.oracles import ORACLES
 from mirrorspan.session import scratch_dir
@@ -101,3 +112,9 @@ def op1_spot_signatures(spark: SparkSession, folder: str) -> DataFrame:
 def op8_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """The near-duplicate class of every document."""
     return minhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@_query
+def op4_dual_tree(spark: SparkSession, folder: str) -> DataFrame:
+    """The five vectors nearest to each query by inner product."""
+    return dualtree.top_k(table(spark, folder, "embeddings"))
