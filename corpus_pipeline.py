@@ -1,21 +1,53 @@
 """From raw documents to packed training sequences, one operator a stage.
 
-Stages are added as their operators arrive.
+Every stage takes the documents that its predecessor kept, read from the table it
+wrote, and returns the columns of documents; the last returns sequences.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from mirrorspan.llm import mixing
+from mirrorspan.llm import crf, feistel, minhash, mixing, packing
 from mirrorspan.llm.common import materialized, table
+from mirrorspan.llm.queries import PSEUDONYM_KEY
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that the tagger scores as toxic."""
+    model = crf.train(*crf.training_sample(docs, table(spark, sf_dir, "labels")))
+    return crf.clean(docs, model)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document, the one of the smallest id, of every class."""
+    return minhash.distinct(docs)
+
+
+def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces personal values in the texts."""
+    return feistel.replaced(docs, PSEUDONYM_KEY)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeats or drops documents as the mix of the sources says."""
     return mixing.mixed(docs)
 
 
-STAGES = [("mixing", mix)]
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of whole documents and, of long ones, pieces, with their texts."""
+    return packing.pack(docs, texts=True)
+
+
+STAGES = [
+    ("toxicity", toxicity),
+    ("near_duplicates", near_duplicates),
+    ("pseudonyms", pseudonyms),
+    ("mixing", mix),
+    ("packing", pack),
+]
+# A trained tagger and hashed sketches are beyond SQL.
 ORACLE_SQL = None
 
 

@@ -424,3 +424,25 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return rows.mapInPandas(
         run, f"doc_id {id_type}, held_out boolean, score double, predicted int, spans {SPANS}"
     )
+
+
+def clean(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` whose text scores below ``threshold``, unchanged."""
+
+    def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        scorer = Scorer(model)
+        for own in texts:
+            ends = np.cumsum(own.str.len().to_numpy(np.int64)) // BATCH_CHARS
+            parts = [scorer.score(some.tolist())[0] for _, some in own.groupby(ends, sort=False)]
+            yield pd.Series(np.concatenate(parts) if parts else np.zeros(0))
+
+    scored = F.pandas_udf(run, "double")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return (
+        docs.select(
+            F.struct(*columns).alias("doc"),
+            scored(F.coalesce(F.col("text"), F.lit(""))).alias("score"),
+        )
+        .filter(F.col("score") < threshold)
+        .select("doc.*")
+    )

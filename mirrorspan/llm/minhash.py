@@ -361,3 +361,14 @@ def _content(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             )
 
     return chosen.mapInPandas(run, "id long, words binary").dropDuplicates(["id"])
+
+
+def distinct(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that name their class: one document of each."""
+    classes = near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
+    own = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id")
+    kept = classes.select(own).distinct()
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    # The join and the removal of repeated rows share one exchange.
+    packed = docs.select(F.struct(*columns).alias("doc"), own)
+    return packed.join(kept, "id", "left_semi").dropDuplicates(["id"]).select("doc.*")
