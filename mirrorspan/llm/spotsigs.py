@@ -162,6 +162,29 @@ def _bucket(key: Column, bounds: Column, n: int) -> Column:
     ) - 1
 
 
+def _dealt(texts: DataFrame, bounds: list) -> DataFrame:
+    """Each row in the partition of its range, and the first of a range also, as halo,
+    in the partition before it."""
+    n = len(bounds)
+    first = F.array(*(
+        F.struct(F.lit(b["id"]).alias("id"), F.lit(b["hash"]).alias("hash")) for b in bounds
+    ))
+    here = F.struct("bucket", F.lit(False).alias("halo"))
+    before = F.struct(
+        ((F.col("bucket") + n - 1) % n).alias("bucket"), F.lit(True).alias("halo")
+    )
+    opens = F.get("bounds", F.col("bucket")) == F.col("key")
+    return (
+        texts.withColumn("key", _key())
+        .withColumn("bounds", first)
+        .withColumn("bucket", _bucket(F.col("key"), F.col("bounds"), n))
+        .withColumn("places", F.when(opens, F.array(here, before)).otherwise(F.array(here)))
+        .select("doc_id", "text", "key", F.explode("places").alias("place"))
+        .select("doc_id", "text", "key", "place.*")
+        .repartitionById(n, F.col("bucket"))
+    )
+
+
 def edited(docs: DataFrame) -> DataFrame:
     """Fingerprints of all texts and edited texts, with their likeness."""
     spark = docs.sparkSession
@@ -172,31 +195,11 @@ def edited(docs: DataFrame) -> DataFrame:
     ).groupBy(F.spark_partition_id().alias("part"))
     # One key for each partition.
     bounds = sorted(r["first"] for r in ranges.agg(F.min("key").alias("first")).collect())
-    n = len(bounds)
-    first = F.array(*(
-        F.struct(F.lit(b["id"]).alias("id"), F.lit(b["hash"]).alias("hash")) for b in bounds
-    ))
-    bucket = _bucket(F.col("key"), F.col("bounds"), n)
-    dealt = (
-        texts.withColumn("key", _key())
-        .withColumn("bounds", first if n else F.lit(None))
-        .withColumn("bucket", bucket)
-        .withColumn("opens", F.get("bounds", F.col("bucket")) == F.col("key"))
-        .drop("bounds")
-    )
-    places = F.when(
-        F.col("opens"),
-        F.array(
-            F.struct("bucket", F.lit(False).alias("halo")),
-            F.struct(((F.col("bucket") + n - 1) % n).alias("bucket"), F.lit(True).alias("halo")),
-        ),
-    ).otherwise(F.array(F.struct("bucket", F.lit(False).alias("halo"))))
-    if n:
-        dealt = dealt.select("doc_id", "text", "key", F.explode(places).alias("place"))
-        dealt = dealt.select("doc_id", "text", "key", "place.*").repartitionById(n, F.col("bucket"))
-    else:
-        dealt = dealt.select("doc_id", "text", "key", "bucket", F.lit(False).alias("halo"))
-    rows = dealt.sortWithinPartitions("bucket", "halo", "key", "text").select(
+    if bounds:
+        texts = _dealt(texts, bounds)
+    else:  # no rows at all
+        texts = texts.select("*", _key().alias("key"), F.lit(0).alias("bucket"), F.lit(False).alias("halo"))
+    rows = texts.sortWithinPartitions("bucket", "halo", "key", "text").select(
         "doc_id", "text", "halo"
     )
     id_type = docs.schema["doc_id"].dataType.simpleString()
