@@ -160,14 +160,22 @@ def marginals(emissions: np.ndarray, sizes: np.ndarray, model: Model) -> np.ndar
     return share[row, column]
 
 
-def mark_words(docs: list[list[str]], toxic: np.ndarray) -> list[np.ndarray]:
+class Corpus:
+    """Training texts as numbers of distinct words: a list of strings would not fit."""
+
+    def __init__(self, texts: list[str]):
+        self.number: dict[str, int] = {}
+        self.docs = [
+            np.array([self.number.setdefault(w, len(self.number)) for w in words_of(t)], np.int32)
+            for t in texts
+        ]
+        self.types = list(self.number)
+
+
+def mark_words(corpus: Corpus, toxic: np.ndarray) -> list[np.ndarray]:
     """Which words of each document are taken as toxic."""
-    number: dict[str, int] = {}
-    for words in docs:
-        for w in words:
-            number.setdefault(w, len(number))
-    types = list(number)
-    flat = np.fromiter((number[w] for words in docs for w in words), np.int64)
+    types, docs = corpus.types, corpus.docs
+    flat = np.concatenate(docs) if docs else np.zeros(0, np.int32)
     sizes = np.fromiter(map(len, docs), np.int64)
     label = np.repeat(toxic.astype(np.int64), sizes)
     mix = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
@@ -199,7 +207,7 @@ def mark_words(docs: list[list[str]], toxic: np.ndarray) -> list[np.ndarray]:
     return np.split(chosen, np.cumsum(sizes)[:-1]) if docs else []
 
 
-def _train_chain(model: Model, docs: list[list[str]], marks: list[np.ndarray], seed: int) -> None:
+def _train_chain(model: Model, corpus: Corpus, marks: list[np.ndarray], seed: int) -> None:
     """Gradient ascent of the likelihood of the marks over windows of the texts."""
     rng = np.random.default_rng(seed)
     side = 2 * WINDOW + 1
@@ -210,26 +218,24 @@ def _train_chain(model: Model, docs: list[list[str]], marks: list[np.ndarray], s
         windows += [(d, int(c)) for c in (*centres, *others) if len(m)]
     if not windows:
         return
-    cache: dict[str, list[int]] = {}
-    x = np.zeros((len(windows), side, 8), np.int64)
-    y = np.zeros((len(windows), side), np.int64)
+    table = np.array([features(w) for w in corpus.types], np.int32)
+    x = np.zeros((len(windows), side, 8), np.int32)
+    y = np.zeros((len(windows), side), np.int8)
     n = np.zeros(len(windows), np.int64)
     for i, (d, c) in enumerate(windows):
         low, high = max(0, c - WINDOW), c + WINDOW + 1
-        own = docs[d][low:high]
+        own = corpus.docs[d][low:high]
         n[i] = len(own)
-        for k, w in enumerate(own):
-            if (f := cache.get(w)) is None:
-                f = cache[w] = features(w)
-            x[i, k] = f
+        x[i, : len(own)] = table[own]
         y[i, : len(own)] = marks[d][low:high]
     used, x = np.unique(x, return_inverse=True)
-    x = x.reshape(len(windows), side, 8)
+    x = x.astype(np.int32).reshape(len(windows), side, 8)
     weights, squares = np.zeros(len(used)), np.full(len(used), 1e-2)
     trans, trans_sq = np.zeros((2, 2)), np.full((2, 2), 1e-2)
     start, start_sq = 0.0, 1e-2
+    batch = min(256, max(16, len(windows) // 40))
     for _ in range(EPOCHS):
-        for own in np.array_split(rng.permutation(len(windows)), max(1, len(windows) // 256)):
+        for own in np.array_split(rng.permutation(len(windows)), -(-len(windows) // batch)):
             xb, yb, nb = x[own], y[own], n[own]
             mask = np.arange(side) < nb[:, None]
             e = weights[xb].sum(axis=2) * mask
@@ -354,11 +360,14 @@ def train(texts: list[str], toxic: list[int], seed: int = 7) -> Model:
     label = np.array(toxic, dtype=bool)
     if not len(label):
         return model
-    docs = [words_of(t) for t in texts]
-    marks = mark_words(docs, label)
-    _train_chain(model, docs, marks, seed)
-    share, sizes = Scorer(model).marginals(texts)
-    x = np.column_stack([np.ones(len(texts)), _signals(share, sizes)])
+    corpus = Corpus(texts)
+    _train_chain(model, corpus, mark_words(corpus, label), seed)
+    del corpus
+    scorer = Scorer(model)
+    signals = [
+        _signals(*scorer.marginals(texts[k : k + 256])) for k in range(0, len(texts), 256)
+    ]
+    x = np.column_stack([np.ones(len(texts)), np.concatenate(signals)])
     # Logistic regression by Newton steps; the penalty keeps separable labels finite.
     w, penalty = np.zeros(3), np.diag([1e-3, 1e-1, 1e-1])
     for _ in range(30):
