@@ -11,10 +11,9 @@ from pyspark.sql import Column, DataFrame
 FULL_REFRESH = "full_refresh"
 DATE_INCREMENTAL = "date_incremental"
 
-# Runtime defaults and the allowed lookbacks of a run.
+# Runtime defaults.
 DEFAULT_LOOKBACK_DAYS = 3
 DEFAULT_CHUNK_ROWS = 100_000
-ALLOWED_LOOKBACK_DAYS = (1, 2, 3, 5, 7, 10, 15, 30)
 
 
 @dataclass(frozen=True)
@@ -85,7 +84,10 @@ class Strategy:
     run's rule for columns whose type changed at the source. A NULL in a
     ``required`` column fails the load (files would not enforce it).
 
-    ``custom_query`` (SQL text with ``:cutoff``, or a callable of reader and
+    With ``via`` the table refers to another child of ``parent`` instead of the
+    parent itself: ``join_columns`` then are columns of that table.
+
+    ``custom_query`` (SQL text with ``{table}`` and ``:cutoff``, or a callable of reader and
     context) and ``delete_condition`` (SQL predicate with ``:cutoff``, or a
     callable returning a Column) replace the built-in window.
     """
@@ -106,6 +108,7 @@ class Strategy:
     cluster_by: tuple[str, ...] = ()
     type_policy: str | None = None
     required: tuple[str, ...] = ()
+    via: str | None = None
 
     @property
     def clustering(self) -> tuple[str, ...]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,14 +21,21 @@ def strategies_from_settings(
 ) -> list[Strategy]:
     """One strategy per configured table.
 
-    ``tables``: name -> strategy, watermark_column(s), chunk_size, lookback_days.
-    ``clusters``: name -> parent_table, join_column, child_tables [{table}];
-    an incremental child takes its window from the cluster's parent.
+    ``tables``: name -> strategy, watermark_column(s), chunk_size, lookback_days,
+    partition_unit, custom_query, delete_condition (its leading WHERE may stay).
+    In their SQL ``{table}`` is a table (of the source in a query, of the copies in
+    a condition), ``:cutoff`` the first day of the window and ``{lookback_days}``
+    its length.
+    ``clusters``: name -> parent_table, join_column, child_tables [{table,
+    join_via, join_column}]; an incremental child takes its window from the
+    cluster's parent, with ``join_via`` through that table.
     ``priorities``: class -> table names. ``critical_fields``: table -> columns
     that must always have a value.
     """
     parent_of = {
-        child["table"]: (c["parent_table"], c["join_column"])
+        child["table"]: (
+            c["parent_table"], child.get("join_column", c["join_column"]), child.get("join_via")
+        )
         for c in (clusters or {}).values()
         for child in c.get("child_tables", ())
     }
@@ -38,7 +46,12 @@ def strategies_from_settings(
         watermarks = raw.get("watermark_columns", raw.get("watermark_column")) or ()
         if isinstance(watermarks, str):
             watermarks = (watermarks,)
-        parent, column = parent_of.get(name, (None, None)) if kind != FULL_REFRESH else (None, None)
+        none = (None, None, None)
+        parent, column, via = parent_of.get(name, none) if kind != FULL_REFRESH else none
+        columns = (column,) if isinstance(column, str) else tuple(column or ())
+        condition = raw.get("delete_condition")
+        if isinstance(condition, str):
+            condition = re.sub(r"^\s*where\b", "", condition.strip().rstrip(";"), flags=re.I).strip()
         out.append(
             Strategy(
                 name,
@@ -46,10 +59,14 @@ def strategies_from_settings(
                 tuple(watermarks),
                 raw.get("chunk_size"),
                 parent=parent,
-                join_columns=(column,) if column else (),
+                join_columns=columns,
                 lookback_days=raw.get("lookback_days"),
                 priority=rank.get(name, "low"),
                 required=tuple((critical_fields or {}).get(name, ())),
+                partition_unit=raw.get("partition_unit", "day"),
+                custom_query=raw.get("custom_query"),
+                delete_condition=condition,
+                via=via,
             )
         )
     return out

@@ -14,8 +14,11 @@ RUNS = "run_ledger"
 WATERMARKS = "watermark_ledger"
 
 
-def record_run(store: TableStore, ledger: DataFrame, finished_at: dt.datetime) -> int:
-    """Append the rows of a run with its time."""
+def record_run(store: TableStore, ledger: DataFrame, finished_at: dt.datetime | None = None) -> int:
+    """Append the rows of a run, with one time for all of them if it is given."""
+    if finished_at is None:
+        last = ledger.agg(F.max("finished_at")).first()[0]
+        finished_at = last or dt.datetime.now()
     return store.append(RUNS, ledger.withColumn("finished_at", ntz(finished_at)))
 
 

@@ -1,8 +1,9 @@
 """Running a plan: one Spark write per table, then one ledger row.
 
 Every load is staged, counted and switched in by the store. A table that
-fails keeps its old version, is recorded as FAILED and does not stop the
-others.
+fails keeps its old version, is recorded as FAILED with the reason and does not
+stop the others, but for its children, which are recorded as SKIPPED. A table
+without a copy is loaded in full, whatever its strategy.
 
 Incremental tables are partitioned by the day (or month, year) of their
 window: a table with watermarks of its own by the latest of them, a child by
@@ -12,6 +13,7 @@ rest of the table is neither read nor written.
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
@@ -20,14 +22,15 @@ from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from mirrorspan.functions.clean import clean_text_columns
+from mirrorspan.functions.clean import clean_text_columns, duration_to_time
 from mirrorspan.functions.dates import window_day
-from mirrorspan.functions.types import all_nullable, cast_to_schema, target_schema
+from mirrorspan.functions.types import all_nullable, base_type, cast_to_schema, target_schema
 from mirrorspan.model import Relationship, RunContext, SourceReader, Strategy, TableRef
 from mirrorspan.operators.evolve import USE_EXISTING, reconcile
 from mirrorspan.operators.joins import KeySet, key_set, rows_with_keys, rows_without_keys
 from mirrorspan.operators.quality import LEDGER_SCHEMA
 from mirrorspan.operators.window import keys_before_and_after, survivors, window_keys, window_rows
+from mirrorspan.plans.ledger import record_run
 from mirrorspan.plans.sync_plan import (
     default_strategy,
     dependency_levels,
@@ -42,7 +45,11 @@ from mirrorspan.sources.store import NULL_PARTITION, TableStore
 
 log = logging.getLogger(__name__)
 
-PARTITION = "window_part"
+# Name of the partition folders; no table may have a column of this name.
+PARTITION = "mirrorspan_part"
+RUN_SCHEMA = (
+    f"{LEDGER_SCHEMA}, error string, started_at timestamp_ntz, finished_at timestamp_ntz"
+)
 # Partition unit -> Spark and Python format of its value.
 PARTITION_FORMATS = {
     "day": ("yyyy-MM-dd", "%Y-%m-%d"),
@@ -68,7 +75,8 @@ class Replicator:
         type_policy: str = USE_EXISTING,
         parallel_tables: int = 1,
         delete_orphans: bool = False,
-        batch: tuple[str, int] | None = None,
+        batch: dict[str, int] | None = None,
+        record: bool = False,
     ):
         self.spark = spark
         self.database = database
@@ -83,7 +91,8 @@ class Replicator:
         self.parallel_tables = parallel_tables
         self.delete_orphans = delete_orphans  # children of parents the run removed go too
         self.versions: dict[str, int] = {}  # of the copies before the run
-        self.batch = batch  # (stream, micro-batch) that the source rows come from
+        self.batch = batch  # stream -> micro-batch that the source rows come from
+        self.record = record  # append each run to the store's run ledger
 
     # -- whole runs -------------------------------------------------------
 
@@ -94,9 +103,13 @@ class Replicator:
         copies = [self.target(t) for t in wanted]
         self.versions = {c: self.store.snapshot(c).version for c in copies if self.store.exists(c)}
         rows = []
+        without: set[str] = set()  # tables that have not been refreshed
         for level in dependency_levels(wanted, self.strategies, self.relationships):
-            rows += self._run_level(level, ctx, run_id)
-        return local_frame(self.spark, rows, LEDGER_SCHEMA)
+            rows += self._run_level(level, ctx, run_id, without)
+        ledger = local_frame(self.spark, rows, RUN_SCHEMA)
+        if self.record:
+            record_run(self.store, ledger)
+        return ledger
 
     def run_missing(self, ctx: RunContext) -> DataFrame:
         """Load the tables that have no copy yet."""
@@ -116,13 +129,24 @@ class Replicator:
         low = (F.col("status") == "SUCCESS") & (F.col("rows") <= min_rows)
         return ledger.withColumn("status", F.when(low, "BELOW_THRESHOLD").otherwise(F.col("status")))
 
-    def _run_level(self, level: Sequence[str], ctx: RunContext, run_id: str) -> list[tuple]:
+    def _run_level(
+        self, level: Sequence[str], ctx: RunContext, run_id: str, without: set[str]
+    ) -> list[tuple]:
         def one(table: str) -> tuple:
-            try:
-                return run_id, self.target(table), self.run_table(table, ctx), "SUCCESS"
-            except Exception as exc:  # recorded; the other tables go on
-                log.warning("%s failed: %s: %s", self.target(table), type(exc).__name__, exc)
-                return run_id, self.target(table), 0, "FAILED"
+            start = dt.datetime.now()
+            parent = self.strategies.get(table, default_strategy(table)).parent
+            rows, status, error = 0, "SUCCESS", None
+            if parent in without:
+                status, error = "SKIPPED", f"{parent} was not refreshed"
+            else:
+                try:
+                    rows = self.run_table(table, ctx)
+                except Exception as exc:  # recorded; the other tables go on
+                    log.warning("%s failed: %s: %s", self.target(table), type(exc).__name__, exc)
+                    status, error = "FAILED", f"{type(exc).__name__}: {exc}"
+            if status != "SUCCESS":
+                without.add(table)
+            return run_id, self.target(table), rows, status, error, start, dt.datetime.now()
 
         if self.parallel_tables <= 1 or len(level) == 1:
             return [one(t) for t in level]
@@ -161,13 +185,16 @@ class Replicator:
         s = self.strategies.get(table, default_strategy(table))
         if ctx.force_full_refresh or not s.incremental:
             return self._full_refresh(s)
+        if not self.store.exists(self.target(table)):
+            return self._full_refresh(s)  # a window alone would pass for the whole table
         ctx = self._window_of(s, ctx)
-        if s.custom_query is not None:
-            return self._custom(s, ctx)
-        if not s.watermark_columns:
+        if not s.watermark_columns and s.custom_query is None:
             # Without a window nothing would be deleted: appending the whole
             # table again would only duplicate it.
             return self._full_refresh(s)
+        self._repartitioned(s)
+        if s.custom_query is not None:
+            return self._custom(s, ctx)
         return self._child(s, ctx) if s.parent else self._own_window(s, ctx)
 
     def _window_of(self, s: Strategy, ctx: RunContext) -> RunContext:
@@ -180,9 +207,35 @@ class Replicator:
         incoming = self._source(s.table)
         df, partition = self._for_append(s, incoming, fresh=True)
         return self.store.overwrite(
-            self.target(s.table), df, partition, s.clustering, batch=self.batch
+            self.target(s.table), df, partition, s.clustering, batch=self.batch,
+            spec=self._spec(s) if partition else None,
         )
 
+    @staticmethod
+    def _spec(s: Strategy) -> dict | None:
+        """How the partitions of a copy are made; None if it has none."""
+        if not (s.incremental and s.watermark_columns and s.partition_unit):
+            return None
+        return {
+            "unit": s.partition_unit,
+            "columns": list(s.watermark_columns),
+            "parent": s.parent,
+            "join": list(s.join_columns),
+            "via": s.via,
+        }
+
+    def _repartitioned(self, s: Strategy) -> None:
+        """Writes a copy anew whose partitions were made by another rule."""
+        name = self.target(s.table)
+        snap = self.store.snapshot(name)
+        spec = self._spec(s)
+        if snap.spec == spec:
+            return
+        df = self.store.read(name)
+        if spec is not None:
+            df = self._with_part(s, df)
+        self.store.overwrite(name, df, PARTITION if spec else None, s.clustering, spec=spec)
+
     def _append(self, s: Strategy, incoming: DataFrame) -> int:
         df, partition = self._for_append(s, incoming)
         name = self.target(s.table)
@@ -192,7 +245,8 @@ class Replicator:
 
     def _store_append(self, s: Strategy, df: DataFrame, partition: str | None) -> int:
         return self.store.append(
-            self.target(s.table), df, partition, batch=self.batch, cluster_by=s.clustering
+            self.target(s.table), df, partition, batch=self.batch, cluster_by=s.clustering,
+            spec=self._spec(s) if partition else None,
         )
 
     def _store_replace(self, s: Strategy, frames: list[DataFrame], parts: set[str] | None = None) -> int:
@@ -205,8 +259,6 @@ class Replicator:
     def _own_window(self, s: Strategy, ctx: RunContext) -> int:
         name = self.target(s.table)
         incoming = window_rows(self._source(s.table), s.watermark_columns, ctx)
-        if not self.store.exists(name):
-            return self._append(s, incoming)
         partitioned = bool(self.store.snapshot(name).partition_by)
         loaded = self._agreed(s, self._with_part(s, incoming) if partitioned else incoming)
         moved = key_set(incoming, s.unique_key) if s.unique_key else None
@@ -229,27 +281,23 @@ class Replicator:
 
     def _child(self, s: Strategy, ctx: RunContext) -> int:
         name, parent = self.target(s.table), self.strategies.get(s.parent, default_strategy(s.parent))
-        days = window_rows(self.read(s.parent), s.watermark_columns, ctx).select(
-            *s.parent_keys, self._part(s, window_day(s.watermark_columns)).alias(PARTITION)
-        )
-        days = key_set(days, [*s.parent_keys, PARTITION])
+        parents = window_rows(self.read(s.parent), s.watermark_columns, ctx)
+        days = key_set(self._days(s, parents), [*s.parent_keys, PARTITION])
         child = days.within_range(self._source(s.table), s.join_columns[0])
         incoming = child.join(days.frame([*s.join_columns, PARTITION]), list(s.join_columns))
         incoming = incoming.select(*child.columns, PARTITION)
-        exists = self.store.exists(name)
-        partitioned = bool(self.store.snapshot(name).partition_by) if exists else bool(s.partition_unit)
+        partitioned = bool(self.store.snapshot(name).partition_by)
         if not partitioned:
             incoming = incoming.drop(PARTITION)
-        if not exists:
-            return self._store_append(s, incoming, PARTITION if partitioned else None)
         loaded = self._agreed(s, incoming)
-        deleted = self._deleted_keys(s, parent, ctx)
+        # What is inserted is deleted before, also if the parent's copy lags behind.
+        inserted = KeySet(days.df.select(*s.parent_keys), tuple(s.parent_keys)).measured()
+        stored_keys = self._deleted_keys(s, parent, ctx)
+        deleted = inserted if stored_keys is None else keys_before_and_after(stored_keys, inserted)
         if not partitioned or self._retyped(name, loaded):
-            kept = self._stored(name, loaded)
-            if deleted is not None:
-                kept = rows_without_keys(kept, deleted, s.join_columns)
+            kept = rows_without_keys(self._stored(name, loaded), deleted, s.join_columns)
             return self._store_replace(s, [kept, loaded])
-        touched = self._parts_with_keys(name, deleted, s.join_columns) if deleted is not None else set()
+        touched = self._parts_with_keys(name, deleted, s.join_columns)
         kept = []
         if touched:
             stored = self._stored(name, loaded, touched)
@@ -269,37 +317,64 @@ class Replicator:
             def only(part: str) -> bool:
                 return part != NULL_PARTITION and part >= first
 
-        after = window_keys(self.store.read(name, only), s.parent_keys, s.watermark_columns, ctx)
+        between = self.strategies[s.via] if s.via else None
+        keys = between.parent_keys if between else s.parent_keys
+
+        def referred(parents: DataFrame) -> KeySet:
+            found = window_keys(parents, keys, s.watermark_columns, ctx)
+            if between is None:
+                return found
+            rows = rows_with_keys(self.store.read(self.target(s.via)), found, between.join_columns)
+            return key_set(rows, s.parent_keys)
+
+        if between is not None and not self.store.exists(self.target(s.via)):
+            return None
+        after = referred(self.store.read(name, only))
         if not self.delete_orphans or name not in self.versions:
             return after
         old = self.store.read(name, only, version=self.versions[name])
-        return keys_before_and_after(window_keys(old, s.parent_keys, s.watermark_columns, ctx), after)
+        return keys_before_and_after(referred(old), after)
 
     def _custom(self, s: Strategy, ctx: RunContext) -> int:
         name = self.target(s.table)
         if callable(s.custom_query):
             incoming = s.custom_query(self.read, ctx)
         else:
-            used = {t: self.read(t) for t in self.source_tables if "{" + t + "}" in s.custom_query}
-            incoming = scan_query(self.spark, s.custom_query, used, ctx)
+            sql = _with_days(s.custom_query, ctx)
+            used = {t: self.read(t) for t in self.source_tables if "{" + t + "}" in sql}
+            incoming = scan_query(self.spark, sql, used, ctx)
         incoming = self._prepared(s.table, incoming)
-        if not self.store.exists(name):
-            return self._store_append(s, incoming, None)
-        loaded = self._agreed(s, incoming)
-        kept = self._stored(name, loaded)
-        if s.delete_condition is not None:
-            kept = self._delete_where(kept, s.delete_condition, ctx)
-        elif s.watermark_columns:
-            kept = survivors(kept, s.watermark_columns, ctx)
-        return self._store_replace(s, [kept, loaded])
-
-    def _delete_where(self, df: DataFrame, condition, ctx: RunContext) -> DataFrame:
-        """Rows for which the condition is not true (NULL does not delete)."""
+        partitioned = bool(self.store.snapshot(name).partition_by)
+        loaded = self._agreed(s, self._with_part(s, incoming) if partitioned else incoming)
+        if not partitioned or self._retyped(name, loaded):
+            kept = self._rows_where(s, self._stored(name, loaded), ctx, deleted=False)
+            return self._store_replace(s, [kept, loaded])
+        # Only partitions that lose rows are written anew.
+        stored = self.store.read(name, keep_partition=True)
+        doomed = self._rows_where(s, stored, ctx, deleted=True).select(PARTITION).distinct()
+        touched = {r[0] if r[0] is not None else NULL_PARTITION for r in doomed.collect()}
+        kept = []
+        if touched:
+            kept = [self._rows_where(s, self._stored(name, loaded, touched), ctx, deleted=False)]
+        return self._store_replace(s, [*kept, loaded], touched)
+
+    def _rows_where(self, s: Strategy, df: DataFrame, ctx: RunContext, deleted: bool) -> DataFrame:
+        """Rows the delete condition is true for, or all others (NULL does not delete).
+        Without a condition it is the window of the table's own watermarks."""
+        condition = s.delete_condition
+        if condition is None:
+            if not s.watermark_columns or s.parent:
+                return df.filter(F.lit(not deleted))
+            own = window_rows if deleted else survivors
+            return own(df, s.watermark_columns, ctx)
         if callable(condition):
-            return df.filter(~F.coalesce(condition(ctx), F.lit(False)))
+            hit = F.coalesce(condition(ctx), F.lit(False))
+            return df.filter(hit if deleted else ~hit)
+        condition = _with_days(condition, ctx)
         copies = {t: self.target(t) for t in self.source_tables if "{" + t + "}" in condition}
         tables = {t: self.store.read(c) for t, c in copies.items()}
-        sql = "SELECT * FROM {kept_rows} WHERE NOT coalesce((" + condition + "), false)"
+        sql = "SELECT * FROM {kept_rows} WHERE " + ("" if deleted else "NOT ")
+        sql += "coalesce((" + condition + "), false)"
         return scan_query(self.spark, sql, {"kept_rows": df, **tables}, ctx)
 
     # -- pieces -----------------------------------------------------------
@@ -308,6 +383,9 @@ class Replicator:
         return self._prepared(table, self.read(table))
 
     def _prepared(self, table: str, df: DataFrame) -> DataFrame:
+        if PARTITION in (c.lower() for c in df.columns):
+            raise ValueError(f"{table}: the column name {PARTITION} is reserved")
+        df = self._times(table, df)
         if self.clean:
             df = clean_text_columns(df)
         if table in self.source_types:
@@ -317,6 +395,21 @@ class Replicator:
             df = df.withColumn(c, F.coalesce(F.col(c), missing))
         return df
 
+    def _times(self, table: str, df: DataFrame) -> DataFrame:
+        """Times of day, which readers give as durations or instants, as HH:mm:ss text."""
+        timed = {c.lower() for c, kind in self.source_types.get(table, ()) if base_type(kind) == "time"}
+        out = {}
+        for f in df.schema.fields:
+            if f.name.lower() not in timed:
+                continue
+            value = F.col(f"`{f.name}`")
+            if isinstance(f.dataType, T.DayTimeIntervalType):
+                out[f.name] = duration_to_time(value)
+            elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
+                midnight = F.date_trunc("day", value)
+                out[f.name] = duration_to_time(value - midnight)
+        return df.withColumns(out) if out else df
+
     def _for_append(self, s: Strategy, df: DataFrame, fresh: bool = False) -> tuple[DataFrame, str | None]:
         """``df`` ready to be stored, and the name of its partition column if any."""
         name = self.target(s.table)
@@ -324,22 +417,30 @@ class Replicator:
         if known:
             partitioned = bool(self.store.snapshot(name).partition_by)
         else:
-            partitioned = bool(
-                s.incremental and s.watermark_columns and s.partition_unit and s.custom_query is None
-            )
+            partitioned = self._spec(s) is not None
         if partitioned:
             df = self._with_part(s, df)
         return self._agreed(s, df) if known else df, PARTITION if partitioned else None
 
     def _with_part(self, s: Strategy, df: DataFrame) -> DataFrame:
-        day = self._part(s, window_day(s.watermark_columns))
         if not s.parent:
-            return df.withColumn(PARTITION, day)
-        days = self.read(s.parent).select(
-            *[F.col(p).alias(c) for p, c in zip(s.parent_keys, s.join_columns)], day.alias(PARTITION)
-        )
+            return df.withColumn(PARTITION, self._part(s, window_day(s.watermark_columns)))
+        days = self._days(s, self.read(s.parent)).toDF(*s.join_columns, PARTITION)
         return df.join(days, list(s.join_columns), "left").select(*df.columns, PARTITION)
 
+    def _days(self, s: Strategy, parents: DataFrame) -> DataFrame:
+        """(parent keys of ``s``, partition): one value for each key, since a parent
+        key that repeats must not repeat children."""
+        day = self._part(s, window_day(s.watermark_columns)).alias(PARTITION)
+        if s.via is None:
+            days = parents.select(*s.parent_keys, day)
+        else:
+            between = self.strategies[s.via]
+            days = parents.select(*between.parent_keys, day).toDF(*between.join_columns, PARTITION)
+            days = self.read(s.via).join(days, list(between.join_columns))
+            days = days.select(*s.parent_keys, PARTITION)
+        return days.groupBy(*s.parent_keys).agg(F.max(PARTITION).alias(PARTITION))
+
     def _agreed(self, s: Strategy, df: DataFrame) -> DataFrame:
         """``df`` under the schema its table will have after this load."""
         new = all_nullable(df.drop(PARTITION).schema)
@@ -376,6 +477,11 @@ class Replicator:
         return any(loaded.schema[f.name].dataType != f.dataType for f in old.fields)
 
 
+def _with_days(sql: str, ctx: RunContext) -> str:
+    """The lookback stands where SQL takes no parameter, as in an interval."""
+    return sql.replace("{lookback_days}", str(ctx.lookback_days))
+
+
 def run_databases(replicators: Sequence[Replicator], ctx: RunContext) -> DataFrame:
     """Refresh several databases one after the other under one ledger."""
     return union_all(r.run(ctx) for r in replicators)

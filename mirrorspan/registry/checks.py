@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
-from mirrorspan.model import DATE_INCREMENTAL, FULL_REFRESH, Relationship, Strategy
+from mirrorspan.model import DATE_INCREMENTAL, FULL_REFRESH, Relationship, RunContext, Strategy
 from mirrorspan.operators import quality, relate, views
 from mirrorspan.operators.joins import join_on, join_test
 from mirrorspan.operators.window import window_replace
 from mirrorspan.plans import sync_plan as sp
-from mirrorspan.registry.core import EVENTS_AS_OF, N30, RELATIONSHIPS, TABLES, query
+from mirrorspan.registry.core import AS_OF, EVENTS_AS_OF, N30, RELATIONSHIPS, TABLES, query
 from mirrorspan.registry.loads import new_store
 from mirrorspan.registry.scans import (
     BUSINESS,
@@ -616,7 +618,8 @@ def _(t):
 
 
 def _orders_stream(t):
-    return inc.stream_files(t.spark, t.folder, t("orders").schema, name_filter="orders.parquet")
+    # The pattern makes Spark list it: a file is taken as it is, a folder's files one by one.
+    return inc.stream_files(t.spark, f"{t.folder}/orders.parque[t]", t("orders").schema)
 
 
 @query("stream_append_final", "SELECT * FROM orders")
@@ -640,3 +643,29 @@ def _(t):
     write = inc.replace_window_batches(store, "shop", strategy, N30, "orders-window")
     inc.run_to_end(inc.start(_orders_stream(t), write, scratch_dir(t.spark, "checkpoint")))
     return store.read("shop_orders")
+
+
+@query(
+    "stream_second_run_final",
+    """SELECT * FROM orders WHERE o_orderdate < DATE '2001-07-03'
+       UNION ALL SELECT * REPLACE (o_totalprice + 1 AS o_totalprice) FROM orders
+       WHERE o_orderdate >= DATE '2001-07-03'""",
+)
+def _(t):
+    """Two days of one stream under one name and checkpoint; the second day's files
+    hold the window again, with other prices."""
+    store, files = new_store(t, "stream"), scratch_dir(t.spark, "stream-files")
+    checkpoint = scratch_dir(t.spark, "checkpoint")
+    orders = t("orders")
+    strategy = Strategy("orders", DATE_INCREMENTAL, ("o_orderdate",), partition_unit="month")
+    store.append("shop_orders", orders.withColumn("o_totalprice", F.lit(0.0)).filter(
+        F.col("o_orderdate") >= F.lit(N30.cutoff)))
+    store.append("shop_orders", orders.filter(F.col("o_orderdate") < F.lit(N30.cutoff)))
+    next_day = RunContext(AS_OF + dt.timedelta(days=1), 30)
+    for ctx, extra in ((N30, 0), (next_day, 1)):
+        day = orders.withColumn("o_totalprice", F.col("o_totalprice") + extra)
+        day.write.mode("append").parquet(files)
+        write = inc.replace_window_batches(store, "shop", strategy, ctx, "orders-days")
+        stream = inc.stream_files(t.spark, files, orders.schema)
+        inc.run_to_end(inc.start(stream, write, checkpoint))
+    return store.read("shop_orders")

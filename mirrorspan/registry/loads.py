@@ -1,5 +1,7 @@
 """Deletes, window replaces, writes, cleaning, casting and schema evolution."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F, types as T
 
 from mirrorspan.functions import clean, names, types as ft
@@ -12,6 +14,7 @@ from mirrorspan.operators.window import (
     window_replace,
     window_replace_child,
 )
+from mirrorspan.plans.config import strategies_from_settings
 from mirrorspan.plans.runner import Replicator
 from mirrorspan.registry.core import EVENTS_AS_OF, N30, query
 from mirrorspan.registry.derived import SOURCE_TYPES
@@ -96,9 +99,150 @@ def _(t):
     return store.read("shop_lineitem")
 
 
+def _line_strategies(unit: str | None) -> list[Strategy]:
+    return [
+        Strategy("orders", DATE_INCREMENTAL, ("o_orderdate",), partition_unit=unit),
+        Strategy("lineitem", DATE_INCREMENTAL, ("o_orderdate",), parent="orders",
+                 join_columns=("l_orderkey",), parent_columns=("o_orderkey",), partition_unit=unit),
+    ]
+
+
+def _stale_store(t, label: str, strategies: list[Strategy]) -> TableStore:
+    store = new_store(t, label)
+    stale = {"orders": t("tgt_orders"), "lineitem": t("tgt_lines")}
+    Replicator(t.spark, "shop", stale.__getitem__, list(stale), store, strategies).run_missing(N30)
+    return store
+
+
+def _checked(ledger) -> None:
+    if failed := ledger.filter("status <> 'SUCCESS'").collect():
+        raise RuntimeError(f"the run failed: {failed}")
+
+
+@query("run_first_final", "SELECT * FROM lineitem")
+def _(t):
+    """An incremental run without any copy: the history arrives too."""
+    store = new_store(t, "first")
+    strategies = _line_strategies("year")
+    _checked(Replicator(t.spark, "shop", t, ["lineitem", "orders"], store, strategies).run(N30))
+    return store.read("shop_lineitem")
+
+
+@query(
+    "run_child_twice_final",
+    f"""SELECT * FROM tgt_lines l
+        WHERE l_orderkey NOT IN (SELECT o_orderkey FROM tgt_orders WHERE o_orderdate >= {_CUT})
+          AND l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderdate >= {_CUT})
+        UNION ALL
+        SELECT l.* FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+        WHERE o.o_orderdate >= {_CUT}""",
+    needs=("tgt_lines", "tgt_orders"),
+)
+def _(t):
+    """A child refreshed twice while its parent's copy lags behind."""
+    strategies = _line_strategies("year")
+    store = _stale_store(t, "twice", strategies)
+    run = Replicator(t.spark, "shop", t, ["lineitem", "orders"], store, strategies)
+    run.run_table("lineitem", N30)
+    run.run_table("lineitem", N30)
+    return store.read("shop_lineitem")
+
+
+@query(
+    "partition_unit_change",
+    f"""SELECT d.units, o.* FROM (VALUES ('day-year'), ('year-day')) d(units), (
+            SELECT * FROM tgt_orders WHERE NOT (o_orderdate >= {_CUT})
+            UNION ALL SELECT * FROM orders WHERE o_orderdate >= {_CUT}) o""",
+    needs=("tgt_orders",),
+)
+def _(t):
+    """A copy that was partitioned by another unit than the run wants."""
+    out = []
+    for old, new in (("day", "year"), ("year", "day")):
+        store = new_store(t, "units")
+        before, after = (
+            [Strategy("orders", DATE_INCREMENTAL, ("o_orderdate",), partition_unit=u)] for u in (old, new)
+        )
+        stale = {"orders": t("tgt_orders").filter(F.col("o_orderdate") >= "2001-01-01")}
+        older = t("tgt_orders").filter(F.col("o_orderdate") < "2001-01-01")
+        Replicator(t.spark, "shop", stale.__getitem__, ["orders"], store, before).run_missing(N30)
+        _checked(Replicator(t.spark, "shop", t, ["orders"], store, after).run(N30))
+        rows = store.read("shop_orders").unionByName(older)
+        out.append(rows.select(F.lit(f"{old}-{new}").alias("units"), "*"))
+    return out[0].unionByName(out[1])
+
+
+@query(
+    "run_custom_query_final",
+    f"""SELECT * FROM tgt_lines
+        WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderdate >= {_CUT})
+        UNION ALL
+        SELECT l.* FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+        WHERE o.o_orderdate >= {_CUT} AND l.l_quantity > 10""",
+    needs=("tgt_lines",),
+)
+def _(t):
+    """Query and delete condition from settings, replaced by partition."""
+    settings = {
+        "orders": {"strategy": "date_incremental", "watermark_column": "o_orderdate",
+                   "partition_unit": "year"},
+        "lineitem": {
+            "strategy": "date_incremental", "watermark_column": ["o_orderdate"],
+            "partition_unit": "year", "chunk_size": 50_000,
+            "custom_query": "SELECT l.* FROM {lineitem} l JOIN {orders} o ON l.l_orderkey = "
+                            "o.o_orderkey WHERE o.o_orderdate >= :cutoff AND l.l_quantity > 10",
+            "delete_condition": "WHERE l_orderkey IN (SELECT o_orderkey FROM {orders} "
+                                "WHERE o_orderdate >= DATE '2001-08-01' - INTERVAL {lookback_days} DAY)",
+        },
+    }
+    clusters = {"sales": {"parent_table": "orders", "join_column": "l_orderkey",
+                          "child_tables": [{"table": "lineitem"}]}}
+    strategies = [
+        replace(s, parent_columns=("o_orderkey",)) if s.parent else s
+        for s in strategies_from_settings(settings, clusters)
+    ]
+    store = _stale_store(t, "custom", strategies)
+    _checked(Replicator(t.spark, "shop", t, ["lineitem", "orders"], store, strategies).run(N30))
+    return store.read("shop_lineitem")
+
+
+@query(
+    "load_time_column",
+    """SELECT event_id,
+              strftime(TIMESTAMP '2000-01-01' + to_seconds(CAST(event_id * 37 % 200000 AS BIGINT)),
+                       '%H:%M:%S') AS took
+       FROM events""",
+)
+def _(t):
+    """A declared TIME column arrives as a duration and is stored as text."""
+    store = new_store(t, "times")
+    took = F.make_dt_interval(secs=F.col("event_id") * 37 % 200_000)
+    source = {"events": t("events").select("event_id", took.alias("took"))}
+    types = {"events": [("event_id", "bigint(20)"), ("took", "time")]}
+    _checked(Replicator(
+        t.spark, "shop", source.__getitem__, ["events"], store, source_types=types).run(N30))
+    return store.read("shop_events")
+
+
 # -- writes ------------------------------------------------------------------
 
 
+@query(
+    "store_reserved_names",
+    """SELECT l_orderkey, l_linenumber, CAST(l_orderkey % 7 AS INT) AS version,
+              l_returnflag AS window_part FROM lineitem""",
+)
+def _(t):
+    """Columns that are called like folders of the store."""
+    store = new_store(t, "names")
+    lines = t("lineitem").select(
+        "l_orderkey", "l_linenumber", (F.col("l_orderkey") % 7).cast("int").alias("version"),
+        F.col("l_returnflag").alias("window_part"),
+    )
+    store.overwrite("lines", lines.withColumn("part", F.col("window_part")), "part")
+    return store.read("lines")
+
+
 @query("full_refresh", "SELECT * FROM orders")
 def _(t):
     store = new_store(t, "full")

@@ -1,34 +1,47 @@
 """Versioned parquet tables: stage, verify, switch.
 
-A table is a folder of immutable ``version=N-id`` folders. A small JSON file
-per version lists the folders that make up the table, so
+A table is a folder of immutable ``vN-id`` folders. A small JSON file per
+version lists the folders that make up the table and how they are partitioned, so
 
 * a failed or half-finished write is never seen by readers,
 * a version may reuse partitions of older ones, so replacing a three-day
   window of a huge table writes three days, not the table,
 * nothing is ever overwritten while it is being read.
 
-One writer per table at a time is assumed (a run writes each table once).
+A write names the version it started from; if another one was written
+meanwhile it fails instead of dropping that one's rows. The switch is a rename
+that must not replace a file: HDFS and local file systems give that, plain
+object stores don't, so there one writer per table has to be arranged.
+
+Folder names never become columns: a partition's value is taken from the
+manifest or, per row, from the file's path.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from mirrorspan.functions.types import all_nullable
 
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+_VERSION_DIR = re.compile(r"v\d+-[0-9a-f]+")
 
 
 class VerificationError(RuntimeError):
     """The staged files do not hold the rows that were sent to them."""
 
 
+class StaleVersionError(RuntimeError):
+    """Another writer changed the table since this write began."""
+
+
 @dataclass(frozen=True)
 class Snapshot:
     """One version: its schema and (partition value, folder) pairs."""
@@ -38,6 +51,7 @@ class Snapshot:
     partition_by: str | None
     dirs: tuple[tuple[str | None, str], ...]
     batches: dict[str, int]
+    spec: dict | None = None
 
     @property
     def partitions(self) -> list[str]:
@@ -72,6 +86,7 @@ class TableStore:
             raw["partition_by"],
             tuple((v, d) for v, d in raw["dirs"]),
             raw["batches"],
+            raw.get("spec"),
         )
 
     def applied_batch(self, table: str, stream: str) -> int:
@@ -88,21 +103,15 @@ class TableStore:
         """A version's rows; ``only`` picks partitions before any listing."""
         snap = self.snapshot(table, version)
         dirs = [d for v, d in snap.dirs if only is None or v is None or only(v)]
-        schema = snap.schema
-        full = schema
-        if snap.partition_by:
-            full = T.StructType(schema.fields + [T.StructField(snap.partition_by, T.StringType())])
+        part = snap.partition_by if keep_partition else None
         if not dirs:
-            df = self.spark.createDataFrame([], full)
-        else:
-            base = f"{self.root}/{table}"
-            df = (
-                self.spark.read.schema(full)
-                .option("basePath", base)
-                .parquet(*[f"{base}/{d}" for d in dirs])
-            )
-        names = full.names if keep_partition else schema.names
-        return df.select(*[F.col(f"`{n}`") for n in names])
+            fields = [T.StructField(part, T.StringType())] if part else []
+            return self.spark.createDataFrame([], T.StructType(snap.schema.fields + fields))
+        base = f"{self.root}/{table}"
+        # Each folder is its own base path, so that none of its name is data.
+        df = self.spark.read.schema(snap.schema).parquet(*[f"{base}/{d}" for d in dirs])
+        names = [F.col(f"`{n}`") for n in snap.schema.names]
+        return df.select(*names, *([_partition_value(part).alias(part)] if part else []))
 
     # -- writing ---------------------------------------------------------
 
@@ -113,15 +122,19 @@ class TableStore:
         partition_by: str | None = None,
         cluster_by: Sequence[str] = (),
         expect_rows: int | None = None,
-        batch: tuple[str, int] | None = None,
+        batch: dict[str, int] | None = None,
+        spec: dict | None = None,
     ) -> int:
         """Replace the table; returns the rows written.
 
         ``partition_by`` is a text column of ``df`` that only forms folders;
-        it is not part of the table's own schema.
+        it is not part of the table's own schema. ``spec`` says how its values
+        were made and is kept with the version and those that follow.
         """
+        base = self._latest(table)
         dirs, rows = self._stage(table, df, partition_by, cluster_by, expect_rows)
-        self._commit(table, self._payload(df, partition_by), partition_by, dirs, batch)
+        schema = self._payload(df, partition_by)
+        self._commit(table, schema, partition_by, dirs, base, spec, batch)
         return rows
 
     def append(
@@ -129,18 +142,20 @@ class TableStore:
         table: str,
         df: DataFrame,
         partition_by: str | None = None,
-        batch: tuple[str, int] | None = None,
+        batch: dict[str, int] | None = None,
         cluster_by: Sequence[str] = (),
+        spec: dict | None = None,
     ) -> int:
         """Add rows, creating the table when absent. Types must already agree
-        with the table (see ``operators.evolve``). ``batch`` names the
-        (stream, micro-batch) the rows come from."""
+        with the table (see ``operators.evolve``). ``batch`` maps
+        the stream the rows come from to its micro-batch."""
         if not self.exists(table):
-            return self.overwrite(table, df, partition_by, cluster_by, batch=batch)
+            return self.overwrite(table, df, partition_by, cluster_by, batch=batch, spec=spec)
         snap = self.snapshot(table)
         dirs, rows = self._stage(table, df, snap.partition_by, cluster_by)
         schema = self._payload(df, snap.partition_by)
-        self._commit(table, schema, snap.partition_by, [*snap.dirs, *dirs], batch)
+        dirs = [*snap.dirs, *dirs]
+        self._commit(table, schema, snap.partition_by, dirs, snap.version, snap.spec, batch)
         return rows
 
     def replace(
@@ -148,7 +163,7 @@ class TableStore:
         table: str,
         frames: Sequence[DataFrame],
         replaced: Callable[[str], bool] | None = None,
-        batch: tuple[str, int] | None = None,
+        batch: dict[str, int] | None = None,
         cluster_by: Sequence[str] = (),
     ) -> list[int]:
         """Put the rows of ``frames`` in place of the chosen partitions.
@@ -164,7 +179,8 @@ class TableStore:
             staged, rows = self._stage(table, df, snap.partition_by, cluster_by)
             dirs += staged
             counts.append(rows)
-        self._commit(table, self._payload(frames[-1], snap.partition_by), snap.partition_by, dirs, batch)
+        schema = self._payload(frames[-1], snap.partition_by)
+        self._commit(table, schema, snap.partition_by, dirs, snap.version, snap.spec, batch)
         return counts
 
     def rebuild(self, table: str) -> tuple[int, int]:
@@ -175,20 +191,31 @@ class TableStore:
         snap = self.snapshot(table)
         df = self.read(table, keep_partition=True)
         before = df.count()
-        after = self.overwrite(table, df, snap.partition_by, expect_rows=before)
+        after = self.overwrite(table, df, snap.partition_by, expect_rows=before, spec=snap.spec)
         return before, after
 
+    def rebuild_all(self, tables: Sequence[str] | None = None) -> list[tuple]:
+        """(table, rows before, rows after, error) of every rebuild; one that fails
+        keeps its version and doesn't stop the others."""
+        out = []
+        for table in self.tables() if tables is None else tables:
+            try:
+                out.append((table, *self.rebuild(table), None))
+            except Exception as exc:
+                out.append((table, None, None, f"{type(exc).__name__}: {exc}"))
+        return out
+
     def truncate(self, table: str) -> None:
         """No rows, same schema."""
         snap = self.snapshot(table)
-        self._commit(table, snap.schema, snap.partition_by, [])
+        self._commit(table, snap.schema, snap.partition_by, [], snap.version, snap.spec)
 
     def drop_partitions(self, table: str, dropped: Callable[[str], bool]) -> int:
         """Forget partitions (retention) without reading or writing data."""
         snap = self.snapshot(table)
         kept = [(v, d) for v, d in snap.dirs if v is None or not dropped(v)]
         if len(kept) < len(snap.dirs):
-            self._commit(table, snap.schema, snap.partition_by, kept)
+            self._commit(table, snap.schema, snap.partition_by, kept, snap.version, snap.spec)
         return len(snap.dirs) - len(kept)
 
     def drop_old_versions(self, table: str, keep: int = 2) -> int:
@@ -200,7 +227,7 @@ class TableStore:
             used |= {d.split("/")[0] for _, d in raw["dirs"]}
         removed = 0
         for name in self._children(f"{self.root}/{table}"):
-            if name.startswith("version=") and name not in used:
+            if _VERSION_DIR.fullmatch(name) and name not in used:
                 fs, path = self._fs(f"{self.root}/{table}/{name}")
                 fs.delete(path, True)
                 removed += 1
@@ -212,8 +239,9 @@ class TableStore:
     # -- internals -------------------------------------------------------
 
     def _stage(self, table, df, partition_by, cluster_by=(), expect_rows=None):
-        versions = self._versions(table)
-        name = f"version={(versions[-1] if versions else 0) + 1}-{uuid.uuid4().hex[:8]}"
+        if partition_by and [c.lower() for c in df.columns].count(partition_by.lower()) > 1:
+            raise ValueError(f"{table}: {partition_by} is a column of the table itself")
+        name = f"v{(self._latest(table) or 0) + 1}-{uuid.uuid4().hex[:8]}"
         path = f"{self.root}/{table}/{name}"
         out = df
         if partition_by:
@@ -239,18 +267,23 @@ class TableStore:
             raise VerificationError(f"{table}: staged {staged} rows, sent {rows}, expected {wanted}")
         if not partition_by:
             return [(None, name)], rows
-        return [(c.split("=", 1)[1], f"{name}/{c}") for c in found], rows
+        return [(_unescaped(c.split("=", 1)[1]), f"{name}/{c}") for c in found], rows
 
     @staticmethod
     def _payload(df: DataFrame, partition_by: str | None) -> T.StructType:
         return T.StructType([f for f in df.schema.fields if f.name != partition_by])
 
-    def _commit(self, table, schema, partition_by, dirs, batch=None) -> None:
+    def _latest(self, table: str) -> int | None:
         versions = self._versions(table)
-        version = (versions[-1] if versions else 0) + 1
-        batches = dict(self.snapshot(table).batches) if versions else {}
-        if batch is not None:
-            batches[batch[0]] = batch[1]
+        return versions[-1] if versions else None
+
+    def _commit(self, table, schema, partition_by, dirs, base, spec, batch=None) -> None:
+        """Switch to ``dirs``, unless ``base`` is no longer the current version."""
+        if self._latest(table) != base:
+            raise StaleVersionError(f"{table} was written by someone else after version {base}")
+        version = (base or 0) + 1
+        batches = dict(self.snapshot(table).batches) if base else {}
+        batches.update(batch or {})
         body = json.dumps(
             {
                 "version": version,
@@ -258,6 +291,7 @@ class TableStore:
                 "partition_by": partition_by,
                 "dirs": [list(d) for d in dirs],
                 "batches": batches,
+                "spec": spec,
             }
         )
         folder = f"{self.root}/{table}/_versions"
@@ -269,7 +303,7 @@ class TableStore:
             stream.close()
         _, final = self._fs(f"{folder}/{version:010d}.json")
         if fs.exists(final) or not fs.rename(draft, final):
-            raise RuntimeError(f"version {version} of {table} was written by someone else")
+            raise StaleVersionError(f"version {version} of {table} was written by someone else")
 
     def _fs(self, path: str):
         jvm = self.spark._jvm
@@ -291,3 +325,18 @@ class TableStore:
             return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
+
+
+def _unescaped(value: str) -> str:
+    return value if value == NULL_PARTITION else unquote(value)
+
+
+def _partition_value(column: str) -> Column:
+    """The value of the partition folder that a row's file lies in."""
+    found = F.regexp_extract(F.col("_metadata.file_path"), f"/{re.escape(column)}=([^/]+)/[^/]+$", 1)
+    # A file address escapes what the folder name had escaped; "+" stands for itself.
+    return F.when(found != NULL_PARTITION, _decoded(_decoded(found)))
+
+
+def _decoded(address: Column) -> Column:
+    return F.url_decode(F.replace(address, F.lit("+"), F.lit("%2B")))

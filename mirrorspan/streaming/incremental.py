@@ -2,7 +2,9 @@
 
 New files of the source are taken in micro-batches and appended, or used to
 replace the window they cover, in a versioned table. A replayed batch is
-recognised by its id, so restarts neither lose nor repeat rows.
+recognised by its id and the id of the query, which its checkpoint keeps; so
+restarts neither lose nor repeat rows, and a stream that starts over with a new
+checkpoint counts anew.
 """
 
 from __future__ import annotations
@@ -49,15 +51,12 @@ def start(
 def append_batches(
     store: TableStore, database: str, table: str, stream: str
 ) -> Callable[[DataFrame, int], None]:
-    """Append each batch once to the copy of ``database.table``.
-
-    ``stream`` names the stream that owns the checkpoint, so that another
-    stream may count its batches from zero.
-    """
+    """Append each batch once to the copy of ``database.table``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        run = _batch_run(store, database, Strategy(table), stream, batch, batch_id)
-        if run is not None:
+        mark = _mark(batch, stream)
+        run = _batch_run(store, database, Strategy(table), batch, {mark: batch_id})
+        if store.applied_batch(run.target(table), mark) < batch_id:
             run.load(table, "append")
 
     return write
@@ -66,28 +65,54 @@ def append_batches(
 def replace_window_batches(
     store: TableStore, database: str, strategy: Strategy, ctx: RunContext, stream: str
 ) -> Callable[[DataFrame, int], None]:
-    """Delete the window of the copy once, with the first batch of ``stream``,
-    and insert the window's rows of every batch."""
+    """Delete the window of the copy with the first batch of a run, and insert the
+    window's rows of every batch.
+
+    A run is what one ``ctx`` covers: the next day's ``ctx`` deletes its window
+    again, whether or not the checkpoint is the same. Without a copy all rows of
+    the run are loaded, not only the window.
+    """
+    if strategy.parent:
+        raise ValueError(
+            f"{strategy.table}: the window of a child needs its parent; stream the parent "
+            "and refresh the child with Replicator.run_table"
+        )
+    table = strategy.table
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        run = _batch_run(store, database, strategy, stream, batch, batch_id)
-        if run is None:
+        mark = _mark(batch, stream)
+        this_run = f"{mark}|{ctx.as_of}|{ctx.lookback_days}"
+        whole = f"{this_run}|whole"
+        target = _batch_run(store, database, strategy, batch, {}).target(table)
+        if store.applied_batch(target, mark) >= batch_id:
             return
-        if store.applied_batch(run.target(strategy.table), stream) < 0:
-            run.run_table(strategy.table, ctx)
+        marks = {mark: batch_id, this_run: batch_id}
+        loads_all = not store.exists(target) or store.applied_batch(target, whole) >= 0
+        if loads_all:
+            marks[whole] = batch_id
+        run = _batch_run(store, database, strategy, batch, marks)
+        if loads_all:
+            run.load(table, "append" if store.exists(target) else "overwrite")
+        elif store.applied_batch(target, this_run) < 0:
+            run.run_table(table, ctx)
         else:
-            run.append_window(strategy.table, ctx)
+            run.append_window(table, ctx)
 
     return write
 
 
-def _batch_run(store, database, strategy, stream, batch, batch_id) -> Replicator | None:
-    """A replicator whose source is the batch; None if the batch was stored before."""
-    run = Replicator(
+def _mark(batch: DataFrame, stream: str) -> str:
+    """Names the query that a batch belongs to; without a query, the stream alone."""
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{stream}@{query}" if query else stream
+
+
+def _batch_run(store, database, strategy, batch, marks: dict[str, int]) -> Replicator:
+    """A replicator whose source is the batch."""
+    return Replicator(
         batch.sparkSession, database, lambda _: batch, [strategy.table], store, [strategy],
-        batch=(stream, batch_id),
+        batch=marks,
     )
-    return run if store.applied_batch(run.target(strategy.table), stream) < batch_id else None
 
 
 def run_to_end(query: StreamingQuery) -> None:

@@ -97,7 +97,7 @@ def test_two_writers_do_not_overwrite_each_other(store, rows, monkeypatch):
     store.append("t", rows.drop("part"))
     monkeypatch.setattr(store_module.TableStore, "_versions", lambda self, t: [])
     with pytest.raises(RuntimeError, match="someone else"):
-        store._commit("t", rows.drop("part").schema, None, [])
+        store._commit("t", rows.drop("part").schema, None, [], None, None)
 
 
 def test_retention_drops_partitions_only(store, rows):
@@ -114,3 +114,33 @@ def test_older_versions_stay_readable(store, rows):
     assert store.read("t", version=1).count() == 4 and store.read("t").count() == 1
     with pytest.raises(FileNotFoundError):
         store.read("t", version=9)
+
+
+def test_overlapping_writers_fail(store, spark):
+    store.append("t", spark.range(1))
+    one = store.snapshot("t")
+    staged, _ = store._stage("t", spark.range(10), None)
+    store.append("t", spark.range(100))
+    with pytest.raises(store_module.StaleVersionError):
+        store._commit("t", one.schema, None, [*one.dirs, *staged], one.version, None)
+    assert store.read("t").count() == 101
+
+
+def test_folder_names_are_not_columns(store, spark):
+    df = spark.createDataFrame(
+        [(1, "x", "a b+c/%d:e"), (2, "y", None)], "version int, window_part string, v string")
+    store.overwrite("t", df.withColumn("p", df.v), "p")
+    store.append("t", df.withColumn("p", df.v))
+    assert bag(store.read("t")) == sorted(bag(df) * 2, key=repr)
+    kept = store.read("t", keep_partition=True)
+    assert bag(kept.select("version", "p")) == [(1, "a b+c/%d:e")] * 2 + [(2, None)] * 2
+    assert bag(store.read("t", only=lambda p: p == "a b+c/%d:e")) == [tuple(df.first())] * 2
+
+
+def test_rebuild_all_goes_on_after_a_failure(store, spark, monkeypatch):
+    store.append("a", spark.range(3))
+    store.append("b", spark.range(4))
+    whole = store.rebuild
+    monkeypatch.setattr(
+        store, "rebuild", lambda t: whole(t) if t == "b" else (_ for _ in ()).throw(OSError("gone")))
+    assert store.rebuild_all() == [("a", None, None, "OSError: gone"), ("b", 4, 4, None)]
