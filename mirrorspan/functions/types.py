@@ -153,19 +153,24 @@ def cast_to_schema(df: DataFrame, schema: T.StructType, strict: bool = True) ->
 
 
 def _strict_cast(df: DataFrame, value: Column, field: T.StructField) -> Column:
-    if df.sparkSession.conf.get("spark.sql.ansi.enabled") == "true":
-        return value.cast(field.dataType)  # fails by itself
-    cast = value.try_cast(field.dataType)
+    """The cast value; a value that does not fit, or would lose something, fails the job."""
+    old = df.schema[[c for c in df.columns if c.lower() == field.name.lower()][0]].dataType
     message = F.concat(F.lit(f"CAST_INVALID_INPUT {field.name}: "), value.cast("string"))
-    return F.when(value.isNull() | cast.isNotNull(), cast).otherwise(F.raise_error(message))
+    fails = cast_fails(value, old, field.dataType)
+    return F.when(~fails, value.try_cast(field.dataType)).otherwise(F.raise_error(message))
 
 
 # Largest value of the integer types.
 _INT_MAX = {T.ByteType: 2**7 - 1, T.ShortType: 2**15 - 1, T.IntegerType: 2**31 - 1, T.LongType: 2**63 - 1}
 
 
+_NUMBERS = (*_INT_MAX, T.FloatType, T.DoubleType, T.DecimalType)
+_INSTANTS = (T.TimestampType, T.TimestampNTZType)
+
+
 def cast_fails(value: Column, old: T.DataType, new: T.DataType) -> Column:
-    """True where a present value cannot be cast from ``old`` to ``new``.
+    """True where a present value of type ``old`` cannot be cast to ``new``, or not
+    without loss: numbers and instants must come back the same. Never null.
 
     Between integer types this is a range test: a failing ``try_cast`` costs
     an exception per row.
@@ -175,7 +180,12 @@ def cast_fails(value: Column, old: T.DataType, new: T.DataType) -> Column:
         if _INT_MAX[type(old)] <= high:
             return F.lit(False)
         return value.isNotNull() & ~value.between(F.lit(-high - 1), F.lit(high))
-    return value.isNotNull() & value.try_cast(new).isNull()
+    cast = value.try_cast(new)
+    fails = value.isNotNull() & cast.isNull()
+    numbers = isinstance(old, _NUMBERS) and isinstance(new, _NUMBERS)
+    if numbers or (isinstance(old, _INSTANTS) and isinstance(new, T.DateType)):
+        fails = fails | ~value.eqNullSafe(cast.try_cast(old))
+    return fails
 
 
 def cast_rejects(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -11,9 +11,8 @@ USE_EXISTING = "use_existing"
 MOST_PERMISSIVE = "use_most_permissive"
 FAIL = "fail"
 
-# Safe meeting points of two types, narrow to wide.
-_NUMERIC_ORDER = [T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType]
-_INTEGERS = _NUMERIC_ORDER[:4]
+# Decimal digits of the integer types, narrow to wide.
+_INTEGERS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
 
 
 class SchemaConflict(ValueError):
@@ -59,15 +58,20 @@ def widest(a: T.DataType, b: T.DataType) -> T.DataType:
     """A type that holds the values of both; text when nothing narrower does."""
     if a == b:
         return a
-    if type(a) in _NUMERIC_ORDER and type(b) in _NUMERIC_ORDER:
-        wide = _NUMERIC_ORDER[max(_NUMERIC_ORDER.index(type(a)), _NUMERIC_ORDER.index(type(b)))]
-        # A 64-bit integer does not fit the mantissa of a float.
-        return T.DoubleType() if wide is T.FloatType and T.LongType in (type(a), type(b)) else wide()
-    if isinstance(a, T.DecimalType) and isinstance(b, T.DecimalType):
-        scale = max(a.scale, b.scale)
-        digits = max(a.precision - a.scale, b.precision - b.scale)
-        if digits + scale <= 38:
-            return T.DecimalType(digits + scale, scale)
+    kinds = {type(a), type(b)}
+    if kinds <= {*_INTEGERS, T.FloatType, T.DoubleType}:
+        # A float holds 24 bits of a whole number, a double 53.
+        if T.DoubleType in kinds or T.FloatType in kinds:
+            if T.LongType in kinds:
+                return T.StringType()
+            small = kinds <= {T.ByteType, T.ShortType, T.FloatType}
+            return T.FloatType() if small else T.DoubleType()
+        return max((a, b), key=lambda t: _INTEGERS[type(t)])
+    if kinds <= {*_INTEGERS, T.DecimalType}:
+        whole, scale = zip(*((t.precision - t.scale, t.scale) if isinstance(t, T.DecimalType)
+                             else (_INTEGERS[type(t)], 0) for t in (a, b)))
+        if max(whole) + max(scale) <= 38:
+            return T.DecimalType(max(whole) + max(scale), max(scale))
     dates = (T.DateType, T.TimestampNTZType)
     if isinstance(a, dates) and isinstance(b, dates):
         return T.TimestampNTZType()
@@ -126,10 +130,29 @@ def _reconciled(existing: DataFrame, new: DataFrame, policy: str) -> DataFrame:
 
 
 def wider_type(a, b):
-    """:func:`widest` for the plain numeric and text types of a catalog."""
-    order = F.array(*[F.lit(t().simpleString()) for t in _NUMERIC_ORDER])
-    pa, pb = F.array_position(order, a), F.array_position(order, b)
-    return F.when((pa > 0) & (pb > 0), F.element_at(order, F.greatest(pa, pb).cast("int"))).otherwise("string")
+    """:func:`widest` for the columns of a catalog: looked up, but for decimals."""
+    plain = [t() for t in (*_INTEGERS, T.FloatType, T.DoubleType, T.DateType, T.TimestampNTZType)]
+    known = F.create_map(*(
+        F.lit(x)
+        for one in plain
+        for other in plain
+        for x in (f"{one.simpleString()}|{other.simpleString()}", widest(one, other).simpleString())
+    ))
+    digits = F.create_map(*(F.lit(x) for t, n in _INTEGERS.items() for x in (t().simpleString(), n)))
+    size = r"^decimal\((\d+),(\d+)\)$"
+
+    def part(kind, group):
+        return F.regexp_extract(kind, size, group).try_cast("int")
+
+    def whole(kind):
+        return F.coalesce(part(kind, 1) - part(kind, 2), F.try_element_at(digits, kind))
+
+    scale = F.greatest(part(a, 2), part(b, 2))  # null unless one is a decimal
+    total = F.when(whole(a).isNotNull() & whole(b).isNotNull(), F.greatest(whole(a), whole(b)) + scale)
+    sized = F.when(total <= 38, F.format_string("decimal(%d,%d)", total, scale))
+    return F.coalesce(
+        F.when(a == b, a), sized, F.try_element_at(known, F.concat_ws("|", a, b)), F.lit("string")
+    )
 
 
 def added_columns(existing: DataFrame, new: DataFrame) -> DataFrame:

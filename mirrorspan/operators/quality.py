@@ -11,6 +11,7 @@ from mirrorspan.functions.dates import ntz
 from mirrorspan.sources.catalog import union_all
 from mirrorspan.sources.scan import chunk_rows_column
 
+# Columns of the ledgers.
 LEDGER_SCHEMA = "run_id string, table_name string, rows bigint, status string"
 WATERMARK_SCHEMA = (
     "database_name string, table_name string, watermark_column string, "
@@ -112,15 +113,21 @@ def ledger_failures(ledger: DataFrame) -> DataFrame:
 
 
 def row_count_anomaly(previous: DataFrame, current: DataFrame, max_change: float = 0.5) -> DataFrame:
-    """Tables whose row count moved by more than the given share between runs."""
+    """Tables whose row count moved by more than the given share between runs.
+
+    A table that the current run lacks counts as empty there.
+    """
     p = previous.select("table_name", F.col("rows").alias("previous_rows"))
-    c = current.select("table_name", F.col("rows").alias("current_rows"))
+    c = current.select("table_name", F.col("rows").alias("current_rows"), F.lit(True).alias("ran"))
     moved = F.abs(F.col("current_rows") - F.col("previous_rows"))
     change = F.when(F.col("previous_rows") > 0, moved / F.col("previous_rows"))
+    appeared = (F.col("previous_rows") == 0) & (F.col("current_rows") > 0)
     return (
-        p.join(c, "table_name")
+        p.join(c, "table_name", "left")
+        .fillna(0, ["current_rows"])
         .withColumn("change", F.round(change, 4))
-        .filter((change > max_change) | ((F.col("previous_rows") == 0) & (F.col("current_rows") > 0)))
+        .filter((change > max_change) | appeared | F.col("ran").isNull())
+        .drop("ran")
     )
 
 
@@ -137,46 +144,45 @@ def count_parity(source: DataFrame, target: DataFrame) -> DataFrame:
 
 
 def sync_drift(source: DataFrame, target: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Key and kind of every difference between a source and its copy.
+    """Key and kind of every difference between a source and its copy, as bags.
 
     missing (source only), ghost (copy only), duplicate (copy holds the key
-    more often), changed (values differ). Both sides go through one grouping
-    by key with two 64-bit hashes of the remaining columns instead of the
-    columns themselves: narrow to shuffle, and fixed-width aggregates stay in
-    the hash aggregation.
+    more often), fewer (less often), changed (as often, with other values). Both
+    sides go through one grouping by key. Instead of the columns it sums two 31-bit
+    hashes of them, added for the source and taken away for the copy: they cancel
+    out exactly if every row is on both sides equally often.
     """
     values = [c for c in source.columns if c not in key]
 
-    def side(df: DataFrame, is_source: int) -> DataFrame:
+    def side(df: DataFrame, sign: int) -> DataFrame:
         cols = [F.col(f"`{c}`") for c in values]
         # The NULL flags keep (NULL, x) and (x, NULL) apart; hashes skip NULLs.
         flags = [c.isNull() for c in cols]
+        limit = F.lit(2**31 - 1)
         return df.select(
             *key,
-            F.xxhash64(F.lit(1), *cols, *flags).alias("h1"),
-            F.xxhash64(F.lit(2), *reversed(cols), *flags).alias("h2"),
-            F.lit(is_source).alias("src"),
+            (F.pmod(F.xxhash64(F.lit(1), *cols, *flags), limit) * sign).alias("h1"),
+            (F.pmod(F.xxhash64(F.lit(2), *reversed(cols), *flags), limit) * sign).alias("h2"),
+            F.lit(sign).alias("side"),
         )
 
     grouped = (
         side(source, 1)
-        .unionByName(side(target, 0))
+        .unionByName(side(target, -1))
         .groupBy(*key)
         .agg(
-            F.sum("src").alias("source_copies"),
-            F.sum(1 - F.col("src")).alias("target_copies"),
-            F.min("h1").alias("min1"),
-            F.max("h1").alias("max1"),
-            F.min("h2").alias("min2"),
-            F.max("h2").alias("max2"),
+            F.count_if(F.col("side") == 1).alias("source_copies"),
+            F.count_if(F.col("side") == -1).alias("target_copies"),
+            F.sum("h1").alias("left1"),
+            F.sum("h2").alias("left2"),
         )
     )
-    differs = (F.col("min1") != F.col("max1")) | (F.col("min2") != F.col("max2"))
     drift = (
         F.when(F.col("target_copies") == 0, "missing")
         .when(F.col("source_copies") == 0, "ghost")
         .when(F.col("target_copies") > F.col("source_copies"), "duplicate")
-        .when(differs, "changed")
+        .when(F.col("target_copies") < F.col("source_copies"), "fewer")
+        .when((F.col("left1") != 0) | (F.col("left2") != 0), "changed")
     )
     return grouped.select(*key, drift.alias("drift")).filter(F.col("drift").isNotNull())
 
@@ -220,7 +226,7 @@ def column_quality(df: DataFrame, table: str, exact_distinct: bool = False) -> D
 
     One pass with a sketch for the distinct counts. ``exact_distinct`` instead
     counts (column, value) pairs: a hot value is combined before the shuffle,
-    and long texts travel as digests.
+    and texts travel as digests.
     """
     fields = df.schema.fields
     aggs, rows = [F.count(F.lit(1)).alias("rows")], []
@@ -268,5 +274,7 @@ def column_quality(df: DataFrame, table: str, exact_distinct: bool = False) -> D
 
 def _compact(value: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.StringType):
-        return F.when(F.length(value) > 64, F.sha2(value, 256)).otherwise(value)
+        return F.sha2(value, 256)
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        value = value + F.lit(0.0).cast(kind)  # -0.0 and 0.0 are one value
     return value.cast("string")

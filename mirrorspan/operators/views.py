@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 
 def create_view(spark: SparkSession, name: str, sql: str) -> DataFrame:
@@ -17,13 +17,22 @@ def create_view(spark: SparkSession, name: str, sql: str) -> DataFrame:
     return spark.table(name)
 
 
-def cents(amount: Column) -> Column:
-    """A money value as a whole number of cents.
+# Digits after the point at which binary fractions are summed.
+FRACTION_DIGITS = 9
 
-    Sums of these are exact in any order, and unlike wide decimals they stay
-    in fixed-width aggregation buffers.
+
+def exact_sum(df: DataFrame, column: str) -> Column:
+    """The sum of a column, the same in any order of the rows.
+
+    Decimals are summed with the column's own scale. Binary fractions become
+    decimals of ``FRACTION_DIGITS`` digits first, since their sums depend on the
+    order of the rows.
     """
-    return F.round(amount * 100).cast("bigint")
+    kind = df.schema[column].dataType
+    value = F.col(f"`{column}`")
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        value = value.cast(T.DecimalType(28, FRACTION_DIGITS))
+    return F.sum(value)
 
 
 def invoices_consolidated(
@@ -45,7 +54,7 @@ def daily_sales(
     Lines are summed per (header, branch) before they meet the headers, and
     the branch name is added after the last grouping.
     """
-    amount = F.sum(cents(F.col(keys["line_amount"]))).alias("cents")
+    amount = exact_sum(lines, keys["line_amount"]).alias("amount")
     per_invoice = lines.groupBy(
         F.col(keys["line_header"]).alias("header_key"), F.col(keys["line_branch"]).alias("branch_key")
     ).agg(F.count(F.lit(1)).alias("n"), amount)
@@ -58,7 +67,7 @@ def daily_sales(
         .agg(
             F.sum("n").alias("lines"),
             F.count(F.lit(1)).alias("invoices"),
-            (F.sum("cents") / 100).alias("amount"),
+            F.sum("amount").cast("double").alias("amount"),
         )
         .join(
             branches.select(
@@ -72,15 +81,12 @@ def daily_sales(
 def stock_union(first: DataFrame, second: DataFrame) -> DataFrame:
     """Quantity per branch and product over both databases.
 
-    Inputs have branch_key, product_key and quantity (two decimals at most).
+    Inputs have branch_key, product_key and quantity.
     """
-    return (
-        first.unionByName(second)
-        .groupBy("branch_key", "product_key")
-        .agg(
-            (F.sum(cents(F.col("quantity"))) / 100).alias("quantity"),
-            F.count(F.lit(1)).alias("entries"),
-        )
+    both = first.unionByName(second)
+    return both.groupBy("branch_key", "product_key").agg(
+        exact_sum(both, "quantity").cast("double").alias("quantity"),
+        F.count(F.lit(1)).alias("entries"),
     )
 
 

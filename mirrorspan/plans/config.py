@@ -95,3 +95,8 @@ def clusters_frame(spark: SparkSession, clusters: Mapping[str, Mapping]) -> Data
         for child in c.get("child_tables", ())
     ]
     return local_frame(spark, rows, CLUSTER_SCHEMA)
+
+
+def chunk_sizes(strategies: Sequence[Strategy], override: int | None = None) -> dict[str, int | None]:
+    """Rows of a page per table for the reader of a run; ``override`` holds for all."""
+    return {s.table: override or s.chunk_rows for s in strategies}

@@ -40,7 +40,7 @@ from mirrorspan.plans.sync_plan import (
 )
 from mirrorspan.session import local_frame
 from mirrorspan.sources.catalog import table_list, union_all
-from mirrorspan.sources.scan import scan_query
+from mirrorspan.sources.scan import JdbcReader, scan_query
 from mirrorspan.sources.store import NULL_PARTITION, TableStore
 
 log = logging.getLogger(__name__)
@@ -134,10 +134,11 @@ class Replicator:
     ) -> list[tuple]:
         def one(table: str) -> tuple:
             start = dt.datetime.now()
-            parent = self.strategies.get(table, default_strategy(table)).parent
+            s = self.strategies.get(table, default_strategy(table))
+            lacking = [t for t in (s.parent, s.via) if t in without]
             rows, status, error = 0, "SUCCESS", None
-            if parent in without:
-                status, error = "SKIPPED", f"{parent} was not refreshed"
+            if lacking:
+                status, error = "SKIPPED", f"{lacking[0]} was not refreshed"
             else:
                 try:
                     rows = self.run_table(table, ctx)
@@ -258,7 +259,7 @@ class Replicator:
 
     def _own_window(self, s: Strategy, ctx: RunContext) -> int:
         name = self.target(s.table)
-        incoming = window_rows(self._source(s.table), s.watermark_columns, ctx)
+        incoming = self._prepared(s.table, self._read_window(s.table, s.watermark_columns, ctx))
         partitioned = bool(self.store.snapshot(name).partition_by)
         loaded = self._agreed(s, self._with_part(s, incoming) if partitioned else incoming)
         moved = key_set(incoming, s.unique_key) if s.unique_key else None
@@ -281,7 +282,7 @@ class Replicator:
 
     def _child(self, s: Strategy, ctx: RunContext) -> int:
         name, parent = self.target(s.table), self.strategies.get(s.parent, default_strategy(s.parent))
-        parents = window_rows(self.read(s.parent), s.watermark_columns, ctx)
+        parents = self._read_window(s.parent, s.watermark_columns, ctx)
         days = key_set(self._days(s, parents), [*s.parent_keys, PARTITION])
         child = days.within_range(self._source(s.table), s.join_columns[0])
         incoming = child.join(days.frame([*s.join_columns, PARTITION]), list(s.join_columns))
@@ -382,6 +383,14 @@ class Replicator:
     def _source(self, table: str) -> DataFrame:
         return self._prepared(table, self.read(table))
 
+    def _read_window(self, table: str, watermarks: Sequence[str], ctx: RunContext) -> DataFrame:
+        """The window's rows; a reader that pages by query gets the window for its pages."""
+        if isinstance(self.read, JdbcReader):
+            cutoff = ctx.cutoff.isoformat()
+            where = " OR ".join(f"{c} >= '{cutoff}'" for c in watermarks)
+            return window_rows(self.read.window(table, where), watermarks, ctx)
+        return window_rows(self.read(table), watermarks, ctx)
+
     def _prepared(self, table: str, df: DataFrame) -> DataFrame:
         if PARTITION in (c.lower() for c in df.columns):
             raise ValueError(f"{table}: the column name {PARTITION} is reserved")

@@ -131,8 +131,8 @@ def dependency_levels(
     parents: dict[str, set[str]] = {t: set() for t in tables}
     for t in tables:
         s = strategies.get(t)
-        if s and s.parent in parents and s.parent != t:
-            parents[t].add(s.parent)
+        if s:
+            parents[t] |= {p for p in (s.parent, s.via) if p in parents and p != t}
     for r in relationships:
         if r.table in parents and r.ref_table in parents and r.table != r.ref_table:
             parents[r.table].add(r.ref_table)

@@ -481,6 +481,49 @@ def _(t):
     return quality.sync_drift(t("orders"), refreshed, ["o_orderkey"])
 
 
+@query(
+    "sync_drift_bags",
+    """WITH s AS (SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem),
+            c AS (SELECT * FROM s WHERE l_orderkey % 7 <> 0
+                  UNION ALL SELECT * FROM s WHERE l_orderkey % 11 = 0
+                  UNION ALL SELECT l_orderkey, l_linenumber, l_quantity + 1 FROM s
+                            WHERE l_orderkey % 7 = 0 AND l_orderkey % 13 = 0),
+            n AS (SELECT l_orderkey, l_linenumber, l_quantity, sum(src) AS a, sum(1 - src) AS b
+                  FROM (SELECT *, 1 AS src FROM s UNION ALL SELECT *, 0 FROM c) GROUP BY ALL),
+            k AS (SELECT l_orderkey, l_linenumber, sum(a) AS a, sum(b) AS b,
+                         count(*) FILTER (WHERE a <> b) AS differ FROM n GROUP BY ALL)
+       SELECT l_orderkey, l_linenumber,
+              CASE WHEN b = 0 THEN 'missing' WHEN a = 0 THEN 'ghost' WHEN b > a THEN 'duplicate'
+                   WHEN b < a THEN 'fewer' ELSE 'changed' END AS drift
+       FROM k WHERE differ > 0""",
+)
+def _(t):
+    """A key that is not unique: rows are compared as bags."""
+    lines = t("lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    copy = (
+        lines.filter("l_orderkey % 7 <> 0")
+        .unionByName(lines.filter("l_orderkey % 11 = 0"))
+        .unionByName(lines.filter("l_orderkey % 7 = 0 AND l_orderkey % 13 = 0").withColumn(
+            "l_quantity", F.col("l_quantity") + 1))
+    )
+    return quality.sync_drift(lines, copy, ["l_orderkey", "l_linenumber"])
+
+
+@query(
+    "row_count_anomaly_vanished",
+    """SELECT a.table_name, a.rows AS previous_rows, coalesce(b.rows, 0) AS current_rows,
+              round(abs(coalesce(b.rows, 0) - a.rows) / a.rows, 4) AS change
+       FROM ledger_first a LEFT JOIN (SELECT * FROM ledger_second WHERE table_name NOT LIKE '%orders%') b
+            USING (table_name)
+       WHERE abs(coalesce(b.rows, 0) - a.rows) / a.rows > 0.5 OR b.rows IS NULL""",
+    needs=_LEDGERS,
+)
+def _(t):
+    """A table that the current run lacks."""
+    current = t("ledger_second").filter("table_name NOT LIKE '%orders%'")
+    return quality.row_count_anomaly(t("ledger_first"), current)
+
+
 _TS = "TIMESTAMP '2024-01-31 00:00:00'"
 
 
@@ -589,6 +632,24 @@ def _(t):
     return views.stock_union(stock("F"), stock("O"))
 
 
+@query(
+    "view_stock_fractions",
+    """SELECT l_suppkey AS branch_key, l_partkey AS product_key,
+              CAST(sum(CAST(l_quantity * 0.0625 AS DECIMAL(15,4))) AS DOUBLE) AS quantity,
+              count(*) AS entries
+       FROM lineitem GROUP BY 1, 2""",
+)
+def _(t):
+    """Quantities of four decimals."""
+    def stock(status):
+        return t("lineitem").filter(F.col("l_linestatus") == status).select(
+            F.col("l_suppkey").alias("branch_key"), F.col("l_partkey").alias("product_key"),
+            (F.col("l_quantity") * 0.0625).cast("decimal(15,4)").alias("quantity"),
+        )
+
+    return views.stock_union(stock("F"), stock("O"))
+
+
 @query(
     "view_product_master",
     """SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice, NULL AS b_source FROM part

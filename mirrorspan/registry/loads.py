@@ -353,6 +353,55 @@ def _(t):
     return ft.cast_rejects(t("ev_text_bad"), ft.target_schema(_EVENT_SOURCE_TYPES))
 
 
+@query(
+    "cast_lossy_rejects",
+    """SELECT 'whole' AS column_name, 'bigint' AS target_type,
+              count(*) FILTER (WHERE l_quantity / 8 <> floor(l_quantity / 8)) AS rejected FROM lineitem
+       UNION ALL SELECT 'day', 'date', count(*) FILTER (WHERE l_linenumber % 3 <> 0) FROM lineitem
+       UNION ALL SELECT 'cents', 'decimal(15,2)',
+              count(*) FILTER (WHERE CAST(l_quantity AS INT) % 4 <> 0) FROM lineitem
+       UNION ALL SELECT 'single', 'float', count(*) FILTER (WHERE l_orderkey % 2 = 1) FROM lineitem""",
+)
+def _(t):
+    """Values that a cast would round or cut."""
+    lines = t("lineitem").select(
+        (F.col("l_quantity") / 8).alias("whole"),
+        F.expr("timestamp_ntz'2001-01-01 00:00:00' + make_dt_interval(0, l_linenumber % 3)").alias("day"),
+        (F.col("l_quantity").cast("int") * F.lit(0.0025).cast("decimal(6,4)")).cast("decimal(15,4)").alias("cents"),
+        (F.lit(2**24) + F.col("l_orderkey") % 2).alias("single"),
+    )
+    schema = T.StructType.fromDDL("whole bigint, day date, cents decimal(15,2), single float")
+    return ft.cast_rejects(lines, schema)
+
+
+_PAIRS = {
+    ("int", "float"): "double", ("smallint", "float"): "float", ("bigint", "float"): "string",
+    ("bigint", "double"): "string", ("int", "double"): "double", ("int", "bigint"): "bigint",
+    ("int", "decimal(15,4)"): "decimal(15,4)", ("bigint", "decimal(15,4)"): "decimal(23,4)",
+    ("decimal(10,2)", "decimal(15,4)"): "decimal(15,4)", ("decimal(38,0)", "decimal(15,4)"): "string",
+    ("date", "timestamp_ntz"): "timestamp_ntz", ("date", "int"): "string", ("string", "int"): "string",
+    ("double", "decimal(15,4)"): "string",
+}
+
+
+@query(
+    "schema_reconcile_types",
+    f"""WITH p(old, new, wide) AS (VALUES {", ".join(f"('{a}', '{b}', '{w}')" for (a, b), w in _PAIRS.items())})
+        SELECT old, new, wide AS catalog, wide AS load, count(*) AS lines
+        FROM p, lineitem WHERE l_linenumber = 1 GROUP BY ALL""",
+)
+def _(t):
+    """The catalog's and the load's type for a column that changed, both from one rule."""
+    pairs = [
+        (a, b, evolve.widest(T.DataType.fromDDL(a), T.DataType.fromDDL(b)).simpleString())
+        for a, b in _PAIRS
+    ]
+    both = local_frame(t.spark, pairs, "old string, new string, load string")
+    lines = t("lineitem").filter("l_linenumber = 1").count()
+    catalog = evolve.wider_type(F.col("old"), F.col("new")).alias("catalog")
+    return both.select("old", "new", catalog, "load", F.lit(lines).cast("bigint").alias("lines"))
+
+
 _TOKENS = "('nan', 'None', 'null', 'NULL', '')"
 
 

@@ -38,13 +38,13 @@ def jdbc_options(
     bounds: tuple[int, int] | None = None,
     page_rows: int = 100_000,
     rows: int | None = None,
-    max_pages: int = 1_000,
     fetch_rows: int = 10_000,
 ) -> dict[str, str]:
     """Options of a JDBC read split into key ranges.
 
     Pages are key ranges, not row offsets, so no row is read twice or missed
-    and the source need not re-read what it already skipped.
+    and the source need not re-read what it already skipped. How many of them read
+    at once is for the cluster to say (its cores, or a scheduler pool).
     """
     options = {"url": url, "dbtable": table, "fetchsize": str(fetch_rows)}
     if key and bounds:
@@ -54,7 +54,7 @@ def jdbc_options(
             partitionColumn=key,
             lowerBound=str(low),
             upperBound=str(high + 1),
-            numPartitions=str(max(1, min(wanted, max_pages))),
+            numPartitions=str(max(1, wanted)),
         )
     return options
 
@@ -96,32 +96,72 @@ def catalog_reader(spark: SparkSession, database: str) -> SourceReader:
     return lambda table: spark.table(f"`{database}`.`{table}`")
 
 
-def jdbc_reader(
-    spark: SparkSession,
-    url: str,
-    keys: Mapping[str, str],
-    chunk_rows: Mapping[str, int] | None = None,
-    properties: Mapping[str, str] | None = None,
-) -> SourceReader:
-    """Tables of a JDBC database, each read in key ranges of its integer key.
+class JdbcReader:
+    """Tables of a JDBC database, each read in pages.
 
-    ``keys`` names the key per table; a table without one is read as a single
-    page. The range comes from one aggregate query that the source answers.
+    ``keys`` names the integer key per table, whose ranges are the pages;
+    ``hash_keys`` gives, for tables without one, the source's SQL for a
+    non-negative hash of a key, whose remainders are. A table in neither is one
+    page. ``chunk_rows`` are the rows of a page per table; others go by size.
+    Count and key range come from one aggregate query per table and window, asked
+    once in the life of the reader: use a new one for each run.
     """
 
-    def read(table: str) -> DataFrame:
-        key = keys.get(table)
-        if key is None:
-            return scan_jdbc(spark, jdbc_options(url, table), properties=properties)
-        bounds = f"(SELECT min({key}) AS lo, max({key}) AS hi, count(*) AS n FROM {table}) b"
-        row = scan_jdbc(spark, jdbc_options(url, bounds), properties=properties).first()
-        if not row["n"]:
-            return scan_jdbc(spark, jdbc_options(url, table), properties=properties)
-        pages = (chunk_rows or {}).get(table) or chunk_rows_for(row["n"])
-        options = jdbc_options(url, table, key, (int(row["lo"]), int(row["hi"])), pages, row["n"])
-        return scan_jdbc(spark, options, properties=properties)
-
-    return read
+    def __init__(
+        self,
+        spark: SparkSession,
+        url: str,
+        keys: Mapping[str, str],
+        chunk_rows: Mapping[str, int | None] | None = None,
+        properties: Mapping[str, str] | None = None,
+        hash_keys: Mapping[str, str] | None = None,
+    ):
+        self.spark = spark
+        self.url = url
+        self.keys = dict(keys)
+        self.hash_keys = dict(hash_keys or {})
+        self.chunk_rows = {t: n for t, n in (chunk_rows or {}).items() if n}
+        self.properties = properties
+        self._facts: dict[tuple[str, str | None], tuple[int, int | None, int | None]] = {}
+
+    def __call__(self, table: str) -> DataFrame:
+        return self.window(table, None)
+
+    def window(self, table: str, where: str | None) -> DataFrame:
+        """The rows for which the source's SQL ``where`` holds; pages cover these only."""
+        options, predicates = self.pages(table, where, *self.facts(table, where))
+        return scan_jdbc(self.spark, options, predicates, self.properties)
+
+    def facts(self, table: str, where: str | None) -> tuple[int, int | None, int | None]:
+        """(rows, least key, greatest key), the keys null for tables without one."""
+        if (table, where) not in self._facts:
+            key = self.keys.get(table)
+            span = f"min({key}) AS lo, max({key}) AS hi, " if key else ""
+            query = f"(SELECT {span}count(*) AS n FROM {table}{_where(where)}) b"
+            row = scan_jdbc(
+                self.spark, jdbc_options(self.url, query), properties=self.properties
+            ).first()
+            known = (row["lo"], row["hi"]) if key else (None, None)
+            self._facts[table, where] = (row["n"], *(None if v is None else int(v) for v in known))
+        return self._facts[table, where]
+
+    def pages(
+        self, table: str, where: str | None, rows: int, low: int | None, high: int | None
+    ) -> tuple[dict[str, str], list[str] | None]:
+        """Options and predicates of the read."""
+        source = f"(SELECT * FROM {table}{_where(where)}) w" if where else table
+        each = self.chunk_rows.get(table) or chunk_rows_for(rows)
+        if low is not None and high is not None:
+            key = self.keys[table]
+            return jdbc_options(self.url, source, key, (low, high), each, rows), None
+        pages = page_count(rows, each)
+        if table in self.hash_keys and pages > 1:
+            return jdbc_options(self.url, source), hash_page_predicates(self.hash_keys[table], pages)
+        return jdbc_options(self.url, source), None
+
+
+def _where(condition: str | None) -> str:
+    return f" WHERE {condition}" if condition else ""
 
 
 def page_count(rows: int, page_rows: int) -> int:
@@ -144,8 +184,12 @@ def chunk_rows_column(rows: Column) -> Column:
 
 
 def key_page(key: Column, width: int, low: int = 0) -> Column:
-    """Number of the key-range page a row belongs to (a projection, no shuffle)."""
-    return F.floor((key - F.lit(low)) / F.lit(width)).cast("bigint")
+    """Number of the key-range page a row belongs to (a projection, no shuffle).
+
+    Whole numbers throughout: a quotient in floating point would be off for large keys.
+    """
+    offset = key.cast("bigint") - F.lit(low)
+    return F.call_function("div", offset - F.pmod(offset, F.lit(width)), F.lit(width))
 
 
 def key_pages(df: DataFrame, key: str, width: int) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import re
+from decimal import Decimal
 
 import pytest
 from conftest import bag
@@ -145,7 +146,8 @@ def test_jdbc_options():
     got = scan.jdbc_options("jdbc:x", "t", "id", (1, 1_000), page_rows=100)
     assert got["partitionColumn"] == "id" and got["numPartitions"] == "10"
     assert (got["lowerBound"], got["upperBound"]) == ("1", "1001")
-    assert scan.jdbc_options("jdbc:x", "t", "id", (1, 10**9), 10, max_pages=64)["numPartitions"] == "64"
+    # No cap: the page size holds at any number of rows.
+    assert scan.jdbc_options("jdbc:x", "t", "id", (1, 10**9), 50_000)["numPartitions"] == "20000"
     assert "numPartitions" not in scan.jdbc_options("jdbc:x", "t")
     pages = scan.hash_page_predicates("crc32(k)", 3)
     assert len(pages) == 3 and "IS NULL" in pages[0] and "IS NULL" not in pages[1]
@@ -247,3 +249,68 @@ def test_layout_prunes_by_day(spark, folder, tmp_path):
     kept = layout.retained(back, "date", dt.date(2024, 1, 31), 7)
     assert "PartitionFilters: [isnotnull(date" in kept._jdf.queryExecution().executedPlan().toString()
     assert kept.count() == events.filter("ts >= '2024-01-24'").count()
+
+
+def test_key_pages_of_large_keys(spark):
+    df = spark.createDataFrame([(2**53 + 1,), (-1,), (None,)], "k long")
+    got = {r.k: r.page for r in scan.scan_pages(df, "k", 1).collect()}
+    assert got == {2**53 + 1: 2**53 + 1, -1: -1, None: None}
+
+
+def test_jdbc_pages_follow_the_window(spark):
+    reader = scan.JdbcReader(
+        spark, "jdbc:x", {"orders": "id"}, {"orders": 1000}, hash_keys={"notes": "crc32(k)"})
+    where = "day >= '2001-07-02'"
+    options, predicates = reader.pages("orders", where, 2500, 900_001, 902_500)
+    assert options["dbtable"] == f"(SELECT * FROM orders WHERE {where}) w" and predicates is None
+    assert (options["lowerBound"], options["upperBound"]) == ("900001", "902501")
+    assert options["numPartitions"] == "3"
+    _, predicates = reader.pages("notes", None, 450_000, None, None)
+    assert len(predicates) == 3 and "IS NULL" in predicates[0]
+    options, predicates = reader.pages("plain", None, 10, None, None)
+    assert "numPartitions" not in options and predicates is None
+
+
+def test_strict_casts_reject_lossy_values(spark):
+    import datetime as dt
+
+    lossy = [
+        ("v double", 1.5, "bigint"), ("v decimal(10,4)", Decimal("1.2345"), "decimal(10,2)"),
+        ("v timestamp_ntz", dt.datetime(2001, 1, 1, 5), "date"), ("v bigint", 2**53 + 1, "double"),
+        ("v double", float("nan"), "bigint"), ("v string", "x", "int"), ("v bigint", 2**40, "int"),
+    ]
+    for old, value, new in lossy:
+        df = spark.createDataFrame([(value,)], old)
+        schema = T.StructType.fromDDL(f"v {new}")
+        assert ft.cast_rejects(df, schema).first()["rejected"] == 1, (old, new)
+        with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+            ft.cast_to_schema(df, schema).collect()
+    kept = [
+        ("v double", 2.0, "bigint", 2), ("v string", "01", "int", 1), ("v int", None, "date", None),
+        ("v timestamp_ntz", dt.datetime(2001, 1, 1), "date", dt.date(2001, 1, 1)),
+        ("v decimal(10,4)", Decimal("1.2300"), "decimal(10,2)", Decimal("1.23")),
+    ]
+    for old, value, new, want in kept:
+        if new == "date" and old == "v int":
+            continue
+        df = spark.createDataFrame([(value,)], old)
+        assert ft.cast_to_schema(df, T.StructType.fromDDL(f"v {new}")).first()[0] == want
+
+
+def test_settings_carry_queries_and_joins():
+    from mirrorspan.plans.config import chunk_sizes, strategies_from_settings
+
+    tables = {
+        "head": {"strategy": "date_incremental", "watermark_column": "day", "chunk_size": 7},
+        "part": {
+            "strategy": "date_incremental", "watermark_column": ["day"],
+            "custom_query": "SELECT 1", "delete_condition": "WHERE id IN (1)\n",
+        },
+    }
+    clusters = {"c": {"parent_table": "head", "join_column": "id", "child_tables": [
+        {"table": "line"}, {"table": "part", "join_via": "line"}]}}
+    head, part = strategies_from_settings(tables, clusters)
+    assert (part.custom_query, part.delete_condition, part.via) == ("SELECT 1", "id IN (1)", "line")
+    assert part.parent == "head" and part.join_columns == ("id",)
+    assert chunk_sizes([head, part]) == {"head": 7, "part": None}
+    assert chunk_sizes([head, part], 9) == {"head": 9, "part": 9}

@@ -241,3 +241,80 @@ def test_required_columns_fail_the_load(spark, store):
     assert Replicator(spark, "db", lambda t: full, ["t"], store, s).run(CTX).first().status == "SUCCESS"
     assert Replicator(spark, "db", lambda t: holes, ["t"], store, s).run(CTX).first().status == "FAILED"
     assert bag(store.read("db_t")) == [(1, "x"), (2, "y")]
+
+
+def test_children_of_failed_parents_are_skipped(spark, store, source):
+    def broken(name):
+        df = source(name)
+        if name == "orders":
+            return df.withColumn("o_orderstatus", F.raise_error(F.lit("gone")).cast("string"))
+        return df
+
+    names = ["lineitem", "orders"]
+    Replicator(spark, "shop", source, names, store, strategies("year")).run(FULL)
+    before = bag(store.read("shop_lineitem"))
+    ledger = Replicator(spark, "shop", broken, names, store, strategies("year"), record=True).run(CTX)
+    rows = {r.table_name: r for r in ledger.collect()}
+    assert rows["shop_orders"].status == "FAILED" and "gone" in rows["shop_orders"].error
+    assert rows["shop_lineitem"].status == "SKIPPED"
+    assert all(r.started_at <= r.finished_at for r in rows.values())
+    assert bag(store.read("shop_lineitem")) == before
+    assert store.read("run_ledger").count() == 2
+
+
+def test_repeated_parent_keys_do_not_repeat_children(spark, store):
+    day = dt.date(2001, 7, 30)
+    parents = spark.createDataFrame([(1, day), (1, day), (2, dt.date(2000, 1, 1))], "k long, day date")
+    lines = spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string")
+    s = [
+        Strategy("p", DATE_INCREMENTAL, ("day",)),
+        Strategy("l", DATE_INCREMENTAL, ("day",), parent="p", join_columns=("k",)),
+    ]
+    run = Replicator(spark, "d", {"p": parents, "l": lines}.__getitem__, ["p", "l"], store, s)
+    run.run(CTX)
+    assert bag(store.read("d_l")) == [(1, "a"), (2, "b")]
+    later = parents.unionByName(spark.createDataFrame([(3, day)], parents.schema))
+    more = lines.unionByName(spark.createDataFrame([(3, "c")], lines.schema))
+    run = Replicator(spark, "d", {"p": later, "l": more}.__getitem__, ["p", "l"], store, s)
+    run.run_spec("d.l", CTX)
+    run.run_spec("d.l", CTX)
+    assert bag(store.read("d_l")) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_reserved_column_name_is_refused(spark, store):
+    df = spark.range(1).withColumn("mirrorspan_part", F.lit("x"))
+    ledger = Replicator(spark, "d", lambda t: df, ["t"], store).run(CTX)
+    assert "reserved" in ledger.first()["error"]
+
+
+def test_custom_query_keeps_untouched_partitions(spark, store, source):
+    s = [Strategy(
+        "orders", DATE_INCREMENTAL, ("o_orderdate",), partition_unit="year",
+        custom_query="SELECT * FROM {orders} WHERE o_orderdate >= :cutoff",
+        delete_condition="o_orderdate >= :cutoff")]
+    run = Replicator(spark, "shop", source, ["orders"], store, s)
+    run.run(FULL)
+    first = {d for v, d in store.snapshot("shop_orders").dirs if v < "2001"}
+    run.run(CTX)
+    assert first and first < {d for _, d in store.snapshot("shop_orders").dirs}
+    assert bag(store.read("shop_orders")) == bag(source("orders"))
+
+
+def test_window_through_another_table(spark, store):
+    day, old = dt.date(2001, 7, 30), dt.date(2000, 1, 1)
+    tables = {
+        "head": spark.createDataFrame([(1, day), (2, old)], "h long, day date"),
+        "line": spark.createDataFrame([(10, 1), (20, 2)], "l long, h long"),
+        "cover": spark.createDataFrame([(10, "a"), (20, "b")], "l long, v string"),
+    }
+    s = [
+        Strategy("head", DATE_INCREMENTAL, ("day",)),
+        Strategy("line", DATE_INCREMENTAL, ("day",), parent="head", join_columns=("h",)),
+        Strategy("cover", DATE_INCREMENTAL, ("day",), parent="head", join_columns=("l",), via="line"),
+    ]
+    names = list(tables)
+    Replicator(spark, "d", tables.__getitem__, names, store, s).run(CTX)
+    changed = {**tables, "cover": spark.createDataFrame([(10, "A"), (20, "B")], "l long, v string")}
+    ledger = Replicator(spark, "d", changed.__getitem__, names, store, s).run(CTX)
+    assert {r.status for r in ledger.collect()} == {"SUCCESS"}
+    assert bag(store.read("d_cover")) == [(10, "A"), (20, "b")]

@@ -77,3 +77,21 @@ def test_a_failing_batch_fails_the_stream(spark, store, files, tmp_path):
     with pytest.raises(Exception, match="no space"):
         run(spark, orders, path, broken, str(tmp_path / "cp"))
     assert not store.exists("db_t")
+
+
+def test_new_checkpoint_under_the_same_name(spark, store, files, tmp_path):
+    orders, path, add = files
+    write = inc.append_batches(store, "db", "t", "s")
+    add(0)
+    run(spark, orders, path, write, str(tmp_path / "cp"))
+    other = str(tmp_path / "other")
+    orders.filter("o_orderkey = 3").coalesce(1).write.parquet(other)
+    run(spark, orders, other, write, str(tmp_path / "cp2"))
+    n = orders.filter("o_orderkey % 2 = 0").count()
+    assert store.read("db_t").count() == n + orders.filter("o_orderkey = 3").count()
+
+
+def test_child_windows_are_refused(store):
+    child = Strategy("l", DATE_INCREMENTAL, ("day",), parent="p", join_columns=("k",))
+    with pytest.raises(ValueError, match="parent"):
+        inc.replace_window_batches(store, "db", child, CTX, "s")
