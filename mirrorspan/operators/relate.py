@@ -16,7 +16,7 @@ KEY_NAME_PATTERNS = ("%ID%", "%numero%", "%comprobante%")
 
 
 def common_columns(catalog: DataFrame, patterns: Sequence[str] = SHARED_NAME_PATTERNS) -> DataFrame:
-    """Pairs of tables that share a key-like column name."""
+    """Pairs of tables that share a key-like column name, in order of both."""
     named = catalog.filter(name_like(F.col("column_name"), patterns)).select(
         "table_name", "column_name", "full_type", "non_null_rows"
     )
@@ -34,7 +34,7 @@ def common_columns(catalog: DataFrame, patterns: Sequence[str] = SHARED_NAME_PAT
         F.col("b.full_type").alias("data_type2"),
         F.col("a.non_null_rows").alias("values1"),
         F.col("b.non_null_rows").alias("values2"),
-    )
+    ).orderBy("table1", "column1", "table2")
 
 
 def shared_columns(tables: Mapping[str, DataFrame], patterns: Sequence[str] = SHARED_NAME_PATTERNS) -> DataFrame:

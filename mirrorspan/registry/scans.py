@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from mirrorspan.functions import clean
 from mirrorspan.functions.dates import in_window, in_window_null_guarded
+from mirrorspan.operators import views
 from mirrorspan.operators.joins import keys_via, rows_with_keys
 from mirrorspan.operators.relate import KEY_NAME_PATTERNS
 from mirrorspan.operators.window import child_window_rows, window_keys, window_rows
@@ -106,6 +108,65 @@ def _(t):
     return cat.union_all(cat.table_info(df, name) for name, df in t.all().items())
 
 
+@query(
+    "table_info_sample",
+    """SELECT 'nation' AS table_name, 3 AS columns,
+              'n_nationkey:int,n_name:string,n_regionkey:int' AS schema_text, count(*) AS rows,
+              (SELECT list(CAST(to_json({'n_nationkey': n_nationkey, 'n_name': n_name,
+                                         'n_regionkey': n_regionkey}) AS VARCHAR) ORDER BY n_nationkey)
+               FROM (SELECT * FROM nation ORDER BY n_nationkey LIMIT 5)) AS sample
+       FROM nation""",
+)
+def _(t):
+    return cat.table_info(t("nation"), "nation", ["n_nationkey"])
+
+
+@query(
+    "target_listing",
+    "SELECT 'orders' AS table_name, count(*) AS rows FROM orders UNION ALL "
+    "SELECT 'lineitem', count(*) FROM lineitem",
+)
+def _(t):
+    """Catalog tables of a database, none where there is no such database."""
+    spark = t.spark
+    names = {n: f"mirrorspan_listed_{n}" for n in ("orders", "lineitem")}
+    for n, view in names.items():
+        t(n).createOrReplaceTempView(view)
+    if cat.list_catalog_tables(spark, "no_such_database").count():
+        raise RuntimeError("a database that isn't there has tables")
+    listed = cat.list_catalog_tables(spark, spark.catalog.currentDatabase())
+    rows = cat.table_list({n: spark.table(v) for n, v in names.items()}, "shop")
+    there = listed.select(F.regexp_replace("table_name", "^mirrorspan_listed_", "").alias("table_name"))
+    return rows.join(there, "table_name", "left_semi").select("table_name", "rows")
+
+
+@query(
+    "create_view",
+    "SELECT c_mktsegment, count(*) AS customers FROM customer WHERE c_acctbal > 0 GROUP BY 1",
+)
+def _(t):
+    t("customer").createOrReplaceTempView("mirrorspan_customers")
+    return views.create_view(
+        t.spark, "mirrorspan_segments",
+        "SELECT c_mktsegment, count(*) AS customers FROM mirrorspan_customers "
+        "WHERE c_acctbal > 0 GROUP BY 1",
+    )
+
+
+@query(
+    "clean_bad_utf8",
+    """SELECT doc_id, 'a' || lang || source AS text
+       FROM documents""",
+)
+def _(t):
+    """Broken bytes inside texts are dropped, the rest stays."""
+    bad = F.unhex(F.lit("FF"))
+    text = F.concat(F.encode(F.lit("a"), "utf-8"), bad, F.encode("lang", "utf-8"), bad,
+                    F.encode("source", "utf-8"))
+    docs = t("documents").select("doc_id", text.cast("string").alias("text"))
+    return clean.clean_text_columns(docs)
+
+
 @query(
     "table_list",
     "\nUNION ALL ".join(

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import functools
-import tempfile
+import os
+import shutil
 import uuid
 
 import pyarrow as pa
@@ -36,16 +38,15 @@ def local_session(app: str = "mirrorspan", cores: str | int = "*", **extra) -> S
     return builder.getOrCreate()
 
 
-@functools.cache
-def _local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="mirrorspan-")
+_made: list[str] = []
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the cluster's ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder: on a cluster such
-    a folder would not be visible to the other machines.
+    Where that is unset, on a local master alone, it lies in the warehouse. Such
+    folders are removed when the process ends; :func:`drop_scratch` removes all
+    that this process has asked for.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
@@ -53,8 +54,27 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder")
-        base = _local_scratch()
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+        base = _warehouse_scratch(spark.conf.get("spark.sql.warehouse.dir"))
+    _made.append(f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}")
+    return _made[-1]
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Deletes the scratch folders of this process; frames read from them are void."""
+    dropped = 0
+    while _made:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        dropped += bool(fs.delete(path, True))
+    return dropped
+
+
+@functools.cache
+def _warehouse_scratch(warehouse: str) -> str:
+    folder = f"{warehouse.removeprefix('file:').rstrip('/')}/scratch-{uuid.uuid4().hex[:12]}"
+    folder = os.path.abspath("/" + folder.lstrip("/") if folder.startswith("//") else folder)
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def local_frame(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:

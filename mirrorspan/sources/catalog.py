@@ -133,8 +133,21 @@ def list_catalog_tables(spark: SparkSession, database: str) -> DataFrame:
     return local_frame(spark, names, "database_name string, table_name string")
 
 
-def table_info(df: DataFrame, table: str) -> DataFrame:
-    """Column count, row count and schema text of one table."""
+def table_info(
+    df: DataFrame, table: str, sample_by: Sequence[str] = (), sample: int = 5
+) -> DataFrame:
+    """Column count, row count and schema text of one table.
+
+    With ``sample_by`` also its first ``sample`` rows in that order, as JSON texts.
+    """
+    if sample_by:
+        first = df.orderBy(*sample_by).limit(sample)
+        place = F.struct(*sample_by)
+        rows = first.select(place.alias("place"), F.to_json(F.struct("*")).alias("row"))
+        texts = rows.agg(F.sort_array(F.collect_list(F.struct("place", "row"))).alias("rows")).select(
+            F.lit(table).alias("table_name"), F.transform("rows", lambda r: r.row).alias("sample")
+        )
+        return table_info(df, table).join(texts, "table_name")
     schema = ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in df.schema.fields)
     return df.agg(F.count(F.lit(1)).alias("rows")).select(
         F.lit(table).alias("table_name"),
@@ -145,10 +158,10 @@ def table_info(df: DataFrame, table: str) -> DataFrame:
 
 
 def fk_catalog(spark: SparkSession, relationships: Sequence[Relationship]) -> DataFrame:
-    """One row per foreign-key column, in key order."""
+    """One row per foreign-key column, by table, constraint and position."""
     rows = [
         (r.name, r.kind, r.table, c, i, r.ref_table, rc)
-        for r in relationships
+        for r in sorted(relationships, key=lambda r: (r.table, r.name))
         for i, (c, rc) in enumerate(zip(r.columns, r.ref_columns), start=1)
     ]
     return local_frame(
@@ -180,11 +193,12 @@ def key_columns(
         catalog.filter(F.col("table_name").isin(*tables))
         .withColumn("column_key", F.when(is_primary, "PRI").otherwise(""))
         .filter(name_like(F.col("column_name"), patterns) | (F.col("column_key") == "PRI"))
+        .orderBy("table_name", "column_name")
     )
 
 
 def required_columns(catalog: DataFrame) -> DataFrame:
-    return catalog.filter(~F.col("nullable"))
+    return catalog.filter(~F.col("nullable")).orderBy("table_name", "column_name")
 
 
 def type_histogram(catalog: DataFrame, counts: DataFrame | None = None) -> DataFrame:

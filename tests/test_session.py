@@ -1,4 +1,4 @@
-"""Scratch folders: the cluster's own, a temporary one only on a local master."""
+"""Scratch folders: the cluster's own, the warehouse only on a local master."""
 
 from types import SimpleNamespace
 
@@ -8,7 +8,8 @@ from mirrorspan import session
 
 
 def fake(master, folder=None):
-    conf = SimpleNamespace(get=lambda key, default=None: folder if key == "spark.checkpoint.dir" else default)
+    known = {"spark.checkpoint.dir": folder, "spark.sql.warehouse.dir": "file:/data/wh"}
+    conf = SimpleNamespace(get=lambda key, default=None: known.get(key) or default)
     context = SimpleNamespace(master=master, getConf=lambda: conf)
     return SimpleNamespace(conf=conf, sparkContext=context)
 
@@ -24,7 +25,15 @@ def test_no_machine_local_folder_on_a_cluster():
 
 
 def test_local_master_may_fall_back():
-    assert session.scratch_dir(fake("local[2]"), "load")
+    assert session.scratch_dir(fake("local[2]"), "load").startswith("/data/wh/scratch-")
+
+
+def test_scratch_folders_can_be_dropped(spark):
+    path = session.scratch_dir(spark, "gone")
+    spark.range(3).write.parquet(path)
+    assert session.drop_scratch(spark) >= 1
+    with pytest.raises(Exception, match="(?i)path"):
+        spark.read.parquet(path)
 
 
 def test_local_frames_are_local_relations(spark):
