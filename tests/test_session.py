@@ -28,7 +28,8 @@ def test_local_master_may_fall_back():
     assert session.scratch_dir(fake("local[2]"), "load").startswith("/data/wh/scratch-")
 
 
-def test_scratch_folders_can_be_dropped(spark):
+def test_scratch_folders_can_be_dropped(spark, monkeypatch):
+    monkeypatch.setattr(session, "_made", [])
     path = session.scratch_dir(spark, "gone")
     spark.range(3).write.parquet(path)
     assert session.drop_scratch(spark) >= 1
