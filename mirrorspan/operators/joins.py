@@ -17,6 +17,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from mirrorspan.functions.dates import ntz
 from mirrorspan.model import Relationship, SourceReader
 
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
@@ -66,7 +67,10 @@ class KeySet:
         """
         if self.low is None:
             return df
-        return df.filter(F.col(f"`{column}`").between(F.lit(self.low), F.lit(self.high)))
+        # A zone-less instant must not be read in the session's zone.
+        zoneless = isinstance(df.schema[column].dataType, T.TimestampNTZType)
+        literal = ntz if zoneless else F.lit
+        return df.filter(F.col(f"`{column}`").between(literal(self.low), literal(self.high)))
 
 
 def without_nulls(df: DataFrame) -> DataFrame:

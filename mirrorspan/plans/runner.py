@@ -77,6 +77,7 @@ class Replicator:
         delete_orphans: bool = False,
         batch: dict[str, int] | None = None,
         record: bool = False,
+        keep_versions: int | None = None,
     ):
         self.spark = spark
         self.database = database
@@ -93,6 +94,7 @@ class Replicator:
         self.versions: dict[str, int] = {}  # of the copies before the run
         self.batch = batch  # stream -> micro-batch that the source rows come from
         self.record = record  # append each run to the store's run ledger
+        self.keep_versions = keep_versions  # older ones are deleted after a run
 
     # -- whole runs -------------------------------------------------------
 
@@ -109,6 +111,10 @@ class Replicator:
         ledger = local_frame(self.spark, rows, RUN_SCHEMA)
         if self.record:
             record_run(self.store, ledger)
+        if self.keep_versions is not None:
+            for copy in copies:
+                if self.store.exists(copy):
+                    self.store.drop_old_versions(copy, self.keep_versions)
         return ledger
 
     def run_missing(self, ctx: RunContext) -> DataFrame:

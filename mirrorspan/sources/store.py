@@ -22,6 +22,7 @@ from __future__ import annotations
 import json
 import re
 import uuid
+from collections import Counter
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from urllib.parse import unquote
@@ -205,6 +206,20 @@ class TableStore:
                 out.append((table, None, None, f"{type(exc).__name__}: {exc}"))
         return out
 
+    def compact(self, table: str) -> int:
+        """Writes partitions that many appends have scattered anew, each into one
+        folder; returns how many folders that saves."""
+        snap = self.snapshot(table)
+        counts = Counter(v for v, _ in snap.dirs)
+        many = {v for v, n in counts.items() if n > 1}
+        if not many:
+            return 0
+        chosen = many.__contains__
+        whole = snap.partition_by is None
+        df = self.read(table, None if whole else chosen, keep_partition=not whole)
+        self.replace(table, [df], None if whole else chosen)
+        return len(snap.dirs) - len(self.snapshot(table).dirs)
+
     def truncate(self, table: str) -> None:
         """No rows, same schema."""
         snap = self.snapshot(table)

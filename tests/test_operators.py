@@ -242,3 +242,17 @@ def test_table_sizes(spark, folder, tmp_path):
     assert tuple(quality.table_size(nation, "values").first()) == (25, 25 * 8 + names)
     top = quality.largest_tables({"n": nation, "m": nation.filter("n_nationkey < 3")}, 1)
     assert [r.table_name for r in top.collect()] == ["n"]
+
+
+def test_key_range_of_zoneless_timestamps(spark):
+    import datetime as dt
+
+    from mirrorspan.operators.joins import key_set
+
+    df = spark.createDataFrame([(dt.datetime(2001, 1, 1, 12),)], "t timestamp_ntz")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        assert key_set(df, ["t"]).within_range(df, "t").count() == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

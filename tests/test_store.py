@@ -144,3 +144,14 @@ def test_rebuild_all_goes_on_after_a_failure(store, spark, monkeypatch):
     monkeypatch.setattr(
         store, "rebuild", lambda t: whole(t) if t == "b" else (_ for _ in ()).throw(OSError("gone")))
     assert store.rebuild_all() == [("a", None, None, "OSError: gone"), ("b", 4, 4, None)]
+
+
+def test_compaction_and_old_versions(store, spark):
+    df = spark.createDataFrame([(k, f"p{k % 2}") for k in range(6)], "k long, p string")
+    for _ in range(3):
+        store.append("t", df, "p")
+        store.append("u", spark.range(2))
+    assert store.compact("t") == 4 and store.compact("u") == 2 and store.compact("u") == 0
+    assert store.read("t").count() == 18 and store.read("u").count() == 6
+    assert store.drop_old_versions("t", keep=1) >= 3
+    assert store.read("t").count() == 18
