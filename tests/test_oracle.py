@@ -21,3 +21,23 @@ def test_contract(spark):
     assert set(contract.oracle_sql()) <= set(contract.queries())
     df = contract.entry(spark)
     assert df.columns[0] == "l_orderkey" and df.count() > 0
+
+
+def test_without_the_optional_subpackage(monkeypatch):
+    import sys
+
+    for name in ("corpus_pipeline", "mirrorspan.llm"):
+        monkeypatch.setitem(sys.modules, name, None)  # as if it weren't there
+        assert set(contract.queries()) == set(QUERIES) and contract.oracle_sql() == ORACLES
+        monkeypatch.delitem(sys.modules, name)
+
+
+def test_nothing_imports_the_optional_subpackage():
+    from pathlib import Path
+
+    import mirrorspan
+
+    root = Path(mirrorspan.__file__).parent
+    for path in root.rglob("*.py"):
+        if "llm" not in path.relative_to(root).parts:
+            assert "mirrorspan.llm" not in path.read_text(), path
