@@ -26,6 +26,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import itertools
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -166,9 +167,9 @@ def _dealt(texts: DataFrame, bounds: list) -> DataFrame:
     """Each row in the partition of its range, and the first of a range also, as halo,
     in the partition before it."""
     n = len(bounds)
-    first = F.array(*(
-        F.struct(F.lit(b["id"]).alias("id"), F.lit(b["hash"]).alias("hash")) for b in bounds
-    ))
+    # One text, which the optimizer turns into one literal however many ranges there are.
+    known = json.dumps([{"id": b["id"], "hash": b["hash"]} for b in bounds])
+    first = F.from_json(F.lit(known), "array<struct<id:bigint,hash:bigint>>")
     here = F.struct("bucket", F.lit(False).alias("halo"))
     before = F.struct(
         ((F.col("bucket") + n - 1) % n).alias("bucket"), F.lit(True).alias("halo")
