@@ -48,6 +48,9 @@ BITS = 128
 # Differing bits at most: the mean at LEAST similarity and 3.6 deviations.
 MOST_APART = 25
 LEADERS = 3
+# Keys of more texts than HOT are compared in blocks.
+HOT = 64
+BLOCK = 512
 BATCH_CHARS = 2_000_000
 NULL_ID = -(2**63)
 
@@ -314,7 +317,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # Texts of a key that are still in different classes, where not all were compared.
     placed = (
         bands.filter(F.col("texts") > 2)
-        .select("key", "id", "n", "bits1", "bits2")
+        .select("key", "texts", "id", "n", "bits1", "bits2")
         .join(classes, "id", "left")
         .withColumn("class_id", F.coalesce("class_id", "id"))
     )
@@ -325,16 +328,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .filter("low != high")
         .select("key")
     )
-    open_ = placed.join(split, "key", "left_semi")
+    open_ = materialized(placed.join(split, "key", "left_semi"), "omh-open")
+    few = open_.filter(F.col("texts") <= HOT)
     rest = (
-        open_.join(_other(open_), "key")
+        few.join(_other(few), "key")
         .filter("class_id != other_class_id and id < other_id")
         .filter(_may_be_alike())
         .select("id", "other_id")
         .distinct()
         .join(led, ["id", "other_id"], "left_anti")
     )
-    more = materialized(_verify(materialized(rest, "omh-rest"), content), "omh-more")
+    more = _verify(materialized(rest, "omh-rest"), content).unionByName(
+        _verify_hot(open_.filter(F.col("texts") > HOT), texts.select("id", "keys"), content)
+    )
+    more = materialized(more, "omh-more")
     if not more.isEmpty():
         classes = components(links.unionByName(more), "omh-all")
     named = first.join(classes, "id", "left").select(
@@ -348,6 +355,84 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
+def _verify_hot(hot: DataFrame, keys: DataFrame, content: DataFrame) -> DataFrame:
+    """Links between classes among the texts of hot keys, compared block by block.
+
+    The texts of a key that are not in its largest class meet all of its texts, in
+    blocks of ``BLOCK``; a task gives the links it finds, never the pairs.
+    """
+    sizes = hot.groupBy("key", "class_id").agg(F.count("*").alias("members"))
+    largest = sizes.groupBy("key").agg(
+        F.max_by("class_id", F.struct("members", "class_id")).alias("largest"),
+        F.sum("members").alias("all"),
+        (F.sum("members") - F.max("members")).alias("others"),
+    )
+    own = (
+        hot.join(largest, "key")
+        .join(keys, "id")
+        .join(content, "id")
+        .withColumn("minor", F.col("class_id") != F.col("largest"))
+    )
+    dealt = lambda count: F.ceil(F.col(count) / BLOCK).cast("int")
+    place = lambda count: F.pmod(F.xxhash64("id"), dealt(count)).cast("int")
+    every = lambda count: F.explode(F.sequence(F.lit(0), dealt(count) - 1))
+    kept = ["key", "id", "class_id", "n", "bits1", "bits2", "keys", "words", "minor"]
+    own = materialized(own.select(*kept, "others", "all"), "omh-hot")
+    left = own.filter("minor").withColumn("left", place("others")).withColumn("right", every("all"))
+    right = own.withColumn("left", every("others")).withColumn("right", place("all"))
+    right = right.select(*(F.col(c).alias(f"_{c}") for c in (*kept, "left", "right")))
+
+    def compare(block: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        b.columns = [c[1:] for c in b.columns]
+        return pd.DataFrame(_links(block[0], a, b), columns=["id", "other_id"], dtype="int64")
+
+    return (
+        left.select(*kept, "left", "right")
+        .groupBy("key", "left", "right")
+        .cogroup(right.groupBy("_key", "_left", "_right"))
+        .applyInPandas(compare, "id long, other_id long")
+    )
+
+
+def _links(key: int, a: pd.DataFrame, b: pd.DataFrame) -> list[tuple[int, int]]:
+    """Links that join classes; what a link has joined needs no other."""
+    if not len(a) or not len(b):
+        return []
+    parent: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while (up := parent.get(c, c)) != c:
+            c = up
+        return c
+
+    grams = [
+        [kmers(np.frombuffer(w, np.uint32)) for w in own["words"]] for own in (a, b)
+    ]
+    bits = [own[["bits1", "bits2"]].to_numpy(np.int64).view(np.uint64) for own in (a, b)]
+    bands = [np.stack([np.asarray(k, np.int64) for k in own["keys"]]) for own in (a, b)]
+    sizes = [own["n"].to_numpy(float) for own in (a, b)]
+    ids = [own["id"].to_numpy() for own in (a, b)]
+    groups = [own["class_id"].to_numpy() for own in (a, b)]
+    minor = b["minor"].to_numpy(bool)
+    out = []
+    for i in range(len(a)):
+        apart = np.bitwise_count(bits[0][i] ^ bits[1]).sum(axis=1)
+        low, high = np.minimum(sizes[0][i], sizes[1]), np.maximum(sizes[0][i], sizes[1])
+        fits = (apart <= MOST_APART) & (low >= high * LEAST - 1e-9)
+        fits &= (groups[1] != groups[0][i]) & ~(minor & (ids[1] <= ids[0][i]))
+        near = np.flatnonzero(fits)
+        # A pair is compared under the first key that it shares.
+        same = bands[1][near] == bands[0][i]
+        first = same.argmax(axis=1)
+        near = near[bands[0][i][first] == key]
+        for j in near[np.argsort(apart[near], kind="stable")]:
+            one, other = root(groups[0][i]), root(groups[1][j])
+            if one != other and aligned(grams[0][i], grams[1][j]):
+                out.append((int(ids[0][i]), int(ids[1][j])))
+                parent[max(one, other)] = min(one, other)
+    return out
+
+
 def _content(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(id, words) of the wanted ids."""
     chosen = _identified(docs).join(wanted, "id", "left_semi")

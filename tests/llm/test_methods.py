@@ -219,8 +219,11 @@ def test_components(spark):
     assert got == {k: 0 for k in range(41)} | {k: 100 for k in (100, 150, 200, 300)}
 
 
-def test_hot_key_of_different_texts(spark):
+@pytest.mark.parametrize("hot, block", [(64, 512), (10, 16)])
+def test_hot_key_of_different_texts(spark, monkeypatch, hot, block):
     """Near copies whose pairwise similarity lies on both sides of the limit."""
+    monkeypatch.setattr(minhash, "HOT", hot)
+    monkeypatch.setattr(minhash, "BLOCK", block)
     rng = random.Random(7)
     base = [f"w{rng.randint(0, 5000)}" for _ in range(150)]
     texts = []
