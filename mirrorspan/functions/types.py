@@ -9,16 +9,16 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # Source base type -> class of the stored column.
 TYPE_CLASSES = {
-    "integer": "tinyint smallint mediumint int integer bigint year",
-    "float": "float double",
-    "decimal": "decimal numeric",
-    "string": "char varchar text tinytext mediumtext longtext enum set json",
-    "date": "date",
-    "time": "time",
-    "datetime": "datetime",
-    "timestamp": "timestamp",
-    "binary": "binary varbinary blob tinyblob mediumblob longblob",
-    "boolean": "bit boolean bool",
+    "integer": ("tinyint", "smallint", "mediumint", "int", "integer", "bigint", "year"),
+    "float": ("float", "double"),
+    "decimal": ("decimal", "numeric"),
+    "string": ("char", "varchar", "text", "tinytext", "mediumtext", "longtext", "enum", "set", "json"),
+    "date": ("date",),
+    "time": ("time",),
+    "datetime": ("datetime",),
+    "timestamp": ("timestamp",),
+    "binary": ("binary", "varbinary", "blob", "tinyblob", "mediumblob", "longblob"),
+    "boolean": ("bit", "boolean", "bool"),
 }
 
 # Spark type name stored for each class; times are kept as HH:mm:ss text and
@@ -51,7 +51,7 @@ HISTOGRAM_CLASSES = {
 }
 
 _BASE_TO_SPARK = {
-    base: SPARK_TYPES[cls] for cls, names in TYPE_CLASSES.items() for base in names.split()
+    base: SPARK_TYPES[cls] for cls, names in TYPE_CLASSES.items() for base in names
 }
 _DECIMAL = re.compile(r"^(?:decimal|numeric)\s*\(\s*(\d+)\s*(?:,\s*(\d+)\s*)?\)")
 
@@ -104,7 +104,7 @@ def histogram_class(type_text: Column) -> Column:
     """strings / integers / floats / dates / booleans / others, for a source
     type or a Spark type. Unknown source types are stored as text."""
     words = {
-        base: HISTOGRAM_CLASSES[cls] for cls, names in TYPE_CLASSES.items() for base in names.split()
+        base: HISTOGRAM_CLASSES[cls] for cls, names in TYPE_CLASSES.items() for base in names
     } | {"timestamp_ntz": "dates"}
     known = F.create_map(*[F.lit(x) for pair in words.items() for x in pair])
     return (

@@ -150,6 +150,7 @@ def join_test(left: DataFrame, right: DataFrame, left_columns: Sequence[str],
     ).withColumn("join_works", F.col("total_joined_rows") > 0)
 
 
+# Result names of the join tests.
 def labelled_join_test(read: SourceReader, rel: Relationship) -> DataFrame:
     """The join test of one relationship as one row; columns that do not exist
     are reported in ``error`` instead of failing the other tests."""
