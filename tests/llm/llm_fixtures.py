@@ -1,10 +1,7 @@
-import sys
-from pathlib import Path
+"""Fixtures of these tests; not a conftest, whose name the tests above import."""
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).parents[1]))
-
 EXTRA = ("size", "row", "id", "words", "key", "score", "bucket", "doc", "place", "part", "n", "target")
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
 SCHEMA = COLUMNS + "".join(f", {c} string" for c in EXTRA)

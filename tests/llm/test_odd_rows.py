@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns."""
 
 import pytest
+from llm_fixtures import no_docs, odd_docs  # noqa: F401
 
 from mirrorspan.llm import bitpack, crf, dualtree, feistel, fm, licenses, minhash, mixing
 from mirrorspan.llm import packing, spotsigs

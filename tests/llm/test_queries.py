@@ -4,6 +4,7 @@ import hashlib
 import zlib
 
 import pytest
+from llm_fixtures import documents  # noqa: F401
 from oracle import _bag, connect
 
 from mirrorspan.llm.queries import ORACLES, QUERIES
