@@ -49,7 +49,7 @@ BITS = 128
 MOST_APART = 25
 LEADERS = 3
 # Keys of more texts than HOT are compared in blocks.
-HOT = 64
+HOT = 16
 BLOCK = 512
 BATCH_CHARS = 2_000_000
 NULL_ID = -(2**63)
