@@ -44,15 +44,18 @@ K = 5
 LEAST = 0.8
 BANDS = 20
 TAKEN = 5
-BITS = 128
+BITS = 256
 # Differing bits at most: the mean at LEAST similarity and 3.6 deviations.
-MOST_APART = 25
+MOST_APART = 43
+# Hash values held at once for a text.
+HELD = 2_000_000
 LEADERS = 3
 # Keys of more texts than HOT are compared in blocks.
 HOT = 16
 BLOCK = 512
 BATCH_CHARS = 2_000_000
 NULL_ID = -(2**63)
+BIT_COLUMNS = [f"bits{k + 1}" for k in range(BITS // 64)]
 
 WORDS = re.compile(r"\w+")
 _RANDOM = np.random.default_rng(20240229)
@@ -93,21 +96,28 @@ def labelled(values: np.ndarray) -> np.ndarray:
     return _scramble(values + occurrence * _ODD[0])
 
 
-def sketch(words: np.ndarray) -> tuple[list[int], int, int]:
-    """(keys of the bands, first and second half of the bits)."""
+def sketch(words: np.ndarray) -> tuple[list[int], list[int]]:
+    """(keys of the bands, bits as numbers of 64 each)."""
     labels = labelled(kmers(words))
     if not len(labels):
-        return [], 0, 0
-    table = labels[None, :] * FACTORS[:, None] + OFFSETS[:, None]
-    least = table.min(axis=1) >> np.uint64(33) & np.uint64(1)
-    halves = np.packbits(least.astype(np.uint8)).view(">u8").astype(np.uint64).view(np.int64)
+        return [], [0] * (BITS // 64)
     taken = min(TAKEN, len(labels))
-    chosen = np.argpartition(table[:BANDS], taken - 1, axis=1)[:, :taken]
+    least, chosen = np.empty(BITS, np.uint64), np.empty((BANDS, taken), np.int64)
+    each = max(1, HELD // len(labels))
+    for low in range(0, BITS, each):
+        high = min(low + each, BITS)
+        table = labels[None, :] * FACTORS[low:high, None] + OFFSETS[low:high, None]
+        least[low:high] = table.min(axis=1)
+        if low < BANDS:
+            own = np.argpartition(table[: BANDS - low], taken - 1, axis=1)[:, :taken]
+            chosen[low : low + len(own)] = own
+    bits = (least >> np.uint64(33) & np.uint64(1)).astype(np.uint8)
+    numbers = np.packbits(bits).view(">u8").astype(np.uint64).view(np.int64)
     ordered = labels[np.sort(chosen, axis=1)]
     key = _scramble(np.arange(BANDS, dtype=np.uint64) + np.uint64(1))
     for k in range(taken):
         key = _scramble(key * _ODD[0] + ordered[:, k])
-    return key.view(np.int64).tolist(), int(halves[0]), int(halves[1])
+    return key.view(np.int64).tolist(), numbers.tolist()
 
 
 def aligned(a: np.ndarray, b: np.ndarray, least: float = LEAST) -> bool:
@@ -198,7 +208,7 @@ def _identified(docs: DataFrame) -> DataFrame:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """(id, same1, same2, n, keys, bits1, bits2); equal texts have equal ``same``."""
+    """(id, same1, same2, n, keys, bits1 to bits4); equal texts have equal ``same``."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = Hasher()
@@ -206,22 +216,23 @@ def sketches(docs: DataFrame) -> DataFrame:
             rows = []
             for id_, words in zip(some["id"], hasher.words(some["text"].tolist())):
                 same = np.frombuffer(blake2b(words.tobytes(), digest_size=16).digest(), np.int64)
-                rows.append((id_, *same, max(len(words) - K + 1, min(1, len(words))), *sketch(words)))
+                keys, bits = sketch(words)
+                n = max(len(words) - K + 1, min(1, len(words)))
+                rows.append((id_, *same, n, keys, *bits))
             yield pd.DataFrame(
-                rows, columns=["id", "same1", "same2", "n", "keys", "bits1", "bits2"]
+                rows, columns=["id", "same1", "same2", "n", "keys", *BIT_COLUMNS]
             )
 
     return _identified(docs).mapInPandas(
         run,
-        "id long, same1 long, same2 long, n int, keys array<long>, bits1 long, bits2 long",
+        "id long, same1 long, same2 long, n int, keys array<long>, "
+        + ", ".join(f"{c} long" for c in BIT_COLUMNS),
     )
 
 
 def _may_be_alike() -> Column:
     """By length and by the bits of both sketches."""
-    apart = F.bit_count(F.col("bits1").bitwiseXOR(F.col("other_bits1"))) + F.bit_count(
-        F.col("bits2").bitwiseXOR(F.col("other_bits2"))
-    )
+    apart = sum(F.bit_count(F.col(c).bitwiseXOR(F.col(f"other_{c}"))) for c in BIT_COLUMNS)
     short, long = F.least("n", "other_n"), F.greatest("n", "other_n")
     return (apart <= MOST_APART) & (short >= long * LEAST - 1e-9)
 
@@ -289,17 +300,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     same = ["same1", "same2"]
     first = drawn.groupBy(*same).agg(F.min("id").alias("id"))
     texts = drawn.join(first, [*same, "id"], "left_semi").dropDuplicates(["id"])
-    bands = texts.select("id", "n", "bits1", "bits2", F.explode("keys").alias("key"))
+    bands = texts.select("id", "n", *BIT_COLUMNS, F.explode("keys").alias("key"))
     shared = bands.groupBy("key").agg(
         F.count("*").alias("texts"),
         *(F.min_by("id", F.xxhash64("id", F.lit(s))).alias(f"leader{s}") for s in range(LEADERS)),
     ).filter("texts > 1")
     bands = materialized(bands.join(shared, "key"), "omh-bands")
 
-    facts = texts.select(*(F.col(c).alias(f"other_{c}") for c in ("id", "n", "bits1", "bits2")))
+    facts = texts.select(*(F.col(c).alias(f"other_{c}") for c in ("id", "n", *BIT_COLUMNS)))
     leaders = F.array_distinct(F.array(*(f"leader{s}" for s in range(LEADERS))))
     led = (
-        bands.select("id", "n", "bits1", "bits2", F.explode(leaders).alias("other_id"))
+        bands.select("id", "n", *BIT_COLUMNS, F.explode(leaders).alias("other_id"))
         .filter("id != other_id")
         .distinct()
         .join(facts, "other_id")
@@ -317,7 +328,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # Texts of a key that are still in different classes, where not all were compared.
     placed = (
         bands.filter(F.col("texts") > 2)
-        .select("key", "texts", "id", "n", "bits1", "bits2")
+        .select("key", "texts", "id", "n", *BIT_COLUMNS)
         .join(classes, "id", "left")
         .withColumn("class_id", F.coalesce("class_id", "id"))
     )
@@ -376,7 +387,7 @@ def _verify_hot(hot: DataFrame, keys: DataFrame, content: DataFrame) -> DataFram
     dealt = lambda count: F.ceil(F.col(count) / BLOCK).cast("int")
     place = lambda count: F.pmod(F.xxhash64("id"), dealt(count)).cast("int")
     every = lambda count: F.explode(F.sequence(F.lit(0), dealt(count) - 1))
-    kept = ["key", "id", "class_id", "n", "bits1", "bits2", "keys", "words", "minor"]
+    kept = ["key", "id", "class_id", "n", *BIT_COLUMNS, "keys", "words", "minor"]
     own = materialized(own.select(*kept, "others", "all"), "omh-hot")
     left = own.filter("minor").withColumn("left", place("others")).withColumn("right", every("all"))
     right = own.withColumn("left", every("others")).withColumn("right", place("all"))
@@ -408,7 +419,7 @@ def _links(key: int, a: pd.DataFrame, b: pd.DataFrame) -> list[tuple[int, int]]:
     grams = [
         [kmers(np.frombuffer(w, np.uint32)) for w in own["words"]] for own in (a, b)
     ]
-    bits = [own[["bits1", "bits2"]].to_numpy(np.int64).view(np.uint64) for own in (a, b)]
+    bits = [own[BIT_COLUMNS].to_numpy(np.int64).view(np.uint64) for own in (a, b)]
     bands = [np.stack([np.asarray(k, np.int64) for k in own["keys"]]) for own in (a, b)]
     sizes = [own["n"].to_numpy(float) for own in (a, b)]
     ids = [own["id"].to_numpy() for own in (a, b)]
