@@ -11,7 +11,7 @@ candidates before their texts are fetched.
 Two texts are linked if the k-mers that an alignment matches in order are
 ``LEAST`` or more of all their k-mers; only alignments that can reach it, a band
 around the diagonal, are explored. A class is a connected component of links and
-is named after its smallest id.
+is named after its smallest id, before null.
 
 Work within a key does not grow with the square of its texts: equal texts are one
 text; every text is compared with ``LEADERS`` texts of the key; what is already in
@@ -20,9 +20,10 @@ classes are compared with each other, all of them.
 
 Defined results: texts are compared by their lower-case words; null and empty texts
 and texts without words are equal to each other and to nothing else; texts of fewer
-than five words have one k-mer; null ids count as one id and stay null; rows that
-share an id are one document; an empty table gives no rows; only ``doc_id`` and
-``text`` are read.
+than five words have one k-mer; an empty table gives no rows; only ``doc_id`` and
+``text`` are read. Ids only name: the search goes over distinct texts, whatever ids
+their rows have. A class without any id is named null, and classes whose smallest
+id is the same one have one name; ``distinct`` still keeps a row of each.
 """
 
 from __future__ import annotations
@@ -54,7 +55,6 @@ LEADERS = 3
 HOT = 16
 BLOCK = 512
 BATCH_CHARS = 2_000_000
-NULL_ID = -(2**63)
 BIT_COLUMNS = [f"bits{k + 1}" for k in range(BITS // 64)]
 
 WORDS = re.compile(r"\w+")
@@ -200,33 +200,42 @@ def _batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield some
 
 
+def _row() -> Column:
+    """What tells rows apart: their id and text."""
+    id_ = F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("-"))
+    return F.unhex(F.md5(F.concat_ws(" ", id_, F.coalesce("text", F.lit("")))))
+
+
 def _identified(docs: DataFrame) -> DataFrame:
+    doc_id = F.col("doc_id").cast("long")
     return docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"),
+        doc_id.isNull().alias("unnamed"),
+        F.coalesce(doc_id, F.lit(0)).alias("doc_id"),
+        _row().alias("row"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """(id, same1, same2, n, keys, bits1 to bits4); equal texts have equal ``same``."""
+    """(unnamed, doc_id, row, same1, same2, n, keys, bits1 to bits4); equal texts have equal ``same``."""
+    own = ["unnamed", "doc_id", "row"]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = Hasher()
         for some in _batches(frames):
             rows = []
-            for id_, words in zip(some["id"], hasher.words(some["text"].tolist())):
+            for words in hasher.words(some["text"].tolist()):
                 same = np.frombuffer(blake2b(words.tobytes(), digest_size=16).digest(), np.int64)
                 keys, bits = sketch(words)
                 n = max(len(words) - K + 1, min(1, len(words)))
-                rows.append((id_, *same, n, keys, *bits))
-            yield pd.DataFrame(
-                rows, columns=["id", "same1", "same2", "n", "keys", *BIT_COLUMNS]
-            )
+                rows.append((*same, n, keys, *bits))
+            drawn = pd.DataFrame(rows, columns=["same1", "same2", "n", "keys", *BIT_COLUMNS])
+            yield pd.concat([some[own].reset_index(drop=True), drawn], axis=1)
 
     return _identified(docs).mapInPandas(
         run,
-        "id long, same1 long, same2 long, n int, keys array<long>, "
-        + ", ".join(f"{c} long" for c in BIT_COLUMNS),
+        "unnamed boolean, doc_id long, row binary, same1 long, same2 long, n int, "
+        "keys array<long>, " + ", ".join(f"{c} long" for c in BIT_COLUMNS),
     )
 
 
@@ -294,12 +303,23 @@ def components(links: DataFrame, label: str = "components") -> DataFrame:
             return classes
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, class_id) of every row of ``docs``."""
+def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The sketches of all rows, and (same1, same2, head) of every distinct text.
+
+    ``head`` is the first row of the text's class: (unnamed, doc_id, row).
+    """
     drawn = materialized(sketches(docs), "omh-sketches")
     same = ["same1", "same2"]
-    first = drawn.groupBy(*same).agg(F.min("id").alias("id"))
-    texts = drawn.join(first, [*same, "id"], "left_semi").dropDuplicates(["id"])
+    # The numbers of the texts are pinned by the written table.
+    texts = materialized(
+        drawn.groupBy(*same)
+        .agg(
+            F.min(F.struct("unnamed", "doc_id", "row")).alias("head"),
+            *(F.first(c).alias(c) for c in ("n", "keys", *BIT_COLUMNS)),
+        )
+        .withColumn("id", F.monotonically_increasing_id()),
+        "omh-texts",
+    )
     bands = texts.select("id", "n", *BIT_COLUMNS, F.explode("keys").alias("key"))
     shared = bands.groupBy("key").agg(
         F.count("*").alias("texts"),
@@ -320,7 +340,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     led = materialized(led, "omh-led")
     # Word hashes of the texts that are candidates at all.
-    wanted = bands.select("id").distinct()
+    wanted = texts.select("id", F.col("head.row").alias("row")).join(
+        bands.select("id").distinct(), "id", "left_semi"
+    )
     content = materialized(_content(docs, wanted), "omh-content")
     links = materialized(_verify(led, content), "omh-links")
     classes = components(links, "omh-classes")
@@ -355,14 +377,25 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     more = materialized(more, "omh-more")
     if not more.isEmpty():
         classes = components(links.unionByName(more), "omh-all")
-    named = first.join(classes, "id", "left").select(
-        *same, F.coalesce("class_id", "id").alias("class_id")
+    named = (
+        texts.select("id", *same, "head")
+        .join(classes, "id", "left")
+        .withColumn("class_id", F.coalesce("class_id", "id"))
     )
-    plain = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))
+    heads = named.groupBy("class_id").agg(F.min("head").alias("head"))
+    return drawn, named.drop("head").join(heads, "class_id").select(*same, "head")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """(doc_id, class_id) of every row of ``docs``."""
+    drawn, named = _classes(docs)
     return (
-        drawn.select("id", *same)
-        .join(named, same)
-        .select(plain("id").alias("doc_id"), plain("class_id").alias("class_id"))
+        drawn.select("unnamed", "doc_id", "same1", "same2")
+        .join(named, ["same1", "same2"])
+        .select(
+            F.when(~F.col("unnamed"), F.col("doc_id")).alias("doc_id"),
+            F.when(~F.col("head.unnamed"), F.col("head.doc_id")).alias("class_id"),
+        )
     )
 
 
@@ -445,8 +478,8 @@ def _links(key: int, a: pd.DataFrame, b: pd.DataFrame) -> list[tuple[int, int]]:
 
 
 def _content(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(id, words) of the wanted ids."""
-    chosen = _identified(docs).join(wanted, "id", "left_semi")
+    """(id, words) of the wanted (id, row)."""
+    chosen = _identified(docs).select("row", "text").join(wanted, "row").select("id", "text")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = Hasher()
@@ -460,11 +493,10 @@ def _content(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def distinct(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that name their class: one document of each."""
-    classes = near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
-    own = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id")
-    kept = classes.select(own).distinct()
+    """One row of ``docs`` of every class, of those that name it."""
+    _, named = _classes(docs)
+    kept = named.select(F.col("head.row").alias("row")).distinct()
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    # The join and the removal of repeated rows share one exchange.
-    packed = docs.select(F.struct(*columns).alias("doc"), own)
-    return packed.join(kept, "id", "left_semi").dropDuplicates(["id"]).select("doc.*")
+    # The removal of repeated rows, which begins before it, and the join share one exchange.
+    packed = docs.select(F.struct(*columns).alias("doc"), _row().alias("row"))
+    return packed.dropDuplicates(["row"]).join(kept, "row", "left_semi").select("doc.*")

@@ -144,6 +144,25 @@ def test_near_duplicates(odd_docs, no_docs):
     assert minhash.distinct(no_docs).collect() == []
 
 
+def test_near_duplicates_of_null_and_shared_ids(spark, odd_docs):
+    nulls = [r["text"] for r in minhash.distinct(odd_docs).collect() if r["doc_id"] is None]
+    assert sorted(nulls) == sorted(r["text"] for r in odd_docs.collect() if r["doc_id"] is None)
+    texts = {c: " ".join(f"{c}{k}" for k in range(60)) for c in "abcd"}
+    near = texts["d"].replace("d59", "other")
+    docs = [
+        (None, texts["a"]), (None, texts["b"]), (5, texts["a"]), (None, texts["b"].upper()),
+        (7, texts["c"]), (7, texts["d"]), (7, texts["d"]), (9, near), (None, near),
+    ]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = sorted(rows_of(minhash.near_duplicates(frame)), key=repr)
+    assert got == sorted(
+        [(None, 5), (None, None), (5, 5), (None, None), (7, 7), (7, 7), (7, 7), (9, 7), (None, 7)],
+        key=repr)
+    kept = sorted(((i, t.lower()) for i, t in rows_of(minhash.distinct(frame))), key=repr)
+    assert kept == sorted(
+        [(None, texts["b"]), (5, texts["a"]), (7, texts["c"]), (7, texts["d"])], key=repr)
+
+
 def test_mixing(odd_docs, no_docs):
     rows = mixing.mix(odd_docs).collect()
     assert len(rows) == 12
