@@ -8,6 +8,12 @@ candidates. A sketch also holds one bit of the least k-mer under ``BITS``
 functions, whose distance bounds the overlap well enough to drop hopeless
 candidates before their texts are fetched.
 
+A band takes too large a part of a short text to be found by chance, so pairs with a
+text of ``SHORT`` k-mers or fewer have an exact way: as many insertions and deletions
+as the limit allows leave one of so many parts and one of the shorter text whole.
+Every part is a key, and so is every run of the longer text that can be one; such
+pairs are not filtered by bits.
+
 Two texts are linked if the k-mers that an alignment matches in order are
 ``LEAST`` or more of all their k-mers; only alignments that can reach it, a band
 around the diagonal, are explored. A class is a connected component of links and
@@ -45,6 +51,8 @@ K = 5
 LEAST = 0.8
 BANDS = 20
 TAKEN = 5
+# Texts of so many k-mers or fewer have exact keys besides.
+SHORT = 12
 BITS = 256
 # Differing bits at most: the mean at LEAST similarity and 3.6 deviations.
 MOST_APART = 43
@@ -120,13 +128,55 @@ def sketch(words: np.ndarray) -> tuple[list[int], list[int]]:
     return key.view(np.int64).tolist(), numbers.tolist()
 
 
+def _most(n: int, m: int, least: float = LEAST) -> int:
+    """Insertions and deletions between texts of n and m k-mers, at most."""
+    return int((n + m) * (1 - least) / (1 + least) + 1e-9)
+
+
+def _runs(n: int) -> set[tuple[int, int, int, int, int]]:
+    """(shorter, longer, part, begin, end) of the runs that are keys of a text of n k-mers.
+
+    With at most ``most`` insertions and deletions one of ``most + 1`` parts of the
+    shorter text is a run of the longer one, moved by those before it.
+    """
+    runs = set()
+    for short in range(1, min(n, SHORT) + 1):
+        for long in range(short, n + 1) if short < n else range(n, 2 * n + 1):
+            if n not in (short, long):
+                continue
+            most = _most(short, long) - (_most(short, long) - (long - short)) % 2
+            if most < max(1, long - short):
+                continue  # too different, or equal
+            fewer, more = (most - (long - short)) // 2, (most + long - short) // 2
+            moves = range(-fewer, more + 1) if n == long else range(1)
+            for part in range(most + 1):
+                begin, end = (short * k // (most + 1) for k in (part, part + 1))
+                runs |= {
+                    (short, long, part, begin + by, end + by)
+                    for by in moves if 0 <= begin + by and end + by <= n
+                }
+    return runs
+
+
+RUNS = {n: sorted(_runs(n)) for n in range(1, 2 * SHORT + 1)}
+
+
+def short_keys(values: np.ndarray) -> list[int]:
+    """Keys of which texts that align share one, if either has ``SHORT`` k-mers or fewer."""
+    keys = {
+        blake2b(bytes(sizes) + values[begin:end].tobytes(), digest_size=8).digest()
+        for *sizes, begin, end in RUNS.get(len(values), ())
+    }
+    return [int.from_bytes(key, "little", signed=True) for key in sorted(keys)]
+
+
 def aligned(a: np.ndarray, b: np.ndarray, least: float = LEAST) -> bool:
     """Whether an alignment in order matches ``least`` of all k-mers of both."""
     n, m = len(a), len(b)
     if not n or not m:
         return n == m
     # n + m - 2 * matches, at most; it is also the width of the band.
-    most = int((n + m) * (1 - least) / (1 + least) + 1e-9)
+    most = _most(n, m, least)
     if abs(n - m) > most:
         return False
     shared = len(np.intersect1d(labelled(a), labelled(b), assume_unique=True))
@@ -228,7 +278,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                 same = np.frombuffer(blake2b(words.tobytes(), digest_size=16).digest(), np.int64)
                 keys, bits = sketch(words)
                 n = max(len(words) - K + 1, min(1, len(words)))
-                rows.append((*same, n, keys, *bits))
+                rows.append((*same, n, keys + short_keys(kmers(words)), *bits))
             drawn = pd.DataFrame(rows, columns=["same1", "same2", "n", "keys", *BIT_COLUMNS])
             yield pd.concat([some[own].reset_index(drop=True), drawn], axis=1)
 
@@ -243,7 +293,7 @@ def _may_be_alike() -> Column:
     """By length and by the bits of both sketches."""
     apart = sum(F.bit_count(F.col(c).bitwiseXOR(F.col(f"other_{c}"))) for c in BIT_COLUMNS)
     short, long = F.least("n", "other_n"), F.greatest("n", "other_n")
-    return (apart <= MOST_APART) & (short >= long * LEAST - 1e-9)
+    return ((apart <= MOST_APART) | (short <= SHORT)) & (short >= long * LEAST - 1e-9)
 
 
 def _other(bands: DataFrame) -> DataFrame:
@@ -453,7 +503,8 @@ def _links(key: int, a: pd.DataFrame, b: pd.DataFrame) -> list[tuple[int, int]]:
         [kmers(np.frombuffer(w, np.uint32)) for w in own["words"]] for own in (a, b)
     ]
     bits = [own[BIT_COLUMNS].to_numpy(np.int64).view(np.uint64) for own in (a, b)]
-    bands = [np.stack([np.asarray(k, np.int64) for k in own["keys"]]) for own in (a, b)]
+    bands = [np.stack([np.asarray(k[:BANDS], np.int64) for k in own["keys"]]) for own in (a, b)]
+    exact = [[set(k[BANDS:]) for k in own["keys"]] for own in (a, b)]
     sizes = [own["n"].to_numpy(float) for own in (a, b)]
     ids = [own["id"].to_numpy() for own in (a, b)]
     groups = [own["class_id"].to_numpy() for own in (a, b)]
@@ -462,13 +513,15 @@ def _links(key: int, a: pd.DataFrame, b: pd.DataFrame) -> list[tuple[int, int]]:
     for i in range(len(a)):
         apart = np.bitwise_count(bits[0][i] ^ bits[1]).sum(axis=1)
         low, high = np.minimum(sizes[0][i], sizes[1]), np.maximum(sizes[0][i], sizes[1])
-        fits = (apart <= MOST_APART) & (low >= high * LEAST - 1e-9)
+        fits = ((apart <= MOST_APART) | (low <= SHORT)) & (low >= high * LEAST - 1e-9)
         fits &= (groups[1] != groups[0][i]) & ~(minor & (ids[1] <= ids[0][i]))
         near = np.flatnonzero(fits)
         # A pair is compared under the first key that it shares.
         same = bands[1][near] == bands[0][i]
-        first = same.argmax(axis=1)
-        near = near[bands[0][i][first] == key]
+        under = bands[0][i][same.argmax(axis=1)]
+        for k in np.flatnonzero(~same.any(axis=1)):
+            under[k] = min(exact[0][i] & exact[1][near[k]], default=key)
+        near = near[under == key]
         for j in near[np.argsort(apart[near], kind="stable")]:
             one, other = root(groups[0][i]), root(groups[1][j])
             if one != other and aligned(grams[0][i], grams[1][j]):

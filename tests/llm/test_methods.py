@@ -219,6 +219,48 @@ def test_components(spark):
     assert got == {k: 0 for k in range(41)} | {k: 100 for k in (100, 150, 200, 300)}
 
 
+def test_short_texts_share_a_key():
+    """Every pair that aligns, among all sizes with a short text."""
+    rng = random.Random(8)
+    seen = set()
+    for _ in range(40_000):
+        a = [rng.randint(0, 3 if rng.random() < 0.3 else 10**6) for _ in range(rng.randint(1, 15))]
+        b = list(a)
+        for _ in range(rng.randint(0, 3)):
+            if rng.random() < 0.5:
+                b.insert(rng.randint(0, len(b)), rng.randint(0, 3))
+            elif len(b) > 1:
+                del b[rng.randrange(len(b))]
+        a, b = np.array(a, np.uint64), np.array(b, np.uint64)
+        if min(len(a), len(b)) <= minhash.SHORT and minhash.aligned(a, b) and a.tolist() != b.tolist():
+            assert {*minhash.short_keys(a)} & {*minhash.short_keys(b)}
+            seen.add((min(len(a), len(b)), max(len(a), len(b))))
+    assert {(4, 5), (5, 6), (8, 10), (9, 9), (12, 15)} <= seen
+    assert minhash.short_keys(np.arange(16, dtype=np.uint64)) == []
+
+
+@pytest.mark.parametrize("hot", [16, 2])
+def test_short_near_duplicates(spark, monkeypatch, hot):
+    """Texts of 8 to 20 words with one to three more, also under keys of many texts."""
+    monkeypatch.setattr(minhash, "HOT", hot)
+    texts, want = [], []
+    for k in range(80):
+        words = [f"w{k}x{j}" for j in range(8 + k % 13)]
+        more = [f"v{k}x{j}" for j in range(minhash._most(len(words) - 4, len(words) - 3))]
+        texts += [" ".join(words), " ".join(words + more[:1]), " ".join(words[:-1])]
+        start = len(want)
+        want += [start, start, start if len(words) > 8 else start + 2]
+    # Many texts with one beginning, some of them alike.
+    for k in range(40):
+        start = len(texts)
+        words = [f"c{j}" for j in range(8)] + [f"u{k}x{j}" for j in range(6)]
+        texts += [" ".join(words), " ".join(words + ["end"])]
+        want += [start, start]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(frame).collect()}
+    assert [got[k] for k in range(len(texts))] == want
+
+
 @pytest.mark.parametrize("hot, block", [(64, 512), (10, 16)])
 def test_hot_key_of_different_texts(spark, monkeypatch, hot, block):
     """Near copies whose pairwise similarity lies on both sides of the limit."""
