@@ -401,10 +401,10 @@ def training_sample(
     rows = (
         docs.select("doc_id", "text")
         .join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))  # bounded rows
-        .select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "toxic")
+        .groupBy("doc_id", "toxic")
+        .agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))  # one text an id
         .toPandas()
-        .sort_values(["doc_id", "text"])
-        .drop_duplicates("doc_id")
+        .sort_values("doc_id")
     )
     return rows["text"].tolist(), rows["toxic"].tolist()
 

@@ -231,10 +231,10 @@ def training_sample(
     found = (
         docs.select("doc_id", "text")
         .join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))  # bounded rows
-        .select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "quality")
+        .groupBy("doc_id", "quality")
+        .agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))  # one text an id
         .toPandas()
-        .sort_values(["doc_id", "text"])
-        .drop_duplicates("doc_id")
+        .sort_values("doc_id")
     )
     counts = {r["quality"]: r["n"] for r in known.groupBy("quality").agg(
         F.count("*").alias("n")).collect()}

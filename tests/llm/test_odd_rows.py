@@ -186,3 +186,21 @@ def test_packing(odd_docs, no_docs):
     assert "".join(texts[4, s][0] for i, s in sorted(k for k in texts if k[0] == 4)) == long
     assert len(texts[8, 0]) == 2 and len(texts[None, 0]) == 2 and texts[2, 0] == [""]
     assert packing.pack(no_docs).collect() == []
+
+
+@pytest.mark.parametrize("module, label", [(crf, "toxic"), (fm, "quality")])
+def test_training_sample_collects_one_text_an_id(spark, monkeypatch, module, label):
+    docs = spark.createDataFrame(
+        [(k, f"text {k}") for k in range(40)] + [(7, f"the text {j}") for j in range(300)] + [(8, None)],
+        "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)], f"doc_id long, {label} int")
+    known = {
+        r["doc_id"]: r[label]
+        for r in labels.filter(~module.held_out(labels.doc_id)).collect()
+    }
+    collected, collect = [], type(docs).toPandas
+    monkeypatch.setattr(type(docs), "toPandas", lambda df: collected.append(collect(df)) or collected[-1])
+    texts, own, *_ = module.training_sample(docs, labels)
+    assert [len(frame) for frame in collected] == [len(known)] and {7, 8} & {*known}
+    assert texts == ["" if k == 8 else f"text {k}" for k in sorted(known)]
+    assert own == [known[k] for k in sorted(known)]
