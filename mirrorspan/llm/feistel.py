@@ -212,17 +212,17 @@ COUNTRY_CODES = "[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[2-9
 KINDS = (
     ("secret", "n_others", "=:", re.compile(
         r"(?P<name>\b(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)\b"
-        r"[\"']?\s{0,3}[=:]\s{0,3}[\"']?)(?P<value>[A-Za-z0-9+/_.\-]{8,200})", re.I | re.A), _secret),
+        r"[\"']?\s{0,3}[=:]\s{0,3}[\"']?)(?P<value>[A-Za-z0-9+/_.\-]{8,}+)", re.I | re.A), _secret),
     ("access key", "n_others", "A", re.compile(
         r"(?P<name>\b(?:AKIA|ASIA))(?P<value>[A-Z0-9]{16})\b", re.A), _secret),
     ("email", "n_others", "@", re.compile(
-        r"(?P<local>(?<![\w.+-])[\w.+-]{1,64})(?P<domain>@[\w-]+(?:\.[\w-]+)+)"), _email),
+        r"(?P<local>(?<![\w.+-])[\w.+-]++)(?P<domain>@[\w-]+(?:\.[\w-]+)+)"), _email),
     ("iban", "n_numbers", "0", re.compile(
         r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b", re.A), _iban),
     ("ssn", "n_numbers", "-", re.compile(
         r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])"), _ssn),
     ("date", "n_dates", "-/.", re.compile(
-        r"(?<![\w./-])(?P<a>[0-9]{4})(?P<s>[-/.])(?P<b>[0-9]{1,2})(?P=s)(?P<c>[0-9]{1,2})(?![\w/-])"),
+        r"(?<![\w./-])(?P<a>[0-9]{4})(?P<s>[-/.])(?P<b>[0-9]{1,2})(?P=s)(?P<c>[0-9]{1,2})(?=T[0-9]|(?![\w/-]))"),
      _date),
     ("date", "n_dates", "-/.", re.compile(
         r"(?<![\w./-])(?P<a>[0-9]{1,2})(?P<s>[-/.])(?P<b>[0-9]{1,2})(?P=s)(?P<c>[0-9]{4})(?![\w/-])"),
@@ -235,7 +235,7 @@ KINDS = (
     ("phone", "n_numbers", "+", re.compile(
         r"(?<![\w+])(?P<country>\+(?:" + COUNTRY_CODES + r"))(?P<national>[ .-]?\(?[0-9]{2,4}\)?"
         r"(?:[ .-]?[0-9]{2,4}){1,4})(?![\w-])"), _phone),
-    ("phone", "n_numbers", "-.", re.compile(
+    ("phone", "n_numbers", "-.(", re.compile(
         r"(?<![\w+.-])(?P<country>)(?P<national>\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}"
         r"|[0-9]{3}([.-])[0-9]{3}\3[0-9]{4})(?![\w-])"), _phone),
 )

@@ -148,6 +148,20 @@ def test_pseudonyms_are_linked_and_valid():
     assert parts[6].endswith("@mail6.example.com") and parts[8].startswith("AKIA")
 
 
+def test_pseudonyms_are_whole():
+    secret, local = "a1B2" * 125, "ab.cd" * 20
+    text = f"2024-05-10T12:00:00Z; token={secret}; {local}@x.org; 2024-05-10; 2024-05-10th"
+    new = feistel.pseudonymise(text, b"k")[0].split("; ")
+    stamp, day = new[0].split("T")[0], new[3]
+    assert new[0] == f"{day}T12:00:00Z" and stamp != "2024-05-10" and new[4] == "2024-05-10th"
+    for k, old in ((1, secret), (2, local)):
+        own = new[k].removeprefix("token=").removesuffix("@x.org")
+        assert len(own) == len(old)
+        assert all(own[i : i + 20] != old[i : i + 20] for i in range(0, len(old), 20))
+    (phone, counts) = feistel.pseudonymise("call (456) 555 2186 now", b"k")
+    assert phone != "call (456) 555 2186 now" and counts["n_numbers"] == 1
+
+
 def naive_pack(sizes, capacities, overhead):
     left, bins = sum(sizes), []
     for p in sorted(range(len(sizes)), key=lambda k: (-sizes[k], k)):
