@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from mirrorspan.llm import (
     bitpack,
+    bpe,
+    collocations,
     crf,
     dualtree,
     feistel,
@@ -43,6 +45,7 @@ PSEUDONYM_KEY = b"mirrorspan pseudonyms"
 TOKENIZER = "word_bpe_49k.json"
 VOCABULARY = 49_408
 END_ID = 1
+RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
 @_query
@@ -118,3 +121,18 @@ def op8_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 def op4_dual_tree(spark: SparkSession, folder: str) -> DataFrame:
     """The five vectors nearest to each query by inner product."""
     return dualtree.top_k(table(spark, folder, "embeddings"))
+
+
+@_query
+def op12_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's ids by the ranks, and what they decode to, as digests."""
+    import public_tokenizers
+
+    ranks = str(public_tokenizers.path(RANKS))
+    return bpe.digests(bpe.decode(bpe.encode(table(spark, folder, "documents"), ranks), ranks))
+
+
+@_query
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The phrases of each language that hold together best."""
+    return collocations.collocations(table(spark, folder, "documents"))
