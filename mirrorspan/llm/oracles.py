@@ -138,3 +138,51 @@ WITH whole AS (
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+ORACLES["op13_collocations"] = r"""
+WITH docs AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+), pieces AS (
+  SELECT lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM docs
+), worded AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces
+), placed AS (
+  SELECT lang, words, unnest(range(1, CAST(len(words) AS BIGINT) + 1)) AS at FROM worded
+), totals AS (
+  SELECT lang, count(*) AS n FROM placed GROUP BY lang
+), counts AS (
+  SELECT lang, size, array_to_string(words[at : at + size - 1], ' ') AS phrase, count(*) AS a
+  FROM placed, (SELECT unnest(range(1, 6)) AS size) AS sizes
+  WHERE at + size - 1 <= len(words)
+  GROUP BY lang, size, phrase HAVING count(*) >= 100
+), listed AS (
+  SELECT *, string_split(phrase, ' ') AS words FROM counts WHERE size > 1
+), inner_parts AS (
+  SELECT lang, size - 1 AS size, unnest([array_to_string(words[1 : size - 1], ' '),
+         array_to_string(words[2 : size], ' ')]) AS phrase, a
+  FROM listed WHERE size > 2
+), longer AS (
+  SELECT lang, size, phrase, max(a) AS most FROM inner_parts GROUP BY ALL
+), kept AS (
+  SELECT c.* FROM listed c LEFT JOIN longer o USING (lang, size, phrase)
+  WHERE o.most IS NULL OR 100 * o.most < 100 * c.a
+), cuts AS (
+  SELECT *, unnest(range(1, size)) AS k FROM kept
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, t.n, c.k, x.a AS l, y.a AS r,
+         CAST(CAST(1000 AS HUGEINT) * c.a * t.n // (CAST(x.a AS HUGEINT) * y.a) AS BIGINT) AS score
+  FROM cuts c JOIN totals t USING (lang)
+  JOIN counts x ON x.lang = c.lang AND x.size = c.k
+    AND x.phrase = array_to_string(c.words[1 : c.k], ' ')
+  JOIN counts y ON y.lang = c.lang AND y.size = c.size - c.k
+    AND y.phrase = array_to_string(c.words[c.k + 1 : c.size], ' ')
+), worst AS (
+  SELECT * FROM scored
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n, score
+FROM worst QUALIFY rank <= 2000
+"""

@@ -23,6 +23,7 @@ from mirrorspan.llm import (
     minhash,
     mixing,
     packing,
+    runs,
     spotsigs,
 )
 from mirrorspan.llm.common import table
@@ -136,3 +137,9 @@ def op12_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
     """The phrases of each language that hold together best."""
     return collocations.collocations(table(spark, folder, "documents"))
+
+
+@_query
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of every text; one in ten is given a repeated tail first."""
+    return runs.digests(runs.find(table(spark, folder, "documents"), runs.repeated_tail))
