@@ -35,7 +35,8 @@ def test_reconcile_modes_order_and_types():
 
 
 @pytest.mark.parametrize("a, b, wide", [
-    ("int", "bigint", "bigint"), ("bigint", "float", "double"), ("int", "float", "float"),
+    ("int", "bigint", "bigint"), ("bigint", "float", "string"), ("int", "float", "double"),
+    ("smallint", "float", "float"), ("bigint", "double", "string"), ("int", "double", "double"),
     ("decimal(10,2)", "decimal(5,4)", "decimal(12,4)"), ("decimal(38,0)", "decimal(38,20)", "string"),
     ("date", "timestamp_ntz", "timestamp_ntz"), ("int", "date", "string"), ("string", "int", "string"),
 ])
