@@ -15,6 +15,9 @@ DATE_INCREMENTAL = "date_incremental"
 DEFAULT_LOOKBACK_DAYS = 3
 DEFAULT_CHUNK_ROWS = 100_000
 
+# Rows that a partition must hold on average to be worth a folder of its own.
+AUTO_PARTITION_ROWS = 100_000
+
 
 @dataclass(frozen=True)
 class TableRef:
@@ -84,9 +87,16 @@ class Strategy:
     run's rule for columns whose type changed at the source. A NULL in a
     ``required`` column fails the load (files would not enforce it).
 
+    ``index_columns`` are the key columns of the copy's skipping index; by default those
+    by which its runs delete.
+
     With ``via`` the table refers to another child of ``parent`` instead of the
     parent itself: ``join_columns`` then are columns of that table.
 
+    ``partition_unit`` is the unit of the copy's partitions: day, month, year, None
+    for none, or "auto": the finest one whose partitions hold ``AUTO_PARTITION_ROWS``
+    rows on average when the copy is made. A run keeps the unit its copy has.
+
     ``custom_query`` (SQL text with ``{table}`` and ``:cutoff``, or a callable of reader and
     context) and ``delete_condition`` (SQL predicate with ``:cutoff``, or a
     callable returning a Column) replace the built-in window.
@@ -101,7 +111,7 @@ class Strategy:
     parent_columns: tuple[str, ...] = ()
     lookback_days: int | None = None
     priority: str = "low"
-    partition_unit: str | None = "day"
+    partition_unit: str | None = "auto"
     custom_query: str | Callable[[SourceReader, RunContext], DataFrame] | None = None
     delete_condition: str | Callable[[RunContext], Column] | None = None
     unique_key: tuple[str, ...] = ()
@@ -109,6 +119,7 @@ class Strategy:
     type_policy: str | None = None
     required: tuple[str, ...] = ()
     via: str | None = None
+    index_columns: tuple[str, ...] = ()
 
     @property
     def clustering(self) -> tuple[str, ...]:

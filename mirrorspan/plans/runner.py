@@ -25,7 +25,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from mirrorspan.functions.clean import clean_text_columns, duration_to_time
 from mirrorspan.functions.dates import window_day
 from mirrorspan.functions.types import all_nullable, base_type, cast_to_schema, target_schema
-from mirrorspan.model import Relationship, RunContext, SourceReader, Strategy, TableRef
+from mirrorspan.model import (
+    AUTO_PARTITION_ROWS,
+    Relationship,
+    RunContext,
+    SourceReader,
+    Strategy,
+    TableRef,
+)
 from mirrorspan.operators.evolve import USE_EXISTING, reconcile
 from mirrorspan.operators.joins import KeySet, key_set, rows_with_keys, rows_without_keys
 from mirrorspan.operators.quality import LEDGER_SCHEMA
@@ -199,7 +206,7 @@ class Replicator:
             # Without a window nothing would be deleted: appending the whole
             # table again would only duplicate it.
             return self._full_refresh(s)
-        self._repartitioned(s)
+        s = self._as_stored(s)
         if s.custom_query is not None:
             return self._custom(s, ctx)
         return self._child(s, ctx) if s.parent else self._own_window(s, ctx)
@@ -212,10 +219,12 @@ class Replicator:
 
     def _full_refresh(self, s: Strategy) -> int:
         incoming = self._source(s.table)
+        s = self._measured(s)
         df, partition = self._for_append(s, incoming, fresh=True)
         return self.store.overwrite(
             self.target(s.table), df, partition, s.clustering, batch=self.batch,
             spec=self._spec(s) if partition else None,
+            index=self._indexed(s) if partition else (),
         )
 
     @staticmethod
@@ -231,21 +240,67 @@ class Replicator:
             "via": s.via,
         }
 
-    def _repartitioned(self, s: Strategy) -> None:
-        """Writes a copy anew whose partitions were made by another rule."""
-        name = self.target(s.table)
-        snap = self.store.snapshot(name)
+    def _as_stored(self, s: Strategy) -> Strategy:
+        """``s`` with the partitions that its copy has.
+
+        A run doesn't write a copy anew because another unit is wanted by now
+        (:meth:`repartition` does); only partitions that are made of other columns, which
+        say nothing about this window, force it.
+        """
+        spec = self.store.snapshot(self.target(s.table)).spec
+        if spec is None:
+            return replace(s, partition_unit=None)
+        stored = replace(s, partition_unit=spec["unit"])
+        if self._spec(stored) != spec:
+            log.warning("%s is partitioned by other columns and written anew", self.target(s.table))
+            self.repartition(s.table)
+            return self._measured(s)
+        return stored
+
+    def repartition(self, table: str) -> None:
+        """Writes a copy anew with the partitions that the strategy asks for."""
+        s = self._measured(self.strategies[table])
+        name = self.target(table)
         spec = self._spec(s)
-        if snap.spec == spec:
+        if self.store.snapshot(name).spec == spec:
             return
         df = self.store.read(name)
         if spec is not None:
             df = self._with_part(s, df)
-        self.store.overwrite(name, df, PARTITION if spec else None, s.clustering, spec=spec)
+        self.store.overwrite(
+            name, df, PARTITION if spec else None, s.clustering, spec=spec,
+            index=self._indexed(s) if spec else (),
+        )
+
+    def _measured(self, s: Strategy) -> Strategy:
+        """``s`` with a definite unit: the finest whose partitions are large enough.
+
+        One pass over the watermarks of the table (or of its parent, whose days a child
+        shares) counts the days, months and years that there are.
+        """
+        if s.partition_unit != "auto":
+            return s
+        if not (s.incremental and s.watermark_columns):
+            return replace(s, partition_unit=None)
+        dated = self.read(s.parent or s.table)
+        day = window_day(s.watermark_columns)
+        row = dated.agg(
+            F.count(F.lit(1)).alias("rows"),
+            *(F.count_distinct(F.date_format(day, f)).alias(u) for u, (f, _) in PARTITION_FORMATS.items()),
+        ).first()
+        rows = self.read(s.table).count() if s.parent else row["rows"]
+        fits = (u for u in PARTITION_FORMATS if rows >= AUTO_PARTITION_ROWS * max(1, row[u]))
+        return replace(s, partition_unit=next(fits, None))
+
+    @staticmethod
+    def _indexed(s: Strategy) -> tuple[str, ...]:
+        """Key columns by which runs look for the partitions to write anew."""
+        return s.index_columns or (tuple(s.join_columns) if s.parent else tuple(s.unique_key))
 
     def _append(self, s: Strategy, incoming: DataFrame) -> int:
-        df, partition = self._for_append(s, incoming)
         name = self.target(s.table)
+        s = self._as_stored(s) if self.store.exists(name) else self._measured(s)
+        df, partition = self._for_append(s, incoming)
         if self.store.exists(name) and self._retyped(name, df):
             return self._store_replace(s, [self._stored(name, df), df])
         return self._store_append(s, df, partition)
@@ -254,6 +309,7 @@ class Replicator:
         return self.store.append(
             self.target(s.table), df, partition, batch=self.batch, cluster_by=s.clustering,
             spec=self._spec(s) if partition else None,
+            index=self._indexed(s) if partition else (),
         )
 
     def _store_replace(self, s: Strategy, frames: list[DataFrame], parts: set[str] | None = None) -> int:
@@ -296,12 +352,26 @@ class Replicator:
         partitioned = bool(self.store.snapshot(name).partition_by)
         if not partitioned:
             incoming = incoming.drop(PARTITION)
-        loaded = self._agreed(s, incoming)
         # What is inserted is deleted before, also if the parent's copy lags behind.
         inserted = KeySet(days.df.select(*s.parent_keys), tuple(s.parent_keys)).measured()
         stored_keys = self._deleted_keys(s, parent, ctx)
         deleted = inserted if stored_keys is None else keys_before_and_after(stored_keys, inserted)
-        if not partitioned or self._retyped(name, loaded):
+        return self._replace_children(s, incoming, deleted)
+
+    def replace_children(self, table: str, rows: DataFrame, day: str, deleted: KeySet) -> int:
+        """Deletes the children of some parent keys and adds ``rows``; ``day`` is the column
+        (yyyy-MM-dd) of their parent's day. Returns the rows added."""
+        s = self._as_stored(self.strategies[table])
+        incoming = self._prepared(table, rows, also=[day])
+        if self.store.snapshot(self.target(table)).partition_by:
+            part = self._part(s, F.to_date(F.col(day), "yyyy-MM-dd"))
+            incoming = incoming.withColumn(PARTITION, part)
+        return self._replace_children(s, incoming.drop(day), deleted)
+
+    def _replace_children(self, s: Strategy, incoming: DataFrame, deleted: KeySet) -> int:
+        name = self.target(s.table)
+        loaded = self._agreed(s, incoming)
+        if not self.store.snapshot(name).partition_by or self._retyped(name, loaded):
             kept = rows_without_keys(self._stored(name, loaded), deleted, s.join_columns)
             return self._store_replace(s, [kept, loaded])
         touched = self._parts_with_keys(name, deleted, s.join_columns)
@@ -397,14 +467,17 @@ class Replicator:
             return window_rows(self.read.window(table, where), watermarks, ctx)
         return window_rows(self.read(table), watermarks, ctx)
 
-    def _prepared(self, table: str, df: DataFrame) -> DataFrame:
+    def _prepared(self, table: str, df: DataFrame, also: Sequence[str] = ()) -> DataFrame:
+        """``df`` cleaned and typed as its copy's rows; columns in ``also`` stay beside them."""
         if PARTITION in (c.lower() for c in df.columns):
             raise ValueError(f"{table}: the column name {PARTITION} is reserved")
         df = self._times(table, df)
         if self.clean:
             df = clean_text_columns(df)
         if table in self.source_types:
-            df = cast_to_schema(df, target_schema(self.source_types[table]))
+            beside = [df.schema[c] for c in also]
+            typed = target_schema(self.source_types[table])
+            df = cast_to_schema(df, T.StructType([*typed.fields, *beside]))
         for c in self.strategies.get(table, default_strategy(table)).required:
             missing = F.raise_error(F.lit(f"{table}.{c} has no value")).cast(df.schema[c].dataType)
             df = df.withColumn(c, F.coalesce(F.col(c), missing))
@@ -472,10 +545,14 @@ class Replicator:
         return ctx.cutoff.strftime(PARTITION_FORMATS[s.partition_unit or "day"][1])
 
     def _parts_with_keys(self, name: str, keys: KeySet, columns: Sequence[str]) -> set[str]:
-        """Partitions that hold any of the keys: a scan of the key columns only.
-        The key range skips what cannot match; what comes back is a list of
+        """Partitions that hold any of the keys. The copy's skipping index names those
+        that may; of them only the key columns are read. What comes back is a list of
         folder names, never rows."""
-        stored = self.store.read(name, keep_partition=True).select(*columns, PARTITION)
+        may = self.store.parts_with_keys(name, keys, columns)
+        if may is not None and not may:
+            return set()
+        only = None if may is None else may.__contains__
+        stored = self.store.read(name, only, keep_partition=True).select(*columns, PARTITION)
         rows = rows_with_keys(stored, keys, columns).select(PARTITION).distinct().collect()
         return {r[0] if r[0] is not None else NULL_PARTITION for r in rows}
 

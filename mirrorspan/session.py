@@ -59,6 +59,14 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return _made[-1]
 
 
+def materialized(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared scratch folder and read from there: its lineage is
+    cut, it survives the loss of executors, and it is computed once."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def drop_scratch(spark: SparkSession) -> int:
     """Deletes the scratch folders of this process; frames read from them are void."""
     dropped = 0

@@ -30,6 +30,8 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from mirrorspan.functions.types import all_nullable
+from mirrorspan.operators.joins import KeySet
+from mirrorspan.sources import skipping
 
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 _VERSION_DIR = re.compile(r"v\d+-[0-9a-f]+")
@@ -53,12 +55,23 @@ class Snapshot:
     dirs: tuple[tuple[str | None, str], ...]
     batches: dict[str, int]
     spec: dict | None = None
+    index: tuple[str, ...] = ()  # key columns of the skipping index
 
     @property
     def partitions(self) -> list[str]:
         return sorted({v for v, _ in self.dirs if v is not None})
 
 
+@dataclass(frozen=True)
+class Changes:
+    """Rows of the folders that differ between two versions of a table."""
+
+    removed: DataFrame
+    added: DataFrame
+    partitions: frozenset[str]
+    whole: bool  # a version has no partitions
+
+
 class TableStore:
     """Tables under one root folder of a Hadoop-compatible file system."""
 
@@ -88,6 +101,7 @@ class TableStore:
             tuple((v, d) for v, d in raw["dirs"]),
             raw["batches"],
             raw.get("spec"),
+            tuple(raw.get("index") or ()),
         )
 
     def applied_batch(self, table: str, stream: str) -> int:
@@ -108,12 +122,56 @@ class TableStore:
         if not dirs:
             fields = [T.StructField(part, T.StringType())] if part else []
             return self.spark.createDataFrame([], T.StructType(snap.schema.fields + fields))
-        base = f"{self.root}/{table}"
-        # Each folder is its own base path, so that none of its name is data.
-        df = self.spark.read.schema(snap.schema).parquet(*[f"{base}/{d}" for d in dirs])
+        df = self._read_dirs(table, dirs, snap.schema)
         names = [F.col(f"`{n}`") for n in snap.schema.names]
         return df.select(*names, *([_partition_value(part).alias(part)] if part else []))
 
+    def changes(self, table: str, since: int) -> Changes:
+        """What replaced folders held before and what they hold now, and which they are.
+
+        Folders that both versions have in common are not read.
+        """
+        old, new = self.snapshot(table, since), self.snapshot(table)
+        gone = [d for d in old.dirs if d not in set(new.dirs)]
+        come = [d for d in new.dirs if d not in set(old.dirs)]
+        return Changes(
+            self._read_dirs(table, [d for _, d in gone], old.schema),
+            self._read_dirs(table, [d for _, d in come], new.schema),
+            frozenset(v for v, _ in (*gone, *come) if v is not None),
+            old.partition_by is None or new.partition_by is None,
+        )
+
+    def _read_dirs(self, table: str, dirs: Sequence[str], schema: T.StructType) -> DataFrame:
+        if not dirs:
+            return self.spark.createDataFrame([], schema)
+        # Each folder is its own base path, so that none of its name is data.
+        return self.spark.read.schema(schema).parquet(*[f"{self.root}/{table}/{d}" for d in dirs])
+
+    def parts_with_keys(
+        self, table: str, keys: KeySet, columns: Sequence[str], version: int | None = None
+    ) -> set[str] | None:
+        """Partitions that may hold one of the keys, by the skipping index alone.
+
+        None if the table has no index of these columns: then any may. Folders that were
+        written before there was an index always may.
+        """
+        snap = self.snapshot(table, version)
+        if list(snap.index) != list(columns) or snap.partition_by is None:
+            return None
+        base = f"{self.root}/{table}"
+        versions = {d.split("/")[0] for _, d in snap.dirs}
+        known = {
+            v for v in versions if skipping.FOLDER in self._children(f"{base}/{v}")
+        }
+        may = {v for v, d in snap.dirs if d.split("/")[0] not in known}
+        if known:
+            index = self.spark.read.parquet(*[f"{base}/{v}/{skipping.FOLDER}" for v in sorted(known)])
+            types = [snap.schema[c].dataType for c in columns]
+            found = {NULL_PARTITION if v is None else v for v in skipping.parts(index, keys, types)}
+            # Partitions of older versions that have been replaced since are still in there.
+            may |= found & set(snap.partitions)
+        return may
+
     # -- writing ---------------------------------------------------------
 
     def overwrite(
@@ -125,17 +183,20 @@ class TableStore:
         expect_rows: int | None = None,
         batch: dict[str, int] | None = None,
         spec: dict | None = None,
+        index: Sequence[str] = (),
     ) -> int:
         """Replace the table; returns the rows written.
 
         ``partition_by`` is a text column of ``df`` that only forms folders;
         it is not part of the table's own schema. ``spec`` says how its values
-        were made and is kept with the version and those that follow.
+        were made and is kept with the version and those that follow. ``index`` names
+        key columns whose values are summed up for each folder (``sources.skipping``),
+        in this version and those that follow.
         """
         base = self._latest(table)
-        dirs, rows = self._stage(table, df, partition_by, cluster_by, expect_rows)
+        dirs, rows = self._stage(table, df, partition_by, cluster_by, expect_rows, index)
         schema = self._payload(df, partition_by)
-        self._commit(table, schema, partition_by, dirs, base, spec, batch)
+        self._commit(table, schema, partition_by, dirs, base, spec, batch, index)
         return rows
 
     def append(
@@ -146,17 +207,22 @@ class TableStore:
         batch: dict[str, int] | None = None,
         cluster_by: Sequence[str] = (),
         spec: dict | None = None,
+        index: Sequence[str] = (),
     ) -> int:
         """Add rows, creating the table when absent. Types must already agree
         with the table (see ``operators.evolve``). ``batch`` maps
         the stream the rows come from to its micro-batch."""
         if not self.exists(table):
-            return self.overwrite(table, df, partition_by, cluster_by, batch=batch, spec=spec)
+            return self.overwrite(
+                table, df, partition_by, cluster_by, batch=batch, spec=spec, index=index
+            )
         snap = self.snapshot(table)
-        dirs, rows = self._stage(table, df, snap.partition_by, cluster_by)
+        dirs, rows = self._stage(table, df, snap.partition_by, cluster_by, index=snap.index)
         schema = self._payload(df, snap.partition_by)
         dirs = [*snap.dirs, *dirs]
-        self._commit(table, schema, snap.partition_by, dirs, snap.version, snap.spec, batch)
+        self._commit(
+            table, schema, snap.partition_by, dirs, snap.version, snap.spec, batch, snap.index
+        )
         return rows
 
     def replace(
@@ -177,11 +243,13 @@ class TableStore:
         dirs = [] if replaced is None else [(v, d) for v, d in snap.dirs if not replaced(v)]
         counts = []
         for df in frames:
-            staged, rows = self._stage(table, df, snap.partition_by, cluster_by)
+            staged, rows = self._stage(table, df, snap.partition_by, cluster_by, index=snap.index)
             dirs += staged
             counts.append(rows)
         schema = self._payload(frames[-1], snap.partition_by)
-        self._commit(table, schema, snap.partition_by, dirs, snap.version, snap.spec, batch)
+        self._commit(
+            table, schema, snap.partition_by, dirs, snap.version, snap.spec, batch, snap.index
+        )
         return counts
 
     def rebuild(self, table: str) -> tuple[int, int]:
@@ -192,7 +260,9 @@ class TableStore:
         snap = self.snapshot(table)
         df = self.read(table, keep_partition=True)
         before = df.count()
-        after = self.overwrite(table, df, snap.partition_by, expect_rows=before, spec=snap.spec)
+        after = self.overwrite(
+            table, df, snap.partition_by, expect_rows=before, spec=snap.spec, index=snap.index
+        )
         return before, after
 
     def rebuild_all(self, tables: Sequence[str] | None = None) -> list[tuple]:
@@ -223,14 +293,19 @@ class TableStore:
     def truncate(self, table: str) -> None:
         """No rows, same schema."""
         snap = self.snapshot(table)
-        self._commit(table, snap.schema, snap.partition_by, [], snap.version, snap.spec)
+        self._commit(
+            table, snap.schema, snap.partition_by, [], snap.version, snap.spec, index=snap.index
+        )
 
     def drop_partitions(self, table: str, dropped: Callable[[str], bool]) -> int:
         """Forget partitions (retention) without reading or writing data."""
         snap = self.snapshot(table)
         kept = [(v, d) for v, d in snap.dirs if v is None or not dropped(v)]
         if len(kept) < len(snap.dirs):
-            self._commit(table, snap.schema, snap.partition_by, kept, snap.version, snap.spec)
+            self._commit(
+                table, snap.schema, snap.partition_by, kept, snap.version, snap.spec,
+                index=snap.index,
+            )
         return len(snap.dirs) - len(kept)
 
     def drop_old_versions(self, table: str, keep: int = 2) -> int:
@@ -253,7 +328,7 @@ class TableStore:
 
     # -- internals -------------------------------------------------------
 
-    def _stage(self, table, df, partition_by, cluster_by=(), expect_rows=None):
+    def _stage(self, table, df, partition_by, cluster_by=(), expect_rows=None, index=()):
         if partition_by and [c.lower() for c in df.columns].count(partition_by.lower()) > 1:
             raise ValueError(f"{table}: {partition_by} is a column of the table itself")
         name = f"v{(self._latest(table) or 0) + 1}-{uuid.uuid4().hex[:8]}"
@@ -280,6 +355,11 @@ class TableStore:
         wanted = rows if expect_rows is None else expect_rows
         if staged != rows or staged != wanted:
             raise VerificationError(f"{table}: staged {staged} rows, sent {rows}, expected {wanted}")
+        if index and rows:
+            payload = self.spark.read.schema(self._payload(df, partition_by)).parquet(path)
+            folder = _partition_value(partition_by) if partition_by else F.lit(None).cast("string")
+            keys = payload.select(folder.alias(skipping.PART), *(F.col(f"`{c}`") for c in index))
+            skipping.build(keys, index).write.parquet(f"{path}/{skipping.FOLDER}")
         if not partition_by:
             return [(None, name)], rows
         return [(_unescaped(c.split("=", 1)[1]), f"{name}/{c}") for c in found], rows
@@ -292,7 +372,9 @@ class TableStore:
         versions = self._versions(table)
         return versions[-1] if versions else None
 
-    def _commit(self, table, schema, partition_by, dirs, base, spec, batch=None) -> None:
+    def _commit(
+        self, table, schema, partition_by, dirs, base, spec, batch=None, index=()
+    ) -> None:
         """Switch to ``dirs``, unless ``base`` is no longer the current version."""
         if self._latest(table) != base:
             raise StaleVersionError(f"{table} was written by someone else after version {base}")
@@ -307,6 +389,7 @@ class TableStore:
                 "dirs": [list(d) for d in dirs],
                 "batches": batches,
                 "spec": spec,
+                "index": list(index),
             }
         )
         folder = f"{self.root}/{table}/_versions"
