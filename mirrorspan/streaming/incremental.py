@@ -54,7 +54,7 @@ def append_batches(
     """Append each batch once to the copy of ``database.table``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        mark = _mark(batch, stream)
+        mark = batch_mark(batch, stream)
         run = _batch_run(store, database, Strategy(table), batch, {mark: batch_id})
         if store.applied_batch(run.target(table), mark) < batch_id:
             run.load(table, "append")
@@ -74,13 +74,12 @@ def replace_window_batches(
     """
     if strategy.parent:
         raise ValueError(
-            f"{strategy.table}: the window of a child needs its parent; stream the parent "
-            "and refresh the child with Replicator.run_table"
+            f"{strategy.table}: the window of a child needs its parent; see streaming.children"
         )
     table = strategy.table
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        mark = _mark(batch, stream)
+        mark = batch_mark(batch, stream)
         this_run = f"{mark}|{ctx.as_of}|{ctx.lookback_days}"
         whole = f"{this_run}|whole"
         target = _batch_run(store, database, strategy, batch, {}).target(table)
@@ -101,7 +100,7 @@ def replace_window_batches(
     return write
 
 
-def _mark(batch: DataFrame, stream: str) -> str:
+def batch_mark(batch: DataFrame, stream: str) -> str:
     """Names the query that a batch belongs to; without a query, the stream alone."""
     query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
     return f"{stream}@{query}" if query else stream
