@@ -46,13 +46,10 @@ def invoices_consolidated(
     )
 
 
-def daily_sales(
-    headers: DataFrame, lines: DataFrame, branches: DataFrame, keys: Mapping[str, str]
-) -> DataFrame:
-    """Lines, invoices and amount per day and branch.
+def daily_sums(headers: DataFrame, lines: DataFrame, keys: Mapping[str, str]) -> DataFrame:
+    """Lines, invoices and exact amount per day and branch.
 
-    Lines are summed per (header, branch) before they meet the headers, and
-    the branch name is added after the last grouping.
+    Lines are summed per (header, branch) before they meet the headers.
     """
     amount = exact_sum(lines, keys["line_amount"]).alias("amount")
     per_invoice = lines.groupBy(
@@ -67,27 +64,40 @@ def daily_sales(
         .agg(
             F.sum("n").alias("lines"),
             F.count(F.lit(1)).alias("invoices"),
-            F.sum("amount").cast("double").alias("amount"),
-        )
-        .join(
-            branches.select(
-                F.col(keys["branch"]).alias("branch_key"), F.col(keys["branch_name"]).alias("branch_name")
-            ),
-            "branch_key",
+            F.sum("amount").alias("amount"),
         )
     )
 
 
+def named_sales(sums: DataFrame, branches: DataFrame, keys: Mapping[str, str]) -> DataFrame:
+    """:func:`daily_sums` with the name of each branch, and the amount as a number."""
+    names = branches.select(
+        F.col(keys["branch"]).alias("branch_key"), F.col(keys["branch_name"]).alias("branch_name")
+    )
+    return sums.withColumn("amount", F.col("amount").cast("double")).join(names, "branch_key")
+
+
+def daily_sales(
+    headers: DataFrame, lines: DataFrame, branches: DataFrame, keys: Mapping[str, str]
+) -> DataFrame:
+    """Lines, invoices and amount per day and branch; its name is added after the grouping."""
+    return named_sales(daily_sums(headers, lines, keys), branches, keys)
+
+
+def stock_sums(first: DataFrame, second: DataFrame) -> DataFrame:
+    """Exact quantity and entries per branch and product over both databases."""
+    both = first.unionByName(second)
+    return both.groupBy("branch_key", "product_key").agg(
+        exact_sum(both, "quantity").alias("quantity"), F.count(F.lit(1)).alias("entries")
+    )
+
+
 def stock_union(first: DataFrame, second: DataFrame) -> DataFrame:
     """Quantity per branch and product over both databases.
 
     Inputs have branch_key, product_key and quantity.
     """
-    both = first.unionByName(second)
-    return both.groupBy("branch_key", "product_key").agg(
-        exact_sum(both, "quantity").cast("double").alias("quantity"),
-        F.count(F.lit(1)).alias("entries"),
-    )
+    return stock_sums(first, second).withColumn("quantity", F.col("quantity").cast("double"))
 
 
 def product_master(first: DataFrame, second: DataFrame) -> DataFrame:
