@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from mirrorspan.functions.clean import interval_micros
 from mirrorspan.functions.dates import ntz
@@ -131,6 +131,48 @@ def row_count_anomaly(previous: DataFrame, current: DataFrame, max_change: float
     )
 
 
+def _middle(values: Column) -> Column:
+    """Median of an array, that of an even number being the mean of the two in the middle."""
+    ordered, n = F.array_sort(values), F.size(values)
+    low = F.get(ordered, F.floor((n - 1) / 2).cast("int"))
+    high = F.get(ordered, F.floor(n / 2).cast("int"))
+    return (low + high) / F.lit(2.0)
+
+
+def seasonal_anomaly(
+    runs: DataFrame, past: int = 8, least_past: int = 3, deviations: float = 4.0, floor: float = 0.05
+) -> DataFrame:
+    """Runs whose row count lies far from what the same weekday had before.
+
+    ``runs`` has table_name, run_date and rows. A run is compared with the median of at
+    most ``past`` earlier runs of its table on the same weekday, if there are ``least_past``.
+    It is anomalous if it is off by more than ``deviations`` times the deviation to be
+    expected: 1.4826 times the median of the absolute deviations, or a share ``floor`` of
+    the median if that is more, so that a table that never changes may do so a little.
+    Medians are not moved by earlier anomalies, as means are.
+    """
+    frame = (
+        Window.partitionBy("table_name", F.weekday("run_date"))
+        .orderBy("run_date").rowsBetween(-past, -1)
+    )
+    # A frame holds ``past`` counts at most.
+    before = runs.withColumn("_past", F.collect_list(F.col("rows").cast("double")).over(frame))
+    centre = _middle(F.col("_past"))
+    measured = before.filter(F.size("_past") >= least_past).withColumn("expected_rows", centre)
+    off = F.transform("_past", lambda x: F.abs(x - F.col("expected_rows")))
+    spread = F.greatest(_middle(off) * 1.4826, F.col("expected_rows") * floor)
+    score = F.when(spread > 0, F.abs(F.col("rows") - F.col("expected_rows")) / spread).when(
+        F.col("rows") == F.col("expected_rows"), 0.0
+    ).otherwise(float("inf"))
+    return (
+        measured.withColumn("score", score)
+        .select(
+            "table_name", "run_date", "rows", "expected_rows", F.round("score", 4).alias("score"),
+            (F.col("score") > deviations).alias("anomalous"),
+        )
+    )
+
+
 # -- source against copy ----------------------------------------------------
 
 

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from mirrorspan.model import RunContext, SourceReader
+from mirrorspan.sources.pages import CountCells, cells_sql, equal_depth, page_predicates
 
 
 def scan_table(spark: SparkSession, path: str) -> DataFrame:
@@ -104,7 +105,9 @@ class JdbcReader:
     non-negative hash of a key, whose remainders are. A table in neither is one
     page. ``chunk_rows`` are the rows of a page per table; others go by size.
     Count and key range come from one aggregate query per table and window, asked
-    once in the life of the reader: use a new one for each run.
+    once in the life of the reader: use a new one for each run. With ``balanced`` the pages
+    of a key are of equal depth (see ``sources.pages``), at the price of a few counting
+    queries.
     """
 
     def __init__(
@@ -115,6 +118,7 @@ class JdbcReader:
         chunk_rows: Mapping[str, int | None] | None = None,
         properties: Mapping[str, str] | None = None,
         hash_keys: Mapping[str, str] | None = None,
+        balanced: bool = False,
     ):
         self.spark = spark
         self.url = url
@@ -122,6 +126,7 @@ class JdbcReader:
         self.hash_keys = dict(hash_keys or {})
         self.chunk_rows = {t: n for t, n in (chunk_rows or {}).items() if n}
         self.properties = properties
+        self.balanced = balanced
         self._facts: dict[tuple[str, str | None], tuple[int, int | None, int | None]] = {}
 
     def __call__(self, table: str) -> DataFrame:
@@ -153,6 +158,9 @@ class JdbcReader:
         each = self.chunk_rows.get(table) or chunk_rows_for(rows)
         if low is not None and high is not None:
             key = self.keys[table]
+            if self.balanced and rows > each:
+                found = equal_depth(self._counter(table, key, where), low, high, rows, each)
+                return jdbc_options(self.url, source), page_predicates(key, found)
             return jdbc_options(self.url, source, key, (low, high), each, rows), None
         pages = page_count(rows, each)
         if table in self.hash_keys and pages > 1:
@@ -160,6 +168,19 @@ class JdbcReader:
         return jdbc_options(self.url, source), None
 
 
+    def _counter(self, table: str, key: str, where: str | None) -> CountCells:
+        def count(ranges: Sequence[tuple[int, int]], width: int) -> dict[int, int]:
+            found: dict[int, int] = {}
+            for at in range(0, len(ranges), 100):  # statements of bounded length
+                sql = cells_sql(table, key, ranges[at : at + 100], width, where)
+                options = jdbc_options(self.url, f"({sql}) c")
+                rows = scan_jdbc(self.spark, options, properties=self.properties).collect()
+                found.update((int(r["cell"]), r["n"]) for r in rows)
+            return found
+
+        return count
+
+
 def _where(condition: str | None) -> str:
     return f" WHERE {condition}" if condition else ""
 
