@@ -8,7 +8,7 @@ of arrival, and its texts are a stream of those numbers.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +20,33 @@ BLOCK_CHARS = 16_000_000
 BLOCK_WORDS = 400_000
 
 
+# Characters of the corpus for each bucket of words, so that a bucket's words fit a task.
+BUCKET_CHARS = 16_000_000
+LEAST_BUCKETS = 64
+# Between words stands a byte that UTF-8 doesn't use.
+SEAM = b"\xff"
+
+
+def bucket_count(chars: int) -> int:
+    return max(LEAST_BUCKETS, chars // BUCKET_CHARS)
+
+
+def by_bucket(words: list[bytes], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """(numbers of the words, by bucket; bucket of each of these)."""
+    bucket = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets
+    order = np.argsort(bucket, kind="stable")
+    return order, bucket[order]
+
+
+def joined(words: list[bytes]) -> bytes:
+    """One or more words, compressed together."""
+    return zstandard.ZstdCompressor(level=3).compress(SEAM.join(words))
+
+
+def parted(data: bytes) -> list[bytes]:
+    return zstandard.ZstdDecompressor().decompress(data).split(SEAM)
+
+
 def packed(numbers: np.ndarray) -> bytes:
     """Numbers below 2^32, compressed."""
     return zstandard.ZstdCompressor(level=3).compress(numbers.astype("<u4").tobytes())
@@ -43,7 +70,7 @@ def block_ids() -> Iterator[int]:
     return iter(range(part << 32, (part + 1) << 32))
 
 
-def words_check(words: Iterator[bytes]) -> int:
+def words_check(words: Iterable[bytes]) -> int:
     """Tells whether two runs of a task numbered the same words."""
     return zlib.crc32(b"\n".join(words))
 

@@ -1,10 +1,13 @@
 """Byte-level BPE: encoding by a global shuffle of distinct words, decoding by a join.
 
 The texts are split into pre-tokens. Each block of documents (``blocks``) sends every
-distinct pre-token once, with its number in the block; a shuffle by word brings
+distinct pre-token once, dealt into buckets by its hash; a shuffle by bucket brings
 the blocks' equal ones together, where each is merged once by the ranks, and the ids go
 back to the blocks. There the texts, meanwhile streams of pre-token numbers, become
-streams of ids, so positions never leave the block. A hot pre-token is one row a block.
+streams of ids, so positions never leave the block. A hot pre-token travels once a block,
+and there are as many buckets as the corpus asks for.
+
+Ids are little-endian 32-bit numbers, one text's in one binary value.
 
 The streams are split from the texts anew rather than stored. Should the input come
 in another order then (it doesn't from files), a check of the words differs and
@@ -26,7 +29,7 @@ from __future__ import annotations
 
 import base64
 import functools
-import hashlib
+import itertools
 import re
 import zlib
 from collections.abc import Iterator
@@ -35,15 +38,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mirrorspan.llm.blocks import (
-    BLOCK_CHARS,
-    BLOCK_WORDS,
     Numbers,
     block_ids,
+    bucket_count,
+    by_bucket,
     gathered,
-    lists,
+    joined,
     packed,
+    parted,
     unpacked,
     words_check,
 )
@@ -53,8 +58,13 @@ PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
 LETTER, NUMBER, SPACE, OTHER, BREAK = range(5)
+# A block ends with the document that brings it to so many characters or words.
+BLOCK_CHARS = 8_000_000
+BLOCK_WORDS = 200_000
 # Characters split at once.
-CHUNK = 1_000_000
+CHUNK = 400_000
+# Documents that are handed on at once.
+ROWS = 500
 MOST_TOKENS = 2_000_000
 # The planes that hold characters; what lies beyond is of no class of letters.
 PROBED = [*range(0x80, 0x40000), *range(0xE0000, 0xE1000)]
@@ -238,123 +248,121 @@ def _merger(path: str):
     ).encode_ordinary
 
 
-IDS_SCHEMA = "block long, check long, words binary, sizes binary, ids binary"
-# Words whose ids are held until they go back to their blocks.
-HELD_WORDS = 500_000
-
-
-def _encode_words(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by word: ids of every word, merged once, by block."""
-    merge, before, ids = _merger(path), None, []
-    held: dict[tuple[int, int], tuple[list, list, list]] = {}
-    n_held = 0
+def _word_rows(block_id: int, words: list[bytes], buckets: int) -> pa.RecordBatch:
+    """The words of a block, one row a bucket."""
+    order, bucket = by_bucket(words, buckets)
+    begins = np.flatnonzero(np.diff(bucket, prepend=-1))
+    ordered = [words[k] for k in order.tolist()]
+    ends = [*begins[1:].tolist(), len(words)]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(bucket[begins].astype(np.int32)),
+            pa.array(np.full(len(begins), block_id)),
+            pa.array(np.full(len(begins), words_check(words))),
+            pa.array([joined(ordered[a:b]) for a, b in zip(begins.tolist(), ends)], pa.binary()),
+        ],
+        ["bucket", "block", "check", "words"],
+    )
 
-    def flush():
-        rows = [
-            (block, check, *(packed(np.array(c, np.uint32)) for c in columns))
-            for (block, check), columns in held.items()
-        ]
-        names = ["block", "check", "words", "sizes", "ids"]
-        types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-        held.clear()
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(c), t) for c, t in zip(zip(*rows), types)], names
-        )
 
-    for batch in batches:
-        words, blocks, numbers, checks = (c.to_pylist() for c in batch.columns)
-        for word, block, number, check in zip(words, blocks, numbers, checks):
-            if word != before:
-                before, ids = word, merge(word)
-            columns = held.get((block, check))
-            if columns is None:
-                columns = held[block, check] = ([], [], [])
-            columns[0].append(number)
-            columns[1].append(len(ids))
-            columns[2].extend(ids)
-        n_held += len(words)
-        if n_held >= HELD_WORDS:
-            yield flush()
-            n_held = 0
-    if held:
-        yield flush()
+def _encode_bucket(rows: pa.Table, path: str) -> pa.Table:
+    """The ids of a bucket's words, each distinct one merged once, by block."""
+    merge, known = _merger(path), {}
+    sizes, ids = [], []
+    for data in rows.column("words"):
+        found = []
+        for word in parted(data.as_py()):
+            own = known.get(word)
+            if own is None:
+                own = known[word] = merge(word.decode())
+            found.append(own)
+        sizes.append(packed(np.fromiter(map(len, found), np.uint32, len(found))))
+        ids.append(packed(np.fromiter(itertools.chain.from_iterable(found), np.uint32)))
+    return pa.table({
+        "bucket": rows.column("bucket"), "block": rows.column("block"), "check": rows.column("check"),
+        "sizes": pa.array(sizes, pa.binary()), "ids": pa.array(ids, pa.binary()),
+    })
+
+
+def _stream_row(block_id: int, block: _Block, buckets: int) -> pa.RecordBatch:
+    """The texts of a block as numbers, and the order in which its words are sent."""
+    words = [w.encode() for w in block.numbers]
+    numbers = np.concatenate(block.parts) if block.parts else np.zeros(0, np.uint32)
+    order, bucket = by_bucket(words, buckets)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([block_id]),
+            pa.array([words_check(words)]),
+            pa.array([packed(numbers)], pa.binary()),
+            pa.array([packed(order)], pa.binary()),
+            pa.array([len(np.unique(bucket))], pa.int32()),
+            pa.array([block.doc_ids], pa.list_(pa.int64())),
+            pa.array([block.sizes], pa.list_(pa.int64())),
+        ],
+        ["block", "check", "numbers", "order", "buckets", "doc_ids", "sizes"],
+    )
 
 
 def _assemble(ids: pa.Table, stream: pa.Table) -> pa.Table:
     """The ids of every document of a block."""
     checks = {*ids.column("check").to_pylist(), *stream.column("check").to_pylist()}
-    if len(checks) != 1 or stream.num_rows != 1:
+    if len(checks) != 1 or stream.num_rows != 1 or stream.column("buckets")[0].as_py() != ids.num_rows:
         raise RuntimeError("the input came in another order when it was read again")
-    words, sizes, flat = (
-        np.concatenate([unpacked(b) for b in ids.column(c).to_pylist()] or [np.zeros(0, "<u4")])
-        for c in ("words", "sizes", "ids")
+    ids = ids.sort_by("bucket")
+    sizes, flat = (
+        np.concatenate([unpacked(b.as_py()) for b in ids.column(c)] or [np.zeros(0, "<u4")])
+        for c in ("sizes", "ids")
     )
-    n_words = len(words)
-    firsts, ordered = np.zeros(n_words, np.int64), np.zeros(n_words, np.int64)
-    firsts[words] = np.cumsum(sizes, dtype=np.int64) - sizes
-    ordered[words] = sizes
+    order = unpacked(stream.column("order")[0].as_py())
+    firsts, ordered = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64)
+    firsts[order] = np.cumsum(sizes, dtype=np.int64) - sizes
+    ordered[order] = sizes
     at = unpacked(stream.column("numbers")[0].as_py())
-    found = gathered(flat, firsts, ordered, at)
-    upto = np.concatenate([[0], np.cumsum(ordered[at])])
-    doc_sizes = np.diff(upto[np.cumsum(stream.column("sizes")[0].values)], prepend=0)
-    return pa.table(
-        {
-            "doc_id": stream.column("doc_ids")[0].values,
-            "ids": lists(doc_sizes, pa.array(found.astype(np.int32))),
-        }
-    )
+    doc_ids, doc_sizes = stream.column("doc_ids")[0].values, stream.column("sizes")[0].values
+    ends = np.cumsum(doc_sizes.to_numpy())
+    found, low = [], 0
+    while low < len(ends):  # some documents at once, whatever their number of pre-tokens
+        begin = ends[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, begin + CHUNK // 4, side="right")))
+        high = min(high, low + ROWS)
+        own = at[begin : ends[high - 1]]
+        values = gathered(flat, firsts, ordered, own).astype("<u4")
+        cuts = np.append(0, np.cumsum(ordered[own]))[ends[low:high] - begin]
+        ids = pa.array([v.tobytes() for v in np.split(values, cuts[:-1])], pa.binary())
+        found.append(pa.RecordBatch.from_arrays([doc_ids.slice(low, high - low), ids], ["doc_id", "ids"]))
+        low = high
+    return pa.Table.from_batches(found, pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())]))
 
 
 def encode(docs: DataFrame, ranks: str) -> DataFrame:
     """(doc_id, ids) of every row of ``docs`` by the rank file ``ranks``."""
     classes = code_point_classes()
     source = _source(docs)
+    chars = source.agg(F.sum(F.char_length("text"))).first()[0] or 0
+    buckets = bucket_count(chars)
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block_id, block in _blocks(batches, classes):
-            check = words_check(w.encode() for w in block.numbers)
-            found, n = list(block.numbers), len(block.numbers)
-            # A block of empty texts has one row too, so that it is met again.
-            found, n = (found, n) if n else ([""], 1)
-            for low in range(0, n, 50_000):
-                high = min(n, low + 50_000)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(found[low:high], pa.string()),
-                        pa.array(np.full(high - low, block_id)),
-                        pa.array(np.arange(low, high, dtype=np.int32)),
-                        pa.array(np.full(high - low, check)),
-                    ],
-                    ["word", "block", "number", "check"],
-                )
+            if block.numbers:
+                yield _word_rows(block_id, [w.encode() for w in block.numbers], buckets)
 
     def streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block_id, block in _blocks(batches, classes):
-            numbers = np.concatenate(block.parts) if block.parts else np.zeros(0, np.uint32)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([block_id]),
-                    pa.array([words_check(w.encode() for w in block.numbers)]),
-                    pa.array([packed(numbers)], pa.binary()),
-                    pa.array([block.doc_ids], pa.list_(pa.int64())),
-                    pa.array([block.sizes], pa.list_(pa.int64())),
-                ],
-                ["block", "check", "numbers", "doc_ids", "sizes"],
-            )
+            yield _stream_row(block_id, block, buckets)
 
-    spread = source.mapInArrow(words, "word string, block long, number int, check long")
-    ids = (
-        spread.repartition("word")
-        .sortWithinPartitions("word")
-        .mapInArrow(lambda batches: _encode_words(batches, ranks), IDS_SCHEMA)
+    spread = source.mapInArrow(words, "bucket int, block long, check long, words binary")
+    ids = spread.groupBy("bucket").applyInArrow(
+        lambda rows: _encode_bucket(rows, ranks),
+        "bucket int, block long, check long, sizes binary, ids binary",
     )
     stream = source.mapInArrow(
         streams,
-        "block long, check long, numbers binary, doc_ids array<long>, sizes array<long>",
+        "block long, check long, numbers binary, order binary, buckets int, "
+        "doc_ids array<long>, sizes array<long>",
     )
     return (
         ids.groupBy("block").cogroup(stream.groupBy("block"))
-        .applyInArrow(_assemble, "doc_id long, ids array<int>")
+        .applyInArrow(_assemble, "doc_id long, ids binary")
     )
 
 
@@ -374,7 +382,7 @@ def _token_bytes(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _decode_ids(ids: np.ndarray, path: str) -> bytes:
     values, firsts, sizes = _token_bytes(path)
-    if len(ids) and (ids.min() < 0 or ids.max() >= len(sizes)):
+    if len(ids) and ids.max() >= len(sizes):
         raise ValueError("an id is not in the vocabulary")
     return b"".join(
         gathered(values, firsts, sizes, ids[low : low + CHUNK]).tobytes()
@@ -384,39 +392,28 @@ def _decode_ids(ids: np.ndarray, path: str) -> bytes:
 
 def decode(encoded: DataFrame, ranks: str) -> DataFrame:
     """``encoded`` with ``decoded``, the bytes of its ``ids``; null ids have none."""
-    from pyspark.sql import types as T
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column("ids")
-            found = [
-                _decode_ids(ids[k].values.to_numpy(), ranks) if ids[k].is_valid else None
-                for k in range(len(ids))
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(found, pa.binary())], [*batch.schema.names, "decoded"]
-            )
+        for whole in batches:
+            for low in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(low, ROWS)
+                found = [
+                    _decode_ids(np.frombuffer(ids.as_buffer(), "<u4"), ranks) if ids.is_valid else None
+                    for ids in batch.column("ids")
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, pa.array(found, pa.binary())], [*batch.schema.names, "decoded"]
+                )
 
-    return encoded.mapInArrow(join, T.StructType([*encoded.schema, T.StructField("decoded", T.BinaryType())]))
+    schema = T.StructType([*encoded.schema, T.StructField("decoded", T.BinaryType())])
+    return encoded.mapInArrow(join, schema)
 
 
 def digests(decoded: DataFrame) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256); ids as little-endian 32-bit numbers."""
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = [v.values.to_numpy() for v in batch.column("ids")]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array([len(v) for v in ids], pa.int64()),
-                    pa.array([hashlib.sha256(v.astype("<u4").tobytes()).hexdigest() for v in ids], pa.string()),
-                    batch.column("decoded_sha256"),
-                ],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
-
-    hashed = decoded.select("doc_id", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
-    return hashed.mapInArrow(
-        digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row."""
+    return decoded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )

@@ -1,8 +1,9 @@
 """Phrase collocations, counted by multikey three-way quicksort of suffix pointers.
 
-1. Each block of documents (``blocks``) counts its distinct words per language; their
-   sums give n, and the words that stand often enough to be part of a candidate. These
-   are numbered. All other words, and the ends of pieces, end a phrase.
+1. Each block of documents (``blocks``) counts its distinct words per language. Dealt into
+   buckets by their hash, the words of all blocks are summed, which gives n and the
+   words that stand often enough to be part of a candidate. These are numbered, and each
+   block learns the numbers of its own. All other words, and the ends of pieces, end a phrase.
 2. Every block turns its texts into those numbers, cuts the suffix of ``DEPTH`` words
    at each place, and merges its equal suffixes.
 3. Suffixes are routed by their leading words: by the first word, if that stands at
@@ -38,10 +39,14 @@ from mirrorspan.llm.blocks import (
     BLOCK_WORDS,
     Numbers,
     block_ids,
+    bucket_count,
+    by_bucket,
+    joined,
     packed,
+    parted,
     unpacked,
 )
-from mirrorspan.llm.common import materialized, running_sums
+from mirrorspan.llm.common import materialized
 
 DEPTH = 5
 LEAST = 100
@@ -52,7 +57,8 @@ CHUNK = 2_000_000
 # Suffixes that are cut, merged and routed at once.
 SUFFIXES = 2_000_000
 
-BREAK, ABSENT = 1, 0
+# Numbers of no word and of the end of a piece; those of words begin after them.
+ABSENT, BREAK, FIRST = 0, 1, 2
 # A-Z are lowered, tabs are blanks, ends of pieces are line feeds; other bytes stay.
 _BYTES = bytearray(range(256))
 _BYTES[65:91] = bytes(range(97, 123))
@@ -91,35 +97,42 @@ class _Block:
         self.parts[lang] += [found[found != ABSENT], np.array([BREAK], np.uint32)]
         self.size += len(data)
 
-    def record(self, block_id: int) -> Iterator[pa.RecordBatch]:
-        """The words with their counts, and one row for the stream of each language."""
+    def record(self, block_id: int, buckets: int) -> Iterator[pa.RecordBatch]:
+        """For each language a row for the words of a bucket, and one for the stream."""
         for lang, numbers in self.numbers.items():
             stream = np.concatenate(self.parts[lang])
-            words, counts = list(numbers), np.bincount(stream, minlength=len(numbers))
-            for low in range(2, len(words), 50_000):
-                high = min(len(words), low + 50_000)
-                yield _batch(
-                    block_id, lang, words[low:high], np.arange(low, high), counts[low:high],
-                    [None] * (high - low),
-                )
-            yield _batch(block_id, lang, [None], [0], [0], [packed(stream)])
+            words = list(numbers)[FIRST:]
+            counts = np.bincount(stream, minlength=len(numbers))[FIRST:]
+            order, bucket = by_bucket(words, buckets)
+            begins = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist()
+            spans = list(zip(begins, [*begins[1:], len(words)]))
+            ordered, sums = [words[k] for k in order.tolist()], counts[order]
+            yield _batch(
+                block_id, lang, bucket[begins].tolist() if begins else [],
+                [joined(ordered[a:b]) for a, b in spans],
+                [packed(sums[a:b]) for a, b in spans], [None] * len(spans),
+            )
+            yield _batch(block_id, lang, [None], [None], [packed(order)], [packed(stream)])
+
 
+BLOCK_SCHEMA = "block long, lang string, bucket int, words binary, numbers binary, stream binary"
 
-def _batch(block_id, lang, words, numbers, counts, streams) -> pa.RecordBatch:
+
+def _batch(block_id, lang, buckets, words, numbers, streams) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(np.full(len(words), block_id)),
+            pa.array(np.full(len(words), block_id), pa.int64()),
             pa.array([lang] * len(words), pa.string()),
+            pa.array(buckets, pa.int32()),
             pa.array(words, pa.binary()),
-            pa.array(numbers, pa.int32()),
-            pa.array(counts, pa.int64()),
+            pa.array(numbers, pa.binary()),
             pa.array(streams, pa.binary()),
         ],
-        ["block", "lang", "word", "number", "n", "stream"],
+        ["block", "lang", "bucket", "words", "numbers", "stream"],
     )
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _blocks(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     ids, block = block_ids(), _Block()
     for batch in batches:
         langs = batch.column("lang").to_pylist()
@@ -134,10 +147,10 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     block.add(own, some)
                 waiting, held = {}, 0
                 if block.full():
-                    yield from block.record(next(ids))
+                    yield from block.record(next(ids), buckets)
                     block = _Block()
     if block.numbers:
-        yield from block.record(next(ids))
+        yield from block.record(next(ids), buckets)
 
 
 def suffixes(stream: np.ndarray, low: int, high: int, depth: int) -> np.ndarray:
@@ -235,20 +248,76 @@ def _part(first: Column, words: Column) -> Column:
     return F.substring(F.col("key"), 4 * first + 1, 4 * words)
 
 
+BUCKET_SCHEMA = (
+    "bucket int, lang string, block long, ids binary, hot binary, word binary, id long, n long"
+)
+
+
+def _sum_bucket(rows: pa.Table, least: int, hot_count: int) -> pa.Table:
+    """Sums a bucket's words over all blocks and numbers the frequent ones.
+
+    Rows of a block hold the ids of its words (0: infrequent) and which of these are hot;
+    rows of a word its id and count; rows of a language alone the count of all its words.
+    Ids are the bucket's own, from 1.
+    """
+    bucket = rows.column("bucket")[0].as_py()
+    langs, blocks = rows.column("lang").to_pylist(), rows.column("block").to_pylist()
+    found: dict[str, Numbers] = {}
+    places, counts = [], []
+    for lang, words, numbers in zip(langs, rows.column("words"), rows.column("numbers")):
+        own = found.setdefault(lang, Numbers())
+        some = parted(words.as_py())
+        places.append(np.fromiter(map(own.__getitem__, some), np.int64, len(some)))
+        counts.append(unpacked(numbers.as_py()))
+    sums = {lang: np.zeros(len(own), np.int64) for lang, own in found.items()}
+    for lang, at, n in zip(langs, places, counts):
+        sums[lang][at] += n
+    ids, out, given = {}, [], 0
+    for lang, own in found.items():
+        frequent = np.flatnonzero(sums[lang] >= least)
+        ids[lang] = np.zeros(len(own), np.int64)
+        ids[lang][frequent] = np.arange(given + 1, given + len(frequent) + 1)
+        given += len(frequent)
+        words, chosen = list(own), frequent.tolist()
+        out += [
+            (bucket, lang, None, None, None, words[k], int(ids[lang][k]), int(sums[lang][k]))
+            for k in chosen
+        ]
+        out.append((bucket, lang, None, None, None, None, None, int(sums[lang].sum())))
+    for lang, block, at in zip(langs, blocks, places):
+        own, hot = ids[lang][at], sums[lang][at] > hot_count
+        out.append((
+            bucket, lang, block, packed(own), packed(np.flatnonzero(hot & (own > 0))), None, None, None,
+        ))
+    types = [pa.int32(), pa.string(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
+    names = ["bucket", "lang", "block", "ids", "hot", "word", "id", "n"]
+    return pa.table({n: pa.array(list(c), t) for n, t, c in zip(names, types, zip(*out))})
+
+
 def _cut(known: pa.Table, stream: pa.Table, depth: int, groups: int) -> pa.Table:
     """The merged suffixes of a block in one language, a row for each group."""
-    streams = stream.column("stream").to_pylist()
-    numbers = unpacked(streams[0]) if streams else np.zeros(0, np.uint32)
-    ids = known.column("id").to_numpy()
+    known = known.sort_by("bucket")
+    numbers = unpacked(stream.column("stream")[0].as_py())
+    order = unpacked(stream.column("numbers")[0].as_py())
+    ids, hots, at = [], [], 0
+    for own, hot, offset in zip(known.column("ids"), known.column("hot"), known.column("offset").to_pylist()):
+        own = unpacked(own.as_py()).astype(np.int64)
+        hots.append(unpacked(hot.as_py()).astype(np.int64) + at)
+        ids.append(np.where(own > 0, own + offset, 0))
+        at += len(own)
+    ids = np.concatenate([*ids, np.zeros(0, np.int64)])
+    if len(ids) != len(order):
+        raise RuntimeError("a block's words came back incomplete")
     if len(ids) and ids.max() >= 1 << 32:
         raise ValueError("more than 2^32 frequent words")
-    order = np.argsort(ids)
-    local = known.column("number").to_numpy()[order]
-    # The block's frequent words by id, from 1; 0 is an end.
-    own = np.zeros(1 + int(max(numbers.max(initial=0), local.max(initial=0))), np.uint32)
-    own[local] = np.arange(1, len(ids) + 1, dtype=np.uint32)
-    words = np.concatenate([[0], ids[order]]).astype(np.uint32)
-    hot = np.append(False, known.column("hot").to_numpy(zero_copy_only=False)[order])
+    frequent = np.flatnonzero(ids)
+    # The block's frequent words are numbered from 1; 0 is an end.
+    own = np.zeros(FIRST + len(order), np.uint32)
+    own[FIRST + order[frequent]] = np.arange(1, len(frequent) + 1, dtype=np.uint32)
+    words = np.append(0, ids[frequent]).astype(np.uint32)
+    is_hot = np.zeros(len(ids), bool)
+    is_hot[np.concatenate([*hots, np.zeros(0, np.int64)])] = True
+    hot = np.append(False, is_hot[frequent])
     mapped = own[numbers]
     parts = []
     for low in range(0, len(mapped), SUFFIXES):
@@ -264,15 +333,16 @@ def _cut(known: pa.Table, stream: pa.Table, depth: int, groups: int) -> pa.Table
         leading += going
     table = words[table]
     route = routes(table, leading, groups)
-    order = np.argsort(route, kind="stable")
+    # By the first word within a group, and column by column: so they compress well.
+    order = np.argsort((route.astype(np.uint64) << np.uint64(32)) | table[:, 0], kind="stable")
     table, counts, leading, route = table[order], counts[order], leading[order], route[order]
     begins = np.flatnonzero(np.diff(route, prepend=-1))
     spans = list(zip(begins.tolist(), [*begins[1:].tolist(), len(route)]))
     return pa.table({
         "route": pa.array(route[begins], pa.int64()),
-        "suffixes": pa.array([table[a:b].astype("<u4").tobytes() for a, b in spans], pa.binary()),
-        "counts": pa.array([counts[a:b].astype("<u4").tobytes() for a, b in spans], pa.binary()),
-        "leading": pa.array([leading[a:b].tobytes() for a, b in spans], pa.binary()),
+        "suffixes": pa.array([packed(table[a:b].T.ravel()) for a, b in spans], pa.binary()),
+        "counts": pa.array([packed(counts[a:b]) for a, b in spans], pa.binary()),
+        "leading": pa.array([packed(leading[a:b]) for a, b in spans], pa.binary()),
     })
 
 
@@ -289,32 +359,41 @@ def phrase_counts(
         F.coalesce(F.col("lang"), F.lit("und")).alias("lang"),
         F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"),
     )
+    chars = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = bucket_count(chars)
     blocks = materialized(
-        source.mapInArrow(
-            _blocks, "block long, lang string, word binary, number int, n long, stream binary"
-        ),
+        source.mapInArrow(lambda batches: _blocks(batches, buckets), BLOCK_SCHEMA),
         "collocation-blocks",
     )
-    spread = blocks.filter("stream is null").drop("stream")
-    streams = blocks.filter("stream is not null").select(
-        F.col("block").alias("_block"), F.col("lang").alias("_lang"), "stream"
+    streams = blocks.filter("stream IS NOT NULL").select(
+        F.col("block").alias("_block"), F.col("lang").alias("_lang"), "numbers", "stream"
     )
-    sums = materialized(
-        spread.groupBy("lang", "word").agg(F.sum("n").alias("n")), "collocation-words"
+    summed = materialized(
+        blocks.filter("stream IS NULL").drop("stream").groupBy("bucket").applyInArrow(
+            lambda rows: _sum_bucket(rows, least, hot_count), BUCKET_SCHEMA
+        ),
+        "collocation-words",
+    )
+    totals = summed.filter("block IS NULL AND word IS NULL").groupBy("lang").agg(F.sum("n").alias("n"))
+    n_all = totals.agg(F.sum("n")).first()[0] or 0
+    # One row a bucket.
+    earlier = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = materialized(
+        summed.groupBy("bucket").agg(F.count("word").alias("given")).select(
+            "bucket", F.coalesce(F.sum("given").over(earlier), F.lit(0)).alias("offset")
+        ),
+        "collocation-offsets",
     )
-    totals = sums.groupBy("lang").agg(F.sum("n").alias("n"))
-    n_all = sums.agg(F.sum("n")).first()[0] or 0
     words = materialized(
-        running_sums(
-            sums.filter(F.col("n") >= least),
-            [F.col("lang"), F.col("word")],
-            {"before": F.lit(1)},
-            "collocation-numbers",
-        ).withColumn("id", F.col("before") + 1).drop("before"),
+        summed.filter("word IS NOT NULL").join(offsets, "bucket").select(
+            "lang", "word", "n",
+            F.unhex(F.lpad(F.hex(F.col("id") + F.col("offset")), 8, "0")).alias("key"),
+        ),
         "collocation-frequent",
     )
-    known = spread.drop("n").join(words, ["lang", "word"]).select(
-        "block", "lang", "number", "id", (F.col("n") > hot_count).alias("hot")
+    known = (
+        summed.filter("block IS NOT NULL").join(offsets, "bucket")
+        .select("block", "lang", "bucket", "ids", "hot", "offset")
     )
     groups = max(64, -(-n_all // hot_count))
 
@@ -328,11 +407,13 @@ def phrase_counts(
 
     def count(rows: pa.Table) -> pa.Table:
         table, counts, leading = (
-            np.frombuffer(b"".join(rows.column(c).to_pylist()), t)
-            for c, t in (("suffixes", "<u4"), ("counts", "<u4"), ("leading", "u1"))
+            [unpacked(b.as_py()) for b in rows.column(c)] for c in ("suffixes", "counts", "leading")
         )
         prefixes, sizes = prefix_counts(
-            table.reshape(-1, depth), counts.astype(np.int64), leading, least
+            np.concatenate([t.reshape(depth, -1).T for t in table]),
+            np.concatenate(counts).astype(np.int64),
+            np.concatenate(leading).astype(np.uint8),
+            least,
         )
         return pa.table({
             "key": pa.array([_key(p) for p in prefixes], pa.binary()),
@@ -344,8 +425,7 @@ def phrase_counts(
         parts.groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= least),
         "collocation-phrases",
     )
-    words = words.withColumn("key", F.unhex(F.lpad(F.hex("id"), 8, "0")))
-    return words.select("lang", "word", "n", "key"), phrases, totals
+    return words, phrases, totals
 
 
 # Candidates a salt; each salted part of a language hands on its best.
