@@ -17,8 +17,15 @@ def strip_nul(text: Column) -> Column:
 
 
 def drop_invalid_utf8(text: Column) -> Column:
-    """Remove bytes that are not UTF-8; valid text is returned untouched."""
-    repaired = F.replace(F.make_valid_utf8(text), F.lit("�"), F.lit(""))
+    """Remove bytes that are not UTF-8; valid text is returned untouched.
+
+    Repairing puts U+FFFD for broken bytes. One that stands in the text by itself is
+    written in another way meanwhile, so that it stays: NUL becomes NUL n, U+FFFD NUL r.
+    """
+    nul, mark = F.lit("\0"), F.lit("\ufffd")
+    escaped = F.replace(F.replace(text, nul, F.lit("\0n")), mark, F.lit("\0r"))
+    repaired = F.replace(F.make_valid_utf8(escaped), mark, F.lit(""))
+    repaired = F.replace(F.replace(repaired, F.lit("\0r"), mark), F.lit("\0n"), nul)
     return F.when(F.is_valid_utf8(text), text).otherwise(repaired)
 
 

@@ -87,6 +87,9 @@ class Strategy:
     run's rule for columns whose type changed at the source. A NULL in a
     ``required`` column fails the load (files would not enforce it).
 
+    ``curve_columns`` sort the files along a Z-order curve instead, so that row groups can be
+    skipped by any of them.
+
     ``index_columns`` are the key columns of the copy's skipping index; by default those
     by which its runs delete.
 
@@ -120,6 +123,7 @@ class Strategy:
     required: tuple[str, ...] = ()
     via: str | None = None
     index_columns: tuple[str, ...] = ()
+    curve_columns: tuple[str, ...] = ()
 
     @property
     def clustering(self) -> tuple[str, ...]:

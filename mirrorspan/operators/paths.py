@@ -66,5 +66,6 @@ def keys_along(read: SourceReader, start: KeySet, path: Sequence[Relationship])
 
 def rows_along(read: SourceReader, start: KeySet, path: Sequence[Relationship]) -> DataFrame:
     """Rows of the last table of the path that belong to ``start`` over all hops."""
-    last = path[-1]
-    return rows_with_keys(read(last.table), keys_along(read, start, path)[-1], list(last.columns))
+    last, table = path[-1], read(path[-1].table)
+    found = rows_with_keys(table, keys_along(read, start, path)[-1], list(last.columns))
+    return found.select(*(f"`{c}`" for c in table.columns))

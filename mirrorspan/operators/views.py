@@ -12,8 +12,13 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 
-def create_view(spark: SparkSession, name: str, sql: str) -> DataFrame:
-    spark.sql(sql).createOrReplaceTempView(name)
+def create_view(spark: SparkSession, name: str, sql: str, persistent: bool = False) -> DataFrame:
+    """A view of the session, or, if ``persistent``, of the catalog: it replaces one of
+    that name, outlives the session, and can read catalog tables and views only."""
+    if persistent:
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS {sql}")
+    else:
+        spark.sql(sql).createOrReplaceTempView(name)
     return spark.table(name)
 
 

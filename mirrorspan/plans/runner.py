@@ -34,6 +34,7 @@ from mirrorspan.model import (
     TableRef,
 )
 from mirrorspan.operators.evolve import USE_EXISTING, reconcile
+from mirrorspan.operators.layout import curve_key
 from mirrorspan.operators.joins import KeySet, key_set, rows_with_keys, rows_without_keys
 from mirrorspan.operators.quality import LEDGER_SCHEMA
 from mirrorspan.operators.window import keys_before_and_after, survivors, window_keys, window_rows
@@ -222,7 +223,7 @@ class Replicator:
         s = self._measured(s)
         df, partition = self._for_append(s, incoming, fresh=True)
         return self.store.overwrite(
-            self.target(s.table), df, partition, s.clustering, batch=self.batch,
+            self.target(s.table), df, partition, self._order(s, df), batch=self.batch,
             spec=self._spec(s) if partition else None,
             index=self._indexed(s) if partition else (),
         )
@@ -268,7 +269,7 @@ class Replicator:
         if spec is not None:
             df = self._with_part(s, df)
         self.store.overwrite(
-            name, df, PARTITION if spec else None, s.clustering, spec=spec,
+            name, df, PARTITION if spec else None, self._order(s, df), spec=spec,
             index=self._indexed(s) if spec else (),
         )
 
@@ -292,6 +293,11 @@ class Replicator:
         fits = (u for u in PARTITION_FORMATS if rows >= AUTO_PARTITION_ROWS * max(1, row[u]))
         return replace(s, partition_unit=next(fits, None))
 
+    @staticmethod
+    def _order(s: Strategy, df: DataFrame) -> tuple[str | Column, ...]:
+        """What the rows of files are sorted by."""
+        return (curve_key(df, s.curve_columns),) if s.curve_columns else s.clustering
+
     @staticmethod
     def _indexed(s: Strategy) -> tuple[str, ...]:
         """Key columns by which runs look for the partitions to write anew."""
@@ -307,7 +313,7 @@ class Replicator:
 
     def _store_append(self, s: Strategy, df: DataFrame, partition: str | None) -> int:
         return self.store.append(
-            self.target(s.table), df, partition, batch=self.batch, cluster_by=s.clustering,
+            self.target(s.table), df, partition, batch=self.batch, cluster_by=self._order(s, df),
             spec=self._spec(s) if partition else None,
             index=self._indexed(s) if partition else (),
         )
@@ -316,7 +322,8 @@ class Replicator:
         """Rows of the last frame, after all of them became one version."""
         chosen = None if parts is None else parts.__contains__
         return self.store.replace(
-            self.target(s.table), frames, chosen, batch=self.batch, cluster_by=s.clustering
+            self.target(s.table), frames, chosen, batch=self.batch,
+            cluster_by=self._order(s, frames[-1]),
         )[-1]
 
     def _own_window(self, s: Strategy, ctx: RunContext) -> int:

@@ -45,6 +45,22 @@ def _(t):
     return relate.shared_columns({n: t(n) for n in BUSINESS})
 
 
+@query(
+    "common_columns_order",
+    f"""WITH c AS ({catalog_sql(BUSINESS_COLUMNS)})
+        SELECT row_number() OVER (ORDER BY a.table_name, a.column_name, b.table_name) AS position,
+               a.table_name AS table1, a.column_name AS column1, b.table_name AS table2
+        FROM c a JOIN c b ON a.column_name = b.column_name AND a.table_name <> b.table_name
+        WHERE a.column_name LIKE '%ID%' OR a.column_name LIKE '%id%'
+           OR a.column_name LIKE '%numero%' OR a.column_name LIKE '%comprobante%'""",
+    needs=BUSINESS,
+)
+def _(t):
+    """The rows of common_columns with the place at which each comes."""
+    found = relate.shared_columns({n: t(n) for n in BUSINESS})
+    return cat.numbered(found).select("position", "table1", "column1", "table2")
+
+
 @query(
     "join_test",
     """SELECT count(*) AS total_joined_rows, count(DISTINCT o_orderkey) AS unique_t1_keys,

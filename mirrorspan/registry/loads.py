@@ -150,25 +150,30 @@ def _(t):
 
 @query(
     "partition_unit_change",
-    f"""SELECT d.units, o.* FROM (VALUES ('day-year'), ('year-day')) d(units), (
+    f"""SELECT d.units, d.unit, o.*
+        FROM (VALUES ('month-year', 'year'), ('year-month', 'month')) d(units, unit), (
             SELECT * FROM tgt_orders WHERE NOT (o_orderdate >= {_CUT})
             UNION ALL SELECT * FROM orders WHERE o_orderdate >= {_CUT}) o""",
     needs=("tgt_orders",),
 )
 def _(t):
-    """A copy that was partitioned by another unit than the run wants."""
+    """A copy that is partitioned by another unit than the run wants: the run keeps the
+    copy's, and the command for it writes the whole copy anew."""
     out = []
-    for old, new in (("day", "year"), ("year", "day")):
+    for old, new in (("month", "year"), ("year", "month")):
         store = new_store(t, "units")
         before, after = (
             [Strategy("orders", DATE_INCREMENTAL, ("o_orderdate",), partition_unit=u)] for u in (old, new)
         )
-        stale = {"orders": t("tgt_orders").filter(F.col("o_orderdate") >= "2001-01-01")}
-        older = t("tgt_orders").filter(F.col("o_orderdate") < "2001-01-01")
+        stale = {"orders": t("tgt_orders")}
         Replicator(t.spark, "shop", stale.__getitem__, ["orders"], store, before).run_missing(N30)
-        _checked(Replicator(t.spark, "shop", t, ["orders"], store, after).run(N30))
-        rows = store.read("shop_orders").unionByName(older)
-        out.append(rows.select(F.lit(f"{old}-{new}").alias("units"), "*"))
+        run = Replicator(t.spark, "shop", t, ["orders"], store, after)
+        _checked(run.run(N30))
+        if store.snapshot("shop_orders").spec["unit"] != old:
+            raise RuntimeError("the run wrote the copy anew")
+        run.repartition("orders")
+        unit = F.lit(store.snapshot("shop_orders").spec["unit"]).alias("unit")
+        out.append(store.read("shop_orders").select(F.lit(f"{old}-{new}").alias("units"), unit, "*"))
     return out[0].unionByName(out[1])
 
 
@@ -387,19 +392,48 @@ _PAIRS = {
 @query(
     "schema_reconcile_types",
     f"""WITH p(old, new, wide) AS (VALUES {", ".join(f"('{a}', '{b}', '{w}')" for (a, b), w in _PAIRS.items())})
-        SELECT old, new, wide AS catalog, wide AS load, count(*) AS lines
-        FROM p, lineitem WHERE l_linenumber = 1 GROUP BY ALL""",
+        SELECT old, new, wide AS catalog, wide AS load, 2 * count(*) AS lines, 2 * count(*) AS kept
+        FROM p, lineitem GROUP BY ALL""",
 )
 def _(t):
-    """The catalog's and the load's type for a column that changed, both from one rule."""
-    pairs = [
-        (a, b, evolve.widest(T.DataType.fromDDL(a), T.DataType.fromDDL(b)).simpleString())
-        for a, b in _PAIRS
-    ]
-    both = local_frame(t.spark, pairs, "old string, new string, load string")
-    lines = t("lineitem").filter("l_linenumber = 1").count()
+    """Columns of every line under an old type, then under a new one, loaded into one table;
+    the catalog's rule and the type and values that are read back."""
+    day = F.date_add(F.lit("2001-01-01").cast("date"), F.col("l_linenumber"))
+
+    def typed(side):
+        columns = []
+        for k, pair in enumerate(_PAIRS):
+            dated = pair[side] in ("date", "timestamp_ntz")
+            value = day if dated else F.col("l_linenumber")
+            columns.append(value.cast(pair[side]).alias(f"c{k}"))
+        return t("lineitem").select(*columns, F.col("l_linenumber").alias("n"))
+
+    store = new_store(t, "types")
+    read = {"old": typed(0), "new": typed(1)}
+    for state in ("old", "new"):
+        source = read[state]
+        Replicator(
+            t.spark, "shop", lambda _, df=source: df, ["lines"], store, clean=False,
+            type_policy=evolve.MOST_PERMISSIVE,
+        ).load("lines", "append")
+    back = store.read("shop_lines")
+    kinds = {f.name: f.dataType for f in back.schema.fields}
+    facts = []
+    for k, (old, new) in enumerate(_PAIRS):
+        # Each value is one of the two that were sent, as the wider type has it.
+        sent = [
+            (day if side in ("date", "timestamp_ntz") else F.col("n")).cast(side).cast(kinds[f"c{k}"])
+            for side in (old, new)
+        ]
+        same = (F.col(f"c{k}") == sent[0]) | (F.col(f"c{k}") == sent[1])
+        facts.append(F.struct(
+            F.lit(old).alias("old"), F.lit(new).alias("new"),
+            F.lit(kinds[f"c{k}"].simpleString()).alias("load"),
+            F.count(f"c{k}").alias("lines"), F.count_if(same).alias("kept"),
+        ))
+    found = back.agg(F.array(*facts).alias("facts")).select(F.inline("facts"))
     catalog = evolve.wider_type(F.col("old"), F.col("new")).alias("catalog")
-    return both.select("old", "new", catalog, "load", F.lit(lines).cast("bigint").alias("lines"))
+    return found.select("old", "new", catalog, "load", "lines", "kept")
 
 
 _TOKENS = "('nan', 'None', 'null', 'NULL', '')"

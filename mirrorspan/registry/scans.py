@@ -1,5 +1,7 @@
 """Sources, catalogs, projections and lookback filters."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from mirrorspan.functions import clean
@@ -153,17 +155,45 @@ def _(t):
     )
 
 
+@query(
+    "create_view_persistent",
+    """SELECT c_mktsegment, o_orderpriority, count(*) AS orders FROM customer
+       JOIN orders ON c_custkey = o_custkey GROUP BY 1, 2""",
+)
+def _(t):
+    """A view in the catalog, over catalog tables, as another session sees it."""
+    run = uuid.uuid4().hex[:8]
+    names = {n: f"mirrorspan_{n}_{run}" for n in ("customer", "orders")}
+    for n, name in names.items():
+        path = scratch_dir(t.spark, f"view-{n}")
+        t(n).write.parquet(path)
+        scan.create_external_table(t.spark, name, path, "parquet")
+    view = f"mirrorspan_segments_{run}"
+    views.create_view(
+        t.spark, view,
+        f"SELECT c_mktsegment, o_orderpriority, count(*) AS orders FROM {names['customer']} "
+        f"JOIN {names['orders']} ON c_custkey = o_custkey GROUP BY 1, 2",
+        persistent=True,
+    )
+    return t.spark.newSession().table(view)
+
+
 @query(
     "clean_bad_utf8",
-    """SELECT doc_id, 'a' || lang || source AS text
+    """SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN text || chr(65533) || 'x' ELSE text END AS text
        FROM documents""",
 )
 def _(t):
-    """Broken bytes inside texts are dropped, the rest stays."""
-    bad = F.unhex(F.lit("FF"))
-    text = F.concat(F.encode(F.lit("a"), "utf-8"), bad, F.encode("lang", "utf-8"), bad,
-                    F.encode("source", "utf-8"))
-    docs = t("documents").select("doc_id", text.cast("string").alias("text"))
+    """Broken bytes at both ends and in the middle of whole texts are dropped; all else stays,
+    a replacement character that the text itself has included."""
+    half = F.floor(F.char_length("text") / 2).cast("int")
+    parts = [F.substring("text", 1, half), F.substring("text", half + 1, F.char_length("text"))]
+    first, rest = (F.encode(p, "utf-8") for p in parts)
+    own = F.when(F.col("doc_id") % 3 == 0, F.lit("\ufffdx")).otherwise("")
+    broken = F.concat(
+        F.unhex(F.lit("FF")), first, F.unhex(F.lit("C3")), rest, F.encode(own, "utf-8"), F.unhex(F.lit("E282"))
+    )
+    docs = t("documents").select("doc_id", broken.cast("string").alias("text"))
     return clean.clean_text_columns(docs)
 
 

@@ -1,11 +1,23 @@
-"""Queries of what keeps copies up cheaply: streams of children, kept views, skipping, trees."""
+"""Queries of what keeps copies up cheaply: streams of children, kept views, skipping, trees,
+pages, chains of references, curves, sketches and buckets."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from mirrorspan.model import DATE_INCREMENTAL, Relationship, Strategy
-from mirrorspan.operators import hash_tree, inclusion, maintain, paths, quality, views
+from mirrorspan.operators import (
+    hash_tree,
+    inclusion,
+    layout,
+    maintain,
+    paths,
+    quality,
+    sketches,
+    views,
+)
 from mirrorspan.operators.joins import key_set, rows_with_keys
 from mirrorspan.operators.window import window_keys, window_replace
 from mirrorspan.plans.runner import PARTITION, Replicator
@@ -13,29 +25,30 @@ from mirrorspan.registry.checks import _KEYS
 from mirrorspan.registry.core import N30, RELATIONSHIPS, TABLES, query
 from mirrorspan.registry.loads import _CUT, REPLACED_LINES, _checked, new_store
 from mirrorspan.session import scratch_dir
+from mirrorspan.sources import bucketed
 from mirrorspan.sources import catalog as cat
 from mirrorspan.sources.pages import scan_balanced, table_pages
 from mirrorspan.streaming import children as ch
 from mirrorspan.streaming import incremental as inc
 
 
-def _strategies() -> list[Strategy]:
+def _strategies(unit: str = "year") -> list[Strategy]:
     return [
-        Strategy("orders", DATE_INCREMENTAL, ("o_orderdate",), partition_unit="month",
+        Strategy("orders", DATE_INCREMENTAL, ("o_orderdate",), partition_unit=unit,
                  index_columns=("o_orderkey",)),
         Strategy("lineitem", DATE_INCREMENTAL, ("o_orderdate",), parent="orders",
-                 join_columns=("l_orderkey",), parent_columns=("o_orderkey",), partition_unit="month"),
+                 join_columns=("l_orderkey",), parent_columns=("o_orderkey",), partition_unit=unit),
     ]
 
 
-def _stale(t, label: str, orders: str = "tgt_orders"):
+def _stale(t, label: str, orders: str = "tgt_orders", unit: str = "year"):
     """A store with stale copies, and a replicator of the real tables."""
     store = new_store(t, label)
     stale = {"orders": t(orders), "lineitem": t("tgt_lines")}
     names = ["orders", "lineitem"]
-    before = Replicator(t.spark, "shop", stale.__getitem__, names, store, _strategies())
+    before = Replicator(t.spark, "shop", stale.__getitem__, names, store, _strategies(unit))
     _checked(before.run_missing(N30))
-    return store, Replicator(t.spark, "shop", t, names, store, _strategies())
+    return store, Replicator(t.spark, "shop", t, names, store, _strategies(unit))
 
 
 # -- streams of children -------------------------------------------------------------------
@@ -146,7 +159,7 @@ def _(t):
 def _(t):
     """Partitions of a child's copy that hold the window's keys, and how many rows; only
     those that the index leaves are read."""
-    store, _ = _stale(t, "skipping")
+    store, _ = _stale(t, "skipping", unit="month")
     keys = window_keys(store.read("shop_orders"), ["o_orderkey"], ["o_orderdate"], N30)
     may = store.parts_with_keys("shop_lineitem", keys, ["l_orderkey"])
     read = store.read("shop_lineitem", may.__contains__, keep_partition=True)
@@ -346,3 +359,111 @@ def _(t):
     lost = F.col("run_date") == F.lit("2024-01-23").cast("date")
     runs = runs.withColumn("rows", F.when(lost, F.floor(F.col("rows") / 3)).otherwise(F.col("rows")))
     return quality.seasonal_anomaly(runs)
+
+
+# -- curve layout ---------------------------------------------------------------------------------------
+
+
+@query(
+    "curve_layout_filter",
+    """SELECT l_orderkey, l_partkey, l_suppkey, l_quantity, l_shipdate FROM lineitem
+       WHERE l_suppkey BETWEEN 3 AND 5 OR l_shipdate >= TIMESTAMP '2001-06-01 00:00:00'""",
+)
+def _(t):
+    """Lines in Z-order by part, supplier and date, filtered by the latter two."""
+    path = scratch_dir(t.spark, "curve")
+    layout.write_curve(t("lineitem"), path, ["l_partkey", "l_suppkey", "l_shipdate"], 8)
+    lines = layout.read_layout(t.spark, path)
+    late = F.col("l_shipdate") >= F.lit("2001-06-01").cast("timestamp_ntz")
+    return lines.filter(F.col("l_suppkey").between(3, 5) | late).select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate")
+
+
+# -- quality by partition ---------------------------------------------------------------------------------
+
+
+@query(
+    "column_quality_kept",
+    f"""WITH r AS (SELECT * FROM tgt_orders WHERE NOT (o_orderdate >= {_CUT})
+                   UNION ALL SELECT * FROM orders WHERE o_orderdate >= {_CUT})
+        SELECT 'o_orderkey' AS column_name, count(*) AS rows, count(*) - count(o_orderkey) AS null_rows,
+               CAST(min(o_orderkey) AS DOUBLE) AS low_number, CAST(max(o_orderkey) AS DOUBLE) AS high_number,
+               '-' AS low_text, '-' AS high_text, true AS distinct_near, true AS median_near FROM r
+        UNION ALL SELECT 'o_custkey', count(*), count(*) - count(o_custkey), min(o_custkey), max(o_custkey),
+               '-', '-', true, true FROM r
+        UNION ALL SELECT 'o_totalprice', count(*), count(*) - count(o_totalprice), min(o_totalprice),
+               max(o_totalprice), '-', '-', true, true FROM r
+        UNION ALL SELECT 'o_orderstatus', count(*), count(*) - count(o_orderstatus), -1, -1,
+               min(o_orderstatus), max(o_orderstatus), true, true FROM r
+        UNION ALL SELECT 'o_orderpriority', count(*), count(*) - count(o_orderpriority), -1, -1,
+               min(o_orderpriority), max(o_orderpriority), true, true FROM r
+        UNION ALL SELECT 'o_orderdate', count(*), count(*) - count(o_orderdate), -1, -1,
+               strftime(min(o_orderdate), '%Y-%m-%d %H:%M:%S'), strftime(max(o_orderdate), '%Y-%m-%d %H:%M:%S'),
+               true, true FROM r""",
+    needs=("tgt_orders",),
+)
+def _(t):
+    """Quality of a copy from sketches by month, of which a refresh renews the last ones; the
+    estimates are held against exact numbers."""
+    store, run = _stale(t, "sketches")
+    sketches.follow_quality(store, "shop_orders", "orders_quality")
+    _checked(run.run(N30, ["orders"]))
+    sketches.follow_quality(store, "shop_orders", "orders_quality")
+    found = sketches.read_quality(store, "orders_quality")
+    copy = store.read("shop_orders")
+    numbers = ("o_orderkey", "o_custkey", "o_totalprice")
+    exact = copy.agg(F.array(*(
+        F.struct(
+            F.lit(c).alias("column_name"), F.count_distinct(c).alias("exact"),
+            *(
+                F.percentile(c, F.lit(q)).cast("double").alias(n) if c in numbers
+                else F.lit(None).cast("double").alias(n)
+                for q, n in ((0.45, "below"), (0.55, "above"))
+            ),
+        )
+        for c in copy.columns
+    )).alias("all")).select(F.inline("all"))
+    off = F.abs(F.col("distinct_values") - F.col("exact")) <= F.greatest(F.lit(1.0), F.col("exact") * 0.06)
+    median = F.coalesce(F.col("q50").between(F.col("below"), F.col("above")), F.col("below").isNull())
+    return found.join(exact, "column_name").select(
+        "column_name", "rows", "null_rows",
+        F.coalesce("low_number", F.lit(-1.0)).alias("low_number"),
+        F.coalesce("high_number", F.lit(-1.0)).alias("high_number"),
+        F.coalesce("low_text", F.lit("-")).alias("low_text"),
+        F.coalesce("high_text", F.lit("-")).alias("high_text"),
+        off.alias("distinct_near"), median.alias("median_near"),
+    )
+
+
+# -- bucketed tables ----------------------------------------------------------------------------------------
+
+
+@query(
+    "view_invoices_bucketed",
+    f"""SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day, o_custkey, l_linenumber, l_suppkey,
+               l_partkey, l_quantity, l_extendedprice
+        FROM ({REPLACED_LINES}) l JOIN (
+            SELECT * FROM tgt_orders WHERE NOT (o_orderdate >= {_CUT})
+            UNION ALL SELECT * FROM orders WHERE o_orderdate >= {_CUT}) o ON l_orderkey = o_orderkey""",
+    needs=("tgt_lines", "tgt_orders"),
+)
+def _(t):
+    """Lines with their orders from bucketed tables that followed a refresh: no shuffle."""
+    store, run = _stale(t, "buckets", unit="year")
+    tag = uuid.uuid4().hex[:8]
+    names = {n: f"mirrorspan_{n}_{tag}" for n in ("orders", "lineitem")}
+    keys = {"orders": ["o_orderkey"], "lineitem": ["l_orderkey"]}
+    paths_of = {n: scratch_dir(t.spark, f"bucketed-{n}") for n in names}
+
+    def publish():
+        for n, name in names.items():
+            bucketed.publish(store, f"shop_{n}", name, keys[n], 8, paths_of[n])
+
+    publish()
+    _checked(run.run(N30))
+    publish()
+    lines, orders = (bucketed.read_published(t.spark, names[n]) for n in ("lineitem", "orders"))
+    joined = bucketed.join_published(lines, orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return joined.select(
+        "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), "o_custkey", "l_linenumber",
+        "l_suppkey", "l_partkey", "l_quantity", "l_extendedprice")

@@ -12,7 +12,7 @@ import re
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from mirrorspan.functions.types import histogram_class
 from mirrorspan.model import Relationship
@@ -201,6 +201,13 @@ def required_columns(catalog: DataFrame) -> DataFrame:
     return catalog.filter(~F.col("nullable")).orderBy("table_name", "column_name")
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """The rows of a small, ordered frame with their ``position`` (from 1) in that order."""
+    placed = df.withColumn("_at", F.monotonically_increasing_id())
+    position = F.row_number().over(Window.orderBy("_at")).cast("bigint")
+    return placed.withColumn("position", position).drop("_at")
+
+
 def type_histogram(catalog: DataFrame, counts: DataFrame | None = None) -> DataFrame:
     """Columns per type class for each table; with ``counts`` also its rows."""
     cls = histogram_class(F.col("full_type"))

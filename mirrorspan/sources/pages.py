@@ -90,8 +90,10 @@ def frame_counter(df: DataFrame, key: str) -> CountCells:
         inside = df.filter(value.between(ranges[0][0], ranges[-1][1])).select(value.alias("k"))
         at = last_at_most(begins, F.col("k"), len(ranges))
         placed = inside.withColumn("at", at).filter(F.col("k") <= F.get(ends, F.col("at")))
-        offset = F.col("k") - F.get(begins, F.col("at"))
-        cell = F.col("k") - F.pmod(offset, F.lit(width))
+        # Differences of keys of either sign may need more than 63 bits.
+        wide = "decimal(20,0)" if ranges[-1][1] - ranges[0][0] >= 2**63 else "bigint"
+        offset = F.col("k").cast(wide) - F.get(begins, F.col("at")).cast(wide)
+        cell = (F.col("k").cast(wide) - F.pmod(offset, F.lit(width).cast(wide))).cast("bigint")
         return {r[0]: r[1] for r in placed.groupBy(cell.alias("cell")).count().collect()}
 
     return count

@@ -339,8 +339,8 @@ class TableStore:
             # that holds a large share of the rows over many tasks.
             out = out.hint("rebalance", F.col(partition_by))
         if cluster_by:
-            order = ([partition_by] if partition_by else []) + list(cluster_by)
-            out = out.sortWithinPartitions(*order)
+            order = [partition_by] if partition_by else []
+            out = out.sortWithinPartitions(*order, *cluster_by)
         sent = Observation()
         writer = out.observe(sent, F.count(F.lit(1)).alias("rows")).write.option("compression", "snappy")
         if partition_by:
