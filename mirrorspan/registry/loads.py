@@ -398,14 +398,15 @@ _PAIRS = {
 def _(t):
     """Columns of every line under an old type, then under a new one, loaded into one table;
     the catalog's rule and the type and values that are read back."""
-    day = F.date_add(F.lit("2001-01-01").cast("date"), F.col("l_linenumber"))
+
+    def value(number, kind):
+        """A line number under a type; for dates so many days."""
+        if kind in ("date", "timestamp_ntz"):
+            return F.date_add(F.lit("2001-01-01").cast("date"), F.col(number)).cast(kind)
+        return F.col(number).cast(kind)
 
     def typed(side):
-        columns = []
-        for k, pair in enumerate(_PAIRS):
-            dated = pair[side] in ("date", "timestamp_ntz")
-            value = day if dated else F.col("l_linenumber")
-            columns.append(value.cast(pair[side]).alias(f"c{k}"))
+        columns = [value("l_linenumber", pair[side]).alias(f"c{k}") for k, pair in enumerate(_PAIRS)]
         return t("lineitem").select(*columns, F.col("l_linenumber").alias("n"))
 
     store = new_store(t, "types")
@@ -421,10 +422,7 @@ def _(t):
     facts = []
     for k, (old, new) in enumerate(_PAIRS):
         # Each value is one of the two that were sent, as the wider type has it.
-        sent = [
-            (day if side in ("date", "timestamp_ntz") else F.col("n")).cast(side).cast(kinds[f"c{k}"])
-            for side in (old, new)
-        ]
+        sent = [value("n", side).cast(kinds[f"c{k}"]) for side in (old, new)]
         same = (F.col(f"c{k}") == sent[0]) | (F.col(f"c{k}") == sent[1])
         facts.append(F.struct(
             F.lit(old).alias("old"), F.lit(new).alias("new"),
