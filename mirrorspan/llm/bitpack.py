@@ -27,6 +27,7 @@ from __future__ import annotations
 import functools
 import itertools
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -38,9 +39,12 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from mirrorspan.llm.blocks import gathered
 from mirrorspan.llm.common import materialized
 
 BLOCK = 4096
+# Characters encoded at once.
+BATCH_CHARS = 2_000_000
 MAGIC = b"MSIDS001"
 # magic, bits, ids a block, blocks, documents, ids, offset of the index
 TRAILER = struct.Struct("<8sIIQQQQ")
@@ -79,35 +83,107 @@ class _Numbers(dict):
         return number
 
 
+class _Growing:
+    """An array that is appended to, with room to spare."""
+
+    def __init__(self, dtype):
+        self.values = np.zeros(1024, dtype)
+        self.n = 0
+
+    def extend(self, more: np.ndarray) -> None:
+        end = self.n + len(more)
+        if end > len(self.values):
+            grown = np.zeros(max(end, 2 * len(self.values)), self.values.dtype)
+            grown[: self.n] = self.values[: self.n]
+            self.values = grown
+        self.values[self.n : end] = more
+        self.n = end
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter by which byte-level vocabularies write each byte: itself if it is printable,
+    else the next free one from 256 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
 class ChunkEncoder:
     """Encodes texts as the tokenizer does, each distinct chunk between blanks once.
 
-    For tokenizers that drop white space and never join what stands on its two
-    sides, as those that split words before merging.
+    For byte-level tokenizers that lower their input, drop white space, never join what
+    stands on its two sides, and part letters from other signs before merging. A chunk of
+    plain Latin letters, with marks after them at most, goes to the merges at once;
+    any other goes through the whole tokenizer.
     """
 
-    MOST = 500_000  # chunks remembered; beyond it all are forgotten
+    MOST = 500_000  # chunks remembered; beyond it the half that is met most stays
+    # Letters that normalising leaves as they are and every version of Unicode knows; not
+    # the dotted capital I, which becomes a letter and a mark.
+    PLAIN = re.compile(
+        "([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+)([,.;:!?]*)"
+    )
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self._forget()
+        self.merges = self.tokenizer.model
+        self.letters = _byte_letters()
+        self.marks: dict[str, list[int]] = {}
+        self._start()
 
-    def _forget(self) -> None:
+    def _start(self) -> None:
         self.number = _Numbers()
-        self.sizes = np.zeros(0, np.int64)
-        self.flat = np.zeros(0, np.uint32)
+        self.firsts, self.sizes = _Growing(np.int64), _Growing(np.int64)
+        self.met, self.flat = _Growing(np.int64), _Growing(np.uint32)
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _add(self, sizes: np.ndarray, ids: np.ndarray, met: np.ndarray) -> None:
+        self.firsts.extend(self.flat.n + np.cumsum(sizes) - sizes)
+        self.sizes.extend(sizes)
+        self.met.extend(met)
+        self.flat.extend(ids)
+
+    def _forget(self) -> None:
+        """Keeps the half that was met most."""
+        n = len(self.number)
+        kept = np.zeros(n, bool)
+        kept[np.argpartition(-self.met.values[:n], n // 2)[: n // 2]] = True
+        words = list(itertools.compress(self.number, kept.tolist()))
+        at = np.flatnonzero(kept)
+        sizes, met = self.sizes.values[at], self.met.values[at]
+        ids = gathered(self.flat.values, self.firsts.values, self.sizes.values, at)
+        self._start()
+        for word in words:
+            self.number[word]
+        self._add(sizes, ids, met // 2)
+
+    def _chunk_ids(self, chunk: str) -> list[int]:
+        plain = self.PLAIN.fullmatch(chunk)
+        if plain is None:
+            return self._ids(chunk)
+        word, marks = plain.groups()
+        word = word.lower()
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.letters)
+        ids = [t.id for t in self.merges.tokenize(word)]
+        if marks:
+            if marks not in self.marks:
+                if len(self.marks) > 10_000:
+                    self.marks = {}
+                self.marks[marks] = self._ids(marks)
+            ids += self.marks[marks]
+        return ids
 
     def _learn(self, chunks: list[str]) -> None:
-        found = [
-            e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
-        ]
-        self.sizes = np.concatenate([self.sizes, np.fromiter(map(len, found), np.int64)])
-        self.flat = np.concatenate(
-            [self.flat, np.fromiter(itertools.chain.from_iterable(found), np.uint32)]
-        )
+        found = list(map(self._chunk_ids, chunks))
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(sizes.sum()))
+        self._add(sizes, ids, np.zeros(len(chunks), np.int64))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of every text."""
@@ -115,15 +191,15 @@ class ChunkEncoder:
             self._forget()
         texts = [t.replace("\n", " ") for t in texts]
         known = len(self.number)
-        at = np.fromiter(map(self.number.__getitem__, " ".join(texts).split(" ")), np.int64)
+        chunks = " ".join(texts).split(" ")
+        at = np.fromiter(map(self.number.__getitem__, chunks), np.int64, len(chunks))
         if len(self.number) > known:
             self._learn(list(itertools.islice(self.number, known, None)))
-        firsts = np.cumsum(self.sizes) - self.sizes
-        size = self.sizes[at]
-        end = np.cumsum(size)
-        ids = self.flat[np.arange(size.sum()) + np.repeat(firsts[at] - end + size, size)]
-        chunks = np.cumsum([t.count(" ") + 1 for t in texts])
-        return np.split(ids, end[chunks[:-1] - 1])
+        self.met.values[: len(self.number)] += np.bincount(at, minlength=len(self.number))
+        ids = gathered(self.flat.values, self.firsts.values, self.sizes.values, at)
+        end = np.cumsum(self.sizes.values[at])
+        n_chunks = np.cumsum([t.count(" ") + 1 for t in texts])
+        return np.split(ids, end[n_chunks[:-1] - 1])
 
 
 @functools.lru_cache(maxsize=2)
@@ -269,8 +345,8 @@ def write_shards(
                 shard = int(frame["shard"].iloc[0])
                 name = f"shard-{shard:06d}.ids"
                 writer = ShardWriter(folder, name, bits)
-            for low in range(0, len(frame), 256):
-                some = frame.iloc[low : low + 256]
+            ends = np.cumsum(frame["text"].str.len().to_numpy(np.int64)) // BATCH_CHARS
+            for _, some in frame.groupby(ends, sort=False):
                 for doc_id, ids in zip(some["doc_id"], encoder.encode(some["text"].tolist())):
                     known = None if pd.isna(doc_id) else int(doc_id)
                     writer.add(known, np.append(ids, np.uint32(end_id)))
