@@ -5,12 +5,14 @@ bounded sample, divide all vectors into cells with a covering radius. A query's
 worst kth score in the sample is a lower bound of its final one; only cells whose
 bound, by centre and radius, reaches it are searched for that query.
 
-Cells are dealt out in blocks of candidates and groups of queries of bounded size.
-Each task grows a cover tree over either side: centres at least a scale apart, all
-points within it, and the covering radius measured at each node. It descends both
-trees together and drops a pair of nodes if the product of the centres and the
-radii can't reach the worst kth score of the queries below. What remains is
-multiplied exactly. A last ranking per query joins the tasks' results.
+Cells are dealt out in blocks of candidates and large groups of queries of bounded size.
+Each task grows a cover tree over either side, level by level: the centres of a level
+are more than its scale apart, every point lies within the scale of one, the next level
+halves the scale and has the centres of the one before among its own. The covering
+radius is measured at each node. It descends both trees together and drops a pair of
+nodes if the product of the centres and the radii can't reach the worst kth score of the
+queries below. What remains is multiplied exactly. A last ranking per query joins the
+tasks' results.
 
 Components are floor(256 x) in double precision, which holds them and, within the
 range checked, their products exactly; beyond it whole numbers are used.
@@ -27,7 +29,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -39,45 +41,82 @@ from mirrorspan.llm.common import materialized
 SAMPLE = 1024
 CENTRES = 32
 LEAF = 64
-QUERY_GROUP = 512
+QUERY_LEAF = 8
+QUERY_GROUP = 8192
+# Candidates multiplied before bounds are looked at again.
+STEP = 256
 LEAST_BLOCK, MOST_BLOCK = 256, 4096
 EXACT = 2.0**53
 
 
 @dataclass
-class Node:
-    """A ball of points; a leaf lists them."""
-
-    centre: np.ndarray
-    radius: float
-    norm: float
-    points: np.ndarray
-    children: list[Node] = field(default_factory=list)
-
-
-def cover_tree(x: np.ndarray, points: np.ndarray | None = None) -> Node:
-    """The cover tree of the rows of ``x``."""
-    points = np.arange(len(x)) if points is None else points
-    own = x[points]
-    centre = own[int(np.argmin(np.linalg.norm(own - own.mean(axis=0), axis=1)))]
-    far = np.linalg.norm(own - centre, axis=1)
-    node = Node(centre, float(far.max()), float(np.linalg.norm(centre)), points)
-    if len(points) <= LEAF or node.radius == 0:
-        return node
-    scale = node.radius / 2
-    # Centres more than a scale apart; every point belongs to the nearest.
-    nearest, at, centres = np.full(len(points), np.inf), np.zeros(len(points), np.int64), 0
-    most = max(2, len(points) // 16)
-    while (k := int(np.argmax(nearest))) >= 0 and nearest[k] > scale:
-        if centres == most:  # spread out so far that a finer scale divides nothing
-            return node
-        gap = np.linalg.norm(own - own[k], axis=1)
-        at[gap < nearest] = centres
-        nearest = np.minimum(nearest, gap)
-        centres += 1
-    if centres > 1:
-        node.children = [cover_tree(x, points[at == c]) for c in range(centres)]
-    return node
+class Level:
+    """The nodes of a scale. Node i has the i-th of the tree's centres."""
+
+    scale: float
+    radius: np.ndarray  # greatest distance of a point below
+    norm: np.ndarray
+    first: np.ndarray  # its children, or on the last level points, are order[first[i] : first[i + 1]]
+    order: np.ndarray
+
+    def below(self, nodes: np.ndarray) -> np.ndarray:
+        """Children (or points) of the nodes."""
+        sizes = self.first[nodes + 1] - self.first[nodes]
+        ends = np.cumsum(sizes)
+        if not len(ends) or not ends[-1]:
+            return self.order[:0]
+        return self.order[np.arange(ends[-1]) + np.repeat(self.first[nodes] - ends + sizes, sizes)]
+
+
+class CoverTree:
+    """The cover tree of the rows of ``x``, at least one.
+
+    ``centres`` are rows of ``x``; the first ``n`` of them make up a level of ``n`` nodes, so
+    levels are nested. Levels end when no node has more than ``leaf`` points, or all points
+    of a node are equal.
+    """
+
+    def __init__(self, x: np.ndarray, leaf: int = LEAF):
+        self.x = x
+        gap = np.linalg.norm(x - x[0], axis=1)
+        centres, nearest = [0], np.zeros(len(x), np.int64)
+        scale = 2.0 ** np.ceil(np.log2(gap.max())) if gap.max() > 0 else 0.0
+        scales, counts, owners = [scale], [1], [nearest.copy()]
+        while np.bincount(nearest, minlength=len(centres)).max() > leaf and gap.max() > 0:
+            scale /= 2
+            while gap.max() > scale:  # the farthest point is a centre of this level
+                k = int(np.argmax(gap))
+                far = np.linalg.norm(x - x[k], axis=1)
+                closer = far < gap
+                nearest[closer], gap = len(centres), np.minimum(gap, far)
+                centres.append(k)
+            if len(centres) > counts[-1]:
+                scales.append(scale)
+                counts.append(len(centres))
+                owners.append(nearest.copy())
+            else:  # nothing divides at this scale
+                scales[-1] = scale
+        self.centres = np.array(centres)
+        # A centre's parent is the nearest centre of the level above; points follow theirs.
+        own = owners[-1]
+        self.levels: list[Level] = []
+        for depth in reversed(range(len(counts))):
+            n = counts[depth]
+            of = own if depth == len(counts) - 1 else owners[depth][self.centres[: counts[depth + 1]]]
+            place = own if depth == len(counts) - 1 else of[place]
+            radius = np.zeros(n)
+            np.maximum.at(radius, place, np.linalg.norm(x - x[self.centres[place]], axis=1))
+            order = np.argsort(of, kind="stable")
+            first = np.searchsorted(of[order], np.arange(n + 1))
+            norm = np.linalg.norm(x[self.centres[:n]], axis=1)
+            self.levels.insert(0, Level(scales[depth], radius, norm, first, order))
+
+    def points(self, depth: int, node: int) -> np.ndarray:
+        """All points below a node."""
+        found = np.array([node])
+        for level in self.levels[depth:]:
+            found = level.below(found)
+        return found
 
 
 def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -94,21 +133,29 @@ def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def search(
     queries: np.ndarray, query_rows: np.ndarray, worst: np.ndarray,
-    x: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int,
+    x: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int, tally: dict | None = None,
 ) -> list[list[tuple[int, float, int]]]:
     """For each query its best (score, id, row), at most ``k``, of those not below ``worst``.
 
-    ``ids`` rank ties, ``rows`` tell a query's own row.
+    ``ids`` rank ties, ``rows`` tell a query's own row. ``tally`` counts pairs of nodes that
+    were looked at and dropped, and pairs of vectors that were multiplied.
     """
     best: list[list[tuple]] = [[] for _ in queries]  # heaps, the worst first
     worst = worst.astype(float).copy()
+    tally = {} if tally is None else tally
+    tally.update({c: tally.get(c, 0) for c in ("pairs", "dropped", "products")})
 
-    def meet(a: Node, b: Node) -> None:
-        scores = _products(queries[a.points], x[b.points])
-        for i, q in enumerate(a.points):
+    def meet(asking: np.ndarray, points: np.ndarray) -> None:
+        tally["products"] += len(asking) * len(points)
+        scores = _products(queries[asking], x[points])
+        for i, q in enumerate(asking):
             own = scores[i]
-            for j in np.flatnonzero(own >= worst[q]):
-                p = b.points[j]
+            hits = np.flatnonzero(own >= worst[q])
+            if len(hits) > 4 * k + 1:  # its own row may be one of them
+                least = np.partition(own[hits], -(k + 1))[-(k + 1)]
+                hits = hits[own[hits] >= least]
+            for j in hits:
+                p = points[j]
                 if rows[p] == query_rows[q]:
                     continue
                 entry = (int(own[j]), -ids[p], -int(rows[p]))
@@ -120,24 +167,54 @@ def search(
                 if len(heap) == k:
                     worst[q] = max(worst[q], heap[0][0])
 
-    def reach(a: Node, b: Node) -> float:
-        top = (a.norm + a.radius) * (b.norm + b.radius)
-        value = float(a.centre @ b.centre) + a.norm * b.radius + b.norm * a.radius
-        return value + a.radius * b.radius + 1e-9 * top  # room for rounding
-
-    stack = [(cover_tree(queries), cover_tree(x))] if len(queries) and len(x) else []
+    def reach(depth: int, a: int, down: int, nodes: np.ndarray) -> np.ndarray:
+        """Bounds of the products below a node of the queries and nodes of the vectors."""
+        one, other = asked.levels[depth], grown.levels[down]
+        centre = queries[asked.centres[a]]
+        far, norm = other.radius[nodes], other.norm[nodes]
+        value = x[grown.centres[nodes]] @ centre + one.norm[a] * far + norm * one.radius[a]
+        top = (one.norm[a] + one.radius[a]) * (norm + far)
+        return value + one.radius[a] * far + 1e-9 * top  # room for rounding
+
+    if not len(queries) or not len(x):
+        return [[] for _ in queries]
+    asked, grown = CoverTree(queries, QUERY_LEAF), CoverTree(x)
+    deepest, lowest = len(asked.levels) - 1, len(grown.levels) - 1
+    stack = [(0, 0, 0, np.array([0]))]
     while stack:
-        a, b = stack.pop()
-        if reach(a, b) < worst[a.points].min():
-            continue
-        if not a.children and not b.children:
-            meet(a, b)
+        depth, a, down, nodes = stack.pop()
+        under = asked.points(depth, a)
+        bounds = reach(depth, a, down, nodes)
+        kept = bounds >= worst[under].min()
+        tally["pairs"] += len(nodes)
+        tally["dropped"] += int((~kept).sum())
+        nodes, bounds = nodes[kept], bounds[kept]
+        if not len(nodes):
             continue
-        if b.children and (not a.children or b.radius >= a.radius):
-            pairs = [(a, c) for c in b.children]
+        one, other = asked.levels[depth], grown.levels[down]
+        parts = one.below(np.array([a])) if depth < deepest else under
+        if down < lowest and (depth == deepest or other.radius[nodes].max() >= one.radius[a]):
+            some = len(nodes)
+            if len(under) <= LEAF:  # the best nodes first; the others wait for what these show
+                nodes = nodes[np.argsort(-bounds, kind="stable")]
+                some = max(1, len(nodes) // 4)
+            if some < len(nodes):
+                stack.append((depth, a, down, nodes[some:]))
+            stack.append((depth, a, down + 1, other.below(nodes[:some])))
+        elif depth < deepest and (down < lowest or len(under) > LEAF or 2 * len(parts) <= len(under)):
+            # Few queries that stand apart from each other are better met together.
+            stack += [(depth + 1, int(c), down, nodes) for c in parts]
         else:
-            pairs = [(c, b) for c in a.children]
-        stack += sorted(pairs, key=lambda p: reach(*p))  # the best is popped first
+            order = np.argsort(-bounds, kind="stable")
+            nodes, bounds = nodes[order], bounds[order]
+            sizes = np.cumsum(other.first[nodes + 1] - other.first[nodes])
+            at = 0
+            while at < len(nodes) and bounds[at] >= worst[under].min():
+                begin = sizes[at - 1] if at else 0
+                end = max(at + 1, int(np.searchsorted(sizes, begin + STEP, side="right")))
+                meet(under, other.below(nodes[at:end]))
+                at = end
+            tally["dropped"] += len(nodes) - at
     return [
         [(s, -i, -r) for s, i, r in sorted(heap, reverse=True)] for heap in best
     ]
