@@ -273,20 +273,26 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
 
 def similar(prints: DataFrame, least: float = 0.8) -> tuple[DataFrame, DataFrame]:
-    """(members, pairs): the representative of every document, and all pairs of
-    representatives whose sets have a Jaccard coefficient of ``least`` or more.
+    """(members, pairs): the class of every document, and all pairs of classes whose sets
+    have a Jaccard coefficient of ``least`` or more.
 
-    Documents with equal sets share a representative, the smallest id.
+    A class is a distinct set, with a number of its own (``node``); ids only name it: the
+    smallest one of its documents is ``class_id``, null if none has any. Classes may share
+    a name where documents share an id.
     """
     shared = prints.groupBy("signatures").agg(F.min("doc_id").alias("class_id"))
-    members = prints.join(shared, "signatures").select("doc_id", "class_id")
     sets = materialized(
-        shared.select("class_id", "signatures", F.size("signatures").alias("n")), "spots-sets"
+        shared.select(
+            F.monotonically_increasing_id().alias("node"), "class_id", "signatures",
+            F.size("signatures").alias("n"),
+        ),
+        "spots-sets",
     )
-    each = sets.select("class_id", "n", F.explode("signatures").alias("signature"))
+    members = prints.join(sets.drop("n"), "signatures").select("doc_id", "class_id", "node")
+    each = sets.select("node", "n", F.explode("signatures").alias("signature"))
     common = each.groupBy("signature").agg(F.count("*").alias("sets"))
-    rarest = Window.partitionBy("class_id").orderBy("sets", "signature")
-    # Two sets that alike share one of these, in the order of rarity.
+    rarest = Window.partitionBy("node").orderBy("sets", "signature")
+    # Two sets that are alike share one of these, in the order of rarity.
     needed = F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1
     heads = (
         each.join(common, "signature")
@@ -294,30 +300,35 @@ def similar(prints: DataFrame, least: float = 0.8) -> tuple[DataFrame, DataFrame
         .filter(F.col("place") <= needed)
         # Lengths of one partition differ by less than the likeness allows.
         .withColumn("part", F.floor(F.log(F.col("n")) / F.log(F.lit(1 / least)) + 1e-9))
-        .select("class_id", "n", "signature", "part")
+        .select("node", "n", "signature", "part")
     )
     heads = materialized(heads, "spots-heads")
     left = heads.withColumn("part", F.explode(F.array(F.col("part"), F.col("part") + 1)))
     right = heads.select(
-        F.col("class_id").alias("other_id"), F.col("n").alias("other_n"), "signature", "part"
+        F.col("node").alias("other_node"), F.col("n").alias("other_n"), "signature", "part"
     )
     met = (
         left.join(right, ["signature", "part"])
-        .filter("class_id != other_id and n <= other_n")
-        .filter((F.col("n") < F.col("other_n")) | (F.col("class_id") < F.col("other_id")))
+        .filter("node != other_node and n <= other_n")
+        .filter((F.col("n") < F.col("other_n")) | (F.col("node") < F.col("other_node")))
         .filter(F.col("n") >= F.col("other_n") * least - 1e-9)
-        .select("class_id", "other_id")
+        .select("node", "other_node")
         .distinct()
     )
-    other = sets.select(
-        F.col("class_id").alias("other_id"), F.col("signatures").alias("other_signatures")
-    )
-    both = met.join(sets.drop("n"), "class_id").join(other, "other_id")
+    named = sets.select("node", "class_id", "signatures")
+    other = named.toDF("other_node", "other_id", "other_signatures")
+    both = met.join(named, "node").join(other, "other_node")
     overlap = F.size(F.array_intersect("signatures", "other_signatures"))
     value = overlap / (F.size("signatures") + F.size("other_signatures") - overlap)
-    pairs = both.select(
-        F.least("class_id", "other_id").alias("class_id"),
-        F.greatest("class_id", "other_id").alias("other_id"),
-        value.alias("likeness"),
-    ).filter(F.col("likeness") >= least)
+    # The smaller name first, null before all; equal names by the number.
+    ends = F.array_sort(F.array(
+        F.struct(F.coalesce("class_id", F.lit(-(2**63))).alias("key"), "node", "class_id"),
+        F.struct(F.coalesce("other_id", F.lit(-(2**63))).alias("key"), F.col("other_node").alias("node"),
+                 F.col("other_id").alias("class_id")),
+    ))
+    pairs = both.filter(value >= least).select(ends.alias("ends"), value.alias("likeness")).select(
+        F.col("ends")[0]["class_id"].alias("class_id"), F.col("ends")[1]["class_id"].alias("other_id"),
+        "likeness",
+        F.col("ends")[0]["node"].alias("node"), F.col("ends")[1]["node"].alias("other_node"),
+    )
     return members, pairs
