@@ -13,15 +13,18 @@ once, and by a likelihood ratio that chance doesn't reach. Words of clean
 documents are clean.
 
 Learning takes a bounded sample of the labelled documents (``TOXIC_ROWS`` and
-``CLEAN_ROWS``, whole texts, the first by a hash of the id) to the driver; all
-texts are scored in tasks. The chain is computed exactly for texts of any length:
+``CLEAN_ROWS``, the first by a hash of the id) to the driver. Words are marked and the
+calibration is fitted over their whole texts; the chain learns from windows of them,
+``WINDOW`` words on both sides of each marked word and of three random ones a text. All
+texts are scored whole, in tasks. The chain is computed exactly for texts of any length:
 the 2x2 products of ``CHUNK`` words are formed for all chunks of a batch at once
 and then joined along each document.
 
 Defined results: null and empty texts, and texts without words, have no marginals
 and get the base score of a text without toxic words; a null id is scored and held
 out only if the check sum of an empty text says so; repeated rows are scored one
-by one; without any labels the score is 0 for all; an empty table gives no rows;
+by one; without labels of both kinds, or words that tell them apart, the score is 0 for
+all; an empty table gives no rows;
 other columns are not read.
 """
 
@@ -78,11 +81,14 @@ def features(word: str) -> list[int]:
 
 @dataclass
 class Model:
-    """Weights of the toxic state against the clean one, transitions, calibration."""
+    """Weights of the toxic state against the clean one, transitions, calibration.
+
+    Before training nothing is toxic.
+    """
 
     weights: np.ndarray = field(default_factory=lambda: np.zeros(FEATURES, np.float32))
-    transitions: np.ndarray = field(default_factory=lambda: np.zeros((2, 2)))
-    start: float = 0.0
+    transitions: np.ndarray = field(default_factory=lambda: np.array([[0.0, -30.0]] * 2))
+    start: float = -30.0
     calibration: tuple[float, float, float] = (-30.0, 0.0, 0.0)
 
 
@@ -354,27 +360,59 @@ def _spans(text: str, toxic: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def train(texts: list[str], toxic: list[int], seed: int = 7) -> Model:
-    """A model from whole texts with document labels."""
+def _calibrated(x: np.ndarray, label: np.ndarray, shift: float) -> tuple[float, float, float]:
+    """Logistic regression on the two signals, neither of which may speak against toxicity.
+
+    The penalty keeps separable labels finite, and the base near the share of toxic texts
+    where nothing else tells. ``shift`` undoes the sample's share of labels.
+    """
+    x = np.column_stack([np.ones(len(x)), x])
+    share = (label.sum() + 0.5) / (len(label) + 1)
+    prior = np.array([np.log(share / (1 - share)), 0.0, 0.0])
+    weight = np.array([1e-2, 1e-1, 1e-1])
+    free = [0, 1, 2]
+    while True:
+        w = np.where(np.isin(range(3), free), prior, 0.0)
+        for _ in range(30):
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+            grad = (x.T @ (label - p) - weight * (w - prior))[free]
+            own = x[:, free]
+            step = np.linalg.solve(
+                (own * (p * (1 - p))[:, None]).T @ own + np.diag(weight[free]), grad
+            )
+            w[free] += step
+        negative = [k for k in free[1:] if w[k] < 0]
+        if not negative:
+            return float(w[0] + shift), float(w[1]), float(w[2])
+        free = [k for k in free if k not in negative]
+
+
+def train(texts: list[str], toxic: list[int], shift: float = 0.0, seed: int = 7) -> Model:
+    """A model from whole texts with document labels.
+
+    ``shift`` is what the log odds of a toxic label are higher by in the corpus than in the
+    sample. With labels of one kind only, or no word that tells toxic texts from others, the
+    model finds nothing toxic: all scores are 0.
+    """
     model = Model()
     label = np.array(toxic, dtype=bool)
-    if not len(label):
+    if label.all() or not label.any():
         return model
     corpus = Corpus(texts)
-    _train_chain(model, corpus, mark_words(corpus, label), seed)
-    del corpus
+    marks = mark_words(corpus, label)
+    if not any(m.any() for m in marks):
+        return model
+    _train_chain(model, corpus, marks, seed)
+    del corpus, marks
+    # Copies of a text count once for each label.
+    single = sorted({(t, bool(y)) for t, y in zip(texts, label.tolist())})
     scorer = Scorer(model)
     signals = [
-        _signals(*scorer.marginals(texts[k : k + 256])) for k in range(0, len(texts), 256)
+        _signals(*scorer.marginals([t for t, _ in single[k : k + 256]]))
+        for k in range(0, len(single), 256)
     ]
-    x = np.column_stack([np.ones(len(texts)), np.concatenate(signals)])
-    # Logistic regression by Newton steps; the penalty keeps separable labels finite.
-    w, penalty = np.zeros(3), np.diag([1e-3, 1e-1, 1e-1])
-    for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ (label - p) - penalty @ w
-        w += np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + penalty, grad)
-    model.calibration = tuple(map(float, w))
+    own = np.array([y for _, y in single])
+    model.calibration = _calibrated(np.concatenate(signals), own, shift)
     return model
 
 
@@ -385,8 +423,9 @@ def held_out(doc_id: Column) -> Column:
 
 def training_sample(
     docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS
-) -> tuple[list[str], list[int]]:
-    """Whole texts and labels of at most the given rows, none of them held out."""
+) -> tuple[list[str], list[int], float]:
+    """Whole texts and labels of at most the given rows, none of them held out, and by how
+    much the log odds of a toxic label are higher among all labels than in the sample."""
     known = (
         labels.filter(F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
         .groupBy("doc_id")
@@ -406,7 +445,15 @@ def training_sample(
         .toPandas()
         .sort_values("doc_id")
     )
-    return rows["text"].tolist(), rows["toxic"].tolist()
+    toxic = int(rows["toxic"].sum())
+    clean_ = len(rows) - toxic
+    counts = known.filter("toxic IS NOT NULL").agg(
+        F.count_if(F.col("toxic") == 1), F.count_if(F.col("toxic") == 0)
+    ).first()
+    shift = 0.0
+    if toxic and clean_ and all(counts):
+        shift = float(np.log(counts[0] / counts[1]) - np.log(toxic / clean_))
+    return rows["text"].tolist(), rows["toxic"].tolist(), shift
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

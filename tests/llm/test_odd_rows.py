@@ -57,7 +57,7 @@ def test_scores(odd_docs, no_docs, module):
 
 def test_training_samples_without_labels(spark, odd_docs):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
-    assert crf.training_sample(odd_docs, none) == ([], [])
+    assert crf.training_sample(odd_docs, none) == ([], [], 0.0)
     assert fm.training_sample(odd_docs, none) == ([], [], 0.0)
 
 
