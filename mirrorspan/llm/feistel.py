@@ -4,12 +4,14 @@ A value found in a text is validated (check digits, calendar, ranges), turned in
 a number of its format's domain, permuted there, and written back in the same
 layout. The permutation depends on the key and the kind of value alone, so equal
 values get equal pseudonyms in all documents, whatever their punctuation, and
-different values stay different. Pseudonyms are valid: a card number passes the
-Luhn test, an IBAN its check digits, a date is on the calendar.
+different values stay different, and no value is its own pseudonym. Pseudonyms are valid: a
+card number passes the Luhn test, an IBAN its check digits, a date is on the calendar.
 
 Kinds: card numbers, IBANs, US social security numbers, phone numbers, IPv4
-addresses, dates of 1900 to 2099, e-mail addresses (the part before the @) and
-secrets (access key ids, values assigned to password, token and the like).
+addresses, dates of 1900 to 2099, e-mail addresses (the part before the @; domains are
+never changed) and secrets (access key ids, values assigned to password, token and the
+like). Digits become digits and letters letters of the same sort: of ASCII, else of the
+block of their script and their case. Other signs stay; a value of nothing else is left.
 
 Defined results: a null text stays null and an empty one empty, both with counts
 0; texts without such values come back as they are; repeated rows get equal
@@ -20,7 +22,9 @@ from __future__ import annotations
 
 import bisect
 import datetime as dt
+import functools
 import re
+import unicodedata
 from collections.abc import Callable, Iterator
 from hashlib import blake2b
 from math import isqrt
@@ -65,10 +69,18 @@ def permute(value: int, size: int, key: bytes, tweak: str, back: bool = False) -
             return value
 
 
+def moved(value: int, size: int, key: bytes, tweak: str) -> int:
+    """The image of ``value`` under a keyed permutation that leaves no value in its place:
+    the next one in the order that :func:`permute` gives."""
+    if size < 2:
+        return value
+    return permute((permute(value, size, key, tweak) + 1) % size, size, key, tweak, back=True)
+
+
 def _within(value: int, size: int, key: bytes, tweak: str, valid: Callable[[int], bool]) -> int:
     """Permutes the valid values among themselves."""
     while True:
-        value = permute(value, size, key, tweak)
+        value = moved(value, size, key, tweak)
         if valid(value):
             return value
 
@@ -97,7 +109,7 @@ def _card(m: re.Match, key: bytes) -> str | None:
     if luhn(digits[:-1]) != int(digits[-1]) or not digits.strip("0"):
         return None
     n = len(digits) - 1
-    body = str(permute(int(digits[:-1]), 10**n, key, "card")).zfill(n)
+    body = str(moved(int(digits[:-1]), 10**n, key, "card")).zfill(n)
     return _fill(m[0], body + str(luhn(body)))
 
 
@@ -147,7 +159,7 @@ def _ipv4(m: re.Match, key: bytes) -> str | None:
     parts = [int(p) for p in m[0].split(".")]
     if max(parts) > 255:
         return None
-    value = permute(int.from_bytes(bytes(parts), "big"), 1 << 32, key, "ipv4")
+    value = moved(int.from_bytes(bytes(parts), "big"), 1 << 32, key, "ipv4")
     return ".".join(map(str, value.to_bytes(4, "big")))
 
 
@@ -164,27 +176,45 @@ def _date(m: re.Match, key: bytes) -> str | None:
         if not FIRST_DAY <= number <= LAST_DAY:
             return None
         size = LAST_DAY - FIRST_DAY + 1
-        new = dt.date.fromordinal(FIRST_DAY + permute(number - FIRST_DAY, size, key, "date"))
+        new = dt.date.fromordinal(FIRST_DAY + moved(number - FIRST_DAY, size, key, "date"))
         texts = (f"{new.year}", f"{new.month:0{len(month)}d}", f"{new.day:0{len(day)}d}")
         own = dict(zip(order, texts))
         return m["s"].join(own[k] for k in "abc")
     return None
 
 
+ALPHABETS = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+HEX = "0123456789abcdef"
+
+
+@functools.lru_cache(maxsize=4096)
+def _alphabet(c: str) -> str:
+    """What may stand in the place of ``c``."""
+    for alphabet in ALPHABETS:
+        if c in alphabet:
+            return alphabet
+    kind = unicodedata.category(c)
+    if not kind.startswith(("L", "N")):
+        return c
+    block = ord(c) & ~0xFF
+    # Letters that a script writes with several signs stay out: they have no case of one sign.
+    own = (chr(k) for k in range(max(block, 0x80), block + 0x100) if not 0xD800 <= k < 0xE000)
+    return "".join(x for x in own if unicodedata.category(x) == kind and len(x.lower()) == 1)
+
+
 def _by_class(text: str, key: bytes, tweak: str) -> str:
-    """Digits become digits, letters letters of the same case; hex text stays hex."""
+    """Every digit and letter becomes one of its alphabet; hex text stays hex."""
     hexed = len(text) >= 16 and re.fullmatch("[0-9]*[a-f][0-9a-f]*", text) is not None
     out = []
     for at in range(0, len(text), 40):
-        own = text[at : at + 40]
         value, size, places = 0, 1, []
-        for c in own:
-            alphabet = next(
-                (a for a in (("0123456789abcdef",) if hexed else ALPHABETS) if c in a), c
-            )
+        for c in text[at : at + 40]:
+            alphabet = HEX if hexed else _alphabet(c)
+            if c not in alphabet:
+                alphabet = c
             places.append(alphabet)
             value, size = value * len(alphabet) + alphabet.index(c), size * len(alphabet)
-        value = permute(value, size, key, f"{tweak}{at}")
+        value = moved(value, size, key, f"{tweak}{at}")
         chars = []
         for alphabet in reversed(places):
             value, digit = divmod(value, len(alphabet))
@@ -193,15 +223,14 @@ def _by_class(text: str, key: bytes, tweak: str) -> str:
     return "".join(out)
 
 
-ALPHABETS = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
-
-
-def _email(m: re.Match, key: bytes) -> str:
-    return _by_class(m["local"], key, "email") + m["domain"]
+def _email(m: re.Match, key: bytes) -> str | None:
+    new = _by_class(m["local"], key, "email")
+    return None if new == m["local"] else new + m["domain"]
 
 
-def _secret(m: re.Match, key: bytes) -> str:
-    return m["name"] + _by_class(m["value"], key, "secret")
+def _secret(m: re.Match, key: bytes) -> str | None:
+    new = _by_class(m["value"], key, "secret")
+    return None if new == m["value"] else m["name"] + new
 
 
 # Calling codes of one and two digits; all others have three.
