@@ -6,6 +6,8 @@ import random
 import numpy as np
 import pytest
 
+from llm_fixtures import documents  # noqa: F401
+
 from mirrorspan.llm import bitpack, crf, dualtree, feistel, fm, minhash, packing, spotsigs
 
 
@@ -162,23 +164,37 @@ def test_pseudonyms_are_whole():
     assert phone != "call (456) 555 2186 now" and counts["n_numbers"] == 1
 
 
-def naive_pack(sizes, capacities, overhead):
-    left, bins = sum(sizes), []
+def naive_pack(sizes, capacities, overhead, attention):
+    bins, left = [], sorted(sizes, reverse=True)
+
+    def filled(room):
+        own, total = list(left), 0
+        for _ in range(packing.TRIED):
+            fits = [s for s in own if 0 < s <= room - total]
+            if not fits:
+                break
+            size = max(fits)
+            total += size * min(own.count(size), (room - total) // size)
+            own = [s for s in own if s < size]
+        return total
+
+    def for_a_word(c, size):
+        held = size + filled(c - size)
+        fit = min(x for x in capacities if x >= held)
+        return (fit + overhead + fit * fit / attention) / max(1, held), c
+
     for p in sorted(range(len(sizes)), key=lambda k: (-sizes[k], k)):
+        left.remove(sizes[p])
         fits = [b for b in bins if b[0] >= sizes[p]]
         if fits:
             chosen = min(fits, key=lambda b: b[0])
         else:
-            size = min(
-                (c for c in capacities if c >= sizes[p]),
-                key=lambda c: ((c + overhead) / max(1, min(c, left)), c),
-            )
+            size = min((c for c in capacities if c >= sizes[p]), key=lambda c: for_a_word(c, sizes[p]))
             chosen = [size, [], 0]
             bins.append(chosen)
         chosen[0] -= sizes[p]
         chosen[1].append(p)
         chosen[2] += sizes[p]
-        left -= sizes[p]
     return [(min(c for c in capacities if c >= used), own) for _, own, used in bins]
 
 
@@ -187,7 +203,142 @@ def test_best_fit_equals_naive():
     for _ in range(100):
         sizes = [rng.choice([0, 1, 511, 512, 4096, rng.randint(0, 4096)]) for _ in range(40)]
         assert packing.pack_block(sizes) == naive_pack(
-            sizes, packing.CAPACITIES, packing.OVERHEAD)
+            sizes, packing.CAPACITIES, packing.OVERHEAD, packing.ATTENTION)
+
+
+def test_every_capacity_is_worth_having(documents):
+    """Without any one of them the sequences cost more, with the largest alone far more."""
+    most = max(packing.CAPACITIES)
+    sizes = []
+    for text in documents.text:
+        n = len(text.split())
+        sizes += [min(most, n - k * most) for k in range(max(1, -(-n // most)))]
+    sizes += [3000, 2000, 1900, 1100, 1000, 900, 600, 450]
+
+    def costs(capacities):
+        return sum(packing.cost(c) for c, _ in packing.pack_block(sizes, capacities))
+
+    whole = costs(packing.CAPACITIES)
+    for c in packing.CAPACITIES[:-1]:
+        assert costs(tuple(x for x in packing.CAPACITIES if x != c)) > whole
+    assert costs((most,)) > 1.1 * whole
+
+
+def test_packing_wastes_as_little_in_many_partitions(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    totals = []
+    for n in (1, 8, 64):
+        rows = packing.pack(docs.repartition(n)).select("bin", "capacity", "used").collect()
+        assert len({r["bin"] for r in rows}) == len(rows)
+        totals.append((sum(r["capacity"] for r in rows), sum(r["used"] for r in rows)))
+    assert len({used for _, used in totals}) == 1
+    capacities = [c for c, _ in totals]
+    assert max(capacities) <= 1.02 * min(capacities)
+
+
+# Pseudonyms
+
+
+def test_no_value_is_its_own_pseudonym():
+    for n in (2, 3, 10, 97):
+        image = [feistel.moved(v, n, b"k", "t") for v in range(n)]
+        assert sorted(image) == list(range(n)) and all(v != w for v, w in enumerate(image))
+    local = ["иван.петров", "müller", "a", "Ω", "名前", "josé-maría", "ÅSA", "x1", "٣٤", "ʼn", "é"]
+    key = b"k"
+    for own in local:
+        new, counts = feistel.pseudonymise(f"mail {own}@example.org now", key)
+        assert counts["n_others"] == 1 and f" {own}@" not in new and "@example.org now" in new
+        assert not any(c.isalpha() and c == d for c, d in zip(own, new[5:]) if len(own) == 1)
+        name = new[5:].split("@")[0]
+        assert len(name) == len(own)
+        assert [c.isalpha() for c in name] == [c.isalpha() for c in own]
+        assert [c.isupper() for c in name] == [c.isupper() for c in own]
+    text, counts = feistel.pseudonymise("mail ...@example.org", key)
+    assert counts["n_others"] == 0 and text == "mail ...@example.org"
+
+
+def test_recall_by_kind():
+    """Values made independently, each in sentences that end, quote or list it."""
+    rng = random.Random(8)
+
+    def card():
+        body = "4" + "".join(rng.choice("0123456789") for _ in range(14))
+        total = 0
+        for k, c in enumerate(reversed(body)):
+            d = int(c) * (2 if k % 2 == 0 else 1)
+            total += d // 10 + d % 10
+        number = body + str(-total % 10)
+        return rng.choice([number, " ".join(number[i : i + 4] for i in (0, 4, 8, 12))])
+
+    def iban():
+        body = "".join(rng.choice("0123456789") for _ in range(18))
+        check = 98 - int(body + "131400") % 97  # DE00
+        plain = f"DE{check:02}{body}"
+        return rng.choice([plain, " ".join(plain[i : i + 4] for i in range(0, 22, 4))])
+
+    def date():
+        y, m, d = rng.randrange(1930, 2030), rng.randrange(1, 13), rng.randrange(1, 29)
+        return rng.choice([f"{y}-{m:02}-{d:02}", f"{d:02}.{m:02}.{y}", f"{m}/{d}/{y}", f"{y}-{m:02}-{d:02}T10:00:00Z"])
+
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    kinds = {
+        "card": card, "iban": iban, "date": date,
+        "ssn": lambda: f"{rng.randrange(1, 666):03}-{rng.randrange(1, 100):02}-{rng.randrange(1, 10000):04}",
+        "phone": lambda: rng.choice([
+            f"+49 30 {rng.randrange(10**6, 10**7)}", f"({rng.randrange(200, 999)}) {rng.randrange(200, 999)}-{rng.randrange(1000, 9999)}",
+            f"{rng.randrange(200, 999)}-{rng.randrange(200, 999)}-{rng.randrange(1000, 9999)}"]),
+        "ipv4": lambda: ".".join(str(rng.randrange(256)) for _ in range(4)),
+        "email": lambda: f"{''.join(rng.choice(letters + 'äéжñ._-') for _ in range(9))}x@{rng.choice(letters)}shop.example.org",
+        "secret": lambda: f"password={''.join(rng.choice(letters + '0123456789') for _ in range(16))}",
+    }
+    for kind, make in kinds.items():
+        caught = 0
+        for _ in range(200):
+            value = make()
+            text = rng.choice(["Write {} today", "see ({}).", "{}, and more", "it is: {}"]).format(value)
+            new, counts = feistel.pseudonymise(text, b"key")
+            hidden = value.split("@")[0] if kind == "email" else value.removeprefix("password=")
+            caught += hidden not in new and sum(counts.values()) >= 1
+        assert caught >= 195, (kind, caught)
+
+
+# Toxicity with few labels
+
+
+def test_few_or_one_sided_labels_find_nothing_toxic():
+    texts = ["you stupid awful fool", "a calm day by the sea", "", "you stupid awful fool"]
+    for own, labels in ((texts, [1] * 4), (texts, [0] * 4), ([texts[1]] * 4, [1, 0, 1, 0]), ([], [])):
+        model = crf.train(own, labels)
+        scores, spans = crf.Scorer(model).score(texts)
+        assert max(scores) < 0.01 and not any(spans)
+
+
+def test_copies_and_shares_do_not_turn_the_scale():
+    clean = [f"a calm day number {k} by the quiet sea" for k in range(10)]
+    for shift in (0.0, -2.0):
+        model = crf.train(["you stupid awful fool"] * 30 + clean, [1] * 30 + [0] * 10, shift)
+        base, top, count = model.calibration
+        assert top >= 0 and count >= 0
+        scores, _ = crf.Scorer(model).score(["", clean[0], "other words"])
+        assert max(scores) < 0.5
+    x = np.array([[-13.0, 0.0]] * 20 + [[2.0, 1.0]] * 20)
+    upside_down = crf._calibrated(x, np.array([True] * 20 + [False] * 20), 0.0)
+    assert upside_down[1] == upside_down[2] == 0.0
+
+
+# Similar sets
+
+
+def test_similar_by_sets_not_ids(spark):
+    base = list(range(20))
+    rows = [(None, base), (None, [*base[:-1], 99]), (7, list(range(100, 120))),
+            (7, [*range(100, 119), 77]), (7, base), (None, list(range(300, 320)))]
+    prints = spark.createDataFrame(rows, "doc_id long, signatures array<long>")
+    members, pairs = spotsigs.similar(prints)
+    assert members.count() == 6 and members.select("node").distinct().count() == 5
+    found = pairs.collect()
+    assert len(found) == 2 and all(abs(r["likeness"] - 19 / 21) < 1e-12 for r in found)
+    assert sorted(((r["class_id"], r["other_id"]) for r in found), key=repr) == [(7, 7), (None, 7)]
 
 
 def lcs(a, b):
@@ -345,3 +496,71 @@ def test_dual_tree_equals_brute_force(kind):
     for q, hits in zip(asked, got):
         scores = [(-sum(a * b for a, b in zip(whole[q], whole[p])), ids[p]) for p in rows if p != q]
         assert [(-s, i) for s, i, _ in hits] == sorted(scores)[:k]
+
+
+@pytest.mark.parametrize("kind", ["normal", "clustered", "equal", "one"])
+def test_cover_tree_invariants(kind):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(700, 12)) * 100
+    if kind == "clustered":
+        x = rng.normal(size=(8, 12))[rng.integers(0, 8, 700)] * 500 + rng.normal(size=(700, 12)) * 5
+    if kind == "equal":
+        x[:350] = x[0]
+    if kind == "one":
+        x = x[:1]
+    tree = dualtree.CoverTree(x)
+    counts = [len(level.radius) for level in tree.levels]
+    assert counts == sorted(set(counts)) and counts[0] == 1  # nested: prefixes of one order
+    for depth, level in enumerate(tree.levels):
+        centres = tree.centres[: counts[depth]]
+        gaps = np.linalg.norm(x[centres][:, None] - x[centres][None], axis=2)
+        assert (gaps[~np.eye(len(centres), dtype=bool)] > level.scale).all()  # separated
+        near = np.linalg.norm(x[:, None] - x[centres][None], axis=2).min(axis=1)
+        assert near.max() <= level.scale + 1e-9  # covered
+        for a in range(counts[depth]):
+            points = tree.points(depth, a)
+            far = np.linalg.norm(x[points] - x[centres[a]], axis=1).max(initial=0)
+            assert abs(far - level.radius[a]) < 1e-9
+            if depth + 1 < len(counts):
+                children = tree.centres[level.below(np.array([a]))]
+                assert (np.linalg.norm(x[children] - x[centres[a]], axis=1) <= level.scale + 1e-9).all()
+        assert sorted(np.concatenate([tree.points(depth, a) for a in range(counts[depth])])) == list(range(len(x)))
+
+
+def test_dual_tree_drops_what_cannot_matter():
+    rng = np.random.default_rng(4)
+    x = np.floor(rng.normal(size=(8, 12))[rng.integers(0, 8, 2000)] * 500 + rng.normal(size=(2000, 12)) * 5)
+    tally = {}
+    asked = np.arange(0, 2000, 20)
+    dualtree.search(x[asked], asked, np.full(100, -np.inf), x, np.arange(2000.0), np.arange(2000), 5, tally)
+    assert tally["dropped"] > 0 and tally["products"] < 0.5 * 100 * 2000
+
+
+# Token ids
+
+
+def test_chunks_are_encoded_as_the_tokenizer_does(documents):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = str(public_tokenizers.path("word_bpe_49k.json"))
+    encoder, tokenizer = bitpack.ChunkEncoder(path), Tokenizer.from_file(path)
+    rng = random.Random(2)
+    letters = "ab'sStT  \n\t.,!é漢1٣_''  ́ΣJ̌\x01\x1c İŞſß?;:"
+    made = ["".join(rng.choice(letters) for _ in range(rng.randrange(16))) for _ in range(6000)]
+    for texts in (made, documents.text.tolist()):
+        want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+        assert [ids.tolist() for ids in encoder.encode(texts)] == want
+
+
+def test_a_full_memory_keeps_what_is_met_most(documents):
+    import public_tokenizers
+
+    path = str(public_tokenizers.path("word_bpe_49k.json"))
+    whole, small = bitpack.ChunkEncoder(path), bitpack.ChunkEncoder(path)
+    small.MOST = 2000
+    texts = documents.text.tolist()
+    for low in range(0, len(texts), 20):
+        some = texts[low : low + 20]
+        assert all(map(np.array_equal, whole.encode(some), small.encode(some)))
+    assert small.number["the"] < len(small.number) < len(whole.number)
