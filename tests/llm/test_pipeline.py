@@ -3,6 +3,8 @@
 import numpy as np
 import pytest
 
+from llm_fixtures import no_docs, odd_docs  # noqa: F401
+
 import corpus_pipeline
 from mirrorspan.llm import crf, feistel, minhash, mixing, packing
 from mirrorspan.llm.common import materialized
@@ -114,3 +116,35 @@ def test_run_gives_the_last_stage(spark, folder, stages):
 
     assert digest(corpus_pipeline.run(spark, folder)) == digest(stages[5])
     assert np.sum([r["used"] for r in stages[5].collect()]) > 0
+
+
+@pytest.fixture(scope="module")
+def odd_folder(odd_docs, spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("odd"))
+    odd_docs.write.parquet(f"{folder}/documents.parquet")
+    labels = spark.createDataFrame([(0, 1, 0), (4, 1, 1), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{folder}/labels.parquet")
+    return folder
+
+
+def test_stages_on_odd_rows(spark, odd_docs, odd_folder):
+    """Nulls, shared ids, repeated rows, a long text, columns of clashing names."""
+    docs = spark.read.parquet(f"{odd_folder}/documents.parquet")
+    counts = []
+    for name, stage in corpus_pipeline.STAGES:
+        before = docs
+        docs = materialized(stage(spark, docs, odd_folder), f"odd-{name}")
+        if name != "packing":
+            assert docs.columns == odd_docs.columns
+            assert {(r["doc_id"], r["source"], r["lang"]) for r in docs.collect()} <= {
+                (r["doc_id"], r["source"], r["lang"]) for r in before.collect()}
+        counts.append(docs.count())
+    # Only what is labelled toxic may go; 0 and 1, the two rows of 8 and the empty ones are copies.
+    assert counts[0] >= 11 and counts[1] == counts[2] == counts[0] - 4
+    assert counts[3] > 0 and counts[4] > 0
+
+
+def test_run_on_an_empty_table(spark, no_docs, tmp_path):
+    no_docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
