@@ -2,6 +2,12 @@
 
 Every stage takes the documents that its predecessor kept, read from the table it
 wrote, and returns the columns of documents; the last returns sequences.
+
+Defined results, for all stages: a null text is an empty one and stays null; rows of a null
+or shared id are rows of their own; further columns, whatever their names, pass through
+to the last stage, which doesn't read them; an empty table gives no rows. Without labels
+of both kinds no document is toxic. Null and empty texts are copies of each other, so one
+row of them is kept; no text is, when the mix takes documents, as it has no words.
 """
 
 from __future__ import annotations
