@@ -5,7 +5,9 @@
    words that stand often enough to be part of a candidate. These are numbered, and each
    block learns the numbers of its own. All other words, and the ends of pieces, end a phrase.
 2. Every block turns its texts into those numbers, cuts the suffix of ``DEPTH`` words
-   at each place, and merges its equal suffixes.
+   at each place, and merges its equal suffixes. The texts are read anew for it rather than
+   stored; should they come in another order then (from files they don't), a check
+   of the words differs and the job fails instead of mixing up numbers.
 3. Suffixes are routed by their leading words: by the first word, if that stands at
    most ``HOT`` times; else by the words up to the first such one, else by
    the whole suffix. So no group holds more than ``HOT`` suffixes of one route, or one
@@ -45,6 +47,7 @@ from mirrorspan.llm.blocks import (
     packed,
     parted,
     unpacked,
+    words_check,
 )
 from mirrorspan.llm.common import materialized
 
@@ -97,42 +100,54 @@ class _Block:
         self.parts[lang] += [found[found != ABSENT], np.array([BREAK], np.uint32)]
         self.size += len(data)
 
-    def record(self, block_id: int, buckets: int) -> Iterator[pa.RecordBatch]:
-        """For each language a row for the words of a bucket, and one for the stream."""
+    def words(self, block_id: int, buckets: int) -> Iterator[pa.RecordBatch]:
+        """For each language a row for the words of a bucket, with their counts."""
         for lang, numbers in self.numbers.items():
-            stream = np.concatenate(self.parts[lang])
             words = list(numbers)[FIRST:]
-            counts = np.bincount(stream, minlength=len(numbers))[FIRST:]
+            if not words:
+                continue
+            counts = np.bincount(np.concatenate(self.parts[lang]), minlength=len(numbers))[FIRST:]
             order, bucket = by_bucket(words, buckets)
             begins = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist()
             spans = list(zip(begins, [*begins[1:], len(words)]))
             ordered, sums = [words[k] for k in order.tolist()], counts[order]
-            yield _batch(
-                block_id, lang, bucket[begins].tolist() if begins else [],
-                [joined(ordered[a:b]) for a, b in spans],
-                [packed(sums[a:b]) for a, b in spans], [None] * len(spans),
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([block_id] * len(spans), pa.int64()),
+                    pa.array([words_check(words)] * len(spans), pa.int64()),
+                    pa.array([lang] * len(spans), pa.string()),
+                    pa.array(bucket[begins].astype(np.int32)),
+                    pa.array([joined(ordered[a:b]) for a, b in spans], pa.binary()),
+                    pa.array([packed(sums[a:b]) for a, b in spans], pa.binary()),
+                ],
+                ["block", "check", "lang", "bucket", "words", "numbers"],
             )
-            yield _batch(block_id, lang, [None], [None], [packed(order)], [packed(stream)])
 
-
-BLOCK_SCHEMA = "block long, lang string, bucket int, words binary, numbers binary, stream binary"
+    def streams(self, block_id: int, buckets: int) -> Iterator[pa.RecordBatch]:
+        """For each language the texts as numbers, and the order in which words are sent."""
+        for lang, numbers in self.numbers.items():
+            words = list(numbers)[FIRST:]
+            if not words:
+                continue
+            order, _ = by_bucket(words, buckets)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([block_id], pa.int64()),
+                    pa.array([words_check(words)], pa.int64()),
+                    pa.array([lang], pa.string()),
+                    pa.array([packed(order)], pa.binary()),
+                    pa.array([packed(np.concatenate(self.parts[lang]))], pa.binary()),
+                ],
+                ["_block", "_check", "_lang", "order", "stream"],
+            )
 
 
-def _batch(block_id, lang, buckets, words, numbers, streams) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(np.full(len(words), block_id), pa.int64()),
-            pa.array([lang] * len(words), pa.string()),
-            pa.array(buckets, pa.int32()),
-            pa.array(words, pa.binary()),
-            pa.array(numbers, pa.binary()),
-            pa.array(streams, pa.binary()),
-        ],
-        ["block", "lang", "bucket", "words", "numbers", "stream"],
-    )
+WORDS_SCHEMA = "block long, check long, lang string, bucket int, words binary, numbers binary"
+STREAMS_SCHEMA = "_block long, _check long, _lang string, order binary, stream binary"
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, _Block]]:
+    """The blocks of one input partition."""
     ids, block = block_ids(), _Block()
     for batch in batches:
         langs = batch.column("lang").to_pylist()
@@ -147,10 +162,10 @@ def _blocks(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Reco
                     block.add(own, some)
                 waiting, held = {}, 0
                 if block.full():
-                    yield from block.record(next(ids), buckets)
+                    yield next(ids), block
                     block = _Block()
     if block.numbers:
-        yield from block.record(next(ids), buckets)
+        yield next(ids), block
 
 
 def suffixes(stream: np.ndarray, low: int, high: int, depth: int) -> np.ndarray:
@@ -249,7 +264,8 @@ def _part(first: Column, words: Column) -> Column:
 
 
 BUCKET_SCHEMA = (
-    "bucket int, lang string, block long, ids binary, hot binary, word binary, id long, n long"
+    "bucket int, lang string, block long, check long, ids binary, hot binary, word binary, "
+    "id long, n long"
 )
 
 
@@ -261,7 +277,7 @@ def _sum_bucket(rows: pa.Table, least: int, hot_count: int) -> pa.Table:
     Ids are the bucket's own, from 1.
     """
     bucket = rows.column("bucket")[0].as_py()
-    langs, blocks = rows.column("lang").to_pylist(), rows.column("block").to_pylist()
+    langs, blocks, checks = (rows.column(c).to_pylist() for c in ("lang", "block", "check"))
     found: dict[str, Numbers] = {}
     places, counts = [], []
     for lang, words, numbers in zip(langs, rows.column("words"), rows.column("numbers")):
@@ -280,25 +296,28 @@ def _sum_bucket(rows: pa.Table, least: int, hot_count: int) -> pa.Table:
         given += len(frequent)
         words, chosen = list(own), frequent.tolist()
         out += [
-            (bucket, lang, None, None, None, words[k], int(ids[lang][k]), int(sums[lang][k]))
+            (bucket, lang, *[None] * 4, words[k], int(ids[lang][k]), int(sums[lang][k]))
             for k in chosen
         ]
-        out.append((bucket, lang, None, None, None, None, None, int(sums[lang].sum())))
-    for lang, block, at in zip(langs, blocks, places):
+        out.append((bucket, lang, *[None] * 6, int(sums[lang].sum())))
+    for lang, block, check, at in zip(langs, blocks, checks, places):
         own, hot = ids[lang][at], sums[lang][at] > hot_count
         out.append((
-            bucket, lang, block, packed(own), packed(np.flatnonzero(hot & (own > 0))), None, None, None,
+            bucket, lang, block, check, packed(own), packed(np.flatnonzero(hot & (own > 0))), *[None] * 3,
         ))
-    types = [pa.int32(), pa.string(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
-    names = ["bucket", "lang", "block", "ids", "hot", "word", "id", "n"]
+    types = [pa.int32(), pa.string(), *[pa.int64()] * 2, *[pa.binary()] * 3, *[pa.int64()] * 2]
+    names = ["bucket", "lang", "block", "check", "ids", "hot", "word", "id", "n"]
     return pa.table({n: pa.array(list(c), t) for n, t, c in zip(names, types, zip(*out))})
 
 
 def _cut(known: pa.Table, stream: pa.Table, depth: int, groups: int) -> pa.Table:
     """The merged suffixes of a block in one language, a row for each group."""
     known = known.sort_by("bucket")
+    checks = {*known.column("check").to_pylist(), *stream.column("_check").to_pylist()}
+    if len(checks) != 1 or stream.num_rows != 1:
+        raise RuntimeError("the input came in another order when it was read again")
     numbers = unpacked(stream.column("stream")[0].as_py())
-    order = unpacked(stream.column("numbers")[0].as_py())
+    order = unpacked(stream.column("order")[0].as_py())
     ids, hots, at = [], [], 0
     for own, hot, offset in zip(known.column("ids"), known.column("hot"), known.column("offset").to_pylist()):
         own = unpacked(own.as_py()).astype(np.int64)
@@ -361,15 +380,17 @@ def phrase_counts(
     )
     chars = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = bucket_count(chars)
-    blocks = materialized(
-        source.mapInArrow(lambda batches: _blocks(batches, buckets), BLOCK_SCHEMA),
-        "collocation-blocks",
-    )
-    streams = blocks.filter("stream IS NOT NULL").select(
-        F.col("block").alias("_block"), F.col("lang").alias("_lang"), "numbers", "stream"
-    )
+
+    def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block_id, block in _blocks(batches):
+            yield from block.words(block_id, buckets)
+
+    def streams_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block_id, block in _blocks(batches):
+            yield from block.streams(block_id, buckets)
+
     summed = materialized(
-        blocks.filter("stream IS NULL").drop("stream").groupBy("bucket").applyInArrow(
+        source.mapInArrow(words_of, WORDS_SCHEMA).groupBy("bucket").applyInArrow(
             lambda rows: _sum_bucket(rows, least, hot_count), BUCKET_SCHEMA
         ),
         "collocation-words",
@@ -393,8 +414,9 @@ def phrase_counts(
     )
     known = (
         summed.filter("block IS NOT NULL").join(offsets, "bucket")
-        .select("block", "lang", "bucket", "ids", "hot", "offset")
+        .select("block", "check", "lang", "bucket", "ids", "hot", "offset")
     )
+    streams = source.mapInArrow(streams_of, STREAMS_SCHEMA)
     groups = max(64, -(-n_all // hot_count))
 
     def cut(known: pa.Table, stream: pa.Table) -> pa.Table:
