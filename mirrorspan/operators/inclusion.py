@@ -6,9 +6,9 @@ Names don't tell; the data do.
    values (a theta sketch keeps the least k hashes), its number of rows with a value, and
    its least and greatest value.
 2. Pairs are pruned by these: types that compare, a referenced column that can be a key
-   (as many distinct values as rows), a range within the other's range, no more values
-   than the other has, and a share of values in common, by the intersection of the two
-   sketches, of ``LEAST_SHARE`` or more, which true inclusions miss only by the sketch's error.
+   (as many distinct values as rows, but for the sketch's error), a range within the other's
+   range, and no hash left when the other's sketch is taken off. A sketch holds every hash below
+   its bound, so what is included leaves none, however few hashes lie below both bounds.
 3. What survives is verified exactly: the distinct values of all surviving columns are
    grouped by value, each with the set of columns that it stands in. A column is included
    in another if each of its values stands in the other; a column is a key if it has as
@@ -29,9 +29,10 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from mirrorspan.session import local_frame
 from mirrorspan.sources.catalog import union_all
 
-# Hashes a sketch keeps (as a power of two); its error is some 3 / sqrt(4,096) = 5 %.
+# Hashes a sketch keeps (as a power of two); the standard error of its count is 1 / sqrt(4,096).
 SKETCH_BITS = 12
-LEAST_SHARE = 0.8
+# Standard errors by which a key's distinct count may fall short of its rows.
+KEY_ERRORS = 8
 # Pairs verified by one grouping.
 PAIRS_AT_ONCE = 200
 
@@ -95,11 +96,11 @@ def profiles(tables: Mapping[str, DataFrame], columns: Mapping[str, Sequence[str
 
 
 def candidate_pairs(profile: DataFrame) -> DataFrame:
-    """(table_name, column_name, ref_table, ref_column, share) of the pairs that may be
+    """(table_name, column_name, ref_table, ref_column) of the pairs that may be
     inclusions into a key, by the profiles alone. One row a column, so the pairs are few."""
     a = profile.select(*(F.col(c).alias(f"a_{c}") for c in profile.columns))
     b = profile.select(*(F.col(c).alias(f"b_{c}") for c in profile.columns))
-    slack = 4 / 2 ** (SKETCH_BITS / 2)
+    slack = KEY_ERRORS / 2 ** (SKETCH_BITS / 2)
     whole = F.col("a_kind") == "integer"
 
     def value(c: str) -> Column:
@@ -116,14 +117,12 @@ def candidate_pairs(profile: DataFrame) -> DataFrame:
         (F.col("a_kind") == F.col("b_kind"))
         & ((F.col("a_table_name") != F.col("b_table_name"))
            | (F.col("a_column_name") != F.col("b_column_name")))
-        & key_like & inside & (F.col("a_values") > 0)
-        & (F.col("a_distinct") <= F.col("b_distinct") * (1 + slack)),
+        & key_like & inside & (F.col("a_values") > 0),
     )
-    common = F.theta_sketch_estimate(F.theta_intersection("a_sketch", "b_sketch"))
-    share = common / F.col("a_distinct")
-    return pairs.withColumn("share", share).filter(F.col("share") >= LEAST_SHARE).select(
+    left = F.theta_sketch_estimate(F.theta_difference("a_sketch", "b_sketch"))
+    return pairs.filter(left == 0).select(
         F.col("a_table_name").alias("table_name"), F.col("a_column_name").alias("column_name"),
-        F.col("b_table_name").alias("ref_table"), F.col("b_column_name").alias("ref_column"), "share",
+        F.col("b_table_name").alias("ref_table"), F.col("b_column_name").alias("ref_column"),
     )
 
 

@@ -495,3 +495,13 @@ def test_inclusions_prune_by_sketch(spark):
     profile = inclusion.profiles({"a": a, "b": b})
     assert inclusion.candidate_pairs(profile).count() == 0
     assert inclusion.inclusions({"a": a, "b": b}).count() == 0
+
+
+def test_few_values_within_a_large_key_are_found(spark):
+    """A key of which the sketch holds one hash in dozens: of few values it holds none or a few."""
+    big = spark.range(200_000).select(F.col("id").alias("key"))
+    few = spark.range(25).select(*(
+        (F.col("id") % 20 * 7 + 1000 * k).alias(f"few{k}") for k in range(8)
+    ))
+    got = set(map(tuple, inclusion.inclusions({"big": big, "few": few}).collect()))
+    assert got == {("few", f"few{k}", "big", "key", 20, 200_000) for k in range(8)}
