@@ -1,7 +1,8 @@
 """Window refresh of a child table as a stream of its parents' and its own files.
 
 The batch refresh takes the children whose parent lies in the window. In a stream the two
-arrive in any order, so rows are grouped by the parent's key with state:
+arrive in any order, so rows are dealt by the parent's key over ``GROUPS`` groups with state,
+which know of each of their keys what has come:
 
 * a parent says whether its key is inside the run's window, and on which day;
   a key inside gives a ``delete`` row, once a run;
@@ -16,7 +17,9 @@ for a parent that doesn't come is dropped, and so are old keys.
 
 Each micro-batch deletes the children of the keys that came in, in the partitions
 that hold any, and adds the routed ones, in one switch. A replayed batch is recognised
-as in ``incremental``. A hot key is dealt over ``salts`` groups, each with the parent.
+as in ``incremental``. A hot key is dealt over ``salts`` groups, each with the parent. A call
+and a state for each key would cost more than its few rows; the groups of a checkpoint
+are as many as they were when it began.
 
 Children travel as text of exact values, so state and Python never see a number that
 they could round. Rows with a NULL in the key have no parent and are left out.
@@ -25,7 +28,10 @@ they could round. Rows with a NULL in the key have no parent and are left out.
 from __future__ import annotations
 
 import datetime as dt
+import pickle
+import zlib
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -40,7 +46,9 @@ from mirrorspan.sources.store import TableStore
 from mirrorspan.streaming.incremental import batch_mark
 
 ROW, DELETE = "row", "delete"
-STATE_SCHEMA = "run string, inside boolean, day string, held array<string>"
+STATE_SCHEMA = "keys binary"
+# Groups that keys are dealt over, for each salt.
+GROUPS = 4096
 _ATOMIC = (
     T.StringType, T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
     T.DoubleType, T.DecimalType, T.DateType, T.TimestampNTZType, T.TimestampType,
@@ -72,53 +80,76 @@ def unpacked(df: DataFrame, schema: T.StructType) -> DataFrame:
     return values.select(*columns, *(c for c in df.columns if c != "payload"))
 
 
-def _route(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Routes the rows of one key (and salt); the last two parts of the key are the salt and
-    the days that state is kept."""
-    *names, salt, hold_days = key
-    if state.hasTimedOut:
-        state.remove()
-        return
-    run, inside, day, held = state.get if state.exists else (None, False, None, None)
-    held = list(held) if held is not None else []
-    latest, deletes = run, False
+@dataclass(slots=True)
+class _Key:
+    """What has come of a key: the run of its parent, whether that lies in the window, its
+    day, the latest run of any row, and the children that wait."""
+
+    run: str | None = None
+    inside: bool = False
+    day: str | None = None
+    latest: str = ""
+    held: list[str] = field(default_factory=list)
+
+
+def _packed(keys: dict[tuple, _Key]) -> bytes:
+    plain = {k: (v.run, v.inside, v.day, v.latest, v.held) for k, v in keys.items()}
+    return zlib.compress(pickle.dumps(plain, pickle.HIGHEST_PROTOCOL), 1)
 
-    def out(kind: str, payloads: list) -> pd.DataFrame:
-        n = len(payloads)
-        return pd.DataFrame({
-            **{f"key{k}": [v] * n for k, v in enumerate(names)},
-            "kind": [kind] * n, "day": [day] * n, "payload": payloads,
-        })
 
+def _unpacked(state: GroupState) -> dict[tuple, _Key]:
+    if not state.exists:
+        return {}
+    return {k: _Key(*v) for k, v in pickle.loads(zlib.decompress(state.get[0])).items()}
+
+
+def _route(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Routes the rows of one group of keys (and salt); the last two parts of the key are the
+    salt and the days that a key is kept after its latest row."""
+    _, salt, hold_days = key
+    keys, touched, deletes, children = _unpacked(state), set(), {}, []
     for frame in frames:
-        payloads = []
+        names = [c for c in frame.columns if c.startswith("key")]
         columns = (frame[c].tolist() for c in ("run", "parent", "inside", "day", "payload"))
-        # Parents first; a key has few rows, so no more pandas than this.
-        for own, parent, coming, when, text in sorted(zip(*columns), key=lambda r: not r[1]):
-            if latest is None or own > latest:
-                latest = own
-            if parent:
-                if run is None or own > run:
-                    run, inside, day = own, False, None
-                if own == run and coming:
-                    deletes |= not inside
-                    inside, day = True, max(filter(None, (day, when)), default=None)
-            elif own != run:
-                held.append(text)
-            elif inside:
-                payloads.append(text)
-        if payloads:
-            yield out(ROW, payloads)
-    if deletes and salt == 0:
-        yield out(DELETE, [None])
-    if held and run == latest:
-        if inside:
-            yield out(ROW, held)
-        held = []
-    state.update((run, inside, day, held))
-    until = dt.datetime.fromisoformat(latest).replace(tzinfo=dt.timezone.utc)
-    until += dt.timedelta(days=int(hold_days))
-    state.setTimeoutTimestamp(max(int(until.timestamp() * 1000), state.getCurrentWatermarkMs() + 1))
+        for own, *row in zip(zip(*(frame[c].tolist() for c in names)), *columns):
+            run, parent, coming, day, text = row
+            known = keys.setdefault(own, _Key())
+            known.latest = max(known.latest, run)
+            touched.add(own)
+            if not parent:
+                children.append((own, text))
+                continue
+            if known.run is None or run > known.run:
+                known.run, known.inside, known.day = run, False, None
+            if run == known.run and coming:
+                if not known.inside:
+                    deletes[own] = None
+                known.inside, known.day = True, max(filter(None, (known.day, day)), default=None)
+    # All parents have been seen by now.
+    for own, text in children:
+        keys[own].held.append(text)
+    rows = []
+    for own in touched:
+        known = keys[own]
+        if known.run == known.latest:
+            if known.inside:
+                rows += [(*own, ROW, known.day, text) for text in known.held]
+            known.held = []
+    if salt == 0:
+        rows += [(*own, DELETE, keys[own].day, None) for own in deletes]
+    if rows:
+        yield pd.DataFrame(rows, columns=[*names, "kind", "day", "payload"])
+    ends: dict[str, int] = {}
+    for latest in {known.latest for known in keys.values()}:
+        until = dt.datetime.fromisoformat(latest).replace(tzinfo=dt.timezone.utc)
+        ends[latest] = int((until + dt.timedelta(days=int(hold_days))).timestamp() * 1000)
+    now = state.getCurrentWatermarkMs()
+    keys = {own: known for own, known in keys.items() if own in touched or ends[known.latest] >= now}
+    if not keys:
+        state.remove()
+        return
+    state.update((_packed(keys),))
+    state.setTimeoutTimestamp(max(min(ends[known.latest] for known in keys.values()), now + 1))
 
 
 def routed_children(
@@ -162,11 +193,12 @@ def routed_children(
         text.alias("payload"),
     )
     both = from_parents.unionByName(from_children).dropna(subset=names)
+    group = F.pmod(F.xxhash64(*names), F.lit(GROUPS)).cast("int")
     timed = both.withColumns(
-        {"run": run, "hold": hold, "at": run.cast("timestamp")}
+        {"group": group, "run": run, "hold": hold, "at": run.cast("timestamp")}
     ).withWatermark("at", "1 day")
     schema = ", ".join(f"{n} {k.simpleString()}" for n, k in zip(names, kinds))
-    return timed.groupBy(*names, "salt", "hold").applyInPandasWithState(
+    return timed.groupBy("group", "salt", "hold").applyInPandasWithState(
         _route, f"{schema}, kind string, day string, payload string", STATE_SCHEMA, "append",
         GroupStateTimeout.EventTimeTimeout,
     )

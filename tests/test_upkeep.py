@@ -4,6 +4,7 @@ import datetime as dt
 import decimal
 import itertools
 
+import pandas as pd
 import pytest
 from conftest import bag
 from pyspark.sql import functions as F
@@ -384,6 +385,70 @@ def test_children_in_any_order_equal_the_batch(store, streamed, files):
     assert store.snapshot("d_l").version == version and bag(store.read("d_l")) == want
 
 
+def test_keys_share_groups_of_state(spark, store, streamed, tmp_path, monkeypatch):
+    """State and calls are one for a group of keys, and each key's rows are its own."""
+    monkeypatch.setattr(ch, "GROUPS", 8, raising=False)
+    run, add, start = streamed
+    run.run_table("p", CTX)
+    want = batch_result(store, run)
+    add("l", "true"), add("p", "true")
+    schemas = {n: run.read(n).schema for n in ("p", "l")}
+    files = {n: inc.stream_files(spark, str(tmp_path / n), schemas[n]) for n in schemas}
+    write = ch.replace_child_batches(store, "d", CHILD, CTX, "lines", schemas["l"])
+    rows = ch.routed_children(files["p"], files["l"], CHILD, CTX, 2)
+    query = inc.start(rows, write, str(tmp_path / "checkpoint"))
+    inc.run_to_end(query)
+    states = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress]
+    assert max(states) <= 16  # of 40 keys, with two salts
+    assert bag(store.read("d_l")) == want
+
+
+class _State:
+    """The state of one group, and the watermark."""
+
+    def __init__(self):
+        self.get, self.until, self.now, self.hasTimedOut = None, None, 0, False
+
+    exists = property(lambda self: self.get is not None)
+
+    def update(self, value):
+        self.get = value
+
+    def remove(self):
+        self.get = None
+
+    def getCurrentWatermarkMs(self):
+        return self.now
+
+    def setTimeoutTimestamp(self, until):
+        assert until > self.now
+        self.until = until
+
+
+def test_keys_of_a_group_are_forgotten_one_by_one():
+    def rows(run, *own):
+        return pd.DataFrame(
+            [(k, run, parent, parent, run if parent else None, text) for k, parent, text in own],
+            columns=["key0", "run", "parent", "inside", "day", "payload"])
+
+    def routed(*frames):
+        return [tuple(r) for df in ch._route((0, 0, 3), iter(frames), state) for r in df.values.tolist()]
+
+    state, day = _State(), 24 * 3600 * 1000
+    assert routed(rows("2024-05-10", (1, False, "a"), (2, False, "b"))) == []
+    first = state.until
+    assert routed(rows("2024-05-12", (2, False, "c"))) == [] and state.until == first
+    state.now, state.hasTimedOut = first + 1, True
+    assert routed() == [] and state.until == first + 2 * day  # key 1 is gone, key 2 still waits
+    state.hasTimedOut = False
+    got = routed(rows("2024-05-13", (1, True, None), (2, True, None)))
+    assert sorted(got, key=str) == sorted([
+        (1, "delete", "2024-05-13", None), (2, "delete", "2024-05-13", None),
+        (2, "row", "2024-05-13", "b"), (2, "row", "2024-05-13", "c")], key=str)
+    state.now, state.hasTimedOut = state.until + 1, True
+    assert routed() == [] and not state.exists
+
+
 def test_the_next_run_replaces_again(spark, store, streamed):
     run, add, start = streamed
     run.run_table("p", CTX)
