@@ -51,6 +51,8 @@ EPOCHS = 4
 # A marked word: likelihood ratio over chance, and its share within toxic texts.
 LEAST_RATIO = 10.4
 LEAST_SHARE = 0.9
+# Parts by hash in which distinct neighbourhoods are counted.
+PARTS = np.uint64(16)
 BATCH_CHARS = 4_000_000
 
 WORDS = re.compile(r"\w+")
@@ -183,17 +185,29 @@ def mark_words(corpus: Corpus, toxic: np.ndarray) -> list[np.ndarray]:
     types, docs = corpus.types, corpus.docs
     flat = np.concatenate(docs) if docs else np.zeros(0, np.int32)
     sizes = np.fromiter(map(len, docs), np.int64)
-    label = np.repeat(toxic.astype(np.int64), sizes)
+    label = np.repeat(toxic.astype(np.int32), sizes)
     mix = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
-    wide = flat.astype(np.uint64)
-    near = np.roll(wide, 1) * mix[0] ^ np.roll(wide, -1) * mix[1]
+    # In place and by parts: these numbers of all words are the most that learning holds.
+    near = np.roll(flat, 1).astype(np.uint64)
+    near *= mix[0]
+    after = np.roll(flat, -1).astype(np.uint64)
+    after *= mix[1]
+    near ^= after
+    del after
     chance = max(1e-6, min(1 - 1e-6, label.mean() if len(label) else 0.5))
 
     def marked(group: np.ndarray, n: int) -> np.ndarray:
         """By the distinct neighbourhoods of each group in toxic and clean texts."""
         key = group * 2 + label
-        seen = key[np.unique(near + key.astype(np.uint64) * mix[2], return_index=True)[1]]
-        count = np.bincount(seen, minlength=2 * n).reshape(n, 2).astype(float)
+        pair = key.astype(np.uint64)
+        pair *= mix[2]
+        pair += near
+        count = np.zeros(2 * n)
+        for part in range(int(PARTS)):
+            own = np.flatnonzero(pair % PARTS == np.uint64(part))
+            first = np.unique(pair[own], return_index=True)[1]
+            count += np.bincount(key[own[first]], minlength=2 * n)
+        count = count.reshape(n, 2)
         total = np.maximum(count.sum(axis=1), 1)
         share = count[:, 1] / total
         with np.errstate(divide="ignore", invalid="ignore"):
@@ -204,7 +218,7 @@ def mark_words(corpus: Corpus, toxic: np.ndarray) -> list[np.ndarray]:
     chosen = marked(flat, len(types))[flat] if len(flat) else np.zeros(0, bool)
     for length in (4, 5, 6):
         heads: dict[str, int] = {}
-        head = np.array([heads.setdefault(w[:length], len(heads)) for w in types], np.int64)
+        head = np.array([heads.setdefault(w[:length], len(heads)) for w in types], np.int32)
         # A beginning counts for words longer than itself.
         longer = np.array([len(w) > length for w in types], bool)
         if len(flat):
@@ -224,8 +238,14 @@ def _train_chain(model: Model, corpus: Corpus, marks: list[np.ndarray], seed: in
         windows += [(d, int(c)) for c in (*centres, *others) if len(m)]
     if not windows:
         return
-    table = np.array([features(w) for w in corpus.types], np.int32)
-    x = np.zeros((len(windows), side, 8), np.int32)
+    # Features are numbered among the words' own, and the padding's, before they are laid
+    # out: sorting the windows' would take several times their memory.
+    table = np.fromiter(
+        itertools.chain.from_iterable(map(features, corpus.types)), np.int32, 8 * len(corpus.types)
+    )
+    used = np.union1d(table, 0)
+    table = np.searchsorted(used, table).astype(np.int32).reshape(-1, 8)
+    x = np.full((len(windows), side, 8), np.searchsorted(used, 0), np.int32)
     y = np.zeros((len(windows), side), np.int8)
     n = np.zeros(len(windows), np.int64)
     for i, (d, c) in enumerate(windows):
@@ -234,8 +254,6 @@ def _train_chain(model: Model, corpus: Corpus, marks: list[np.ndarray], seed: in
         n[i] = len(own)
         x[i, : len(own)] = table[own]
         y[i, : len(own)] = marks[d][low:high]
-    used, x = np.unique(x, return_inverse=True)
-    x = x.astype(np.int32).reshape(len(windows), side, 8)
     weights, squares = np.zeros(len(used)), np.full(len(used), 1e-2)
     trans, trans_sq = np.zeros((2, 2)), np.full((2, 2), 1e-2)
     start, start_sq = 0.0, 1e-2

@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -564,3 +565,18 @@ def test_a_full_memory_keeps_what_is_met_most(documents):
         some = texts[low : low + 20]
         assert all(map(np.array_equal, whole.encode(some), small.encode(some)))
     assert small.number["the"] < len(small.number) < len(whole.number)
+
+
+def test_marking_words_takes_little_memory_a_word():
+    """The driver marks the sample's words; sorting them at once took over 90 bytes a word."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 5000, 1000)) for _ in range(400)]
+    corpus, toxic = crf.Corpus(texts), np.arange(400) % 4 == 0
+    tracemalloc.start()
+    try:
+        marks = crf.mark_words(corpus, toxic)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert [len(m) for m in marks] == [1000] * 400
+    assert peak < 60 * 400_000
