@@ -24,9 +24,10 @@ from mirrorspan.plans.runner import PARTITION, Replicator
 from mirrorspan.registry.checks import _KEYS
 from mirrorspan.registry.core import N30, RELATIONSHIPS, TABLES, query
 from mirrorspan.registry.loads import _CUT, REPLACED_LINES, _checked, new_store
-from mirrorspan.session import scratch_dir
+from mirrorspan.session import materialized, scratch_dir
 from mirrorspan.sources import bucketed
 from mirrorspan.sources import catalog as cat
+from mirrorspan.sources.catalog import union_all
 from mirrorspan.sources.pages import scan_balanced, table_pages
 from mirrorspan.streaming import children as ch
 from mirrorspan.streaming import incremental as inc
@@ -409,23 +410,30 @@ def _(t):
     sketches.follow_quality(store, "shop_orders", "orders_quality")
     _checked(run.run(N30, ["orders"]))
     sketches.follow_quality(store, "shop_orders", "orders_quality")
-    found = sketches.read_quality(store, "orders_quality")
+    # A sketch's quantiles are drawn by chance, so they are made once.
+    found = materialized(sketches.read_quality(store, "orders_quality"), "orders-quality")
     copy = store.read("shop_orders")
     numbers = ("o_orderkey", "o_custkey", "o_totalprice")
-    exact = copy.agg(F.array(*(
+    exact = union_all(
+        copy.select(c).distinct().agg(F.lit(c).alias("column_name"), F.count(c).alias("exact"))
+        for c in copy.columns
+    )
+    medians = {r[0]: r[1] for r in found.select("column_name", "q50").collect()}  # a row a column
+    ranks = copy.agg(F.array(*(
         F.struct(
-            F.lit(c).alias("column_name"), F.count_distinct(c).alias("exact"),
-            *(
-                F.percentile(c, F.lit(q)).cast("double").alias(n) if c in numbers
-                else F.lit(None).cast("double").alias(n)
-                for q, n in ((0.45, "below"), (0.55, "above"))
-            ),
+            F.lit(c).alias("column_name"),
+            F.count(c).alias("n"),
+            F.count_if(F.col(c).cast("double") < F.lit(medians[c]).cast("double")).alias("less"),
+            F.count_if(F.col(c).cast("double") <= F.lit(medians[c]).cast("double")).alias("most"),
         )
-        for c in copy.columns
+        for c in numbers
     )).alias("all")).select(F.inline("all"))
     off = F.abs(F.col("distinct_values") - F.col("exact")) <= F.greatest(F.lit(1.0), F.col("exact") * 0.06)
-    median = F.coalesce(F.col("q50").between(F.col("below"), F.col("above")), F.col("below").isNull())
-    return found.join(exact, "column_name").select(
+    # The median is one of the values, so its rank says whether it lies between two quantiles.
+    last = F.col("n") - 1
+    median = (F.col("most") > F.ceil(F.lit(0.45) * last)) & (F.col("less") <= F.floor(F.lit(0.55) * last))
+    median = F.coalesce(F.when(F.col("n") > 0, median & F.col("q50").isNotNull()), F.lit(True))
+    return found.join(exact, "column_name").join(F.broadcast(ranks), "column_name", "left").select(
         "column_name", "rows", "null_rows",
         F.coalesce("low_number", F.lit(-1.0)).alias("low_number"),
         F.coalesce("high_number", F.lit(-1.0)).alias("high_number"),
