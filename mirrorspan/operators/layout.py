@@ -11,6 +11,8 @@ from mirrorspan.sources.pages import last_at_most
 
 # Bits of each column's rank in a curve key: 255 bounds.
 CURVE_BITS = 8
+# Rows of a file in Z-order, on average at most.
+ROWS_A_FILE = 500_000
 
 
 def write_layout(
@@ -60,12 +62,18 @@ def curve_key(df: DataFrame, columns: Sequence[str], bits: int = CURVE_BITS) ->
     Ranks come from quantiles of each column (one pass; ``2**bits - 1`` numbers a column come
     to the driver), so crowded values don't use up the key. NULL ranks lowest.
     """
+    return _curve(df, columns, bits)[0]
+
+
+def _curve(df: DataFrame, columns: Sequence[str], bits: int = CURVE_BITS) -> tuple[Column, int]:
+    """:func:`curve_key`, and the number of rows, from the same pass."""
     if bits * len(columns) > 62:
         raise ValueError("the key has 62 bits at most")
     shares = F.lit([k / 2**bits for k in range(1, 2**bits)])
     numbers = [_number(df.schema[c]) for c in columns]
-    bounds = df.agg(*(F.percentile_approx(n, shares, F.lit(10 * 2**bits)).alias(f"b{i}")
-                      for i, n in enumerate(numbers))).first()
+    bounds = df.agg(F.count(F.lit(1)).alias("rows"), *(
+        F.percentile_approx(n, shares, F.lit(10 * 2**bits)).alias(f"b{i}") for i, n in enumerate(numbers)
+    )).first()
     key = F.lit(0).cast("bigint")
     for i, n in enumerate(numbers):
         known = sorted(set(bounds[f"b{i}"] or []))
@@ -76,14 +84,17 @@ def curve_key(df: DataFrame, columns: Sequence[str], bits: int = CURVE_BITS) ->
         for b in range(bits):
             bit = F.shiftright(rank, b).bitwiseAND(F.lit(1).cast("bigint"))
             key = key.bitwiseOR(F.shiftleft(bit, b * len(columns) + len(columns) - 1 - i))
-    return key
+    return key, bounds["rows"]
 
 
 def write_curve(
     df: DataFrame, path: str, columns: Sequence[str], files: int, row_group_bytes: int | None = None
 ) -> None:
-    """Snappy parquet in Z-order: files are ranges of the curve, sorted along it."""
-    key = curve_key(df, columns)
+    """Snappy parquet in Z-order: files are ranges of the curve, sorted along it.
+
+    ``files`` is how many there are at least; large tables get more, of ``ROWS_A_FILE`` rows."""
+    key, rows = _curve(df, columns)
+    files = max(files, -(-rows // ROWS_A_FILE))
     ranged = df.withColumn("_curve", key).repartitionByRange(files, "_curve")
     writer = ranged.sortWithinPartitions("_curve").drop("_curve").write.option("compression", "snappy")
     if row_group_bytes:

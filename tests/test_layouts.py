@@ -203,6 +203,14 @@ def test_a_curve_skips_by_every_column(spark, tmp_path):
     assert groups_read(plain, "b", 1000, 1100)[0] >= 3 * second  # sorting helps the first column only
 
 
+def test_large_tables_get_more_files_along_the_curve(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(layout, "ROWS_A_FILE", 1000, raising=False)
+    df = spark.range(20_000).select("id", F.pmod(F.xxhash64("id"), F.lit(1000)).alias("a"))
+    layout.write_curve(df, str(tmp_path / "t"), ["id", "a"], 4)
+    sizes = [pq.read_metadata(f).num_rows for f in glob.glob(f"{tmp_path}/t/*.parquet")]
+    assert sum(sizes) == 20_000 and len(sizes) > 10 and max(sizes) < 4000
+
+
 def test_curve_keys_of_texts_dates_and_nulls(spark):
     rows = [(None, None, None)] + [(f"t{k:03}", days(k % 9), decimal.Decimal(k % 5)) for k in range(100)]
     df = spark.createDataFrame(rows, "s string, d date, x decimal(5,1)")
