@@ -64,19 +64,20 @@ def build(keys: DataFrame, columns: Sequence[str]) -> DataFrame:
             F.broadcast(sizes.select(F.col(PART).alias("_own"), "blocks")),
             F.col(PART).eqNullSafe(F.col("_own")),
         )
-        .select(
-            PART,
-            F.pmod("key", "blocks").alias("block"),
-            F.explode(F.array(*_bits(F.col("key")))).alias("bit"),
-        )
+        .select("_own", F.pmod("key", "blocks").alias("block"), "key")
+        # A block's keys meet before they are sorted, in parts of one size, whatever the
+        # files'; else every task would sort its file's keys and send a bitmap of each block.
+        .hint("rebalance", "_own", "block")
     )
-    filters = placed.groupBy(F.col(PART).alias("_own"), "block").agg(
-        F.bitmap_construct_agg("bit").alias("bitmap")
+    bits = [F.bitmap_construct_agg(b).alias(f"bits{k}") for k, b in enumerate(_bits(F.col("key")))]
+    filters = (
+        placed.groupBy("_own", "block").agg(*bits)
+        .select("_own", "block", F.explode(F.array(*(f"bits{k}" for k in range(HASHES)))).alias("bits"))
+        .groupBy("_own", "block").agg(F.bitmap_or_agg("bits").alias("bitmap"))
     )
     return (
         filters.join(sizes, F.col(PART).eqNullSafe(F.col("_own")))
         .select(PART, "low", "high", "blocks", "block", "bitmap")
-        .coalesce(1)
     )
 
 

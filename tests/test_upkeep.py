@@ -15,6 +15,7 @@ from mirrorspan.operators.joins import key_set, rows_with_keys
 from mirrorspan.operators.quality import sync_drift
 from mirrorspan.plans.runner import Replicator
 from mirrorspan.registry import QUERIES
+from mirrorspan.sources import skipping
 from mirrorspan.sources.store import NULL_PARTITION
 from mirrorspan.streaming import children as ch
 from mirrorspan.streaming import incremental as inc
@@ -83,6 +84,22 @@ def test_folders_without_an_index_may_hold_any_key(spark, store, keyed):
     assert store.parts_with_keys("t", keys_of(spark, [5]), ["k"]) is None
 
 
+def test_index_is_built_in_many_tasks(spark):
+    """No one task gets all the bitmaps, and no row stands for a single bit."""
+    keys = spark.range(100_000).select((F.col("id") % 40).cast("string").alias(skipping.PART), "id")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        index = skipping.build(keys, ["id"])
+        assert index.rdd.getNumPartitions() > 1
+        # Every key sets its bits: 2,500 of a part, up to four each.
+        counts = index.groupBy().agg(F.count(F.lit(1)), F.sum(F.expr("bitmap_count(bitmap)"))).first()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert counts[0] == 40 and 0.75 * 400_000 < counts[1] < 400_000
+    assert "Coalesce" not in index._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_index_of_composite_and_text_keys(spark, store):
     rows = [(f"a{i}", i % 7, f"p{i // 100}") for i in range(1000)]
     df = spark.createDataFrame(rows, "s string, n int, part string")
