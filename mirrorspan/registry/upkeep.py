@@ -462,10 +462,11 @@ def _(t):
     names = {n: f"mirrorspan_{n}_{tag}" for n in ("orders", "lineitem")}
     keys = {"orders": ["o_orderkey"], "lineitem": ["l_orderkey"]}
     paths_of = {n: scratch_dir(t.spark, f"bucketed-{n}") for n in names}
+    buckets = bucketed.buckets_for(max(store.read(f"shop_{n}").count() for n in names))
 
     def publish():
         for n, name in names.items():
-            bucketed.publish(store, f"shop_{n}", name, keys[n], 8, paths_of[n])
+            bucketed.publish(store, f"shop_{n}", name, keys[n], buckets, paths_of[n])
 
     publish()
     _checked(run.run(N30))

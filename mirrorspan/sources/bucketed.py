@@ -16,6 +16,16 @@ from mirrorspan.sources.store import NULL_PARTITION, TableStore
 
 PUBLISHED = "published_part"
 VERSION = "mirrorspan.version"
+ROWS_A_BUCKET = 1_000_000
+
+
+def buckets_for(rows: int, least: int = 8) -> int:
+    """How many buckets a table of so many rows, and those it is joined with, should have: a
+    power of two, so that one task's bucket doesn't grow with the table."""
+    buckets = least
+    while buckets * ROWS_A_BUCKET < rows:
+        buckets *= 2
+    return buckets
 
 
 def publish(

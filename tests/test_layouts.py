@@ -349,3 +349,8 @@ def test_numbered_keeps_the_order(spark):
         (1, 3), (2, 2), (3, 1)]
 
 
+
+
+def test_buckets_grow_with_the_table():
+    counts = [bucketed.buckets_for(n) for n in (0, 8_000_000, 8_000_001, 36_000_000, 216_000_000)]
+    assert counts == [8, 8, 16, 64, 256]
