@@ -33,12 +33,21 @@ def levels_for(rows: int, leaf_rows: int = LEAF_ROWS) -> int:
     return levels
 
 
-def leaf(key: Sequence[str], levels: int) -> Column:
-    """The leaf of a row. Equal keys share one on both sides."""
-    return F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in key)), F.lit(FANOUT**levels))
+def leaves_for(rows: int, leaf_rows: int = LEAF_ROWS) -> int:
+    """Leaves of a tree over so many rows: a power of two, with half of ``leaf_rows`` each
+    or more. Full levels would give up to ``FANOUT`` times as many, near one for each row."""
+    count = 1
+    while count * leaf_rows < rows:
+        count *= 2
+    return count
 
 
-def leaves(df: DataFrame, key: Sequence[str], levels: int, columns: Sequence[str] | None = None) -> DataFrame:
+def leaf(key: Sequence[str], count: int) -> Column:
+    """The leaf of a row, of ``count``. Equal keys share one on both sides."""
+    return F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in key)), F.lit(count))
+
+
+def leaves(df: DataFrame, key: Sequence[str], count: int, columns: Sequence[str] | None = None) -> DataFrame:
     """(node, n, h1, h2) of the leaves that have rows.
 
     Hashes are 31 bits of a row's, so their sums stay exact; the flags keep (NULL, x) and
@@ -49,7 +58,7 @@ def leaves(df: DataFrame, key: Sequence[str], levels: int, columns: Sequence[str
     limit = F.lit(2**31 - 1)
     return (
         df.select(
-            leaf(key, levels).alias("node"),
+            leaf(key, count).alias("node"),
             F.pmod(F.xxhash64(F.lit(1), *cols, *flags), limit).alias("h1"),
             F.pmod(F.xxhash64(F.lit(2), *reversed(cols), *flags), limit).alias("h2"),
         )
@@ -96,15 +105,15 @@ def suspects(
     """
     if rows is None:
         rows = max(source.count(), target.count())
-    levels = levels_for(rows, leaf_rows)
+    levels, count = levels_for(rows, leaf_rows), leaves_for(rows, leaf_rows)
     columns = source.columns
     target = target.select(*(F.col(f"`{c}`") for c in columns))
     left, right = (
-        tree(materialized(leaves(side, key, levels), "hash-tree"), levels) for side in (source, target)
+        tree(materialized(leaves(side, key, count), "hash-tree"), levels) for side in (source, target)
     )
     differ = materialized(differing_leaves(left, right), "hash-tree-differ")
     return tuple(
-        side.withColumn("_leaf", leaf(key, levels))
+        side.withColumn("_leaf", leaf(key, count))
         .join(differ.withColumnRenamed("node", "_leaf"), "_leaf", "left_semi")
         .drop("_leaf")
         for side in (source, target)

@@ -536,6 +536,12 @@ def test_tree_goes_down_below_differing_nodes_only():
     assert [hash_tree.levels_for(n, 16) for n in (1, 1024, 1025, 65_536, 65_537)] == [1, 1, 2, 2, 3]
 
 
+def test_one_row_more_does_not_multiply_the_leaves(spark):
+    assert [hash_tree.leaves_for(n, 16) for n in (0, 16, 17, 65_536, 65_537)] == [1, 1, 2, 4096, 8192]
+    count = hash_tree.leaves_for(65_537, 16)
+    assert hash_tree.leaves(spark.range(65_537), ["id"], count).count() <= 8192
+
+
 # -- inclusion dependencies ------------------------------------------------------------------------
 
 
