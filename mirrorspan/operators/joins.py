@@ -135,15 +135,21 @@ def join_test(left: DataFrame, right: DataFrame, left_columns: Sequence[str],
               right_columns: Sequence[str]) -> DataFrame:
     """Size of an equi-join and distinct keys on each side, without joining rows.
 
-    Both sides are counted per key first (with map-side combining, so a hot key
-    is one row before the shuffle); the joined size is the sum of products.
+    The rows of both sides are counted per key in one grouping (with map-side combining,
+    so a hot key is one row before the shuffle); the joined size is the sum of products.
+    Nothing is sorted and a task holds one table of counts.
     """
-    a = _key_counts(left, left_columns, "n1")
-    b = _key_counts(right, right_columns, "n2")
     names = [f"k{i}" for i in range(len(left_columns))]
+
+    def marked(df: DataFrame, columns: Sequence[str], n1: int, n2: int) -> DataFrame:
+        keys = without_nulls(df.select(*[F.col(c).alias(n) for c, n in zip(columns, names)]))
+        return keys.select(*names, F.lit(n1).alias("n1"), F.lit(n2).alias("n2"))
+
+    both = marked(left, left_columns, 1, 0).unionByName(marked(right, right_columns, 0, 1))
+    counts = both.groupBy(*names).agg(F.sum("n1").alias("n1"), F.sum("n2").alias("n2"))
     joined = F.coalesce(F.sum(F.col("n1") * F.col("n2")), F.lit(0)).cast("bigint")
     matched = F.count(F.lit(1))
-    return a.join(b, names).agg(
+    return counts.filter("n1 > 0 AND n2 > 0").agg(
         joined.alias("total_joined_rows"),
         matched.alias("unique_t1_keys"),
         matched.alias("unique_t2_keys"),

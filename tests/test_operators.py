@@ -73,6 +73,17 @@ def test_join_test_counts_like_the_join_itself(spark):
     assert tuple(join_test(left.filter("k = 5"), right, ["k"], ["j"]).first()) == (0, 0, 0, False)
 
 
+def test_join_test_groups_both_sides_at_once(spark, capsys):
+    left = spark.sql("SELECT * FROM VALUES (1, 1L), (1, 1L), (2, 2L), (NULL, 3L) AS t(a, b)")
+    right = spark.sql("SELECT * FROM VALUES (1L, 1), (2L, 3), (1L, 1), (4L, 4) AS t(c, d)")
+    tested = join_test(left, right, ["a", "b"], ["c", "d"])
+    assert tuple(tested.first()) == (4, 1, 1, True)
+    capsys.readouterr()
+    tested.explain()
+    plan = capsys.readouterr().out
+    assert "Join" not in plan and "Sort" not in plan
+
+
 def test_hot_key_is_counted_not_exploded(spark):
     hot = spark.range(200_000).select(F.lit(1).alias("k"))
     assert join_test(hot, hot, ["k"], ["k"]).first().total_joined_rows == 200_000**2
