@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from mirrorspan.functions.dates import ntz
 from mirrorspan.operators.joins import KeySet
+from mirrorspan.session import materialized
 
 FOLDER = "_skipping"
 PART = "_part"
@@ -58,6 +59,8 @@ def build(keys: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
     wanted = F.greatest(F.lit(1.0), F.col("n") * BITS_A_KEY / BITS)
     sizes = sizes.withColumn("blocks", F.pow(2.0, F.ceil(F.log2(wanted))).cast("long")).drop("n")
+    # Joined twice: the keys are read once for them.
+    sizes = materialized(sizes, "skipping-sizes")
     placed = (
         # One row for each folder; the manifest lists them on the driver as well.
         known.join(

@@ -25,6 +25,7 @@ import uuid
 from collections import Counter
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
@@ -35,6 +36,9 @@ from mirrorspan.sources import skipping
 
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 _VERSION_DIR = re.compile(r"v\d+-[0-9a-f]+")
+# Versions whose folders are read as one scan each; a table of more is read as one, and
+# each row's path says where it lies.
+MOST_SCANS = 32
 
 
 class VerificationError(RuntimeError):
@@ -119,6 +123,14 @@ class TableStore:
         snap = self.snapshot(table, version)
         dirs = [d for v, d in snap.dirs if only is None or v is None or only(v)]
         part = snap.partition_by if keep_partition else None
+        versions = {d.split("/")[0] for d in dirs}
+        if part and dirs and len(versions) <= MOST_SCANS and all(v is not None for v, _ in snap.dirs):
+            frames = [
+                self._read_parts(f"{self.root}/{table}/{v}", snap.schema, part,
+                                 [d for d in dirs if d.startswith(f"{v}/")])
+                for v in sorted(versions)
+            ]
+            return reduce(DataFrame.unionByName, frames)
         if not dirs:
             fields = [T.StructField(part, T.StringType())] if part else []
             return self.spark.createDataFrame([], T.StructType(snap.schema.fields + fields))
@@ -147,6 +159,16 @@ class TableStore:
         # Each folder is its own base path, so that none of its name is data.
         return self.spark.read.schema(schema).parquet(*[f"{self.root}/{table}/{d}" for d in dirs])
 
+    def _read_parts(
+        self, base: str, schema: T.StructType, part: str, dirs: Sequence[str] = ()
+    ) -> DataFrame:
+        """Rows of folders of one version, with the folder's value as ``part``. Spark takes
+        it from the folder once a file; by :func:`_partition_value` each row would pay for it."""
+        wide = T.StructType([*schema.fields, T.StructField(part, T.StringType())])
+        reader = self.spark.read.schema(wide).option("basePath", base)
+        df = reader.parquet(*([f"{base}/{d.split('/', 1)[1]}" for d in dirs] or [base]))
+        return df.select(*(F.col(f"`{n}`") for n in wide.names))
+
     def parts_with_keys(
         self, table: str, keys: KeySet, columns: Sequence[str], version: int | None = None
     ) -> set[str] | None:
@@ -356,9 +378,14 @@ class TableStore:
         if staged != rows or staged != wanted:
             raise VerificationError(f"{table}: staged {staged} rows, sent {rows}, expected {wanted}")
         if index and rows:
-            payload = self.spark.read.schema(self._payload(df, partition_by)).parquet(path)
-            folder = _partition_value(partition_by) if partition_by else F.lit(None).cast("string")
-            keys = payload.select(folder.alias(skipping.PART), *(F.col(f"`{c}`") for c in index))
+            payload = self._payload(df, partition_by)
+            if partition_by:
+                stored = self._read_parts(path, payload, partition_by)
+                folder = F.col(f"`{partition_by}`")
+            else:
+                stored = self.spark.read.schema(payload).parquet(path)
+                folder = F.lit(None).cast("string")
+            keys = stored.select(folder.alias(skipping.PART), *(F.col(f"`{c}`") for c in index))
             skipping.build(keys, index).write.parquet(f"{path}/{skipping.FOLDER}")
         if not partition_by:
             return [(None, name)], rows

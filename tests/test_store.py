@@ -155,3 +155,18 @@ def test_compaction_and_old_versions(store, spark):
     assert store.read("t").count() == 18 and store.read("u").count() == 6
     assert store.drop_old_versions("t", keep=1) >= 3
     assert store.read("t").count() == 18
+
+
+def test_partition_values_are_taken_once_a_file(spark, store, monkeypatch, capsys):
+    values = ["2024-01", "a+b", "x/y=%20", " é", None]
+    rows = [(k, values[k % 5]) for k in range(20)]
+    df = spark.createDataFrame(rows, "id long, part string")
+    store.overwrite("t", df.filter("id < 12"), "part", index=["id"])
+    store.append("t", df.filter("id >= 12"))
+    read = store.read("t", keep_partition=True)
+    assert bag(read) == bag(df)
+    capsys.readouterr()
+    read.explain()
+    assert "file_path" not in capsys.readouterr().out
+    monkeypatch.setattr("mirrorspan.sources.store.MOST_SCANS", 1)
+    assert bag(store.read("t", keep_partition=True)) == bag(df)
