@@ -24,6 +24,8 @@ def create_view(spark: SparkSession, name: str, sql: str, persistent: bool = Fal
 
 # Digits after the point at which binary fractions are summed.
 FRACTION_DIGITS = 9
+# Lines that a task sums per header.
+ROWS_A_PART = 500_000
 
 
 def exact_sum(df: DataFrame, column: str) -> Column:
@@ -51,12 +53,21 @@ def invoices_consolidated(
     )
 
 
-def daily_sums(headers: DataFrame, lines: DataFrame, keys: Mapping[str, str]) -> DataFrame:
+def daily_sums(
+    headers: DataFrame, lines: DataFrame, keys: Mapping[str, str], rows: int | None = None
+) -> DataFrame:
     """Lines, invoices and exact amount per day and branch.
 
-    Lines are summed per (header, branch) before they meet the headers.
+    Lines are summed per (header, branch) before they meet the headers. With the number
+    of ``rows`` of the lines, they are dealt by header first, so that a task's sums stay
+    of one size however many lines there are; headers have few lines, summing them where
+    they are read would save little.
     """
     amount = exact_sum(lines, keys["line_amount"]).alias("amount")
+    if rows is not None:
+        parts = max(lines.sparkSession.sparkContext.defaultParallelism, -(-rows // ROWS_A_PART))
+        columns = (keys[c] for c in ("line_header", "line_branch", "line_amount"))
+        lines = lines.select(*dict.fromkeys(columns)).repartition(parts, keys["line_header"])
     per_invoice = lines.groupBy(
         F.col(keys["line_header"]).alias("header_key"), F.col(keys["line_branch"]).alias("branch_key")
     ).agg(F.count(F.lit(1)).alias("n"), amount)
@@ -83,10 +94,11 @@ def named_sales(sums: DataFrame, branches: DataFrame, keys: Mapping[str, str]) -
 
 
 def daily_sales(
-    headers: DataFrame, lines: DataFrame, branches: DataFrame, keys: Mapping[str, str]
+    headers: DataFrame, lines: DataFrame, branches: DataFrame, keys: Mapping[str, str],
+    rows: int | None = None,
 ) -> DataFrame:
     """Lines, invoices and amount per day and branch; its name is added after the grouping."""
-    return named_sales(daily_sums(headers, lines, keys), branches, keys)
+    return named_sales(daily_sums(headers, lines, keys, rows), branches, keys)
 
 
 def stock_sums(first: DataFrame, second: DataFrame) -> DataFrame:

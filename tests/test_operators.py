@@ -268,3 +268,14 @@ def test_key_range_of_zoneless_timestamps(spark):
         assert key_set(df, ["t"]).within_range(df, "t").count() == 1
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_daily_sums_deal_many_lines_over_as_many_tasks(spark, capsys):
+    headers = spark.sql("SELECT id AS h, timestamp'2024-01-01 10:00:00' AS at FROM range(50)")
+    lines = spark.sql("SELECT id % 50 AS h, id % 3 AS b, id * 0.5D AS price FROM range(400)")
+    keys = {"line_header": "h", "line_branch": "b", "line_amount": "price", "header": "h", "header_date": "at"}
+    dealt = views.daily_sums(headers, lines, keys, 33 * views.ROWS_A_PART)
+    assert bag(dealt) == bag(views.daily_sums(headers, lines, keys))
+    capsys.readouterr()
+    dealt.explain()
+    assert ", 33), REPARTITION_BY_NUM" in capsys.readouterr().out
