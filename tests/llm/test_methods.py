@@ -1,8 +1,10 @@
 """The parts of the operators against brute force."""
 
 import math
+import operator
 import random
 import tracemalloc
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -537,6 +539,74 @@ def test_dual_tree_drops_what_cannot_matter():
     assert tally["dropped"] > 0 and tally["products"] < 0.5 * 100 * 2000
 
 
+def test_dual_tree_meets_queries_that_stand_apart_together(monkeypatch):
+    """Each was multiplied by itself, a few hundred vectors at a time."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(4000, 64))
+    x = np.floor(256 * x / np.linalg.norm(x, axis=1)[:, None])
+    asked, calls, plain = np.arange(0, 4000, 4), [], dualtree._products
+    monkeypatch.setattr(dualtree, "_products", lambda a, b: calls.append(len(a)) or plain(a, b))
+    got = dualtree.search(
+        x[asked], asked, np.full(1000, -np.inf), x, np.arange(4000.0), np.arange(4000), 5)
+    assert len(calls) < 100
+    scores = (x[asked] @ x.T).astype(int)
+    scores[np.arange(1000), asked] = -(2**40)
+    want = np.argsort(-scores, axis=1, kind="stable")[:, :5]
+    assert [[p for _, _, p in hits] for hits in got] == want.tolist()
+
+
+def test_top_k_stores_each_query_once(spark, monkeypatch):
+    """A row was stored for each query and cell, and sent again for each block of the cell."""
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(2000, 32))
+    frame = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>")
+    stored, plain = {}, dualtree.materialized
+
+    def kept(df, label):
+        stored[label] = plain(df, label)
+        return stored[label]
+
+    monkeypatch.setattr(dualtree, "materialized", kept)
+    rows = dualtree.top_k(frame, every=2).collect()
+    assert len(rows) == 5000
+    assert stored["vectors-queries"].count() <= 1000
+
+
+@pytest.mark.parametrize("shuffles", ["2", "24"])
+def test_top_k_in_many_blocks_shards_and_groups(spark, monkeypatch, shuffles):
+    for name, value in (("QUERY_GROUP", 60), ("LEAST_BLOCK", 20), ("MOST_BLOCK", 70),
+                        ("LEAST_SHARD", 150), ("SHARD_BYTES", 60_000)):
+        monkeypatch.setattr(dualtree, name, value)
+    rng = random.Random(9)
+    vectors = []
+    for n in range(900):
+        size = rng.choice((3, 3, 3, 5))
+        v = [rng.gauss(0, 1) * (1e6 if n % 50 == 7 else 1) for _ in range(size)]
+        if n % 3 == 0:  # a hot vector, and equal ids
+            v = [0.5] * size
+        vectors.append((rng.choice((None, n, n, n // 7, 2**60 + n)), v))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", shuffles)
+    try:
+        frame = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+        rows = dualtree.top_k(frame, k=4, every=2).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    whole = [(i, [math.floor(256 * c) for c in v]) for i, v in vectors]
+    want = Counter()
+    for at, (q, a) in enumerate(whole):
+        if q is None or q % 2:
+            continue
+        hits = sorted(
+            (-sum(map(operator.mul, a, b)), i is None, i or 0, p)
+            for p, (i, b) in enumerate(whole) if p != at and len(a) == len(b)
+        )
+        want.update(
+            (q, rank, None if none else i, -s) for rank, (s, none, i, _) in enumerate(hits[:4], 1)
+        )
+    assert Counter(map(tuple, rows)) == want
+
+
 # Token ids
 
 
